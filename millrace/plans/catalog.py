@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators.counting import top_n_per_group, word_counts
-from millrace.plans import text_queries
+from millrace.plans import table_queries, text_queries
 from millrace.sources.readers import table
 
-PARTS = (text_queries,)
+PARTS = (text_queries, table_queries)
 
 
 def entries() -> dict:
