@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators.counting import top_n
-from millrace.operators.skew import SALTS, heavy_keys, salted_join
+from millrace.operators.skew import every_salt, heavy_hashes, own_salt, salted_join
 from millrace.session import cut_lineage, shuffle_width
 
 
@@ -73,7 +73,7 @@ def adjacency_list(edges: DataFrame, part: int = 10_000) -> DataFrame:
     more than ``part`` links gets several rows, so no array grows without
     bound."""
     degrees = out_weights(edges)
-    sliced = salted_join(edges, degrees, ["src"], ["dst"], counts=degrees, count_col="links").withColumn(
+    sliced = salted_join(edges, degrees, ["src"], ["dst"]).withColumn(
         "part", F.pmod(F.xxhash64("dst"), F.greatest(F.ceil(F.col("links") / part), F.lit(1))).cast("int")
     )
     return sliced.groupBy("src", "part").agg(F.array_sort(F.collect_list(F.struct("dst", "weight"))).alias("neighbours"))
@@ -87,37 +87,34 @@ def adjacency_matrix(edges: DataFrame, columns: list | None = None) -> DataFrame
     return long.groupBy("src").pivot("dst", columns).agg(F.first("value")).na.fill(0)
 
 
-def transitions(edges: DataFrame) -> DataFrame:
+def transitions(edges: DataFrame, heavy: list[int] | None = None) -> DataFrame:
     """``(src, dst, p)``: link weight over the source's out-weight."""
     degrees = out_weights(edges)
-    return salted_join(edges, degrees, ["src"], ["dst"], counts=degrees, count_col="links").select(
+    return salted_join(edges, degrees, ["src"], ["dst"], heavy=heavy).select(
         "src", "dst", (F.col("weight") / F.col("out_weight")).alias("p")
     )
 
 
 class _Walk:
     """What every iteration reuses: transition rows placed by source, and the
-    node list. Both are reliable checkpoints; the placed copy is rebuilt from
-    them when an executor is lost."""
+    node list. Edges and nodes are reliable checkpoints, from which lost parts
+    of the placed copy are rebuilt."""
 
     def __init__(self, edges: DataFrame):
+        edges = cut_lineage(edges)
+        self.heavy = heavy_hashes(edges, ["src"])[0]
         self.nodes = cut_lineage(node_table(edges))
-        counts = self.nodes.where("links > 0").select(F.col("node").alias("src"), "links")
-        heavy = F.broadcast(heavy_keys(counts, ["src"], "links").withColumn("_heavy", F.lit(True)))
-        spread = F.when(F.col("_heavy"), F.pmod(F.xxhash64("dst"), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
-        placed = transitions(edges).join(heavy, "src", "left").select("src", spread.alias("salt"), "dst", "p")
+        placed = transitions(edges, self.heavy).select("src", own_salt(self.heavy, ["src"], ["dst"]).alias("salt"), "dst", "p")
         width = shuffle_width(edges.sparkSession)
-        self.placed = cut_lineage(placed).repartition(width, "src", "salt").persist()
-        self.heavy = heavy.withColumnRenamed("src", "node")
+        self.placed = placed.repartition(width, "src", "salt").persist()
         self.size = self.nodes.count()
 
     def spread(self, ranks: DataFrame) -> DataFrame:
         """Rank of each source, once per part its edges are cut into."""
-        salts = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
         return (
             ranks.where("links > 0")
-            .join(self.heavy, "node", "left")
-            .select(F.col("node").alias("src"), "rank", F.explode(salts).alias("salt"))
+            .select(F.col("node").alias("src"), "rank")
+            .withColumn("salt", F.explode(every_salt(self.heavy, ["src"])))
         )
 
     def received(self, ranks: DataFrame) -> DataFrame:

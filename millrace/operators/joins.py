@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators.skew import salted_join
 
 
 def role_lookup(
-    df: DataFrame, index: DataFrame, key: str, index_key: str, names: Mapping[str, str], spread: Sequence[str], counts: DataFrame | None = None
+    df: DataFrame, index: DataFrame, key: str, index_key: str, names: Mapping[str, str], spread: Sequence[str], heavy: Sequence[int] | None = None
 ) -> DataFrame:
     """Inner lookup of ``df[key]`` in a table with one row per ``index_key``;
     the index columns arrive under the role names in ``names``.
@@ -20,7 +20,7 @@ def role_lookup(
     are shuffled with heavy ones split.
     """
     side = index.select(F.col(index_key).alias(key), *[F.col(c).alias(n) for c, n in names.items()])
-    return salted_join(df, side, [key], spread, counts=counts)
+    return salted_join(df, side, [key], spread, heavy=heavy)
 
 
 def hourly_lookup(
@@ -29,13 +29,13 @@ def hourly_lookup(
     keys: Mapping[str, str],
     names: Mapping[str, str],
     spread: Sequence[str],
-    counts: DataFrame | None = None,
+    heavy: Sequence[int] | None = None,
 ) -> DataFrame:
     """Left lookup on (place, date, hour): ``keys`` maps columns of ``df`` to
     those of ``readings``. Several readings of an hour give several rows; a
     row without reading stays, with nulls."""
     side = readings.select(*[F.col(r).alias(k) for k, r in keys.items()], *[F.col(c).alias(n) for c, n in names.items()])
-    return salted_join(df, side, list(keys), spread, how="left", counts=counts)
+    return salted_join(df, side, list(keys), spread, how="left", heavy=heavy)
 
 
 def window_self_join(
@@ -47,6 +47,7 @@ def window_self_join(
     lower: int,
     upper: int,
     spread: Sequence[str],
+    heavy: Sequence[int] | None = None,
 ) -> DataFrame:
     """Left join: ``right`` rows of the same keys with
     ``left.at - upper < right.earlier < left.at - lower`` (both strict).
@@ -64,9 +65,9 @@ def window_self_join(
     near = right.withColumn("_bucket", F.explode(F.sequence(first, last)))
     placed = left.withColumn("_bucket", F.floor(F.col(at) / width))
     inside = (F.col(f"r.{earlier}") > F.col(f"l.{at}") - upper) & (F.col(f"r.{earlier}") < F.col(f"l.{at}") - lower)
-    return salted_join(placed, near, [*keys, "_bucket"], spread, how="left", residual=inside).drop("_bucket")
+    return salted_join(placed, near, [*keys, "_bucket"], spread, how="left", heavy=heavy, residual=inside).drop("_bucket")
 
 
-def attach_group_index(df: DataFrame, index: DataFrame, keys: Sequence[str], spread: Sequence[str], counts: DataFrame | None = None) -> DataFrame:
+def attach_group_index(df: DataFrame, index: DataFrame, keys: Sequence[str], spread: Sequence[str], heavy: Sequence[int] | None = None) -> DataFrame:
     """Inner join of rows with their group's statistics."""
-    return salted_join(df, index, keys, spread, counts=counts)
+    return salted_join(df, index, keys, spread, heavy=heavy)

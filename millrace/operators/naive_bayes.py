@@ -68,7 +68,7 @@ def classify(docs: DataFrame, model: DataFrame, priors: DataFrame, doc: str, lab
     model does not hold add nothing, and a document without words is scored
     by the priors. Common words are split over sub-keys by document.
     """
-    bags = (
+    bags = (  # one row per document and word
         docs.select(F.col(doc).alias("_doc"), F.col(label).alias("_label"), F.explode_outer(words(text)).alias("word"))
         .groupBy("_doc", "_label", "word")
         .agg(F.count("*").alias("_n"))

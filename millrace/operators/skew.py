@@ -3,29 +3,44 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.session import shuffle_width
 
-# A key is heavy when it holds more than 1/SHARE of the rows. Fewer than
-# SHARE keys can do that, whatever the data: this bounds every broadcast of
-# heavy keys below.
+# A key is heavy when it holds more than 1/SHARE of the rows: fewer than
+# SHARE keys can, whatever the data, so the list of heavy keys is bounded.
 SHARE = 100
 SALTS = 64
+_TRACKED = 10_000  # sketch size; its count error is far below 1/SHARE
 
 
-def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows per key; partial counts are merged map-side before the shuffle."""
-    return df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+def heavy_hashes(df: DataFrame, *key_lists: Sequence[str]) -> list[list[int]]:
+    """Hashes of the heavy keys of ``df``, one list per list of key columns.
+
+    One pass over the key columns with a frequent-items sketch per list. The
+    sketches merge map-side: no shuffle by key, and at most ``SHARE`` numbers
+    per list reach the driver. The counts are estimates; they decide how rows
+    are spread and never what a join returns.
+    """
+    hashes = df.select(*[F.xxhash64(*keys).alias(f"_h{i}") for i, keys in enumerate(key_lists)])
+    tops = [F.expr(f"approx_top_k(_h{i}, {SHARE}, {_TRACKED})").alias(f"_t{i}") for i in range(len(key_lists))]
+    row = hashes.agg(F.count("*").alias("_n"), *tops).first()
+    return [[t["item"] for t in row[f"_t{i}"] if t["count"] * SHARE > row["_n"]] for i in range(len(key_lists))]
+
+
+def is_heavy(heavy: Sequence[int], *keys: Column | str) -> Column:
+    return F.xxhash64(*keys).isin(*heavy)
+
+
+def own_salt(heavy: Sequence[int], keys: Sequence[Column | str], spread: Sequence[Column | str], salts: int = SALTS) -> Column:
+    """Sub-key of a row: by the hash of ``spread`` for heavy keys, else 0."""
+    return F.when(is_heavy(heavy, *keys), F.pmod(F.xxhash64(*spread), F.lit(salts))).otherwise(F.lit(0)).cast("int")
 
 
-def heavy_keys(counts: DataFrame, keys: Sequence[str], rows: str = "_rows", share: int = SHARE) -> DataFrame:
-    """Keys holding more than ``1/share`` of all rows: fewer than ``share``."""
-    total = counts.agg(F.sum(rows).alias("_total"))
-    return counts.where(F.col(rows) * share > total.scalar()).select(*keys)
+def every_salt(heavy: Sequence[int], keys: Sequence[Column | str], salts: int = SALTS) -> Column:
+    """All sub-keys a key's rows were sent to."""
+    return F.when(is_heavy(heavy, *keys), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
 
 
 def salted_join(
@@ -34,8 +49,7 @@ def salted_join(
     keys: Sequence[str],
     spread: Sequence[Column | str],
     how: str = "inner",
-    counts: DataFrame | None = None,
-    count_col: str = "_rows",
+    heavy: Sequence[int] | None = None,
     residual: Column | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
@@ -45,40 +59,35 @@ def salted_join(
     of ``spread`` (columns that tell the key's rows apart); right rows of that
     key are copied to each sub-key. All other rows keep sub-key 0. Every
     matching pair meets exactly once, so inner and left joins are unchanged.
-    Left rows with a null key match nothing and are spread the same way.
+    Without a heavy key this is the plain join.
 
-    ``counts`` may bring known left row counts per key (extra keys do no
-    harm); otherwise they are counted here.
+    ``heavy`` may bring hashes measured elsewhere, such as on the table that
+    ``left`` was built from; otherwise ``left`` itself is measured.
+    ``residual`` is a further condition on ``l.…`` and ``r.…`` columns.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
     keys = list(keys)
-    counts = key_counts(left, keys) if counts is None else counts
-    heavy = F.broadcast(
-        heavy_keys(counts, keys, count_col).withColumn("_heavy", F.lit(True))
-    )
-    no_key = reduce(or_, [F.col(k).isNull() for k in keys])
-    salted_left = (
-        left.join(heavy, keys, "left")
-        .withColumn("_salt", F.when(F.col("_heavy") | no_key, F.pmod(F.xxhash64(*spread), F.lit(salts))).otherwise(F.lit(0)).cast("int"))
-        .drop("_heavy")
-    )
-    salted_right = (
-        right.join(heavy, keys, "left")
-        .withColumn(
-            "_salt",
-            F.explode(F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))),
-        )
-        .drop("_heavy")
-    )
+    heavy = heavy_hashes(left, keys)[0] if heavy is None else heavy
+    on = keys
+    left_cols, right_cols = left.columns, [c for c in right.columns if c not in keys]
+    if heavy:
+        types = {f.name: f.dataType for f in left.schema}
+        same = [F.col(k).try_cast(types[k]) for k in keys]  # hash both sides as one type
+        left = left.withColumn("_salt", own_salt(heavy, keys, spread, salts))
+        right = right.withColumn("_salt", F.explode(every_salt(heavy, same, salts)))
+        on = [*keys, "_salt"]
     if residual is None:
-        return salted_left.join(salted_right, keys + ["_salt"], how).drop("_salt")
-    a, b = salted_left.alias("l"), salted_right.alias("r")
+        joined = left.join(right, on, how)
+        return joined.drop("_salt") if heavy else joined
     condition = residual
-    for key in keys + ["_salt"]:
+    for key in on:
         condition = condition & (F.col(f"l.{key}") == F.col(f"r.{key}"))
-    keep_right = [F.col(f"r.{c}") for c in right.columns if c not in keys]
-    return a.join(b, condition, how).select(*[F.col(f"l.{c}") for c in left.columns], *keep_right)
+    return (
+        left.alias("l")
+        .join(right.alias("r"), condition, how)
+        .select(*[F.col(f"l.{c}") for c in left_cols], *[F.col(f"r.{c}") for c in right_cols])
+    )
 
 
 def global_rank(df: DataFrame, key: str, name: str = "rank", buckets: int | None = None) -> DataFrame:

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.sources.readers import table
+from millrace.sources.readers import spread, table
 
 
 def labelled_documents(spark: SparkSession, folder: str) -> DataFrame:
     """``(doc_id, text, quality)`` of the labelled documents."""
-    docs = table(spark, folder, "documents").select("doc_id", "text")
+    docs = spread(table(spark, folder, "documents")).select("doc_id", "text")
     return docs.join(table(spark, folder, "labels").select("doc_id", "quality"), "doc_id")
 
 
@@ -52,7 +52,7 @@ def raw_flights(spark: SparkSession, folder: str) -> DataFrame:
     arr = (dep + 60 + F.col("l_suppkey") % 120) % 1440
     hhmm = lambda m: (F.floor(m / 60) * 100 + m % 60).cast("int")
     ship = F.to_date("l_shipdate")
-    return table(spark, folder, "lineitem").select(
+    return spread(table(spark, folder, "lineitem")).select(
         F.year(ship).alias("YEAR"),
         F.month(ship).alias("MONTH"),
         F.dayofmonth(ship).alias("DAY_OF_MONTH"),
@@ -82,7 +82,7 @@ def raw_weather(spark: SparkSession, folder: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     pad = lambda c, n: F.lpad(c.cast("string"), n, "0")
     u = F.col("user_id")
-    return table(spark, folder, "events").select(
+    return spread(table(spark, folder, "events")).select(
         F.concat(F.lit("S"), pad(u, 9)).alias("STATION"),
         F.concat(
             F.date_add(F.lit("2024-01-01").cast("date"), F.dayofmonth("ts") % 3).cast("string"), F.lit("T"), F.date_format("ts", "HH:mm:ss")

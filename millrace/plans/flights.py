@@ -11,7 +11,7 @@ from millrace.functions.clean import clean_composites, clock_hour, clock_minutes
 from millrace.operators.joins import attach_group_index, hourly_lookup, role_lookup, window_self_join
 from millrace.operators.nearest import nearest_site
 from millrace.operators.profile import group_means, group_medians
-from millrace.operators.skew import key_counts
+from millrace.operators.skew import heavy_hashes
 from millrace.sources.readers import parquet
 
 # Column lists of the job.
@@ -100,26 +100,24 @@ def attach_weather(flights: DataFrame, weather: DataFrame, index: DataFrame, bas
 
     Readings are first cut to the stations an airport uses and keyed by
     airport; that keeps most reports out of the two large joins. ``base``
-    holds the plain flights whose key counts name the heavy airports, so that
-    counting does not repeat the joins before this one.
+    holds the plain flights on which the heavy keys are measured, so that
+    measuring does not repeat the joins before this one.
     """
-    base = flights if base is None else base
+    roles = ("ORIGIN", "DEST")
+    places = [[f"{role}_AIRPORT_ID"] for role in roles]
+    hours = [[f"{role}_AIRPORT_ID", "FL_DATE", "DEP_HOUR"] for role in roles]
+    heavy = heavy_hashes(flights if base is None else base, *places, *hours)
     out = flights
-    for role, lat, lon, station in (
-        ("ORIGIN", "ORIGIN_LAT", "ORIGIN_LON", "ORG_WS_ID"),
-        ("DEST", "DEST_LAT", "DEST_LON", "DEST_WS_ID"),
-    ):
-        key = f"{role}_AIRPORT_ID"
+    for i, (lat, lon, station) in enumerate((("ORIGIN_LAT", "ORIGIN_LON", "ORG_WS_ID"), ("DEST_LAT", "DEST_LON", "DEST_WS_ID"))):
         names = {"LATITUDE": lat, "LONGITUDE": lon, "STATION": station}
-        out = role_lookup(out, index, key, "AIRPORT_ID", names, SPREAD, key_counts(base, [key]))
+        out = role_lookup(out, index, places[i][0], "AIRPORT_ID", names, SPREAD, heavy[i])
     used = weather.join(index.select("AIRPORT_ID", "STATION"), "STATION").withColumn(
         "_at", F.expr(f"timestampadd(HOUR, {offset_hours}, timestampadd(HOUR, HOUR_PART, CAST(DATE_PART AS TIMESTAMP)))")
     ).withColumn("_date", F.to_date("_at")).withColumn("_hour", F.hour("_at"))
-    for role, prefix in (("ORIGIN", "ORG_"), ("DEST", "DEST_")):
-        key = f"{role}_AIRPORT_ID"
-        keys = {key: "AIRPORT_ID", "FL_DATE": "_date", "DEP_HOUR": "_hour"}
+    for i, prefix in enumerate(("ORG_", "DEST_")):
+        keys = dict(zip(hours[i], ("AIRPORT_ID", "_date", "_hour")))
         names = {c: prefix + c for c in READINGS}
-        out = hourly_lookup(out, used, keys, names, SPREAD, key_counts(base, list(keys)))
+        out = hourly_lookup(out, used, keys, names, SPREAD, heavy[2 + i])
     return out
 
 
@@ -157,7 +155,8 @@ def delay_index(flights: DataFrame, statistic: str = "mean") -> DataFrame:
 
 def attach_delay_index(flights: DataFrame, index: DataFrame, base: DataFrame | None = None) -> DataFrame:
     keys = ["OP_CARRIER", "ORIGIN_AIRPORT_ID"]
-    return attach_group_index(flights, index, keys, SPREAD, key_counts(flights if base is None else base, keys))
+    heavy = heavy_hashes(flights if base is None else base, keys)[0]
+    return attach_group_index(flights, index, keys, SPREAD, heavy)
 
 
 def flight_features(

@@ -99,10 +99,8 @@ def _two_roles(spark, d):
     base = lines.join(orders, "l_orderkey").join(customers, "o_custkey").join(suppliers, "l_suppkey")
     nations = table(spark, d, "nation")
     spread = ["l_orderkey", "l_linenumber", "l_partkey"]
-    per_nation = table(spark, d, "customer").groupBy(F.col("c_nationkey").alias("buyer")).agg(F.count("*").alias("_rows"))
-    per_seller = table(spark, d, "supplier").groupBy(F.col("s_nationkey").alias("seller")).agg(F.count("*").alias("_rows"))
-    out = joins.role_lookup(base, nations, "buyer", "n_nationkey", {"n_name": "buyer_nation"}, spread, per_nation)
-    out = joins.role_lookup(out, nations, "seller", "n_nationkey", {"n_name": "seller_nation"}, spread, per_seller)
+    out = joins.role_lookup(base, nations, "buyer", "n_nationkey", {"n_name": "buyer_nation"}, spread, skew.heavy_hashes(customers, ["buyer"])[0])
+    out = joins.role_lookup(out, nations, "seller", "n_nationkey", {"n_name": "seller_nation"}, spread, skew.heavy_hashes(suppliers, ["seller"])[0])
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "buyer_nation", "seller_nation")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.functions.text import STOP_WORDS, is_stop_word
 from millrace.operators import counting, naive_bayes, ngrams, sampling, similarity
 from millrace.plans.derived import labelled_documents
-from millrace.sources.readers import table
+from millrace.sources.readers import spread, table
 
 N_TOTAL, N_BASIS = 10_000, 1_000
 JACCARD = 0.8
@@ -43,7 +43,7 @@ CHAIN = f"WITH {GRAMS}, {TOTALS}, {VOCAB}, {STRIPES}"
 
 
 def _docs(spark, d):
-    return table(spark, d, "documents")
+    return spread(table(spark, d, "documents"))
 
 
 def _grams(spark, d):

@@ -100,6 +100,16 @@ def literal(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFram
     return spark.createDataFrame(list(rows), schema)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan of fewer files than cores over all cores.
+
+    Meant for tables whose rows are expensive to work on, such as texts. A
+    table of many files is left alone: its splits already fill the cluster.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
