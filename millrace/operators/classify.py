@@ -11,6 +11,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions import numeric
+from millrace.session import cut_lineage
 
 MODELS = ("lr", "lr_plain", "rf", "gbt")
 
@@ -19,10 +20,11 @@ def keep_columns(df: DataFrame, label: str, features: Sequence[str]) -> DataFram
     return df.select(label, *dict.fromkeys(features))
 
 
-def complete_rows(df: DataFrame, label: str, features: Sequence[str]) -> DataFrame:
-    """Label (as double) and features of the rows without nulls."""
-    cols = list(dict.fromkeys(features))
-    return df.select(F.col(label).cast("double").alias(label), *[F.col(c).cast("double").alias(c) for c in cols]).na.drop()
+def complete_rows(df: DataFrame, label: str, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """Label and features as doubles, with the ``keep`` columns, of the rows
+    without nulls."""
+    cols = [label, *dict.fromkeys(features)]
+    return df.select(*keep, *[F.col(c).cast("double").alias(c) for c in cols]).na.drop()
 
 
 def estimator(kind: str, label: str, max_iter: int = 10, trees: int = 10, seed: int = 42, **params):
@@ -97,28 +99,27 @@ def ranking_metrics(predictions: DataFrame, label: str) -> tuple[float, float]:
     )
 
 
-def report(train: DataFrame, test: DataFrame, label: str, features: Sequence[str], kinds: Sequence[str], **params) -> DataFrame:
+def report(rows: DataFrame, is_train: str, label: str, features: Sequence[str], kinds: Sequence[str], **params) -> DataFrame:
     """One row per model: ranking and class-1 metrics on the test rows.
 
-    Both sets are cached while the models train on them: the feature joins
-    run once and not once per iteration.
+    ``rows`` holds label, features and the train mark. It is checkpointed and
+    cached before the first model: the joins behind it run once, not once per
+    iteration, and a lost executor costs a re-read.
     """
-    spark = train.sparkSession
-    train, test = train.persist(), test.persist()
-    rows = []
-    try:
-        for kind in kinds:
-            model = fit(train, label, features, kind, **params)
-            predicted = model.transform(test).select(label, "rawPrediction", "prediction").persist()
-            auroc, auprc = ranking_metrics(predicted, label)
-            m = confusion_metrics(predicted, label).first()
-            predicted.unpersist()
-            rows.append((kind, float(auroc), float(auprc), *[m[c] for c in m.__fields__]))
-    finally:
-        train.unpersist()
-        test.unpersist()
+    spark = rows.sparkSession
+    rows = cut_lineage(rows).persist()
+    train, test = rows.where(F.col(is_train)), rows.where(~F.col(is_train))
+    out = []
+    for kind in kinds:
+        model = fit(train, label, features, kind, **params)
+        predicted = model.transform(test).select(label, "rawPrediction", "prediction").persist()
+        auroc, auprc = ranking_metrics(predicted, label)
+        m = confusion_metrics(predicted, label).first()
+        predicted.unpersist()
+        out.append((kind, float(auroc), float(auprc), *[m[c] for c in m.__fields__]))
+    rows.unpersist()
     return spark.createDataFrame(
-        rows,
+        out,
         "model string, auroc double, auprc double, rows long, positive_rate double, accuracy double, f1 double, "
         "precision double, recall double, false_positive_rate double, true_positive_rate double",
     )

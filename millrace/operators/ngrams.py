@@ -8,18 +8,19 @@ from millrace.functions.text import is_stop_word, ngrams, space_tokens, words
 from millrace.operators.counting import bottom_n, top_n
 
 
-def ngram_table(docs: DataFrame, doc: str = "doc_id", text: str | Column = "text", n: int = 5) -> DataFrame:
+def ngram_table(docs: DataFrame, doc: str = "doc_id", text: str | Column = "text", n: int = 5, books: bool = True) -> DataFrame:
     """``(ngram, n, books)``: occurrences and number of documents.
 
     Counting per document first keeps the second aggregate free of distinct
-    sets, and merges repeats before anything is shuffled.
+    sets, and merges repeats before anything is shuffled. ``books=False``
+    leaves that column out and needs one shuffle only.
     """
-    per_doc = (
-        docs.select(F.col(doc).alias("_doc"), words(text).alias("_tokens"))
-        .select("_doc", F.explode(ngrams(F.col("_tokens"), n)).alias("ngram"))
-        .groupBy("ngram", "_doc")
-        .agg(F.count("*").alias("_n"))
+    grams = docs.select(F.col(doc).alias("_doc"), words(text).alias("_tokens")).select(
+        "_doc", F.explode(ngrams(F.col("_tokens"), n)).alias("ngram")
     )
+    if not books:
+        return grams.groupBy("ngram").agg(F.count("*").alias("n"))
+    per_doc = grams.groupBy("ngram", "_doc").agg(F.count("*").alias("_n"))
     return per_doc.groupBy("ngram").agg(F.sum("_n").alias("n"), F.count("*").alias("books"))
 
 
@@ -33,19 +34,22 @@ def ngram_word_totals(grams: DataFrame) -> DataFrame:
 
 
 def neighbour_pairs(grams: DataFrame) -> DataFrame:
-    """Distinct ``(word, neighbour)``; n-gram counts do not matter."""
+    """Distinct ``(a, b)`` with ``a < b``: different words that share an
+    n-gram. N-gram counts do not matter, and neither does the order, so half
+    of the pairs of an n-gram is enough."""
     return (
         grams.select(F.array_distinct(space_tokens("ngram")).alias("_t"))
-        .select(F.explode("_t").alias("word"), "_t")
-        .select("word", F.explode("_t").alias("neighbour"))
-        .where(F.col("word") != F.col("neighbour"))
+        .select(F.explode("_t").alias("a"), "_t")
+        .select("a", F.explode("_t").alias("b"))
+        .where(F.col("a") < F.col("b"))
         .distinct()
     )
 
 
 def neighbour_counts(grams: DataFrame) -> DataFrame:
     """``(word, neighbours)``: number of different words seen beside a word."""
-    return neighbour_pairs(grams).groupBy("word").agg(F.count("*").alias("neighbours"))
+    ends = neighbour_pairs(grams).select(F.explode(F.array("a", "b")).alias("word"))
+    return ends.groupBy("word").agg(F.count("*").alias("neighbours"))
 
 
 def word_report(grams: DataFrame, n: int) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -8,10 +8,13 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.functions.clean import clean_composites, clock_hour, clock_minutes, date_part, hour_part, nulls_to_zero, unique_columns
+from millrace.operators.classify import complete_rows, fit, load_model, score
 from millrace.operators.joins import attach_group_index, hourly_lookup, role_lookup, window_self_join
 from millrace.operators.nearest import nearest_site
 from millrace.operators.profile import group_means, group_medians
+from millrace.operators.sampling import time_split
 from millrace.operators.skew import heavy_hashes
+from millrace.session import cut_lineage
 from millrace.sources.readers import parquet
 
 # Column lists of the job.
@@ -179,29 +182,23 @@ def flight_features(
     return attach_weather(out, weather, station_index(weather, coordinates), flights, offset_hours)
 
 
-def labelled(df: DataFrame, features: Sequence[str], label: str = LABEL) -> DataFrame:
+def labelled(df: DataFrame, features: Sequence[str], keep: Sequence[str] = (), label: str = LABEL) -> DataFrame:
     """Label and features of complete rows, as doubles."""
-    from millrace.operators.classify import complete_rows
-
-    return complete_rows(df, label, features)
+    return complete_rows(df, label, features, keep)
 
 
 def train_best(features: DataFrame, test_from: int, max_iter: int = 30):
     """Gradient-boosted trees on the 23 features; years before ``test_from``
     train. Returns the model and the test rows."""
-    from millrace.operators.classify import fit
-
-    train = labelled(features.where(F.col("YEAR") < test_from), BEST_SET)
-    test = labelled(features.where(F.col("YEAR") >= test_from), BEST_SET)
-    return fit(train, LABEL, BEST_SET, "gbt", max_iter=max_iter), test
+    rows = cut_lineage(labelled(time_split(features, F.col("YEAR"), test_from), BEST_SET, ["is_train"])).persist()
+    model = fit(rows.where("is_train"), LABEL, BEST_SET, "gbt", max_iter=max_iter)
+    return model, rows.where("NOT is_train").drop("is_train")
 
 
 def score_flights(
     spark: SparkSession, model_path: str, flight_paths, weather_paths, coordinates: DataFrame, index: DataFrame, known_stations: DataFrame | None = None
 ) -> DataFrame:
     """Batch scoring of new files with a saved model and a saved delay index."""
-    from millrace.operators.classify import load_model, score
-
     flights = load_flights(spark, flight_paths)
     weather = load_weather(spark, weather_paths)
     rows = attach_delay_index(attach_inbound(flights), index, flights)

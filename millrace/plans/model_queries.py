@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from millrace.operators import classify, graph, regression, sampling
 from millrace.plans import derived, flights
 from millrace.plans.table_queries import flight_features
+from millrace.session import cut_lineage
 from millrace.sources.readers import table
 
 EDGES = """tr AS (SELECT 'c' || o_custkey AS c, 's' || l_suppkey AS s, l_linenumber = 1 AND l_suppkey % 2 = 0 AS back FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
@@ -201,31 +202,33 @@ def _residual_box(spark, d):
     return _rounded(regression.residual_box(rows.withColumn(LABEL, F.floor(F.col(LABEL) / 10)), weights, LABEL), 4, "low", "q1", "median", "q3", "high")
 
 
-def _parts(spark, d, features):
-    """Complete training and test rows by year, as one time split."""
-    rows = sampling.time_split(flight_features(spark, d), F.col("YEAR"), 2000)
-    train = flights.labelled(rows.where("is_train"), features)
-    return train, flights.labelled(rows.where("NOT is_train"), features)
+def _rows(spark, d, features):
+    """Complete rows with the mark of a split by year."""
+    return flights.labelled(sampling.time_split(flight_features(spark, d), F.col("YEAR"), 2000), features, ["is_train"])
 
 
 def _metrics(kinds, features, **params):
-    return lambda s, d: classify.report(*_parts(s, d, features), flights.LABEL, features, kinds, **params)
+    return lambda s, d: classify.report(_rows(s, d, features), "is_train", flights.LABEL, features, kinds, **params)
+
+
+def _fitted(spark, d, features, kind, **params):
+    rows = cut_lineage(_rows(spark, d, features))
+    return classify.fit(rows.where("is_train"), flights.LABEL, features, kind, **params), rows.where("NOT is_train").drop("is_train")
 
 
 def _importance(spark, d):
-    train = flights.labelled(flight_features(spark, d), flights.BEST_SET)
-    model = classify.fit(train, flights.LABEL, flights.BEST_SET, "rf")
+    model, _ = _fitted(spark, d, flights.BEST_SET, "rf")
     return classify.importances(model, flights.BEST_SET, spark)
 
 
 def _scored(spark, d):
-    train, test = _parts(spark, d, flights.SEASON_SET)
-    return classify.score(classify.fit(train, flights.LABEL, flights.SEASON_SET, "gbt", max_iter=3), test)
+    model, test = _fitted(spark, d, flights.SEASON_SET, "gbt", max_iter=3)
+    return classify.score(model, test)
 
 
 def _roc(spark, d):
-    train, _ = _parts(spark, d, flights.SEASON_SET)
-    return classify.roc_curve(classify.fit(train, flights.LABEL, flights.SEASON_SET, "lr_plain"))
+    model, _ = _fitted(spark, d, flights.SEASON_SET, "lr_plain")
+    return classify.roc_curve(model)
 
 
 QUERIES = {

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from millrace.functions.text import STOP_WORDS, is_stop_word
 from millrace.operators import counting, naive_bayes, ngrams, sampling, similarity
 from millrace.plans.derived import labelled_documents
+from millrace.session import cut_lineage
 from millrace.sources.readers import spread, table
 
 N_TOTAL, N_BASIS = 10_000, 1_000
@@ -46,8 +47,8 @@ def _docs(spark, d):
     return spread(table(spark, d, "documents"))
 
 
-def _grams(spark, d):
-    return ngrams.ngram_table(_docs(spark, d).select("doc_id", "text"))
+def _grams(spark, d, books=False):
+    return ngrams.ngram_table(_docs(spark, d).select("doc_id", "text"), books=books)
 
 
 def _vocab(spark, d, grams=None):
@@ -55,7 +56,7 @@ def _vocab(spark, d, grams=None):
 
 
 def _stripe_rows(spark, d):
-    grams = _grams(spark, d)
+    grams = cut_lineage(_grams(spark, d))  # read twice
     return ngrams.stripe_rows(grams, _vocab(spark, d, grams))
 
 
@@ -68,17 +69,16 @@ def _scored(df):
 
 
 def _overlap(spark, d):
-    grams = _grams(spark, d)
+    grams = cut_lineage(_grams(spark, d))
     a = counting.top_n(ngrams.ngram_word_totals(grams), "n", 1000, "word")
     b = counting.top_n(ngrams.neighbour_counts(grams), "neighbours", 1000, "word")
     return _rounded(counting.ranking_overlap(a, b), 6, "percent")
 
 
-def _document_sets(spark, d):
-    owned = _docs(spark, d).select(
-        F.col("doc_id").alias("item"), F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0)))).alias("features")
-    )
-    return similarity.distinct_sets(owned)
+def _document_words(spark, d):
+    """Every document with its sorted set of words."""
+    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))
+    return _docs(spark, d).select(F.col("doc_id").alias("item"), F.array_sort(F.array_distinct(words)).alias("features"))
 
 
 def _split(spark, d):
@@ -167,7 +167,7 @@ QUERIES = {
         f"""WITH {LABELLED} SELECT count(*) FILTER (quality = 0) AS words0, count(*) FILTER (quality = 1) AS words1, count(DISTINCT word) AS vocabulary,
  (SELECT count(*) FROM labelled WHERE quality = 0) AS docs0, (SELECT count(*) FROM labelled WHERE quality = 1) AS docs1 FROM lw""",
     ),
-    "ngram5_table": (lambda s, d: _grams(s, d), f"WITH {GRAMS} SELECT ngram, n, books FROM grams"),
+    "ngram5_table": (lambda s, d: _grams(s, d, books=True), f"WITH {GRAMS} SELECT ngram, n, books FROM grams"),
     "ngram_word_weighted": (
         lambda s, d: ngrams.ngram_word_totals(_grams(s, d)),
         f"WITH {GRAMS}, {TOTALS} SELECT word, n FROM totals",
@@ -226,7 +226,7 @@ QUERIES = {
         f"{CHAIN}, {PAIRS} SELECT {ROUNDED_PAIRS} FROM scored ORDER BY round(scored.cosine, 9), a, b LIMIT 100",
     ),
     "doc_jaccard": (
-        lambda s, d: _rounded(similarity.similar_sets(_document_sets(s, d)[0], JACCARD), 6, "jaccard"),
+        lambda s, d: _rounded(similarity.similar_sets(similarity.distinct_sets(_document_words(s, d)), JACCARD), 6, "jaccard"),
         f"""WITH {WORDS}, dw AS (SELECT DISTINCT doc_id, word FROM words), own AS (SELECT doc_id, list(word ORDER BY word) AS f FROM dw GROUP BY doc_id),
  st AS (SELECT f, min(doc_id) AS id, count(*) AS copies, len(any_value(f)) AS size FROM own GROUP BY f),
  sw AS (SELECT id, unnest(f) AS word FROM st),
@@ -235,7 +235,7 @@ QUERIES = {
  FROM sh JOIN st x ON x.id = a JOIN st y ON y.id = b WHERE shared / (x.size + y.size - shared) >= {JACCARD} - 1e-9""",
     ),
     "doc_copies": (
-        lambda s, d: _document_sets(s, d)[1],
+        lambda s, d: similarity.set_members(_document_words(s, d)),
         f"""WITH {WORDS}, dw AS (SELECT DISTINCT doc_id, word FROM words), own AS (SELECT doc_id, list(word ORDER BY word) AS f FROM dw GROUP BY doc_id)
  SELECT doc_id AS item, min(doc_id) OVER (PARTITION BY f) AS set_id FROM own""",
     ),
