@@ -50,3 +50,8 @@ def overlap(shared: Column, n1: Column, n2: Column) -> Column:
 
 def cosine(shared: Column, n1: Column, n2: Column) -> Column:
     return shared / F.sqrt((n1.cast("long") * n2.cast("long")).cast("double"))
+
+
+def fixed(value: Column | str, digits: int) -> Column:
+    """Number as text with a fixed number of digits, for printed reports."""
+    return F.format_string(f"%.{digits}f", F.col(value).cast("double") if isinstance(value, str) else value.cast("double"))

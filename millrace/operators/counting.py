@@ -118,3 +118,13 @@ def ranking_overlap(a: DataFrame, b: DataFrame, key: str = "word") -> DataFrame:
         .agg(F.count("*").alias("size"), F.count("_in_b").alias("common"))
         .select("size", "common", (F.lit(100.0) * F.col("common") / F.col("size")).alias("percent"))
     )
+
+
+def common_keys(a: DataFrame, b: DataFrame, key: str = "word") -> DataFrame:
+    """Rows of ``a`` whose key ``b`` also holds."""
+    return a.join(b.select(key), key, "left_semi")
+
+
+def preview(df: DataFrame, n: int = 20) -> DataFrame:
+    """Any ``n`` rows."""
+    return df.limit(n)

@@ -104,22 +104,23 @@ class _Walk:
         edges = cut_lineage(edges)
         self.heavy = heavy_hashes(edges, ["src"])[0]
         self.nodes = cut_lineage(node_table(edges))
-        placed = transitions(edges, self.heavy).select("src", own_salt(self.heavy, ["src"], ["dst"]).alias("salt"), "dst", "p")
+        self.keys = ["src", "salt"] if self.heavy else ["src"]
+        placed = transitions(edges, self.heavy)
+        if self.heavy:
+            placed = placed.withColumn("salt", own_salt(self.heavy, ["src"], ["dst"]))
         width = shuffle_width(edges.sparkSession)
-        self.placed = placed.repartition(width, "src", "salt").persist()
+        self.placed = placed.repartition(width, *self.keys).sortWithinPartitions(*self.keys).persist()
+        self.placed.count()  # once stored, its partitioning and order are known to the planner
         self.size = self.nodes.count()
 
     def spread(self, ranks: DataFrame) -> DataFrame:
         """Rank of each source, once per part its edges are cut into."""
-        return (
-            ranks.where("links > 0")
-            .select(F.col("node").alias("src"), "rank")
-            .withColumn("salt", F.explode(every_salt(self.heavy, ["src"])))
-        )
+        sources = ranks.where("links > 0").select(F.col("node").alias("src"), "rank")
+        return sources.withColumn("salt", F.explode(every_salt(self.heavy, ["src"]))) if self.heavy else sources
 
     def received(self, ranks: DataFrame) -> DataFrame:
         return (
-            self.placed.join(self.spread(ranks), ["src", "salt"])
+            self.placed.join(self.spread(ranks), self.keys)
             .groupBy(F.col("dst").alias("node"))
             .agg(F.sum(F.col("rank") * F.col("p")).alias("received"))
         )

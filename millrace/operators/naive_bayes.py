@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.functions import numeric
 from millrace.functions.text import words
 from millrace.operators.counting import class_word_pivot, top_n_per_group
-from millrace.operators.skew import salted_join
+from millrace.operators.skew import heavy_hashes, salted_join
 
 
 def corpus_totals(docs: DataFrame, label: str, text: str | Column = "text") -> DataFrame:
@@ -68,14 +68,16 @@ def classify(docs: DataFrame, model: DataFrame, priors: DataFrame, doc: str, lab
     model does not hold add nothing, and a document without words is scored
     by the priors. Common words are split over sub-keys by document.
     """
-    bags = (  # one row per document and word
+    bags = (
         docs.select(F.col(doc).alias("_doc"), F.col(label).alias("_label"), F.explode_outer(words(text)).alias("word"))
         .groupBy("_doc", "_label", "word")
         .agg(F.count("*").alias("_n"))
     )
     logs = model.select("word", numeric.safe_log(F.col("p0")).alias("_l0"), numeric.safe_log(F.col("p1")).alias("_l1"))
+    # measured on the words of each text, which needs no shuffle
+    heavy = heavy_hashes(docs.select(F.explode(F.array_distinct(words(text))).alias("word")), ["word"])[0]
     scored = (
-        salted_join(bags, logs, ["word"], ["_doc"], how="left")
+        salted_join(bags, logs, ["word"], ["_doc"], how="left", heavy=heavy)
         .groupBy("_doc", "_label")
         .agg(
             F.sum(F.coalesce(F.col("_n") * F.col("_l0"), F.lit(0.0))).alias("_s0"),

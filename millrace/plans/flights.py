@@ -69,9 +69,9 @@ def load_flights(spark: SparkSession, paths: str | Iterable[str], hour_mode: str
 def clean_weather(raw: DataFrame, until: str | None = None) -> DataFrame:
     """Readings as numbers, missing codes replaced, date and hour split off.
     ``until`` keeps reports up to that moment."""
-    typed = raw.withColumn("DATE", F.try_to_timestamp("DATE"))
+    typed = raw.withColumn("DATE", F.col("DATE").try_cast("timestamp_ntz"))
     if until is not None:
-        typed = typed.where(F.col("DATE") <= F.lit(until).cast("timestamp"))
+        typed = typed.where(F.col("DATE") <= F.lit(until).cast("timestamp_ntz"))
     return (
         clean_composites(typed, WEATHER_FIELDS)
         .select(*WEATHER_COLUMNS)
@@ -115,7 +115,7 @@ def attach_weather(flights: DataFrame, weather: DataFrame, index: DataFrame, bas
         names = {"LATITUDE": lat, "LONGITUDE": lon, "STATION": station}
         out = role_lookup(out, index, places[i][0], "AIRPORT_ID", names, SPREAD, heavy[i])
     used = weather.join(index.select("AIRPORT_ID", "STATION"), "STATION").withColumn(
-        "_at", F.expr(f"timestampadd(HOUR, {offset_hours}, timestampadd(HOUR, HOUR_PART, CAST(DATE_PART AS TIMESTAMP)))")
+        "_at", F.expr(f"timestampadd(HOUR, {offset_hours}, timestampadd(HOUR, HOUR_PART, CAST(DATE_PART AS TIMESTAMP_NTZ)))")
     ).withColumn("_date", F.to_date("_at")).withColumn("_hour", F.hour("_at"))
     for i, prefix in enumerate(("ORG_", "DEST_")):
         keys = dict(zip(hours[i], ("AIRPORT_ID", "_date", "_hour")))

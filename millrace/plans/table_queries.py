@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions import clean
-from millrace.operators import joins, nearest, profile, sampling, skew
+from millrace.operators import counting, joins, nearest, profile, sampling, skew
 from millrace.plans import derived, flights
 from millrace.sources.readers import query, table
 
@@ -342,6 +342,18 @@ QUERIES = {
         lambda s, d: _features_out(flight_features(s, d)),
         f"""WITH {FLIGHTS}, {WEATHER}, {STATIONS}, {INBOUND}, {INDEX}, fx AS (SELECT * FROM ib JOIN di USING (OP_CARRIER, ORIGIN_AIRPORT_ID))
  SELECT {_V3_COLS} FROM ({_with_weather_sql('fx')})""",
+    ),
+    "flight_features_inbound": (
+        lambda s, d: flights.flight_features(clean_flights(s, d), clean_weather(s, d), derived.airport_rows(s, d)).select(*V1_OUT, "INBOUND_ARR_DELAY_NEW"),
+        f"""WITH {FLIGHTS}, {WEATHER}, {STATIONS}, {INBOUND} SELECT {', '.join(V1_OUT)}, INBOUND_ARR_DELAY_NEW FROM ({_with_weather_sql('ib')})""",
+    ),
+    "flight_features_median": (
+        lambda s, d: flights.attach_delay_index(clean_flights(s, d), flights.delay_index(clean_flights(s, d), "median")).select(
+            "TAIL_NUM", "DEP_TIME", "CRS_ARR_TIME", "MEDIAN_LATE_AIRCRAFT_DELAY", "MEDIAN_CARRIER_DELAY", "MEDIAN_SECURITY_DELAY"
+        ),
+        f"""WITH {FLIGHTS} SELECT TAIL_NUM, DEP_TIME, CRS_ARR_TIME, m.* EXCLUDE (OP_CARRIER, ORIGIN_AIRPORT_ID) FROM fl JOIN (SELECT OP_CARRIER, ORIGIN_AIRPORT_ID,
+ quantile_disc(LATE_AIRCRAFT_DELAY, 0.5) AS MEDIAN_LATE_AIRCRAFT_DELAY, quantile_disc(CARRIER_DELAY, 0.5) AS MEDIAN_CARRIER_DELAY,
+ quantile_disc(SECURITY_DELAY, 0.5) AS MEDIAN_SECURITY_DELAY FROM fl GROUP BY 1, 2) m USING (OP_CARRIER, ORIGIN_AIRPORT_ID)""",
     ),
     "labelled_rows": (
         lambda s, d: flights.labelled(flight_features(s, d), flights.BEST_SET).agg(
@@ -382,6 +394,7 @@ QUERIES = {
         lambda s, d: sampling.time_split(table(s, d, "orders"), F.year("o_orderdate"), 2000).select("o_orderkey", F.col("is_train").cast("int").alias("is_train")),
         "SELECT o_orderkey, (year(o_orderdate) < 2000)::INT AS is_train FROM orders",
     ),
+    "preview": (lambda s, d: counting.preview(_lines(s, d)), None),
     "sample_bernoulli": (lambda s, d: sampling.bernoulli(_lines(s, d).select("l_orderkey", "l_linenumber"), 0.1), None),
     "sample_with_replacement": (lambda s, d: sampling.with_replacement(_lines(s, d).select("l_orderkey", "l_linenumber"), 0.1), None),
     "random_split": (

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.functions import numeric
 from millrace.functions.text import STOP_WORDS, is_stop_word
 from millrace.operators import counting, naive_bayes, ngrams, sampling, similarity
 from millrace.plans.derived import labelled_documents
@@ -68,11 +69,26 @@ def _scored(df):
     return _rounded(df, 6, "cosine", "jaccard", "overlap", "dice")
 
 
-def _overlap(spark, d):
+def _two_rankings(spark, d):
+    """The 1000 most frequent words and the 1000 with most neighbours."""
     grams = cut_lineage(_grams(spark, d))
     a = counting.top_n(ngrams.ngram_word_totals(grams), "n", 1000, "word")
-    b = counting.top_n(ngrams.neighbour_counts(grams), "neighbours", 1000, "word")
-    return _rounded(counting.ranking_overlap(a, b), 6, "percent")
+    return a, counting.top_n(ngrams.neighbour_counts(grams), "neighbours", 1000, "word")
+
+
+def _overlap(spark, d):
+    return _rounded(counting.ranking_overlap(*_two_rankings(spark, d)), 6, "percent")
+
+
+def _common(spark, d):
+    return counting.common_keys(*_two_rankings(spark, d))
+
+
+def _report(spark, d):
+    """The 20 most similar pairs as printed lines."""
+    top = similarity.term_similarity_extremes(ngrams.stripes(_stripe_rows(spark, d)), 20, N_TOTAL, "top")
+    scores = ("cosine", "jaccard", "overlap", "dice")
+    return top.select(F.concat_ws(" - ", "a", "b").alias("pair"), *[numeric.fixed(c, 4).alias(c) for c in scores])
 
 
 def _document_words(spark, d):
@@ -205,6 +221,10 @@ QUERIES = {
         f"{CHAIN} SELECT term, string_agg(feature, ' ' ORDER BY feature) AS stripe FROM sr GROUP BY term",
     ),
     "one_hot": (lambda s, d: ngrams.one_hot(_stripe_rows(s, d)), f"{CHAIN} SELECT term, feature, 1 AS value FROM sr"),
+    "inverted_index": (
+        lambda s, d: similarity.inverted_index(ngrams.stripes(_stripe_rows(s, d))),
+        f"{CHAIN} SELECT feature, term, count(*) OVER (PARTITION BY term)::INT AS size FROM sr",
+    ),
     "inverted_index_sizes": (
         lambda s, d: _stripe_rows(s, d).groupBy("feature").agg(F.count("*").alias("postings")),
         f"{CHAIN} SELECT feature, count(*) AS postings FROM sr GROUP BY feature",
@@ -225,6 +245,16 @@ QUERIES = {
         lambda s, d: _scored(similarity.term_similarity_extremes(ngrams.stripes(_stripe_rows(s, d)), 100, N_TOTAL, "bottom")),
         f"{CHAIN}, {PAIRS} SELECT {ROUNDED_PAIRS} FROM scored ORDER BY round(scored.cosine, 9), a, b LIMIT 100",
     ),
+    "similarity_report": (
+        _report,
+        f"""{CHAIN}, {PAIRS} SELECT a || ' - ' || b AS pair, printf('%.4f', cosine) AS cosine, printf('%.4f', jaccard) AS jaccard,
+ printf('%.4f', overlap) AS overlap, printf('%.4f', dice) AS dice FROM scored ORDER BY round(scored.cosine, 9) DESC, a, b LIMIT 20""",
+    ),
+    "ranking_common_words": (
+        _common,
+        f"""WITH {GRAMS}, {TOTALS}, {NEIGHBOURS} SELECT word, n FROM (SELECT word, n FROM totals ORDER BY n DESC, word LIMIT 1000)
+ WHERE word IN (SELECT word FROM nb ORDER BY neighbours DESC, word LIMIT 1000)""",
+    ),
     "doc_jaccard": (
         lambda s, d: _rounded(similarity.similar_sets(similarity.distinct_sets(_document_words(s, d)), JACCARD), 6, "jaccard"),
         f"""WITH {WORDS}, dw AS (SELECT DISTINCT doc_id, word FROM words), own AS (SELECT doc_id, list(word ORDER BY word) AS f FROM dw GROUP BY doc_id),
