@@ -68,6 +68,41 @@ def window_self_join(
     return salted_join(placed, near, [*keys, "_bucket"], spread, how="left", heavy=heavy, residual=inside).drop("_bucket")
 
 
+def window_self_summary(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    at: str,
+    earlier: str,
+    lower: int,
+    upper: int,
+    value: str,
+    spread: Sequence[str],
+) -> DataFrame:
+    """One row per ``left`` row: ``matches``, ``mean_<value>`` and
+    ``max_<value>`` over the rows ``window_self_join`` would pair it with.
+
+    ``at`` and ``earlier`` are whole numbers on a clock. Both sides are first
+    reduced to one row per key and clock position, so a key's work is bounded
+    by the clock and not by its number of rows; no pair of rows is formed.
+    """
+    ticks = right.where(F.col(earlier).isNotNull()).groupBy(*keys, earlier).agg(
+        F.count("*").alias("_n"), F.count(value).alias("_v"), F.sum(value).alias("_sum"), F.max(value).alias("_max")
+    )
+    moments = left.groupBy(*keys, at).agg(F.count("*").alias("_rows")).drop("_rows")
+    inside = window_self_join(moments, ticks, keys, at, earlier, lower, upper, [at], heavy=[])
+    stats = (
+        inside.where(F.col("_n").isNotNull())
+        .groupBy(*keys, at)
+        .agg(
+            F.sum("_n").alias("matches"),
+            F.try_divide(F.sum("_sum"), F.sum("_v")).alias(f"mean_{value}"),
+            F.max("_max").alias(f"max_{value}"),
+        )
+    )
+    return salted_join(left, stats, [*keys, at], spread, how="left").withColumn("matches", F.coalesce("matches", F.lit(0)))
+
+
 def attach_group_index(df: DataFrame, index: DataFrame, keys: Sequence[str], spread: Sequence[str], heavy: Sequence[int] | None = None) -> DataFrame:
     """Inner join of rows with their group's statistics."""
     return salted_join(df, index, keys, spread, heavy=heavy)

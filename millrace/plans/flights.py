@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.functions.clean import clean_composites, clock_hour, clock_minutes, date_part, hour_part, nulls_to_zero, unique_columns
 from millrace.operators.classify import complete_rows, fit, load_model, score
-from millrace.operators.joins import attach_group_index, hourly_lookup, role_lookup, window_self_join
+from millrace.operators.joins import attach_group_index, hourly_lookup, role_lookup, window_self_join, window_self_summary
 from millrace.operators.nearest import nearest_site
 from millrace.operators.profile import group_means, group_medians
 from millrace.operators.sampling import time_split
@@ -97,9 +97,12 @@ def station_index(weather: DataFrame, coordinates: DataFrame) -> DataFrame:
     return airports.join(nearest.select("AIRPORT_ID", "STATION"), "AIRPORT_ID")
 
 
-def attach_weather(flights: DataFrame, weather: DataFrame, index: DataFrame, base: DataFrame | None = None, offset_hours: int = 0) -> DataFrame:
+def attach_weather(
+    flights: DataFrame, weather: DataFrame, index: DataFrame, base: DataFrame | None = None, offset_hours: int = 0, hourly_means: bool = False
+) -> DataFrame:
     """Station and position of both airports, then the weather of both at the
-    departure hour (``offset_hours`` earlier if set).
+    departure hour (``offset_hours`` earlier if set). Several reports of an
+    hour give several rows; with ``hourly_means`` their mean gives one.
 
     Readings are first cut to the stations an airport uses and keyed by
     airport; that keeps most reports out of the two large joins. ``base``
@@ -117,6 +120,8 @@ def attach_weather(flights: DataFrame, weather: DataFrame, index: DataFrame, bas
     used = weather.join(index.select("AIRPORT_ID", "STATION"), "STATION").withColumn(
         "_at", F.expr(f"timestampadd(HOUR, {offset_hours}, timestampadd(HOUR, HOUR_PART, CAST(DATE_PART AS TIMESTAMP_NTZ)))")
     ).withColumn("_date", F.to_date("_at")).withColumn("_hour", F.hour("_at"))
+    if hourly_means:
+        used = used.groupBy("AIRPORT_ID", "_date", "_hour").agg(*[F.avg(c).alias(c) for c in READINGS])
     for i, prefix in enumerate(("ORG_", "DEST_")):
         keys = dict(zip(hours[i], ("AIRPORT_ID", "_date", "_hour")))
         names = {c: prefix + c for c in READINGS}
@@ -124,12 +129,14 @@ def attach_weather(flights: DataFrame, weather: DataFrame, index: DataFrame, bas
     return out
 
 
-def attach_inbound(flights: DataFrame, clock: str = "hhmm") -> DataFrame:
+def attach_inbound(flights: DataFrame, clock: str = "hhmm", compact: bool = False) -> DataFrame:
     """Arrival delay of the same aircraft's inbound leg: same day, arriving at
     the airport of departure between two and four hours before it.
 
     ``hhmm`` compares the clock numbers, 200 and 400 apart; ``minutes``
-    compares minutes of the day.
+    compares minutes of the day. Each inbound leg gives a row. ``compact``
+    gives one row per flight instead: the number of legs (``INBOUND_LEGS``)
+    and their mean delay.
     """
     hhmm = clock == "hhmm"
     at = F.col("DEP_TIME").cast("int") if hhmm else clock_minutes("DEP_TIME")
@@ -145,7 +152,12 @@ def attach_inbound(flights: DataFrame, clock: str = "hhmm") -> DataFrame:
     )
     lower, upper = (200, 400) if hhmm else (120, 240)
     keys = ["ORIGIN_AIRPORT_ID", "TAIL_NUM", "FL_DATE"]
-    return window_self_join(outbound, inbound, keys, "_at", "_arrival", lower, upper, ["DEP_TIME", "CRS_ARR_TIME", "DEST_AIRPORT_ID", "OP_CARRIER"]).drop("_at", "_arrival")
+    spread = ["DEP_TIME", "CRS_ARR_TIME", "DEST_AIRPORT_ID", "OP_CARRIER"]
+    if not compact:
+        return window_self_join(outbound, inbound, keys, "_at", "_arrival", lower, upper, spread).drop("_at", "_arrival")
+    delay = "INBOUND_ARR_DELAY_NEW"
+    found = window_self_summary(outbound, inbound, keys, "_at", "_arrival", lower, upper, delay, spread)
+    return found.withColumnsRenamed({"matches": "INBOUND_LEGS", f"mean_{delay}": delay}).drop("_at", f"max_{delay}")
 
 
 def delay_index(flights: DataFrame, statistic: str = "mean") -> DataFrame:
@@ -170,16 +182,21 @@ def flight_features(
     inbound: bool = True,
     statistic: str = "mean",
     offset_hours: int = 0,
+    compact: bool = False,
 ) -> DataFrame:
     """All features of clean flights. Version 1 is ``inbound=False`` without
     ``index_flights``; version 2 adds the inbound leg; version 3 adds the
-    delay index computed from ``index_flights`` (one year of the flights)."""
+    delay index computed from ``index_flights`` (one year of the flights).
+
+    Every matching leg and report gives a row. ``compact`` keeps one row per
+    flight, with means over its legs and over the reports of an hour, however
+    many rows an aircraft, a day or a station-hour holds."""
     out = flights
     if inbound:
-        out = attach_inbound(out)
+        out = attach_inbound(out, compact=compact)
     if index_flights is not None:
         out = attach_delay_index(out, delay_index(index_flights, statistic), flights)
-    return attach_weather(out, weather, station_index(weather, coordinates), flights, offset_hours)
+    return attach_weather(out, weather, station_index(weather, coordinates), flights, offset_hours, hourly_means=compact)
 
 
 def labelled(df: DataFrame, features: Sequence[str], keep: Sequence[str] = (), label: str = LABEL) -> DataFrame:

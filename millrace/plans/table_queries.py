@@ -90,6 +90,14 @@ def _earlier(spark, d):
     return joins.window_self_join(events, before, ["user_id", "day"], "minute", "earlier_minute", 120, 240, ["event_id"]).select("event_id", "earlier_id")
 
 
+def _earlier_summary(spark, d):
+    """The same window as one row per event: count, mean and largest value."""
+    events = _events(spark, d).select("event_id", "user_id", "day", "minute")
+    before = _events(spark, d).select("user_id", "day", F.col("minute").alias("earlier_minute"), "value")
+    out = joins.window_self_summary(events, before, ["user_id", "day"], "minute", "earlier_minute", 120, 240, "value", ["event_id"])
+    return out.select("event_id", "matches", F.round("mean_value", 6).alias("mean_value"), "max_value")
+
+
 def _two_roles(spark, d):
     """Order lines with the nations of customer and supplier."""
     lines = _lines(spark, d).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
@@ -182,6 +190,8 @@ def _features_out(df):
 
 _V3_COLS = ", ".join([*KEY_FEATURES, *[f"round({c}, 6) AS {c}" for c in FEATURES if c.startswith("MEAN_")]])
 WEATHER_OUT = ["STATION", "LATITUDE", "LONGITUDE", "DATE_PART", "HOUR_PART", *flights.READINGS]
+COMPACT_OUT = ["TAIL_NUM", "DEP_TIME", "CRS_ARR_TIME", "INBOUND_ARR_DELAY_NEW", *flights.WEATHER_SET]
+WEATHER_RAW = WEATHER.replace(" we AS (", " wr AS (")
 V1_OUT = ["TAIL_NUM", "DEP_TIME", "CRS_ARR_TIME", "ORG_WS_ID", "DEST_WS_ID", *flights.WEATHER_SET]
 DELAY_OUT = ["TAIL_NUM", "DEP_TIME", "CRS_ARR_TIME", "DEP_HOUR", "DAY_OF_WEEK", "MONTH", "YEAR", flights.LABEL, *flights.DELAYS]
 
@@ -320,6 +330,11 @@ QUERIES = {
         _earlier,
         f"""WITH {EVENT_TIMES} SELECT a.event_id, b.event_id AS earlier_id FROM ev a LEFT JOIN ev b ON a.user_id = b.user_id AND a.day = b.day
  AND b.minute > a.minute - 240 AND b.minute < a.minute - 120""",
+    ),
+    "range_self_summary": (
+        _earlier_summary,
+        f"""WITH {EVENT_TIMES} SELECT a.event_id, count(b.event_id) AS matches, round(avg(b.value), 6) AS mean_value, max(b.value) AS max_value
+ FROM ev a LEFT JOIN ev b ON a.user_id = b.user_id AND a.day = b.day AND b.minute > a.minute - 240 AND b.minute < a.minute - 120 GROUP BY 1""",
     ),
     "attach_group_index": (
         _indexed_lines,
@@ -354,6 +369,19 @@ QUERIES = {
         f"""WITH {FLIGHTS} SELECT TAIL_NUM, DEP_TIME, CRS_ARR_TIME, m.* EXCLUDE (OP_CARRIER, ORIGIN_AIRPORT_ID) FROM fl JOIN (SELECT OP_CARRIER, ORIGIN_AIRPORT_ID,
  quantile_disc(LATE_AIRCRAFT_DELAY, 0.5) AS MEDIAN_LATE_AIRCRAFT_DELAY, quantile_disc(CARRIER_DELAY, 0.5) AS MEDIAN_CARRIER_DELAY,
  quantile_disc(SECURITY_DELAY, 0.5) AS MEDIAN_SECURITY_DELAY FROM fl GROUP BY 1, 2) m USING (OP_CARRIER, ORIGIN_AIRPORT_ID)""",
+    ),
+    "flight_features_compact": (
+        lambda s, d: _rounded(
+            flights.flight_features(clean_flights(s, d), clean_weather(s, d), derived.airport_rows(s, d), compact=True).select(*COMPACT_OUT, "INBOUND_LEGS"),
+            6, "INBOUND_ARR_DELAY_NEW", *flights.WEATHER_SET,
+        ),
+        f"""WITH {FLIGHTS}, {WEATHER_RAW}, we AS (SELECT STATION, LATITUDE, LONGITUDE, DATE_PART, HOUR_PART, {', '.join(f'avg({c}) AS {c}' for c in flights.READINGS)}
+ FROM wr GROUP BY ALL), {STATIONS}, lg AS (SELECT row_number() OVER () AS rid, * FROM fl),
+ ib AS (SELECT any_value(o.TAIL_NUM) AS TAIL_NUM, any_value(o.DEP_TIME) AS DEP_TIME, any_value(o.CRS_ARR_TIME) AS CRS_ARR_TIME, any_value(o.DEP_HOUR) AS DEP_HOUR,
+   any_value(o.FL_DATE) AS FL_DATE, any_value(o.ORIGIN_AIRPORT_ID) AS ORIGIN_AIRPORT_ID, any_value(o.DEST_AIRPORT_ID) AS DEST_AIRPORT_ID,
+   count(i.rid) AS INBOUND_LEGS, round(avg(i.ARR_DELAY_NEW), 6) AS INBOUND_ARR_DELAY_NEW FROM lg o LEFT JOIN lg i ON i.DEST_AIRPORT_ID = o.ORIGIN_AIRPORT_ID
+   AND i.TAIL_NUM = o.TAIL_NUM AND i.FL_DATE = o.FL_DATE AND o.DEP_TIME - 400 < i.CRS_ARR_TIME AND i.CRS_ARR_TIME < o.DEP_TIME - 200 GROUP BY o.rid)
+ SELECT TAIL_NUM, DEP_TIME, CRS_ARR_TIME, INBOUND_LEGS, INBOUND_ARR_DELAY_NEW, {', '.join(f'round({c}, 6) AS {c}' for c in flights.WEATHER_SET)} FROM ({_with_weather_sql('ib')})""",
     ),
     "labelled_rows": (
         lambda s, d: flights.labelled(flight_features(s, d), flights.BEST_SET).agg(

@@ -129,6 +129,21 @@ def test_window_self_join_matches_brute_force(spark):
     assert rows(got.select("id", "rid")) == want
 
 
+def test_window_summary_matches_brute_force(spark):
+    rng = random.Random(6)
+    left = [(i, "hot" if i % 3 == 0 else f"k{i % 7}", rng.randrange(1440)) for i in range(300)]
+    right = [("hot" if i % 3 == 0 else f"k{i % 7}", rng.randrange(1440), float(rng.randrange(50)) if i % 5 else None) for i in range(300)]
+    want = {}
+    for i, k, at in left:
+        hits = [v for q, e, v in right if q == k and at - 240 < e < at - 120]
+        known = [v for v in hits if v is not None]
+        want[i] = (len(hits), pytest.approx(sum(known) / len(known)) if known else None, max(known) if known else None)
+    got = joins.window_self_summary(
+        spark.createDataFrame(left, "id int, k string, at int"), spark.createDataFrame(right, "k string, e int, v double"), ["k"], "at", "e", 120, 240, "v", ["id"]
+    )
+    assert {r.id: (r.matches, r.mean_v, r.max_v) for r in got.collect()} == want
+
+
 @pytest.mark.parametrize("kind", ["uniform", "clusters", "line", "few"])
 def test_nearest_matches_brute_force(spark, kind):
     rng = random.Random(11)
