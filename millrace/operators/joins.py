@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.operators.skew import salted_join
 
@@ -38,6 +38,11 @@ def hourly_lookup(
     return salted_join(df, side, list(keys), spread, how="left", heavy=heavy)
 
 
+def window_bucket(at: Column, lower: int, upper: int) -> Column:
+    """The bucket of a left row on the time axis."""
+    return F.floor(at / (upper - lower))
+
+
 def window_self_join(
     left: DataFrame,
     right: DataFrame,
@@ -55,15 +60,16 @@ def window_self_join(
     The time axis is cut into buckets as wide as the window. A left row lies
     in one bucket; a right row is copied to the two buckets its partners can
     lie in. So each pair meets once, only rows near in time meet at all, and
-    unmatched left rows stay.
+    unmatched left rows stay. Both sides are of the size of the data: they are
+    merged on their shuffled keys and never broadcast.
     """
     width = upper - lower
     if width <= 0:
         raise ValueError("upper must exceed lower")
     first = F.floor((F.col(earlier) + lower) / width)
     last = F.floor((F.col(earlier) + upper) / width)
-    near = right.withColumn("_bucket", F.explode(F.sequence(first, last)))
-    placed = left.withColumn("_bucket", F.floor(F.col(at) / width))
+    near = right.withColumn("_bucket", F.explode(F.sequence(first, last))).hint("merge")
+    placed = left.withColumn("_bucket", window_bucket(F.col(at), lower, upper))
     inside = (F.col(f"r.{earlier}") > F.col(f"l.{at}") - upper) & (F.col(f"r.{earlier}") < F.col(f"l.{at}") - lower)
     return salted_join(placed, near, [*keys, "_bucket"], spread, how="left", heavy=heavy, residual=inside).drop("_bucket")
 
@@ -78,6 +84,7 @@ def window_self_summary(
     upper: int,
     value: str,
     spread: Sequence[str],
+    heavy: Sequence[int] | None = None,
 ) -> DataFrame:
     """One row per ``left`` row: ``matches``, ``mean_<value>`` and
     ``max_<value>`` over the rows ``window_self_join`` would pair it with.
@@ -85,6 +92,7 @@ def window_self_summary(
     ``at`` and ``earlier`` are whole numbers on a clock. Both sides are first
     reduced to one row per key and clock position, so a key's work is bounded
     by the clock and not by its number of rows; no pair of rows is formed.
+    ``heavy`` are the heavy values of the keys with ``at``.
     """
     ticks = right.where(F.col(earlier).isNotNull()).groupBy(*keys, earlier).agg(
         F.count("*").alias("_n"), F.count(value).alias("_v"), F.sum(value).alias("_sum"), F.max(value).alias("_max")
@@ -100,7 +108,7 @@ def window_self_summary(
             F.max("_max").alias(f"max_{value}"),
         )
     )
-    return salted_join(left, stats, [*keys, at], spread, how="left").withColumn("matches", F.coalesce("matches", F.lit(0)))
+    return salted_join(left, stats, [*keys, at], spread, how="left", heavy=heavy).withColumn("matches", F.coalesce("matches", F.lit(0)))
 
 
 def attach_group_index(df: DataFrame, index: DataFrame, keys: Sequence[str], spread: Sequence[str], heavy: Sequence[int] | None = None) -> DataFrame:

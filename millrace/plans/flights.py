@@ -5,11 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions.clean import clean_composites, clock_hour, clock_minutes, date_part, hour_part, nulls_to_zero, unique_columns
 from millrace.operators.classify import complete_rows, fit, load_model, score
-from millrace.operators.joins import attach_group_index, hourly_lookup, role_lookup, window_self_join, window_self_summary
+from millrace.operators.joins import attach_group_index, hourly_lookup, role_lookup, window_bucket, window_self_join, window_self_summary
 from millrace.operators.nearest import nearest_site
 from millrace.operators.profile import group_means, group_medians
 from millrace.operators.sampling import time_split
@@ -52,6 +52,21 @@ BEST_SET = [*WEATHER_SET, "DAY_OF_WEEK", "DEP_TIME", "MONTH", "INBOUND_ARR_DELAY
 SPREAD = ["TAIL_NUM", "FL_DATE", "DEP_TIME", "CRS_ARR_TIME"]
 
 
+# Inbound legs arrive between these bounds before departure.
+INBOUND_WINDOW = {"hhmm": (200, 400), "minutes": (120, 240)}
+
+# Key columns of the joins of the job.
+FLIGHT_KEYS = {
+    "INBOUND": ["ORIGIN_AIRPORT_ID", "TAIL_NUM", "FL_DATE", "_bucket"],
+    "MOMENT": ["ORIGIN_AIRPORT_ID", "TAIL_NUM", "FL_DATE", "_at"],
+    "INDEX": ["OP_CARRIER", "ORIGIN_AIRPORT_ID"],
+    "ORIGIN": ["ORIGIN_AIRPORT_ID"],
+    "DEST": ["DEST_AIRPORT_ID"],
+    "ORIGIN_HOUR": ["ORIGIN_AIRPORT_ID", "FL_DATE", "DEP_HOUR"],
+    "DEST_HOUR": ["DEST_AIRPORT_ID", "FL_DATE", "DEP_HOUR"],
+}
+
+
 def clean_flights(raw: DataFrame, hour_mode: str = "clock") -> DataFrame:
     """Flown flights with departure hour, chosen columns, delays without nulls."""
     kept = (
@@ -97,39 +112,54 @@ def station_index(weather: DataFrame, coordinates: DataFrame) -> DataFrame:
     return airports.join(nearest.select("AIRPORT_ID", "STATION"), "AIRPORT_ID")
 
 
+def heavy_flight_keys(flights: DataFrame, clock: str = "hhmm") -> dict[str, list[int]]:
+    """The heavy keys of all joins of the feature job, from one pass over the
+    plain flights. Later joins multiply or drop rows, but a key that is heavy
+    there is one that is heavy here."""
+    lower, upper = INBOUND_WINDOW[clock]
+    at = departure(clock)
+    timed = flights.withColumns({"_at": at, "_bucket": window_bucket(at, lower, upper)})
+    names = list(FLIGHT_KEYS)
+    return dict(zip(names, heavy_hashes(timed, *[FLIGHT_KEYS[n] for n in names])))
+
+
 def attach_weather(
-    flights: DataFrame, weather: DataFrame, index: DataFrame, base: DataFrame | None = None, offset_hours: int = 0, hourly_means: bool = False
+    flights: DataFrame,
+    weather: DataFrame,
+    index: DataFrame,
+    heavy: dict[str, list[int]] | None = None,
+    offset_hours: int = 0,
+    hourly_means: bool = False,
 ) -> DataFrame:
     """Station and position of both airports, then the weather of both at the
     departure hour (``offset_hours`` earlier if set). Several reports of an
     hour give several rows; with ``hourly_means`` their mean gives one.
 
     Readings are first cut to the stations an airport uses and keyed by
-    airport; that keeps most reports out of the two large joins. ``base``
-    holds the plain flights on which the heavy keys are measured, so that
-    measuring does not repeat the joins before this one.
+    airport; that keeps most reports out of the two large joins.
     """
-    roles = ("ORIGIN", "DEST")
-    places = [[f"{role}_AIRPORT_ID"] for role in roles]
-    hours = [[f"{role}_AIRPORT_ID", "FL_DATE", "DEP_HOUR"] for role in roles]
-    heavy = heavy_hashes(flights if base is None else base, *places, *hours)
+    heavy = heavy_flight_keys(flights) if heavy is None else heavy
     out = flights
-    for i, (lat, lon, station) in enumerate((("ORIGIN_LAT", "ORIGIN_LON", "ORG_WS_ID"), ("DEST_LAT", "DEST_LON", "DEST_WS_ID"))):
-        names = {"LATITUDE": lat, "LONGITUDE": lon, "STATION": station}
-        out = role_lookup(out, index, places[i][0], "AIRPORT_ID", names, SPREAD, heavy[i])
+    for role, station in (("ORIGIN", "ORG_WS_ID"), ("DEST", "DEST_WS_ID")):
+        names = {"LATITUDE": f"{role}_LAT", "LONGITUDE": f"{role}_LON", "STATION": station}
+        out = role_lookup(out, index, f"{role}_AIRPORT_ID", "AIRPORT_ID", names, SPREAD, heavy[role])
     used = weather.join(index.select("AIRPORT_ID", "STATION"), "STATION").withColumn(
         "_at", F.expr(f"timestampadd(HOUR, {offset_hours}, timestampadd(HOUR, HOUR_PART, CAST(DATE_PART AS TIMESTAMP_NTZ)))")
     ).withColumn("_date", F.to_date("_at")).withColumn("_hour", F.hour("_at"))
     if hourly_means:
         used = used.groupBy("AIRPORT_ID", "_date", "_hour").agg(*[F.avg(c).alias(c) for c in READINGS])
-    for i, prefix in enumerate(("ORG_", "DEST_")):
-        keys = dict(zip(hours[i], ("AIRPORT_ID", "_date", "_hour")))
+    for role, prefix in (("ORIGIN", "ORG_"), ("DEST", "DEST_")):
+        keys = dict(zip(FLIGHT_KEYS[f"{role}_HOUR"], ("AIRPORT_ID", "_date", "_hour")))
         names = {c: prefix + c for c in READINGS}
-        out = hourly_lookup(out, used, keys, names, SPREAD, heavy[2 + i])
+        out = hourly_lookup(out, used, keys, names, SPREAD, heavy[f"{role}_HOUR"])
     return out
 
 
-def attach_inbound(flights: DataFrame, clock: str = "hhmm", compact: bool = False) -> DataFrame:
+def departure(clock: str) -> Column:
+    return F.col("DEP_TIME").cast("int") if clock == "hhmm" else clock_minutes("DEP_TIME")
+
+
+def attach_inbound(flights: DataFrame, clock: str = "hhmm", compact: bool = False, heavy: dict[str, list[int]] | None = None) -> DataFrame:
     """Arrival delay of the same aircraft's inbound leg: same day, arriving at
     the airport of departure between two and four hours before it.
 
@@ -138,10 +168,9 @@ def attach_inbound(flights: DataFrame, clock: str = "hhmm", compact: bool = Fals
     gives one row per flight instead: the number of legs (``INBOUND_LEGS``)
     and their mean delay.
     """
-    hhmm = clock == "hhmm"
-    at = F.col("DEP_TIME").cast("int") if hhmm else clock_minutes("DEP_TIME")
-    arrival = F.col("CRS_ARR_TIME").cast("int") if hhmm else clock_minutes("CRS_ARR_TIME")
-    outbound = flights.drop("ARR_DELAY_NEW").withColumn("_at", at)
+    heavy = heavy_flight_keys(flights, clock) if heavy is None else heavy
+    arrival = F.col("CRS_ARR_TIME").cast("int") if clock == "hhmm" else clock_minutes("CRS_ARR_TIME")
+    outbound = flights.drop("ARR_DELAY_NEW").withColumn("_at", departure(clock))
     inbound = flights.select(
         F.col("DEST_AIRPORT_ID").alias("ORIGIN_AIRPORT_ID"),
         "TAIL_NUM",
@@ -150,28 +179,27 @@ def attach_inbound(flights: DataFrame, clock: str = "hhmm", compact: bool = Fals
         F.col("CRS_ARR_TIME").alias("INBOUND_CRS_ARR_TIME"),
         F.col("ARR_DELAY_NEW").alias("INBOUND_ARR_DELAY_NEW"),
     )
-    lower, upper = (200, 400) if hhmm else (120, 240)
-    keys = ["ORIGIN_AIRPORT_ID", "TAIL_NUM", "FL_DATE"]
+    lower, upper = INBOUND_WINDOW[clock]
+    keys = FLIGHT_KEYS["INBOUND"][:-1]
     spread = ["DEP_TIME", "CRS_ARR_TIME", "DEST_AIRPORT_ID", "OP_CARRIER"]
     if not compact:
-        return window_self_join(outbound, inbound, keys, "_at", "_arrival", lower, upper, spread).drop("_at", "_arrival")
+        return window_self_join(outbound, inbound, keys, "_at", "_arrival", lower, upper, spread, heavy["INBOUND"]).drop("_at", "_arrival")
     delay = "INBOUND_ARR_DELAY_NEW"
-    found = window_self_summary(outbound, inbound, keys, "_at", "_arrival", lower, upper, delay, spread)
+    found = window_self_summary(outbound, inbound, keys, "_at", "_arrival", lower, upper, delay, spread, heavy["MOMENT"])
     return found.withColumnsRenamed({"matches": "INBOUND_LEGS", f"mean_{delay}": delay}).drop("_at", f"max_{delay}")
 
 
 def delay_index(flights: DataFrame, statistic: str = "mean") -> DataFrame:
     """Delay statistics per (carrier, airport of departure)."""
-    keys = ["OP_CARRIER", "ORIGIN_AIRPORT_ID"]
+    keys = FLIGHT_KEYS["INDEX"]
     if statistic == "mean":
         return group_means(flights, keys, INDEXED_DELAYS)
     return group_medians(flights, keys, INDEXED_DELAYS)
 
 
-def attach_delay_index(flights: DataFrame, index: DataFrame, base: DataFrame | None = None) -> DataFrame:
-    keys = ["OP_CARRIER", "ORIGIN_AIRPORT_ID"]
-    heavy = heavy_hashes(flights if base is None else base, keys)[0]
-    return attach_group_index(flights, index, keys, SPREAD, heavy)
+def attach_delay_index(flights: DataFrame, index: DataFrame, heavy: dict[str, list[int]] | None = None) -> DataFrame:
+    heavy = heavy_flight_keys(flights) if heavy is None else heavy
+    return attach_group_index(flights, index, FLIGHT_KEYS["INDEX"], SPREAD, heavy["INDEX"])
 
 
 def flight_features(
@@ -191,12 +219,13 @@ def flight_features(
     Every matching leg and report gives a row. ``compact`` keeps one row per
     flight, with means over its legs and over the reports of an hour, however
     many rows an aircraft, a day or a station-hour holds."""
+    heavy = heavy_flight_keys(flights)
     out = flights
     if inbound:
-        out = attach_inbound(out, compact=compact)
+        out = attach_inbound(out, compact=compact, heavy=heavy)
     if index_flights is not None:
-        out = attach_delay_index(out, delay_index(index_flights, statistic), flights)
-    return attach_weather(out, weather, station_index(weather, coordinates), flights, offset_hours, hourly_means=compact)
+        out = attach_delay_index(out, delay_index(index_flights, statistic), heavy)
+    return attach_weather(out, weather, station_index(weather, coordinates), heavy, offset_hours, hourly_means=compact)
 
 
 def labelled(df: DataFrame, features: Sequence[str], keep: Sequence[str] = (), label: str = LABEL) -> DataFrame:
@@ -218,7 +247,8 @@ def score_flights(
     """Batch scoring of new files with a saved model and a saved delay index."""
     flights = load_flights(spark, flight_paths)
     weather = load_weather(spark, weather_paths)
-    rows = attach_delay_index(attach_inbound(flights), index, flights)
+    heavy = heavy_flight_keys(flights)
+    rows = attach_delay_index(attach_inbound(flights, heavy=heavy), index, heavy)
     stations = station_index(weather, coordinates) if known_stations is None else known_stations
-    ready = attach_weather(rows, weather, stations, flights)
+    ready = attach_weather(rows, weather, stations, heavy)
     return score(load_model(model_path), labelled(ready, BEST_SET))

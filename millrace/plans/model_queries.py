@@ -251,7 +251,7 @@ QUERIES = {
         f"WITH {EDGES} SELECT round(avg(out_weight), 6) AS mean_out_weight FROM ow",
     ),
     "adjacency_list": (
-        lambda s, d: graph.adjacency_list(derived.trade_edges(s, d), part=1_000_000).select(
+        lambda s, d: graph.adjacency_list(cut_lineage(derived.trade_edges(s, d)), part=1_000_000).select(
             "src", F.array_join(F.transform("neighbours", lambda e: F.concat(e.dst, F.lit(":"), e.weight)), " ").alias("neighbours")
         ),
         f"WITH {EDGES} SELECT src, string_agg(dst || ':' || weight, ' ' ORDER BY dst) AS neighbours FROM ed GROUP BY src",
@@ -261,7 +261,7 @@ QUERIES = {
         f"WITH {EDGES} SELECT src, dst, 1 AS value FROM ed",
     ),
     "transition_prob": (
-        lambda s, d: _rounded(graph.transitions(derived.trade_edges(s, d)), 9, "p"),
+        lambda s, d: _rounded(graph.transitions(cut_lineage(derived.trade_edges(s, d))), 9, "p"),
         f"WITH {EDGES} SELECT src, dst, round(p, 9) AS p FROM tp",
     ),
     "initial_ranks": (
@@ -269,7 +269,7 @@ QUERIES = {
         f"WITH {EDGES} SELECT node, coalesce(links, 0) AS links, round(1.0::DOUBLE / (SELECT count(*) FROM nd), 9) AS rank FROM nd LEFT JOIN ow ON src = node",
     ),
     "power_iteration_3": (
-        lambda s, d: _rounded(graph.power_iteration(derived.trade_edges(s, d), _start(derived.trade_edges(s, d)), 3), 9, "mass"),
+        lambda s, d: (lambda edges: _rounded(graph.power_iteration(edges, _start(edges), 3), 9, "mass"))(cut_lineage(derived.trade_edges(s, d))),
         f"WITH {EDGES}, {_power_steps(3)} SELECT node, round(rank, 9) AS mass FROM r3",
     ),
     "pagerank_3": (

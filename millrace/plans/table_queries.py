@@ -130,7 +130,7 @@ def _nearest_supplier(spark, d):
 
 FLIGHTS = """raw AS (SELECT *, (l_orderkey * 37 + l_linenumber * 101 + l_partkey * 7) % 1440 AS dep,
    ((l_orderkey * 37 + l_linenumber * 101 + l_partkey * 7) % 1440 + 60 + l_suppkey % 120) % 1440 AS arr FROM lineitem WHERE l_tax <> 0),
- fl AS (SELECT year(l_shipdate) AS YEAR, month(l_shipdate) AS MONTH, dayofweek(l_shipdate) + 1 AS DAY_OF_WEEK,
+ fl AS MATERIALIZED (SELECT year(l_shipdate) AS YEAR, month(l_shipdate) AS MONTH, dayofweek(l_shipdate) + 1 AS DAY_OF_WEEK,
    DATE '2024-01-01' + (datediff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) % 3)::INT AS FL_DATE, 'C' || l_linenumber AS OP_CARRIER, 'N' || l_suppkey AS TAIL_NUM,
    l_orderkey % 25 AS ORIGIN_AIRPORT_ID, l_partkey % 25 AS DEST_AIRPORT_ID, dep // 60 * 100 + dep % 60 AS DEP_TIME, arr // 60 * 100 + arr % 60 AS CRS_ARR_TIME,
    dep // 60 AS DEP_HOUR, CASE WHEN l_quantity + dep // 60 > 45 THEN 1.0 ELSE 0.0 END::DOUBLE AS DEP_DEL15,
@@ -138,7 +138,7 @@ FLIGHTS = """raw AS (SELECT *, (l_orderkey * 37 + l_linenumber * 101 + l_partkey
    CASE WHEN l_returnflag = 'A' THEN l_quantity ELSE 0 END AS NAS_DELAY, CASE WHEN l_linenumber = 1 THEN l_quantity ELSE 0 END AS SECURITY_DELAY,
    CASE WHEN l_linenumber > 4 THEN l_quantity ELSE 0 END AS LATE_AIRCRAFT_DELAY, CASE WHEN l_linestatus = 'F' THEN l_quantity ELSE 0 END AS CARRIER_DELAY FROM raw)"""
 WEATHER = """ke AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events),
- we AS (SELECT 'S' || lpad(user_id::VARCHAR, 9, '0') AS STATION, (user_id % 500)::DOUBLE AS ELEVATION,
+ we AS MATERIALIZED (SELECT 'S' || lpad(user_id::VARCHAR, 9, '0') AS STATION, (user_id % 500)::DOUBLE AS ELEVATION,
    (user_id * 7919) % 1801 / 10.0::DOUBLE - 90 AS LATITUDE, (user_id * 104729) % 3601 / 10.0::DOUBLE - 180 AS LONGITUDE,
    DATE '2024-01-01' + (day(ts) % 3)::INT AS DATE_PART, hour(ts) AS HOUR_PART,
    CASE WHEN k % 10 = 0 THEN 0 ELSE k * 3 END::DOUBLE AS WND_ANGLE, CASE WHEN k % 7 = 0 THEN 0 ELSE k END::DOUBLE AS WND_SPEED,
@@ -147,11 +147,11 @@ WEATHER = """ke AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INT) AS
 STATIONS = """ap AS (SELECT s_nationkey AS AIRPORT_ID, avg((s_nationkey * 5281) % 1801 / 10.0::DOUBLE - 90 + s_suppkey % 8 / 8.0::DOUBLE) AS LATITUDE,
    avg((s_nationkey * 31337) % 3601 / 10.0::DOUBLE - 180 + s_suppkey % 4 / 4.0::DOUBLE) AS LONGITUDE FROM supplier GROUP BY 1),
  st AS (SELECT DISTINCT STATION, LATITUDE, LONGITUDE FROM we),
- ix AS (SELECT AIRPORT_ID, LATITUDE, LONGITUDE, STATION, distance FROM (SELECT ap.*, st.STATION,
+ ix AS MATERIALIZED (SELECT AIRPORT_ID, LATITUDE, LONGITUDE, STATION, distance FROM (SELECT ap.*, st.STATION,
    sqrt(pow(ap.LATITUDE - st.LATITUDE, 2) + pow(ap.LONGITUDE - st.LONGITUDE, 2)) AS distance,
    row_number() OVER (PARTITION BY AIRPORT_ID ORDER BY pow(ap.LATITUDE - st.LATITUDE, 2) + pow(ap.LONGITUDE - st.LONGITUDE, 2), STATION) AS r
    FROM ap CROSS JOIN st) WHERE r = 1)"""
-INBOUND = """ib AS (SELECT o.* EXCLUDE (ARR_DELAY_NEW), i.ARR_DELAY_NEW AS INBOUND_ARR_DELAY_NEW, i.CRS_ARR_TIME AS INBOUND_CRS_ARR_TIME FROM fl o LEFT JOIN fl i
+INBOUND = """ib AS MATERIALIZED (SELECT o.* EXCLUDE (ARR_DELAY_NEW), i.ARR_DELAY_NEW AS INBOUND_ARR_DELAY_NEW, i.CRS_ARR_TIME AS INBOUND_CRS_ARR_TIME FROM fl o LEFT JOIN fl i
    ON i.DEST_AIRPORT_ID = o.ORIGIN_AIRPORT_ID AND i.TAIL_NUM = o.TAIL_NUM AND i.FL_DATE = o.FL_DATE
    AND o.DEP_TIME - 400 < i.CRS_ARR_TIME AND i.CRS_ARR_TIME < o.DEP_TIME - 200)"""
 INDEX = """di AS (SELECT OP_CARRIER, ORIGIN_AIRPORT_ID, avg(LATE_AIRCRAFT_DELAY) AS MEAN_LATE_AIRCRAFT_DELAY, avg(CARRIER_DELAY) AS MEAN_CARRIER_DELAY,
@@ -191,7 +191,7 @@ def _features_out(df):
 _V3_COLS = ", ".join([*KEY_FEATURES, *[f"round({c}, 6) AS {c}" for c in FEATURES if c.startswith("MEAN_")]])
 WEATHER_OUT = ["STATION", "LATITUDE", "LONGITUDE", "DATE_PART", "HOUR_PART", *flights.READINGS]
 COMPACT_OUT = ["TAIL_NUM", "DEP_TIME", "CRS_ARR_TIME", "INBOUND_ARR_DELAY_NEW", *flights.WEATHER_SET]
-WEATHER_RAW = WEATHER.replace(" we AS (", " wr AS (")
+WEATHER_RAW = WEATHER.replace(" we AS MATERIALIZED (", " wr AS MATERIALIZED (")
 V1_OUT = ["TAIL_NUM", "DEP_TIME", "CRS_ARR_TIME", "ORG_WS_ID", "DEST_WS_ID", *flights.WEATHER_SET]
 DELAY_OUT = ["TAIL_NUM", "DEP_TIME", "CRS_ARR_TIME", "DEP_HOUR", "DAY_OF_WEEK", "MONTH", "YEAR", flights.LABEL, *flights.DELAYS]
 
@@ -387,9 +387,9 @@ QUERIES = {
         lambda s, d: flights.labelled(flight_features(s, d), flights.BEST_SET).agg(
             F.count("*").alias("kept"), F.round(F.avg(flights.LABEL), 6).alias("positive_rate")
         ),
-        f"""WITH {FLIGHTS}, {WEATHER}, {STATIONS}, {INBOUND}, {INDEX}, fx AS (SELECT * FROM ib JOIN di USING (OP_CARRIER, ORIGIN_AIRPORT_ID))
- SELECT count(*) AS kept, round(avg(DEP_DEL15), 6) AS positive_rate FROM ({_with_weather_sql('fx')})
- WHERE {' AND '.join(c + ' IS NOT NULL' for c in flights.BEST_SET)}""",
+        f"""WITH {FLIGHTS}, {WEATHER}, {STATIONS}, {INBOUND}, {INDEX}, fx AS (SELECT * FROM ib JOIN di USING (OP_CARRIER, ORIGIN_AIRPORT_ID)),
+ jo AS MATERIALIZED ({_with_weather_sql('fx')})
+ SELECT count(*) AS kept, round(avg(DEP_DEL15), 6) AS positive_rate FROM jo WHERE {' AND '.join(c + ' IS NOT NULL' for c in flights.BEST_SET)}""",
     ),
     "hash_sample": (
         lambda s, d: sampling.hash_sample(_lines(s, d).select("l_orderkey", "l_linenumber", "l_partkey"), ["l_orderkey", "l_linenumber", "l_partkey"], 0.1),
