@@ -159,11 +159,14 @@ INDEX = """di AS (SELECT OP_CARRIER, ORIGIN_AIRPORT_ID, avg(LATE_AIRCRAFT_DELAY)
 
 
 def _with_weather_sql(source: str) -> str:
-    reads = ", ".join(f"{w}.{c} AS {p}_{c}" for w, p in (("wo", "ORG"), ("wd", "DEST")) for c in flights.READINGS)
-    return f"""SELECT f.*, {reads}, o.STATION AS ORG_WS_ID, d.STATION AS DEST_WS_ID FROM {source} f
- JOIN ix o ON o.AIRPORT_ID = f.ORIGIN_AIRPORT_ID JOIN ix d ON d.AIRPORT_ID = f.DEST_AIRPORT_ID
- LEFT JOIN we wo ON wo.STATION = o.STATION AND wo.DATE_PART = f.FL_DATE AND wo.HOUR_PART = f.DEP_HOUR
- LEFT JOIN we wd ON wd.STATION = d.STATION AND wd.DATE_PART = f.FL_DATE AND wd.HOUR_PART = f.DEP_HOUR"""
+    """One join per step, each step stored, so that the order stays as written."""
+    def reads(prefix: str) -> str:
+        return ", ".join(f"w.{c} AS {prefix}_{c}" for c in flights.READINGS)
+
+    return f"""WITH j0 AS MATERIALIZED (SELECT f.*, o.STATION AS ORG_WS_ID FROM {source} f JOIN ix o ON o.AIRPORT_ID = f.ORIGIN_AIRPORT_ID),
+ j1 AS MATERIALIZED (SELECT f.*, d.STATION AS DEST_WS_ID FROM j0 f JOIN ix d ON d.AIRPORT_ID = f.DEST_AIRPORT_ID),
+ j2 AS MATERIALIZED (SELECT f.*, {reads('ORG')} FROM j1 f LEFT JOIN we w ON w.STATION = f.ORG_WS_ID AND w.DATE_PART = f.FL_DATE AND w.HOUR_PART = f.DEP_HOUR)
+ SELECT f.*, {reads('DEST')} FROM j2 f LEFT JOIN we w ON w.STATION = f.DEST_WS_ID AND w.DATE_PART = f.FL_DATE AND w.HOUR_PART = f.DEP_HOUR"""
 
 
 def clean_flights(spark, d):
@@ -355,7 +358,7 @@ QUERIES = {
     ),
     "flight_features": (
         lambda s, d: _features_out(flight_features(s, d)),
-        f"""WITH {FLIGHTS}, {WEATHER}, {STATIONS}, {INBOUND}, {INDEX}, fx AS (SELECT * FROM ib JOIN di USING (OP_CARRIER, ORIGIN_AIRPORT_ID))
+        f"""WITH {FLIGHTS}, {WEATHER}, {STATIONS}, {INBOUND}, {INDEX}, fx AS MATERIALIZED (SELECT * FROM ib JOIN di USING (OP_CARRIER, ORIGIN_AIRPORT_ID))
  SELECT {_V3_COLS} FROM ({_with_weather_sql('fx')})""",
     ),
     "flight_features_inbound": (
@@ -387,9 +390,8 @@ QUERIES = {
         lambda s, d: flights.labelled(flight_features(s, d), flights.BEST_SET).agg(
             F.count("*").alias("kept"), F.round(F.avg(flights.LABEL), 6).alias("positive_rate")
         ),
-        f"""WITH {FLIGHTS}, {WEATHER}, {STATIONS}, {INBOUND}, {INDEX}, fx AS (SELECT * FROM ib JOIN di USING (OP_CARRIER, ORIGIN_AIRPORT_ID)),
- jo AS MATERIALIZED ({_with_weather_sql('fx')})
- SELECT count(*) AS kept, round(avg(DEP_DEL15), 6) AS positive_rate FROM jo WHERE {' AND '.join(c + ' IS NOT NULL' for c in flights.BEST_SET)}""",
+        f"""WITH {FLIGHTS}, {WEATHER}, {STATIONS}, {INBOUND}, {INDEX}, fx AS MATERIALIZED (SELECT * FROM ib JOIN di USING (OP_CARRIER, ORIGIN_AIRPORT_ID))
+ SELECT count(*) AS kept, round(avg(DEP_DEL15), 6) AS positive_rate FROM ({_with_weather_sql('fx')}) WHERE {' AND '.join(c + ' IS NOT NULL' for c in flights.BEST_SET)}""",
     ),
     "hash_sample": (
         lambda s, d: sampling.hash_sample(_lines(s, d).select("l_orderkey", "l_linenumber", "l_partkey"), ["l_orderkey", "l_linenumber", "l_partkey"], 0.1),
