@@ -3,7 +3,9 @@ the one place where lineage is cut."""
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +16,7 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -60,5 +63,31 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_kept: set[str] = set()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet in the shared checkpoint folder and read
+    from there: later plans start from the files, read only the columns they
+    use and see the table's true size. The files go when the program ends.
+    """
+    spark = df.sparkSession
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/stored-{spark.sparkContext.applicationId}"
+    path = f"{folder}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if folder not in _kept:
+        _kept.add(folder)
+        atexit.register(_forget, spark, folder)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _forget(spark: SparkSession, folder: str) -> None:
+    context = spark.sparkContext
+    if context._jsc is None or context._jsc.sc().isStopped():
+        return
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
