@@ -1,0 +1,185 @@
+"""Classifiers, neighbours and licence notices: held-out accuracy and brute force."""
+
+import random
+
+import numpy as np
+import pytest
+from helpers import frame, odd_texts, sentence, words
+from pyspark.sql import functions as F
+
+from millrace.llm import licenses, neighbours, quality, toxicity
+from millrace.llm.text import Words, batches
+
+
+def labelled_texts(n, seed):
+    rng = random.Random(seed)
+    out = []
+    for _ in range(n):
+        text = sentence(rng, rng.randint(20, 300))
+        toxic, good = rng.random() < 0.3, rng.random() < 0.7
+        if toxic:
+            w = text.split()
+            for _ in range(rng.randint(1, 3)):
+                w.insert(rng.randrange(len(w)), rng.choice(["vilefoe", "scumword", "hatebane"]))
+            text = " ".join(w)
+        if not good:
+            half = len(text) // 2
+            text = text[:half] + "\n" + text[half:].upper().replace(" ", "!! ")
+        out.append((text, int(good), int(toxic)))
+    return out
+
+
+def test_words_equal_the_pattern():
+    texts = [(t or "") for t in odd_texts()]
+    for first, run in batches([t.encode() for t in texts], 500):
+        found = Words(run)
+        for i in range(len(run)):
+            span = slice(found.first[i], found.first[i + 1])
+            assert [found.data[a:b].decode() for a, b in zip(found.start[span], found.end[span])] == words(texts[first + i])
+    assert len(Words([b"", b"--", b""]).hashes()) == 0
+    same = Words([b"one two one", b"one"]).hashes()
+    assert same[0] == same[2] == same[3] != same[1]
+
+
+@pytest.mark.parametrize("module, label", [(quality, "quality"), (toxicity, "toxic")])
+def test_learns_and_handles_odd_rows(spark, module, label):
+    rows = labelled_texts(600, 1)
+    docs = frame(spark, [t for t, _, _ in rows] + odd_texts())
+    labels = spark.createDataFrame([(i, q, t) for i, (_, q, t) in enumerate(rows[:400])] + [(3, None, None), (None, 1, 1), (5, rows[5][1], rows[5][2])], "doc_id bigint, quality int, toxic int")
+    model = module.learn(docs, labels, label)
+    scored = {r.doc_id: r.s for r in docs.select("doc_id", module.score(model, F.col("text")).alias("s")).collect()}
+    assert len(scored) == len(rows) + len(odd_texts()) and all(0 <= s <= 1 for s in scored.values())
+    truth = [q if label == "quality" else t for _, q, t in rows]
+    right = [(scored[i] >= 0.5) == bool(truth[i]) for i in range(400, 600)]
+    assert np.mean(right) > 0.95
+    # the score of a text does not depend on the rows beside it
+    assert model.scores([b""])[0] == pytest.approx(scored[len(rows)]) == pytest.approx(scored[len(rows) + 1])
+
+
+@pytest.mark.parametrize("module", [quality, toxicity])
+def test_without_labels(spark, module):
+    docs = frame(spark, ["a", None])
+    labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    model = module.learn(docs, labels)
+    assert [r[0] for r in docs.select(module.score(model, F.col("text"))).collect()] == [0.5, 0.5]
+    assert frame(spark, []).select(module.score(model, F.col("text"))).count() == 0
+
+
+def test_weights_are_sparse():
+    rows = [np.unique(np.random.default_rng(i).integers(0, 1 << toxicity.BITS, 200)) for i in range(300)]
+    rows = [np.append(r[r != 7], 7) if i % 3 == 0 else r[r != 7] for i, r in enumerate(rows)]
+    model = toxicity.fit(rows, [int(i % 3 == 0) for i in range(300)])
+    assert 7 in model.places and len(model.places) < 3000
+
+
+def test_quality_gradient():
+    rng = np.random.default_rng(0)
+    model = quality.Model(np.zeros(quality.SIZE), np.ones(quality.SIZE))
+    model.weights["classify"] = rng.normal(size=24)
+    x, first, y = rng.normal(size=(9, quality.SIZE)), np.array([0, 2, 3, 9]), np.array([1.0, 0, 1])
+
+    def loss():
+        p = model.forward(x, first)["p"]
+        return -np.mean(y * np.log(p) + (1 - y) * np.log(1 - p))
+
+    for name, d in model.gradient(x, first, y).items():
+        w = model.weights[name]
+        at = tuple(rng.integers(0, s) for s in w.shape)
+        w[at] += 1e-6
+        up = loss()
+        w[at] -= 2e-6
+        assert (up - loss()) / 2e-6 == pytest.approx(d[at], abs=1e-6)
+        w[at] += 1e-6
+
+
+def brute_neighbours(rows, k):
+    rows = list(dict(rows).items())
+    ids = np.array([i for i, _ in rows])
+    x = np.array([v for _, v in rows], float)
+    out = {}
+    for q in sorted({i for i in ids.tolist() if i % 50 == 0}):
+        v = x[np.flatnonzero(ids == q)[0]]
+        s = (x * v).sum(1) / (np.sqrt((v * v).sum()) * np.sqrt((x * x).sum(1)))
+        order = [j for j in np.lexsort((ids, -s)) if ids[j] != q][:k]
+        out[q] = [(int(ids[j]), float(s[j])) for j in order]
+    return out
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame([(i, v, 1, "x") for i, v in rows], "vec_id bigint, embedding array<float>, label int, v string").repartition(4)
+
+
+def test_neighbours_recall_and_scores(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(20, 16))
+    rows = [(i, (centres[rng.integers(20)] + rng.normal(size=16) * 0.4).astype(np.float32).tolist()) for i in range(4000)]
+    got = {}
+    for r in neighbours.search(vectors(spark, rows), F.col("vec_id") % 50 == 0).collect():
+        got.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
+    want = brute_neighbours(rows, 5)
+    assert got.keys() == want.keys()
+    found = total = 0
+    for q, top in want.items():
+        assert sorted(got[q]) == [1, 2, 3, 4, 5]
+        assert [s for _, s in sorted(got[q].values(), key=lambda x: (-x[1], x[0]))] == [got[q][i][1] for i in range(1, 6)]
+        total += 5
+        found += len({i for i, _ in top} & {i for i, _ in got[q].values()})
+        truth = dict(top)
+        assert all(s == pytest.approx(truth[i], abs=1e-12) for i, s in got[q].values() if i in truth)
+    assert found / total >= 0.9
+
+
+def test_neighbours_ties_copies_and_bad_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    same = [(i, [1.0, 2.0]) for i in range(0, 400, 10)]
+    bad = [(1, None), (2, [0.0, 0.0]), (3, [nan, 1.0]), (4, [inf, 1.0]), (6, [1.0, None]), (7, [1.0]), (None, [1.0, 1.0]), (550, [0.0, 0.0])]
+    rows = same + [(5, [2.0, 1.0]), (500, [2.0, 1.0]), (500, [2.0, 1.0])]
+    got = {}
+    for r in neighbours.search(vectors(spark, rows + bad), F.col("vec_id") % 50 == 0).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    want = brute_neighbours(rows, 5)
+    assert {q: [v for _, v, _ in sorted(x)] for q, x in got.items()} == {q: [v for v, _ in x] for q, x in want.items()}
+    few = vectors(spark, [(0, [1.0, 0.0]), (1, [0.0, 1.0])])
+    assert [tuple(r) for r in neighbours.search(few, F.col("vec_id") % 50 == 0).collect()] == [(0, 1, 1, 0.0)]
+    assert neighbours.search(vectors(spark, bad[:2]), F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_neighbours_in_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 7)
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=4).astype(np.float32).tolist()) for i in range(0, 2000, 5)]
+    monkeypatch.setattr(neighbours, "RECALL", 1.0)
+    got = {(r.query_id, r["rank"]): r.vec_id for r in neighbours.search(vectors(spark, rows), F.col("vec_id") % 50 == 0).collect()}
+    assert got == {(q, i + 1): v for q, top in brute_neighbours(rows, 5).items() for i, (v, _) in enumerate(top)}
+
+
+def brute_base(text):
+    w, places, labels = words(text), [], set()
+    for phrase, label in licenses.BASE.items():
+        key = phrase.split()
+        for i in range(len(w) - len(key) + 1):
+            if w[i : i + len(key)] == key:
+                places.append(i)
+                labels.add(label)
+    return len(w), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels))
+
+
+def test_licences(spark):
+    rng = random.Random(9)
+    texts = odd_texts() + ["cc by", "CC-BY cc by-nc", "all rights all rights reserved reserved", "General Public License, general public license"]
+    notices = [t for _, _, t in licenses.TEMPLATES]
+    for i in range(40):
+        w = sentence(rng, 50).split()
+        w.insert(rng.randrange(50), notices[i % len(notices)].title())
+        texts.append(" ".join(w))
+    ids = [None, *range(1, len(texts))]
+    got = {r.doc_id: r for r in licenses.scan(frame(spark, texts, ids)).collect()}
+    for i, t in zip(ids, texts):
+        r = got[i]
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == brute_base(t)
+        assert set(r.base_labels.split(",")) - {""} <= set(r.labels.split(",")) and 0 <= r.score <= 1
+        assert (r.score > 0) == (r.labels != "")
+    for i in range(40):
+        assert licenses.TEMPLATES[i % len(notices)][0] in got[len(texts) - 40 + i].labels.split(",")
+    assert licenses.scan(frame(spark, [])).count() == 0
+    assert got[2].labels == ""
