@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.llm import tokens
@@ -100,19 +101,19 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[np.ndarray,
 def document_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` of all documents."""
 
-    def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = tokens.encoder(tokenizer)
-        for frame in frames:
+        for batch in batches:
             out = []
-            for doc_id, text in zip(frame["doc_id"], frame["text"]):
-                ids = tokens.document_ids(use, text, end_id).astype("<u4")
-                out += [(doc_id, i, s, n, zlib.crc32(ids[s : s + n].tobytes())) for i, (s, n) in enumerate(cut(len(ids), capacity))]
-            yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-
-    # ids as text keep all 64 bits beside nulls on their way through pandas
-    rows = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), "text")
-    pieces = rows.mapInPandas(encode, "doc_id string, piece int, start bigint, length bigint, ids_crc32 bigint")
-    return pieces.withColumn("doc_id", F.col("doc_id").cast("long"))
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), tokens.documents(use, batch.column("text"), end_id)):
+                ids = ids.astype("<u4", copy=False)
+                out += [(doc_id, i, s, n, zlib.crc32(ids[s : s + n])) for i, (s, n) in enumerate(cut(len(ids), capacity))]
+            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), schema)] if out else [pa.array([], f.type) for f in schema], schema=schema)
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(encode, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY) -> DataFrame:

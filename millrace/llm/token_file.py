@@ -27,7 +27,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -129,19 +129,21 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, segment_ids: int = SEGME
     that order and each task writes its own.
     """
 
-    def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("n_ids", pa.int64()), ("segment", pa.binary())])
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use, part, seq = tokens.encoder(tokenizer), TaskContext.get().partitionId(), 0
         names, ids, size = [], [], 0
 
-        def segment() -> pd.DataFrame:
+        def segment() -> pa.RecordBatch:
             blob = pack(np.concatenate(ids), [len(x) for x in ids])
-            return pd.DataFrame({"part": [part], "seq": [seq], "doc_ids": [names], "n_ids": [size], "segment": [blob]})
+            return pa.record_batch([[part], [seq], [names], [size], [blob]], schema=schema)
 
-        for frame in frames:
-            for doc_id, text in zip(frame["doc_id"].array, frame["text"]):
-                names.append(None if pd.isna(doc_id) else int(doc_id))
-                ids.append(tokens.document_ids(use, text, end_id))
-                size += len(ids[-1])
+        for batch in batches:
+            for doc_id, found in zip(batch.column("doc_id").to_pylist(), tokens.documents(use, batch.column("text"), end_id)):
+                names.append(doc_id)
+                ids.append(found)
+                size += len(found)
                 if size >= segment_ids:
                     yield segment()
                     names, ids, size, seq = [], [], 0, seq + 1
@@ -149,9 +151,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, segment_ids: int = SEGME
             yield segment()
 
     rows = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    # ids as text keep all 64 bits beside nulls on their way through pandas
-    rows = rows.withColumn("doc_id", F.col("doc_id").cast("string"))
-    return stored(rows.mapInPandas(encode, "part int, seq int, doc_ids array<bigint>, n_ids bigint, segment binary"))
+    return stored(rows.mapInArrow(encode, "part int, seq int, doc_ids array<bigint>, n_ids bigint, segment binary"))
 
 
 def read(segments: DataFrame) -> DataFrame:
@@ -170,17 +170,17 @@ def read(segments: DataFrame) -> DataFrame:
         .select("part", "seq", (F.col("inside") + F.col("part_start")).alias("before"))
     )
 
-    def decode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for part, seq, names, data in zip(frame["part"], frame["seq"], frame["doc_ids"], frame["segment"]):
-                segment = Segment(data)
-                sums = [zlib.crc32(segment.document(i).astype("<u4").tobytes()) for i in range(len(names))]
-                yield pd.DataFrame({
-                    "part": part, "seq": seq, "doc_id": pd.array(list(names), "Int64"), "inside": segment.first[:-1],
-                    "n_tokens": np.diff(segment.first), "ids_crc32": np.array(sums, np.int64),
-                })
-
-    read_back = segments.select("part", "seq", F.col("doc_ids").cast("array<string>").alias("doc_ids"), "segment").mapInPandas(
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                segment = Segment(r["segment"])
+                sums = [zlib.crc32(segment.document(i).astype("<u4").tobytes()) for i in range(len(r["doc_ids"]))]
+                n = len(sums)
+                columns = {"part": [r["part"]] * n, "seq": [r["seq"]] * n, "doc_id": r["doc_ids"], "inside": segment.first[:-1], "n_tokens": np.diff(segment.first), "ids_crc32": sums}
+                yield pa.record_batch([pa.array(columns[f.name], f.type) for f in found], schema=found)
+
+    found = pa.schema([("part", pa.int32()), ("seq", pa.int32()), *((c, pa.int64()) for c in ("doc_id", "inside", "n_tokens", "ids_crc32"))])
+    read_back = segments.select("part", "seq", "doc_ids", "segment").mapInArrow(
         decode, "part int, seq int, doc_id bigint, inside bigint, n_tokens bigint, ids_crc32 bigint"
     )
     return read_back.join(starts, ["part", "seq"]).select("doc_id", (F.col("inside") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")

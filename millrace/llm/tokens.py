@@ -1,29 +1,39 @@
-"""Token ids of whole texts, from a tokenizer file of the tokenizers library.
-
-Byte-level tokenizers never join text across a step from a visible character
-to white space, so a text may be cut there and each cut piece encoded on its
-own. Most pieces are frequent words; a worker keeps the ids of those it has
-seen, in a table of bounded size, and asks the library only for new ones.
+"""Token ids of whole texts, from a byte-level tokenizer file of the
+tokenizers library.
+
+Such tokenizers never join text across a step from a visible character to
+white space, so a text may be cut there and each piece encoded on its own.
+The cuts and the list of different pieces of a batch come from Arrow kernels;
+the library is asked once for each piece that a worker has not met yet. What
+a worker remembers is bounded; at the limit it starts anew.
 """
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-KEPT_PIECES = 500_000  # pieces a worker remembers; at the limit it starts anew
+KEPT_PIECES = 800_000
+KEPT_IDS = 1 << 23
 _LONGEST_KEPT = 64
-_AFTER_BLANK = re.compile(r"\s[ \n]")
-_CUT = re.compile(r"(?<!\s)(?=[ \n])")
+_BATCH = 1 << 23  # bytes cut at once
+# white space of any kind, by code point
+_BLANK = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_WORD = re.compile(f" ?[{_LETTERS}]+")
 
 
-def pieces(text: str) -> list[str]:
-    """The text cut before each blank or newline that follows a visible character."""
-    if "\0" in text or _AFTER_BLANK.search(text):
-        return _CUT.split(text)
-    return text.replace("\n", "\0\n").replace(" ", "\0 ").split("\0")
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte: printable Latin-1 for itself, the
+    others from code point 256 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
 class Encoder:
@@ -31,66 +41,101 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        kind = json.loads(self.tokenizer.to_str())
+        cutter = kind["pre_tokenizer"] or {}
+        if kind["normalizer"] or cutter.get("type") != "ByteLevel" or cutter.get("add_prefix_space") or not cutter.get("use_regex", True):
+            raise ValueError("not a plain byte-level tokenizer")
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
         self._clear()
 
     def _clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.ids = np.empty(1 << 16, np.uint32)
-        self.begin = np.zeros(KEPT_PIECES + 1, np.int64)
+        self.ids, self.used = np.empty(1 << 16, np.uint32), 0
+        self.begin = np.zeros(1 << 16, np.int64)
+        self.size = np.zeros(1 << 16, np.int64)
 
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def _learn(self, new: list[str]) -> None:
-        found = self._library(new)
-        used, n = int(self.begin[len(self.known)]), len(self.known)
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32)
-        while used + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        self.ids[used : used + len(flat)] = flat
-        self.begin[n + 1 : n + 1 + len(new)] = used + np.cumsum([len(ids) for ids in found])
-        self.known.update(zip(new, range(n, n + len(new))))
-
-    def encode(self, text: str | None) -> np.ndarray:
-        """The ids the library gives for the whole text."""
-        if not text:
-            return np.empty(0, np.uint32)
-        parts = pieces(text)
-        out = [self._few(parts[i : i + 100_000]) for i in range(0, len(parts), 100_000)]
-        return out[0] if len(out) == 1 else np.concatenate(out)
-
-    def _few(self, parts: list[str]) -> np.ndarray:
+    def _learn(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces one after another, and how many each has. A plain
+        word is one step of the tokenizer's own cutting and goes straight to
+        its model."""
+        tokenize, letters, plain = self.model.tokenize, self.letters, _WORD.fullmatch
+        ids: list[int] = []
+        stops = []
+        for piece in new:
+            if plain(piece):
+                ids += [t.id for t in tokenize(piece.encode().decode("latin-1").translate(letters))]
+            else:
+                ids += self._library([piece])[0]
+            stops.append(len(ids))
+        return np.array(ids, np.uint32), np.diff(np.array([0, *stops], np.int64))
+
+    def _places(self, different: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and number of the ids of each piece in ``self.ids``."""
         get = self.known.get
-        places = [get(p, -1) for p in parts]
-        if -1 in places:
-            new = list(dict.fromkeys(p for p, i in zip(parts, places) if i < 0))
-            if max(map(len, new)) > _LONGEST_KEPT:
-                return self._with_long(parts)
-            if len(self.known) + len(new) > KEPT_PIECES:
-                self._clear()
-                new = list(dict.fromkeys(parts))
-            self._learn(new)
-            get = self.known.get
-            places = [get(p) for p in parts]
-        at = np.array(places)
-        begin = self.begin[at]
-        size = self.begin[at + 1] - begin
-        ends = np.cumsum(size)
-        return self.ids[np.repeat(begin - ends + size, size) + np.arange(ends[-1])]
-
-    def _with_long(self, parts: list[str]) -> np.ndarray:
-        """Long pieces go to the library each time and are not remembered."""
-        out, run = [], []
-        for p in [*parts, None]:
-            if p is not None and len(p) <= _LONGEST_KEPT:
-                run.append(p)
-                continue
-            if run:
-                out.append(self._few(run))
-                run = []
-            if p is not None:
-                out.append(np.array(self._library([p])[0], np.uint32))
-        return np.concatenate(out)
+        at = np.array([get(p, -1) for p in different], np.int64)
+        missing = np.flatnonzero(at < 0).tolist()
+        if missing and (len(self.known) + len(missing) > KEPT_PIECES or self.used > KEPT_IDS):
+            self._clear()
+            at[:] = -1
+            missing = list(range(len(different)))
+        begin, size = self.begin[at], self.size[at]
+        if missing:
+            flat, sizes = self._learn([different[i] for i in missing])
+            begins = self.used + np.cumsum(sizes) - sizes
+            while self.used + len(flat) > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+            self.ids[self.used : self.used + len(flat)] = flat
+            self.used += len(flat)
+            begin[missing], size[missing] = begins, sizes
+            # long pieces are used now and not remembered
+            short = [j for j, i in enumerate(missing) if len(different[i]) <= _LONGEST_KEPT][: max(0, KEPT_PIECES - len(self.known))]
+            n = len(self.known)
+            while n + len(short) > len(self.begin):
+                self.begin, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.size))
+            self.begin[n : n + len(short)], self.size[n : n + len(short)] = begins[short], sizes[short]
+            self.known.update((different[missing[j]], n + k) for k, j in enumerate(short))
+        return begin, size
+
+    def _cut(self, texts: pa.Array) -> pa.Array:
+        """Lists of the pieces of texts without NUL: cut before white space
+        and around single newlines, and between a letter and a mark."""
+        marked = pc.replace_substring(pc.replace_substring(texts, "\n", "\0\n\0"), " ", "\0 ")
+        # where white space comes in runs, only its first character is cut off from what is before
+        runs = pc.match_substring_regex(texts, f"[{_BLANK}][ \n]")
+        if pc.any(runs).as_py():
+            once = pc.replace_substring_regex(texts.filter(runs), f"([^{_BLANK}])([ \n])", "\\1\0\\2")
+            marked = pc.replace_with_mask(marked, runs, once)
+        return pc.split_pattern(pc.replace_substring_regex(marked, "([A-Za-z])([.,!?;:])", "\\1\0\\2"), "\0")
+
+    def _some(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        odd = pc.match_substring(texts, "\0")
+        if pc.any(odd).as_py():
+            parts = [self._some(pa.array([""] if o else [t], pa.large_string())) if not o else (np.array(self._library([t])[0], np.uint32), None) for t, o in zip(texts.to_pylist(), odd.to_pylist())]
+            return np.concatenate([ids for ids, _ in parts]), np.array([len(ids) for ids, _ in parts], np.int64)
+        lists = self._cut(texts)
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        pieces = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+        begin, size = self._places(pieces.dictionary.to_pylist())
+        at = pieces.indices.to_numpy()
+        size = size[at]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        ids = self.ids[np.repeat(begin[at] - ends[:-1], size) + np.arange(ends[-1])]
+        return ids, np.diff(ends[offsets - offsets[0]])
+
+    def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The ids the library gives for each whole text (null: empty), as
+        ``(ids of some texts one after another, number of each)``."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy())
+        start = 0
+        while start < len(texts):
+            stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + _BATCH, "right")))
+            yield self._some(pa.concat_arrays([texts.slice(start, stop - start)]))
+            start = stop
 
 
 _encoders: dict[str, Encoder] = {}
@@ -103,10 +148,12 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def document_ids(encode: Encoder, text: str | None, end_id: int) -> np.ndarray:
-    return np.append(encode.encode(text), np.uint32(end_id))
-
-
-def total(sizes: Sequence[int]) -> np.ndarray:
-    """Sum of all earlier sizes, for each size."""
-    return np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])[: len(sizes)]
+def documents(encode: Encoder, texts: pa.Array, end_id: int) -> Iterator[np.ndarray]:
+    """Ids of each text, closed by ``end_id``."""
+    end = np.array([end_id], np.uint32)
+    for ids, sizes in encode.encode(texts):
+        stops = np.cumsum(sizes).tolist()
+        start = 0
+        for stop in stops:
+            yield np.concatenate([ids[start:stop], end])
+            start = stop
