@@ -18,10 +18,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-KEPT_PIECES = 800_000
+KEPT_PIECES = 500_000
 KEPT_IDS = 1 << 23
 _LONGEST_KEPT = 64
-_BATCH = 1 << 23  # bytes cut at once
+_BATCH = 1 << 22  # bytes cut at once
 # white space of any kind, by code point
 _BLANK = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
