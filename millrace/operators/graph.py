@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from millrace.functions.hashing import key_hash
 from millrace.operators.counting import top_n
-from millrace.operators.skew import every_salt, heavy_hashes, own_salt, salted_join
-from millrace.session import cut_lineage, shuffle_width
+from millrace.operators.skew import Heavy, every_salt, heavy_keys, own_salt, salted_join
+from millrace.session import cut_lineage, shuffle_width, stored
 
 
 def edges_from_adjacency(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -71,10 +72,10 @@ def degree_report(edges: DataFrame, n: int = 10, sample: int = 1000, seed: int =
 def adjacency_list(edges: DataFrame, part: int = 10_000) -> DataFrame:
     """``(src, part, neighbours)``: sorted neighbour arrays. A source with
     more than ``part`` links gets several rows, so no array grows without
-    bound."""
+    bound; a link's part follows from its target's key hash."""
     degrees = out_weights(edges)
     sliced = salted_join(edges, degrees, ["src"], ["dst"]).withColumn(
-        "part", F.pmod(F.xxhash64("dst"), F.greatest(F.ceil(F.col("links") / part), F.lit(1))).cast("int")
+        "part", F.pmod(key_hash("dst"), F.greatest(F.ceil(F.col("links") / part), F.lit(1))).cast("int")
     )
     return sliced.groupBy("src", "part").agg(F.array_sort(F.collect_list(F.struct("dst", "weight"))).alias("neighbours"))
 
@@ -87,7 +88,7 @@ def adjacency_matrix(edges: DataFrame, columns: list | None = None) -> DataFrame
     return long.groupBy("src").pivot("dst", columns).agg(F.first("value")).na.fill(0)
 
 
-def transitions(edges: DataFrame, heavy: list[int] | None = None) -> DataFrame:
+def transitions(edges: DataFrame, heavy: Heavy | None = None) -> DataFrame:
     """``(src, dst, p)``: link weight over the source's out-weight."""
     degrees = out_weights(edges)
     return salted_join(edges, degrees, ["src"], ["dst"], heavy=heavy).select(
@@ -101,9 +102,9 @@ class _Walk:
     of the placed copy are rebuilt."""
 
     def __init__(self, edges: DataFrame):
-        edges = cut_lineage(edges)
-        self.heavy = heavy_hashes(edges, ["src"])[0]
-        self.nodes = cut_lineage(node_table(edges))
+        edges = stored(edges)
+        self.heavy = heavy_keys(edges, ["src"])[0]
+        self.nodes = stored(node_table(edges))
         self.keys = ["src", "salt"] if self.heavy else ["src"]
         placed = transitions(edges, self.heavy)
         if self.heavy:
@@ -152,6 +153,8 @@ def pagerank(
     """
     walk = _Walk(merge_links(edges))
     n = walk.size
+    if not n:
+        return walk.nodes.select("node", F.lit(0.0).alias("rank"))
     total = float(scale if scale is not None else 1.0)
     ranks = walk.nodes.select("node", "links", F.lit(total / n).alias("rank"))
     held = ranks.agg(F.coalesce(F.sum(F.when(F.col("links") == 0, F.col("rank"))), F.lit(0.0))).first()[0]

@@ -6,21 +6,26 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.operators.skew import salted_join
+from millrace.operators.skew import Heavy, heavy_keys, salted_join
 
 
-def role_lookup(
-    df: DataFrame, index: DataFrame, key: str, index_key: str, names: Mapping[str, str], spread: Sequence[str], heavy: Sequence[int] | None = None
-) -> DataFrame:
+def role_lookup(df: DataFrame, index: DataFrame, key: str, index_key: str, names: Mapping[str, str]) -> DataFrame:
     """Inner lookup of ``df[key]`` in a table with one row per ``index_key``;
     the index columns arrive under the role names in ``names``.
 
     Rows whose key is not in the index are dropped. No broadcast hint: Spark
-    broadcasts the index by its measured size, and beyond the limit the keys
-    are shuffled with heavy ones split.
+    broadcasts the index by its measured size. Beyond the limit its keys are
+    unique, so a heavy key is one index row against many, which the adaptive
+    skew join splits.
     """
     side = index.select(F.col(index_key).alias(key), *[F.col(c).alias(n) for c, n in names.items()])
-    return salted_join(df, side, [key], spread, heavy=heavy)
+    return df.join(side, key)
+
+
+def unmatched_keys(df: DataFrame, index: DataFrame, key: str, index_key: str) -> DataFrame:
+    """``(key, rows)``: keys that ``role_lookup`` drops, with their rows."""
+    counts = df.groupBy(F.col(key).alias("key")).agg(F.count("*").alias("rows"))
+    return counts.join(index.select(F.col(index_key).alias("key")).distinct(), "key", "left_anti")
 
 
 def hourly_lookup(
@@ -29,13 +34,16 @@ def hourly_lookup(
     keys: Mapping[str, str],
     names: Mapping[str, str],
     spread: Sequence[str],
-    heavy: Sequence[int] | None = None,
+    heavy: Heavy | None = None,
+    heavy_right: Heavy | None = None,
 ) -> DataFrame:
     """Left lookup on (place, date, hour): ``keys`` maps columns of ``df`` to
     those of ``readings``. Several readings of an hour give several rows; a
-    row without reading stays, with nulls."""
+    row without reading stays, with nulls. Heavy hours are split on the side,
+    or sides, that hold many rows."""
     side = readings.select(*[F.col(r).alias(k) for k, r in keys.items()], *[F.col(c).alias(n) for c, n in names.items()])
-    return salted_join(df, side, list(keys), spread, how="left", heavy=heavy)
+    heavy_right = heavy_keys(side, list(keys))[0] if heavy_right is None else heavy_right
+    return salted_join(df, side, list(keys), spread, how="left", heavy=heavy, heavy_right=heavy_right)
 
 
 def window_bucket(at: Column, lower: int, upper: int) -> Column:
@@ -52,7 +60,7 @@ def window_self_join(
     lower: int,
     upper: int,
     spread: Sequence[str],
-    heavy: Sequence[int] | None = None,
+    heavy: Heavy | None = None,
 ) -> DataFrame:
     """Left join: ``right`` rows of the same keys with
     ``left.at - upper < right.earlier < left.at - lower`` (both strict).
@@ -84,7 +92,7 @@ def window_self_summary(
     upper: int,
     value: str,
     spread: Sequence[str],
-    heavy: Sequence[int] | None = None,
+    heavy: Heavy | None = None,
 ) -> DataFrame:
     """One row per ``left`` row: ``matches``, ``mean_<value>`` and
     ``max_<value>`` over the rows ``window_self_join`` would pair it with.
@@ -98,7 +106,7 @@ def window_self_summary(
         F.count("*").alias("_n"), F.count(value).alias("_v"), F.sum(value).alias("_sum"), F.max(value).alias("_max")
     )
     moments = left.groupBy(*keys, at).agg(F.count("*").alias("_rows")).drop("_rows")
-    inside = window_self_join(moments, ticks, keys, at, earlier, lower, upper, [at], heavy=[])
+    inside = window_self_join(moments, ticks, keys, at, earlier, lower, upper, [at], heavy={})
     stats = (
         inside.where(F.col("_n").isNotNull())
         .groupBy(*keys, at)
@@ -111,6 +119,6 @@ def window_self_summary(
     return salted_join(left, stats, [*keys, at], spread, how="left", heavy=heavy).withColumn("matches", F.coalesce("matches", F.lit(0)))
 
 
-def attach_group_index(df: DataFrame, index: DataFrame, keys: Sequence[str], spread: Sequence[str], heavy: Sequence[int] | None = None) -> DataFrame:
-    """Inner join of rows with their group's statistics."""
-    return salted_join(df, index, keys, spread, heavy=heavy)
+def attach_group_index(df: DataFrame, index: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join of rows with their group's statistics, one row per group."""
+    return df.join(index, list(keys))

@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.functions import numeric
 from millrace.functions.text import words
 from millrace.operators.counting import class_word_pivot, top_n_per_group
-from millrace.operators.skew import heavy_hashes, salted_join
+from millrace.operators.skew import salted_join
+from millrace.session import stored
 
 
 def corpus_totals(docs: DataFrame, label: str, text: str | Column = "text") -> DataFrame:
@@ -73,11 +74,10 @@ def classify(docs: DataFrame, model: DataFrame, priors: DataFrame, doc: str, lab
         .groupBy("_doc", "_label", "word")
         .agg(F.count("*").alias("_n"))
     )
+    bags = stored(bags)  # read to measure its words, and to score them
     logs = model.select("word", numeric.safe_log(F.col("p0")).alias("_l0"), numeric.safe_log(F.col("p1")).alias("_l1"))
-    # measured on the words of each text, which needs no shuffle
-    heavy = heavy_hashes(docs.select(F.explode(F.array_distinct(words(text))).alias("word")), ["word"])[0]
     scored = (
-        salted_join(bags, logs, ["word"], ["_doc"], how="left", heavy=heavy)
+        salted_join(bags, logs, ["word"], ["_doc"], how="left")
         .groupBy("_doc", "_label")
         .agg(
             F.sum(F.coalesce(F.col("_n") * F.col("_l0"), F.lit(0.0))).alias("_s0"),

@@ -9,8 +9,7 @@ from millrace.session import cut_lineage
 
 FAN = 4  # every cell is cut into FAN x FAN children
 LEAF_SITES = 64
-MAX_DEPTH = 12
-SALTS = 8
+MAX_DEPTH = 31  # cell numbers stay below 2**62; distinct places part long before
 
 
 def _cell(axis: str, depth: int) -> Column:
@@ -56,28 +55,38 @@ def nearest_site(queries: DataFrame, sites: DataFrame, query: str, site: str, x:
     depth = _depth(places)
     asked = queries.select(F.col(query).alias("query"), F.col(x).cast("double").alias("qx"), F.col(y).cast("double").alias("qy")).na.drop()
 
-    frontier = asked.select("qx", "qy").distinct().select("qx", "qy", F.lit(0).cast("long").alias("cx"), F.lit(0).cast("long").alias("cy"))
-    for level in range(1, depth + 1):
-        boxes = (
+    points = asked.select("qx", "qy").distinct()
+    gap = lambda q, lo, hi: F.greatest(lo - q, q - hi, F.lit(0.0))
+    reach = lambda q, lo, hi: F.greatest(F.abs(q - lo), F.abs(q - hi))
+    near = lambda b: F.pow(gap(F.col("qx"), b("x0"), b("x1")), 2) + F.pow(gap(F.col("qy"), b("y0"), b("y1")), 2)
+    far = lambda b: F.pow(reach(F.col("qx"), b("x0"), b("x1")), 2) + F.pow(reach(F.col("qy"), b("y0"), b("y1")), 2)
+
+    def boxes_at(level: int) -> DataFrame:
+        return (
             places.groupBy(_cell("x", level).alias("nx"), _cell("y", level).alias("ny"))
             .agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
             .withColumn("cx", F.floor(F.col("nx") / FAN))
             .withColumn("cy", F.floor(F.col("ny") / FAN))
         )
-        keys = ["cx", "cy"]
+
+    # at most FAN**4 cells: one array, looked through by every point
+    roots = boxes_at(2).agg(F.collect_list(F.struct("nx", "ny", "x0", "x1", "y0", "y1")).alias("b"))
+    in_box = lambda x: (lambda c: x[c])
+    frontier = (
+        points.withColumn("_roots", roots.scalar())
+        .withColumn("_bound", F.array_min(F.transform("_roots", lambda x: far(in_box(x)))) * (1 + 1e-12))
+        .select("qx", "qy", F.explode(F.filter("_roots", lambda x: near(in_box(x)) <= F.col("_bound"))).alias("_b"))
+        .select("qx", "qy", F.col("_b.nx").alias("cx"), F.col("_b.ny").alias("cy"))
+    )
+    for level in range(3, depth + 1):
+        boxes = boxes_at(level)
         if FAN ** (2 * level) <= 4096:
-            boxes = F.broadcast(boxes)  # at most 4096 cells exist at this depth
+            met = frontier.join(F.broadcast(boxes), ["cx", "cy"])  # at most 4096 cells exist at this depth
         else:
-            # a crowded cell may hold a large part of the queries
-            boxes = boxes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-            frontier = frontier.withColumn("_salt", F.pmod(F.xxhash64("qx", "qy"), F.lit(SALTS)).cast("int"))
-            keys = keys + ["_salt"]
-        gap = lambda q, lo, hi: F.greatest(F.col(lo) - F.col(q), F.col(q) - F.col(hi), F.lit(0.0))
-        reach = lambda q, lo, hi: F.greatest(F.abs(F.col(q) - F.col(lo)), F.abs(F.col(q) - F.col(hi)))
+            met = salted_join(frontier, boxes, ["cx", "cy"], ["qx", "qy"])
         frontier = (
-            frontier.join(boxes, keys)
-            .withColumn("_near", F.pow(gap("qx", "x0", "x1"), 2) + F.pow(gap("qy", "y0", "y1"), 2))
-            .withColumn("_far", F.pow(reach("qx", "x0", "x1"), 2) + F.pow(reach("qy", "y0", "y1"), 2))
+            met.withColumn("_near", near(F.col))
+            .withColumn("_far", far(F.col))
             .withColumn("_bound", F.min("_far").over(Window.partitionBy("qx", "qy")))
             .where(F.col("_near") <= F.col("_bound") * (1 + 1e-12))
             .select("qx", "qy", F.col("nx").alias("cx"), F.col("ny").alias("cy"))
@@ -85,7 +94,7 @@ def nearest_site(queries: DataFrame, sites: DataFrame, query: str, site: str, x:
     leaves = places.select("site", "x", "y", _cell("x", depth).alias("cx"), _cell("y", depth).alias("cy"))
     d2 = F.pow(F.col("x") - F.col("qx"), 2) + F.pow(F.col("y") - F.col("qy"), 2)
     best = (
-        frontier.join(leaves, ["cx", "cy"])
+        salted_join(frontier, leaves, ["cx", "cy"], ["qx", "qy"])
         .groupBy("qx", "qy")
         .agg(F.min(F.struct(d2.alias("d2"), F.col("site"))).alias("_b"))
         .select("qx", "qy", "_b.site", F.sqrt("_b.d2").alias("distance"))

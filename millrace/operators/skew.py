@@ -2,45 +2,62 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.session import shuffle_width
+from millrace.session import stored
 
-# A key is heavy when it holds more than 1/SHARE of the rows: fewer than
-# SHARE keys can, whatever the data, so the list of heavy keys is bounded.
-SHARE = 100
-SALTS = 64
-_TRACKED = 10_000  # sketch size; its count error is far below 1/SHARE
+# A key with more rows than a task should hold is heavy and is split into as
+# many parts as it holds such portions.
+ROWS_PER_TASK = 1_000_000
+# Keys are measured on one row in SAMPLE, so that measuring moves little.
+SAMPLE = 64
+# Of the heavy keys, the heaviest so many are split; any other then holds less
+# than 1/LISTED of the rows.
+LISTED = 10_000
 
+Heavy = Mapping[int, int]
 
-def heavy_hashes(df: DataFrame, *key_lists: Sequence[str]) -> list[list[int]]:
-    """Hashes of the heavy keys of ``df``, one list per list of key columns.
 
-    One pass over the key columns with a frequent-items sketch per list. The
-    sketches merge map-side: no shuffle by key, and at most ``SHARE`` numbers
-    per list reach the driver. The counts are estimates; they decide how rows
-    are spread and never what a join returns.
+def heavy_keys(df: DataFrame, *key_lists: Sequence[str]) -> list[dict[int, int]]:
+    """Heavy keys of ``df`` per list of key columns: hash of the key and the
+    number of parts it is to be split into.
+
+    One pass over a sample of the rows, counted by key hash with partial sums
+    in every task: nothing meets in one place but the counts that are large.
+    They decide how rows are spread and never what a join returns.
     """
-    hashes = df.select(*[F.xxhash64(*keys).alias(f"_h{i}") for i, keys in enumerate(key_lists)])
-    tops = [F.expr(f"approx_top_k(_h{i}, {SHARE}, {_TRACKED})").alias(f"_t{i}") for i in range(len(key_lists))]
-    row = hashes.agg(F.count("*").alias("_n"), *tops).first()
-    return [[t["item"] for t in row[f"_t{i}"] if t["count"] * SHARE > row["_n"]] for i in range(len(key_lists))]
+    some = df.sample(1 / SAMPLE, 42) if SAMPLE > 1 else df
+    keyed = F.array(*[F.struct(F.lit(i).alias("list"), F.xxhash64(*keys).alias("hash")) for i, keys in enumerate(key_lists)])
+    rows = F.count("*") * SAMPLE
+    large = (
+        some.select(F.inline(keyed)).groupBy("list", "hash").agg(rows.alias("n"))
+        .where(F.col("n") > ROWS_PER_TASK)
+        .orderBy(F.desc("n"), "list", "hash").limit(LISTED)
+    )
+    out: list[dict[int, int]] = [{} for _ in key_lists]
+    for r in large.collect():
+        out[r["list"]][r["hash"]] = -(-r["n"] // ROWS_PER_TASK)
+    return out
 
 
-def is_heavy(heavy: Sequence[int], *keys: Column | str) -> Column:
-    return F.xxhash64(*keys).isin(*heavy)
+def parts(heavy: Heavy, *keys: Column | str) -> Column:
+    """Number of parts of a row's key."""
+    if not heavy:
+        return F.lit(1).cast("long")
+    listed = F.create_map(*[F.lit(x).cast("long") for pair in heavy.items() for x in pair])
+    return F.coalesce(F.try_element_at(listed, F.xxhash64(*keys)), F.lit(1).cast("long"))
 
 
-def own_salt(heavy: Sequence[int], keys: Sequence[Column | str], spread: Sequence[Column | str], salts: int = SALTS) -> Column:
-    """Sub-key of a row: by the hash of ``spread`` for heavy keys, else 0."""
-    return F.when(is_heavy(heavy, *keys), F.pmod(F.xxhash64(*spread), F.lit(salts))).otherwise(F.lit(0)).cast("int")
+def own_salt(heavy: Heavy, keys: Sequence[Column | str], spread: Sequence[Column | str]) -> Column:
+    """Part of a row of a heavy key, by the hash of ``spread``; else 0."""
+    return F.pmod(F.xxhash64(*spread), parts(heavy, *keys)).cast("int")
 
 
-def every_salt(heavy: Sequence[int], keys: Sequence[Column | str], salts: int = SALTS) -> Column:
-    """All sub-keys a key's rows were sent to."""
-    return F.when(is_heavy(heavy, *keys), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+def every_salt(heavy: Heavy, keys: Sequence[Column | str]) -> Column:
+    """All parts a key's rows were sent to."""
+    return F.sequence(F.lit(0), (parts(heavy, *keys) - 1).cast("int"))
 
 
 def salted_join(
@@ -49,37 +66,51 @@ def salted_join(
     keys: Sequence[str],
     spread: Sequence[Column | str],
     how: str = "inner",
-    heavy: Sequence[int] | None = None,
+    heavy: Heavy | None = None,
     residual: Column | None = None,
-    salts: int = SALTS,
+    heavy_right: Heavy | None = None,
 ) -> DataFrame:
-    """Equi-join ``left`` to ``right`` on ``keys`` with heavy left keys split.
+    """Equi-join ``left`` to ``right`` on ``keys`` with heavy keys split.
 
-    Left rows of a heavy key go to one of ``salts`` sub-keys chosen by a hash
-    of ``spread`` (columns that tell the key's rows apart); right rows of that
-    key are copied to each sub-key. All other rows keep sub-key 0. Every
-    matching pair meets exactly once, so inner and left joins are unchanged.
-    Without a heavy key this is the plain join.
+    Left rows of a heavy key go to one of its parts, chosen by a hash of
+    ``spread`` (columns that tell the key's rows apart); right rows of that key
+    are copied to each part. All other rows keep part 0. Every matching pair
+    meets exactly once, so inner and left joins are unchanged. Without a heavy
+    key this is the plain join.
 
-    ``heavy`` may bring hashes measured elsewhere, such as on the table that
+    ``heavy`` may bring keys measured elsewhere, such as on the table that
     ``left`` was built from; otherwise ``left`` itself is measured.
-    ``residual`` is a further condition on ``l.…`` and ``r.…`` columns.
+    ``heavy_right`` splits the right side as well, so that the rows of a key
+    meet on a grid; a left join then is the inner join and the left rows
+    without partner, so it takes no ``residual``, a further condition on
+    ``l.…`` and ``r.…`` columns.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
+    if heavy_right and how == "left" and residual is not None:
+        raise ValueError("a left join with a residual splits the left side only")
     keys = list(keys)
-    heavy = heavy_hashes(left, keys)[0] if heavy is None else heavy
+    heavy = heavy_keys(left, keys)[0] if heavy is None else heavy
+    heavy_right = heavy_right or {}
+    types = {f.name: f.dataType for f in left.schema}
+    same = [F.col(k).try_cast(types[k]) for k in keys]  # hash both sides as one type
+    if heavy_right and how == "left":
+        met = salted_join(left, right, keys, spread, "inner", heavy, None, heavy_right)
+        known = right.select(*[c.alias(k) for c, k in zip(same, keys)]).distinct()
+        alone = salted_join(left, known.withColumn("_known", F.lit(True)), keys, spread, "left", heavy).where("_known IS NULL").drop("_known")
+        return met.unionByName(alone, allowMissingColumns=True).select(met.columns)
     on = keys
     left_cols, right_cols = left.columns, [c for c in right.columns if c not in keys]
     if heavy:
-        types = {f.name: f.dataType for f in left.schema}
-        same = [F.col(k).try_cast(types[k]) for k in keys]  # hash both sides as one type
-        left = left.withColumn("_salt", own_salt(heavy, keys, spread, salts))
-        right = right.withColumn("_salt", F.explode(every_salt(heavy, same, salts)))
-        on = [*keys, "_salt"]
+        left = left.withColumn("_salt", own_salt(heavy, keys, spread))
+        right = right.withColumn("_salt", F.explode(every_salt(heavy, same)))
+        on = [*on, "_salt"]
+    if heavy_right:
+        left = left.withColumn("_salt_right", F.explode(every_salt(heavy_right, keys)))
+        right = right.withColumn("_salt_right", own_salt(heavy_right, same, right_cols))
+        on = [*on, "_salt_right"]
     if residual is None:
-        joined = left.join(right, on, how)
-        return joined.drop("_salt") if heavy else joined
+        return left.join(right, on, how).drop("_salt", "_salt_right")
     condition = residual
     for key in on:
         condition = condition & (F.col(f"l.{key}") == F.col(f"r.{key}"))
@@ -90,32 +121,37 @@ def salted_join(
     )
 
 
-def global_rank(df: DataFrame, key: str, name: str = "rank", buckets: int | None = None) -> DataFrame:
-    """1-based position of every row in the order of a unique numeric ``key``.
+_INSIDE = 33  # bits of the row number that monotonically_increasing_id keeps per task
+
 
-    A window without partitions would put all rows into one task. Here the
-    key range is cut at approximate quantiles, rows are ranked inside their
-    bucket, and the sizes of the earlier buckets are added. The cuts decide
-    only the balance; the rank is exact.
+def running(df: DataFrame, order: Sequence[Column | str], sums: Mapping[str, str]) -> DataFrame:
+    """``df`` in global ``order`` with running totals of some columns, the
+    row's own value included: ``sums`` maps new names to columns.
+
+    A window without partitions would put all rows into one task. Here rows
+    are range-partitioned and written once; totals run inside each part, and
+    the totals of the earlier parts, one row per part, are added.
     """
-    buckets = buckets or max(2, min(512, shuffle_width(df.sparkSession)))
-    if buckets < 2:
-        raise ValueError("global_rank needs at least two buckets")
-    probes = [i / buckets for i in range(1, buckets)]
-    cuts = df.agg(F.percentile_approx(key, probes, 10_000).alias("c"))
-    bucketed = df.withColumn("_cuts", cuts.scalar()).withColumn(
-        "_bucket", F.expr(f"size(filter(_cuts, c -> c < {key}))")
-    ).drop("_cuts")
-    sizes = bucketed.groupBy("_bucket").agg(F.count("*").alias("_n"))
-    # one row per bucket, so the running total is a window over <= 512 rows
-    before = sizes.withColumn(
-        "_before",
-        F.coalesce(F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-    ).select("_bucket", "_before")
-    within = F.row_number().over(Window.partitionBy("_bucket").orderBy(key))
-    return (
-        bucketed.withColumn("_within", within)
-        .join(F.broadcast(before), "_bucket")
-        .withColumn(name, F.col("_within") + F.col("_before"))
-        .drop("_bucket", "_within", "_before")
-    )
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = stored(ranged.withColumn("_row", F.monotonically_increasing_id()))
+    part = F.shiftright("_row", _INSIDE)
+    whole = placed.groupBy(part.alias("_part")).agg(*[F.sum(c).alias(f"_t{i}") for i, c in enumerate(sums.values())])
+    # one row per part
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = whole.select("_part", *[F.coalesce(F.sum(f"_t{i}").over(earlier), F.lit(0)).alias(f"_b{i}") for i in range(len(sums))])
+    inside = Window.partitionBy("_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
+    rows = placed.withColumn("_part", part).withColumns({f"_s{i}": F.sum(c).over(inside) for i, c in enumerate(sums.values())})
+    joined = rows.join(before, "_part")
+    return joined.select(*df.columns, *[(F.col(f"_s{i}") + F.col(f"_b{i}")).alias(name) for i, name in enumerate(sums)])
+
+
+def global_rank(df: DataFrame, key: str, name: str = "rank") -> DataFrame:
+    """1-based position of every row in the order of a unique ``key``: range
+    partitions, row numbers inside them, and the sizes of the earlier ones."""
+    ranged = df.repartitionByRange(key).sortWithinPartitions(key)
+    placed = stored(ranged.withColumn("_row", F.monotonically_increasing_id()))
+    part, inside = F.shiftright("_row", _INSIDE), F.col("_row").bitwiseAND((1 << _INSIDE) - 1)
+    # one row per part
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    return placed.withColumn("_part", part).join(before, "_part").withColumn(name, inside + F.col("_before") + 1).drop("_part", "_row", "_before")

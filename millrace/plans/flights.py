@@ -13,8 +13,8 @@ from millrace.operators.joins import attach_group_index, hourly_lookup, role_loo
 from millrace.operators.nearest import nearest_site
 from millrace.operators.profile import group_means, group_medians
 from millrace.operators.sampling import time_split
-from millrace.operators.skew import heavy_hashes
-from millrace.session import cut_lineage
+from millrace.operators.skew import Heavy, heavy_keys
+from millrace.session import stored
 from millrace.sources.readers import parquet
 
 # Column lists of the job.
@@ -53,15 +53,13 @@ SPREAD = ["TAIL_NUM", "FL_DATE", "DEP_TIME", "CRS_ARR_TIME"]
 
 
 # Inbound legs arrive between these bounds before departure.
-INBOUND_WINDOW = {"hhmm": (200, 400), "minutes": (120, 240)}
+INBOUND_WINDOW = {"hhmm": (200, 400), "minutes": (120, 240), "dated": (120, 240)}
 
 # Key columns of the joins of the job.
+INDEX_KEYS = ["OP_CARRIER", "ORIGIN_AIRPORT_ID"]
 FLIGHT_KEYS = {
     "INBOUND": ["ORIGIN_AIRPORT_ID", "TAIL_NUM", "FL_DATE", "_bucket"],
     "MOMENT": ["ORIGIN_AIRPORT_ID", "TAIL_NUM", "FL_DATE", "_at"],
-    "INDEX": ["OP_CARRIER", "ORIGIN_AIRPORT_ID"],
-    "ORIGIN": ["ORIGIN_AIRPORT_ID"],
-    "DEST": ["DEST_AIRPORT_ID"],
     "ORIGIN_HOUR": ["ORIGIN_AIRPORT_ID", "FL_DATE", "DEP_HOUR"],
     "DEST_HOUR": ["DEST_AIRPORT_ID", "FL_DATE", "DEP_HOUR"],
 }
@@ -112,22 +110,22 @@ def station_index(weather: DataFrame, coordinates: DataFrame) -> DataFrame:
     return airports.join(nearest.select("AIRPORT_ID", "STATION"), "AIRPORT_ID")
 
 
-def heavy_flight_keys(flights: DataFrame, clock: str = "hhmm") -> dict[str, list[int]]:
-    """The heavy keys of all joins of the feature job, from one pass over the
-    plain flights. Later joins multiply or drop rows, but a key that is heavy
-    there is one that is heavy here."""
+def heavy_flight_keys(flights: DataFrame, clock: str = "hhmm") -> dict[str, Heavy]:
+    """The heavy keys of the large joins of the feature job, from one pass over
+    a sample of the plain flights. Rows that a later join multiplies are left
+    to the adaptive skew join."""
     lower, upper = INBOUND_WINDOW[clock]
     at = departure(clock)
     timed = flights.withColumns({"_at": at, "_bucket": window_bucket(at, lower, upper)})
-    names = list(FLIGHT_KEYS)
-    return dict(zip(names, heavy_hashes(timed, *[FLIGHT_KEYS[n] for n in names])))
+    keys = {n: [c for c in k if c != "FL_DATE" or clock != "dated" or n.endswith("HOUR")] for n, k in FLIGHT_KEYS.items()}
+    return dict(zip(keys, heavy_keys(timed, *keys.values())))
 
 
 def attach_weather(
     flights: DataFrame,
     weather: DataFrame,
     index: DataFrame,
-    heavy: dict[str, list[int]] | None = None,
+    heavy: dict[str, Heavy] | None = None,
     offset_hours: int = 0,
     hourly_means: bool = False,
 ) -> DataFrame:
@@ -142,7 +140,7 @@ def attach_weather(
     out = flights
     for role, station in (("ORIGIN", "ORG_WS_ID"), ("DEST", "DEST_WS_ID")):
         names = {"LATITUDE": f"{role}_LAT", "LONGITUDE": f"{role}_LON", "STATION": station}
-        out = role_lookup(out, index, f"{role}_AIRPORT_ID", "AIRPORT_ID", names, SPREAD, heavy[role])
+        out = role_lookup(out, index, f"{role}_AIRPORT_ID", "AIRPORT_ID", names)
     used = weather.join(index.select("AIRPORT_ID", "STATION"), "STATION").withColumn(
         "_at", F.expr(f"timestampadd(HOUR, {offset_hours}, timestampadd(HOUR, HOUR_PART, CAST(DATE_PART AS TIMESTAMP_NTZ)))")
     ).withColumn("_date", F.to_date("_at")).withColumn("_hour", F.hour("_at"))
@@ -155,32 +153,50 @@ def attach_weather(
     return out
 
 
+def _days() -> Column:
+    return F.datediff(F.to_date("FL_DATE"), F.lit("1970-01-01").cast("date")) * 1440
+
+
 def departure(clock: str) -> Column:
-    return F.col("DEP_TIME").cast("int") if clock == "hhmm" else clock_minutes("DEP_TIME")
+    if clock == "hhmm":
+        return F.col("DEP_TIME").cast("int")
+    return clock_minutes("DEP_TIME") + (_days() if clock == "dated" else F.lit(0))
+
 
+def arrival(clock: str) -> Column:
+    """With ``dated``, an arrival before its own departure is on the next day."""
+    if clock == "hhmm":
+        return F.col("CRS_ARR_TIME").cast("int")
+    landed = clock_minutes("CRS_ARR_TIME")
+    if clock == "minutes":
+        return landed
+    return _days() + landed + F.when(landed < clock_minutes("DEP_TIME"), 1440).otherwise(0)
 
-def attach_inbound(flights: DataFrame, clock: str = "hhmm", compact: bool = False, heavy: dict[str, list[int]] | None = None) -> DataFrame:
+
+def attach_inbound(flights: DataFrame, clock: str = "hhmm", compact: bool = False, heavy: dict[str, Heavy] | None = None) -> DataFrame:
     """Arrival delay of the same aircraft's inbound leg: same day, arriving at
     the airport of departure between two and four hours before it.
 
     ``hhmm`` compares the clock numbers, 200 and 400 apart; ``minutes``
-    compares minutes of the day. Each inbound leg gives a row. ``compact``
+    compares minutes of the day; ``dated`` compares minutes across midnight,
+    so the leg may be of the day before. Each inbound leg gives a row. ``compact``
     gives one row per flight instead: the number of legs (``INBOUND_LEGS``)
     and their mean delay.
     """
     heavy = heavy_flight_keys(flights, clock) if heavy is None else heavy
-    arrival = F.col("CRS_ARR_TIME").cast("int") if clock == "hhmm" else clock_minutes("CRS_ARR_TIME")
     outbound = flights.drop("ARR_DELAY_NEW").withColumn("_at", departure(clock))
     inbound = flights.select(
         F.col("DEST_AIRPORT_ID").alias("ORIGIN_AIRPORT_ID"),
         "TAIL_NUM",
         "FL_DATE",
-        arrival.alias("_arrival"),
+        arrival(clock).alias("_arrival"),
         F.col("CRS_ARR_TIME").alias("INBOUND_CRS_ARR_TIME"),
         F.col("ARR_DELAY_NEW").alias("INBOUND_ARR_DELAY_NEW"),
     )
     lower, upper = INBOUND_WINDOW[clock]
-    keys = FLIGHT_KEYS["INBOUND"][:-1]
+    keys = FLIGHT_KEYS["INBOUND"][: 2 if clock == "dated" else 3]
+    if clock == "dated":
+        inbound = inbound.drop("FL_DATE")
     spread = ["DEP_TIME", "CRS_ARR_TIME", "DEST_AIRPORT_ID", "OP_CARRIER"]
     if not compact:
         return window_self_join(outbound, inbound, keys, "_at", "_arrival", lower, upper, spread, heavy["INBOUND"]).drop("_at", "_arrival")
@@ -191,15 +207,14 @@ def attach_inbound(flights: DataFrame, clock: str = "hhmm", compact: bool = Fals
 
 def delay_index(flights: DataFrame, statistic: str = "mean") -> DataFrame:
     """Delay statistics per (carrier, airport of departure)."""
-    keys = FLIGHT_KEYS["INDEX"]
+    keys = INDEX_KEYS
     if statistic == "mean":
         return group_means(flights, keys, INDEXED_DELAYS)
     return group_medians(flights, keys, INDEXED_DELAYS)
 
 
-def attach_delay_index(flights: DataFrame, index: DataFrame, heavy: dict[str, list[int]] | None = None) -> DataFrame:
-    heavy = heavy_flight_keys(flights) if heavy is None else heavy
-    return attach_group_index(flights, index, FLIGHT_KEYS["INDEX"], SPREAD, heavy["INDEX"])
+def attach_delay_index(flights: DataFrame, index: DataFrame) -> DataFrame:
+    return attach_group_index(flights, index, INDEX_KEYS)
 
 
 def flight_features(
@@ -211,6 +226,7 @@ def flight_features(
     statistic: str = "mean",
     offset_hours: int = 0,
     compact: bool = False,
+    clock: str = "hhmm",
 ) -> DataFrame:
     """All features of clean flights. Version 1 is ``inbound=False`` without
     ``index_flights``; version 2 adds the inbound leg; version 3 adds the
@@ -219,12 +235,12 @@ def flight_features(
     Every matching leg and report gives a row. ``compact`` keeps one row per
     flight, with means over its legs and over the reports of an hour, however
     many rows an aircraft, a day or a station-hour holds."""
-    heavy = heavy_flight_keys(flights)
+    heavy = heavy_flight_keys(flights, clock)
     out = flights
     if inbound:
-        out = attach_inbound(out, compact=compact, heavy=heavy)
+        out = attach_inbound(out, clock, compact, heavy)
     if index_flights is not None:
-        out = attach_delay_index(out, delay_index(index_flights, statistic), heavy)
+        out = attach_delay_index(out, delay_index(index_flights, statistic))
     return attach_weather(out, weather, station_index(weather, coordinates), heavy, offset_hours, hourly_means=compact)
 
 
@@ -236,7 +252,7 @@ def labelled(df: DataFrame, features: Sequence[str], keep: Sequence[str] = (), l
 def train_best(features: DataFrame, test_from: int, max_iter: int = 30):
     """Gradient-boosted trees on the 23 features; years before ``test_from``
     train. Returns the model and the test rows."""
-    rows = cut_lineage(labelled(time_split(features, F.col("YEAR"), test_from), BEST_SET, ["is_train"])).persist()
+    rows = stored(labelled(time_split(features, F.col("YEAR"), test_from), BEST_SET, ["is_train"]))
     model = fit(rows.where("is_train"), LABEL, BEST_SET, "gbt", max_iter=max_iter)
     return model, rows.where("NOT is_train").drop("is_train")
 
@@ -248,7 +264,7 @@ def score_flights(
     flights = load_flights(spark, flight_paths)
     weather = load_weather(spark, weather_paths)
     heavy = heavy_flight_keys(flights)
-    rows = attach_delay_index(attach_inbound(flights, heavy=heavy), index, heavy)
+    rows = attach_delay_index(attach_inbound(flights, heavy=heavy), index)
     stations = station_index(weather, coordinates) if known_stations is None else known_stations
     ready = attach_weather(rows, weather, stations, heavy)
     return score(load_model(model_path), labelled(ready, BEST_SET))
