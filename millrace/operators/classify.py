@@ -6,12 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions import numeric
-from millrace.session import cut_lineage
+from millrace.operators.skew import running
+from millrace.session import stored
 
 MODELS = ("lr", "lr_plain", "rf", "gbt")
 
@@ -90,39 +90,51 @@ def confusion_metrics(predictions: DataFrame, label: str, prediction: str = "pre
     )
 
 
-def ranking_metrics(predictions: DataFrame, label: str) -> tuple[float, float]:
-    """Area under the ROC and the precision-recall curve."""
-    judge = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction")
-    return (
-        judge.evaluate(predictions, {judge.metricName: "areaUnderROC"}),
-        judge.evaluate(predictions, {judge.metricName: "areaUnderPR"}),
+def threshold_counts(scored: DataFrame, label: str, score: str = "p1") -> DataFrame:
+    """``(score, pos, neg, tp, fp)`` per different score: rows with that
+    score, and rows with at least that score, by class."""
+    y = (F.col(label) == 1).cast("long")
+    counts = scored.groupBy(F.col(score).alias("score")).agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
+    return running(counts, [F.desc("score")], {"tp": "pos", "fp": "neg"})
+
+
+def ranking_metrics(scored: DataFrame, label: str, score: str = "p1") -> DataFrame:
+    """One row, ``auroc`` and ``auprc``: areas under the curves through the
+    points of all different scores, without binning; null where undefined."""
+    tp, fp, pos, neg = (F.col(c).cast("double") for c in ("tp", "fp", "pos", "neg"))
+    here = tp / (tp + fp)
+    before = F.when(tp + fp == pos + neg, here).otherwise(F.try_divide(tp - pos, tp - pos + fp - neg))
+    sums = threshold_counts(scored, label, score).agg(
+        F.sum(neg * (2 * tp - pos) / 2).alias("_roc"), F.sum(pos * (here + before) / 2).alias("_pr"), F.max(tp).alias("_p"), F.max(fp).alias("_n")
+    )
+    return sums.select(numeric.ratio(F.col("_roc"), F.col("_p") * F.col("_n")).alias("auroc"), numeric.ratio(F.col("_pr"), F.col("_p")).alias("auprc"))
+
+
+def roc_curve(scored: DataFrame, label: str, score: str = "p1") -> DataFrame:
+    """``(FPR, TPR)`` at every different score, and the origin."""
+    points = threshold_counts(scored, label, score)
+    total = points.agg(F.struct(F.max("tp").alias("p"), F.max("fp").alias("n")).alias("t"))
+    curve = points.withColumn("_t", total.scalar()).select(
+        numeric.ratio(F.col("fp"), F.col("_t.n")).alias("FPR"), numeric.ratio(F.col("tp"), F.col("_t.p")).alias("TPR")
     )
+    return curve.union(scored.sparkSession.createDataFrame([(0.0, 0.0)], "FPR double, TPR double"))
 
 
 def report(rows: DataFrame, is_train: str, label: str, features: Sequence[str], kinds: Sequence[str], **params) -> DataFrame:
     """One row per model: ranking and class-1 metrics on the test rows.
 
-    ``rows`` holds label, features and the train mark. It is checkpointed and
-    cached before the first model: the joins behind it run once, not once per
+    ``rows`` holds label, features and the train mark. It is written once
+    before the first model: the joins behind it run once, not once per
     iteration, and a lost executor costs a re-read.
     """
-    spark = rows.sparkSession
-    rows = cut_lineage(rows).persist()
+    rows = stored(rows)
     train, test = rows.where(F.col(is_train)), rows.where(~F.col(is_train))
-    out = []
+    out = None
     for kind in kinds:
-        model = fit(train, label, features, kind, **params)
-        predicted = model.transform(test).select(label, "rawPrediction", "prediction").persist()
-        auroc, auprc = ranking_metrics(predicted, label)
-        m = confusion_metrics(predicted, label).first()
-        predicted.unpersist()
-        out.append((kind, float(auroc), float(auprc), *[m[c] for c in m.__fields__]))
-    rows.unpersist()
-    return spark.createDataFrame(
-        out,
-        "model string, auroc double, auprc double, rows long, positive_rate double, accuracy double, f1 double, "
-        "precision double, recall double, false_positive_rate double, true_positive_rate double",
-    )
+        predicted = stored(score(fit(train, label, features, kind, **params), test).select(label, "p1", "prediction"))
+        row = ranking_metrics(predicted, label).join(confusion_metrics(predicted, label)).select(F.lit(kind).alias("model"), "*")
+        out = row if out is None else out.union(row)
+    return out
 
 
 def importances(model: PipelineModel, features: Sequence[str], spark) -> DataFrame:
@@ -131,7 +143,3 @@ def importances(model: PipelineModel, features: Sequence[str], spark) -> DataFra
     rows = [(f, float(scores[i])) for i, f in enumerate(features)]
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
-
-def roc_curve(model: PipelineModel) -> DataFrame:
-    """Training ROC curve of a fitted logistic regression."""
-    return model.stages[-1].summary.roc

@@ -5,9 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions import numeric
+from millrace.operators.skew import ROWS_PER_TASK
+from millrace.session import stored
+
+_NARROW = 200  # parts into which a range is cut at once
 
 
 def _long(row: DataFrame, names: Sequence[str], value: str, key: str = "column") -> DataFrame:
@@ -68,21 +72,16 @@ def outcome_odds(df: DataFrame, outcome: Column) -> DataFrame:
 def outcome_rates(df: DataFrame, outcome: Column, dims: Mapping[str, Column]) -> DataFrame:
     """``(dimension, value, rate, n)`` for several dimensions in one pass.
 
-    Rows are first counted per combination of all dimensions (map-side), and
-    only those counts are expanded into one grouping set per dimension.
+    A row becomes one cell per dimension, summed map-side: what is shuffled
+    are the values of each dimension, never their combinations.
     """
-    names = list(dims)
-    cells = (
-        df.select(*[c.cast("string").alias(n) for n, c in dims.items()], outcome.cast("int").alias("_y"))
-        .groupBy(*names)
-        .agg(F.sum("_y").alias("_hits"), F.count("_y").alias("_n"))
-    )
-    sets = cells.groupingSets([[n] for n in names], *names).agg(
-        *[F.grouping(n).alias(f"_g_{n}") for n in names], F.sum("_hits").alias("_hits"), F.sum("_n").alias("n")
+    cells = F.array(*[F.struct(F.lit(n).alias("dimension"), c.cast("string").alias("value")) for n, c in dims.items()])
+    counted = (
+        df.select(outcome.cast("int").alias("_y"), F.explode(cells).alias("_c"))
+        .groupBy("_c.dimension", "_c.value")
+        .agg(F.sum("_y").alias("_hits"), F.count("_y").alias("n"))
     )
-    dimension = F.coalesce(*[F.when(F.col(f"_g_{n}") == 0, F.lit(n)) for n in names])
-    value = F.coalesce(*[F.when(F.col(f"_g_{n}") == 0, F.col(n)) for n in names])
-    return sets.select(dimension.alias("dimension"), value.alias("value"), numeric.ratio(F.col("_hits"), F.col("n")).alias("rate"), "n")
+    return counted.select("dimension", "value", numeric.ratio(F.col("_hits"), F.col("n")).alias("rate"), "n")
 
 
 def group_means(df: DataFrame, keys: Sequence[str], measures: Sequence[str], prefix: str = "MEAN_") -> DataFrame:
@@ -90,8 +89,9 @@ def group_means(df: DataFrame, keys: Sequence[str], measures: Sequence[str], pre
 
 
 def group_medians(df: DataFrame, keys: Sequence[str], measures: Sequence[str], prefix: str = "MEDIAN_", accuracy: int = 10_000) -> DataFrame:
-    """Approximate medians; the sketches merge map-side, so a large group
-    does not gather its rows in one place."""
+    """Approximate medians: their rank is off by at most ``n / accuracy``. The
+    sketches merge map-side, so a large group does not gather its rows in one
+    place."""
     return df.groupBy(*keys).agg(*[F.percentile_approx(m, 0.5, accuracy).alias(prefix + m) for m in measures])
 
 
@@ -121,14 +121,72 @@ def histogram(df: DataFrame, col: str, bins: int, upper: float | None = None) ->
     )
 
 
-def box_stats(df: DataFrame, by: str, measure: str, accuracy: int = 1_000_000) -> DataFrame:
-    """Minimum, quartiles, maximum and count of a measure per class."""
-    q = F.percentile_approx(measure, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), accuracy)
-    return (
-        df.groupBy(by)
-        .agg(F.min(measure).alias("low"), q.alias("_q"), F.max(measure).alias("high"), F.count(measure).alias("n"))
-        .select(by, "low", F.get("_q", F.lit(0)).alias("q1"), F.get("_q", F.lit(1)).alias("median"), F.get("_q", F.lit(2)).alias("q3"), "high", "n")
+_QUARTILES = (0.25, 0.5, 0.75)
+
+
+def exact_quantiles(df: DataFrame, by: str, value: str, probs: Sequence[float] = _QUARTILES, at_once: int = ROWS_PER_TASK) -> DataFrame:
+    """``(by, which, quantile)``: per group the smallest value that at least
+    ``ceil(p * n)`` rows do not exceed; ``which`` is the place in ``probs``.
+
+    Exact at any size. A range is kept around every wanted rank; while a range
+    holds more than ``at_once`` rows, a small mergeable sketch of its rows
+    narrows it, and the rows below are counted. Only what is left is sorted.
+    """
+    rows = df.select(F.col(by).alias("by"), F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull())
+    wanted = F.array(*[F.struct(F.lit(i).alias("which"), F.greatest(F.ceil(F.col("n") * p), F.lit(1)).alias("rank")) for i, p in enumerate(probs)])
+    ranges = (
+        rows.groupBy("by").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        .select("by", "n", "low", "high", F.inline(wanted))
     )
+    # per range: rows inside it, and the wanted rank among them
+    ranges = stored(ranges.select("by", "which", "low", "high", F.col("rank"), F.col("n").alias("inside")))
+    near = F.lit(2 / _NARROW)
+
+    def meet(ranges: DataFrame) -> DataFrame:
+        inside = (F.col("x.by").eqNullSafe(F.col("r.by"))) & F.col("x.v").between(F.col("r.low"), F.col("r.high"))
+        return rows.alias("x").join(ranges.alias("r"), inside).select("r.*", "x.v")
+
+    before = None
+    while True:
+        widest = ranges.agg(F.max("inside")).first()[0] or 0
+        # a range that no longer narrows holds few different values, which are counted
+        if widest <= at_once or (before is not None and widest >= before):
+            break
+        before = widest
+        wide = ranges.where(F.col("inside") > at_once)
+        share = F.col("rank") / F.col("inside")
+        cuts = meet(wide).groupBy("by", "which", "rank", "inside").agg(F.percentile_approx("v", F.array(*[F.lit(i / _NARROW) for i in range(_NARROW + 1)]), 20 * _NARROW).alias("cuts"))
+        step = lambda x: F.get("cuts", F.greatest(F.least(x, F.lit(_NARROW)), F.lit(0)).cast("int"))
+        narrow = cuts.select("by", "which", "rank", step(F.floor((share - near) * _NARROW)).alias("low"), step(F.ceil((share + near) * _NARROW)).alias("high"))
+        old = wide.select(F.col("by").alias("_by"), F.col("which").alias("_which"), F.col("low").alias("_low"), F.col("high").alias("_high"))
+        same = F.col("by").eqNullSafe(F.col("_by")) & (F.col("which") == F.col("_which"))
+        checked = (
+            rows.alias("x").join(narrow.join(old, same).alias("r"), F.col("x.by").eqNullSafe(F.col("r.by")) & F.col("x.v").between(F.col("r._low"), F.col("r._high")))
+            .groupBy("r.by", "r.which", "r.low", "r.high", "r.rank")
+            .agg(F.count_if(F.col("x.v") < F.col("r.low")).alias("below"), F.count_if(F.col("x.v").between(F.col("r.low"), F.col("r.high"))).alias("inside"))
+            .select("by", "which", "low", "high", (F.col("rank") - F.col("below")).alias("rank"), "inside")
+        )
+        one_value = F.col("low") == F.col("high")
+        checked = checked.withColumn("inside", F.when(one_value, F.lit(1)).otherwise(F.col("inside"))).withColumn("rank", F.when(one_value, F.lit(1)).otherwise(F.col("rank")))
+        ranges = stored(ranges.where(F.col("inside") <= at_once).unionByName(checked))
+    counts = meet(ranges).groupBy("by", "which", "rank", "v").agg(F.count("*").alias("n"))
+    upto = Window.partitionBy("by", "which").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    reached = counts.withColumn("upto", F.sum("n").over(upto)).where("upto >= rank")
+    return reached.groupBy("by", "which").agg(F.min("v").alias("quantile"))
+
+
+def _quartile_columns(df: DataFrame, by: str, value: str) -> DataFrame:
+    found = exact_quantiles(df, by, value)
+    return found.groupBy("by").agg(*[F.max(F.when(F.col("which") == i, F.col("quantile"))).alias(name) for i, name in enumerate(("q1", "median", "q3"))])
+
+
+def box_stats(df: DataFrame, by: str, measure: str) -> DataFrame:
+    """Minimum, exact quartiles, maximum and count of a measure per class."""
+    ends = df.groupBy(by).agg(F.min(measure).alias("low"), F.max(measure).alias("high"), F.count(measure).alias("n"))
+    quartiles = _quartile_columns(df, by, measure)
+    joined = ends.join(quartiles, F.col(by).eqNullSafe(F.col("by")), "left")
+    kind = ends.schema["low"].dataType
+    return joined.select(by, "low", *[F.col(q).cast(kind).alias(q) for q in ("q1", "median", "q3")], "high", "n")
 
 
 def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -139,26 +197,16 @@ def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return row.select(F.explode(cells).alias("_p")).select("_p.a", "_p.b", "_p.r")
 
 
-def describe(df: DataFrame, cols: Sequence[str], accuracy: int = 1_000_000) -> DataFrame:
-    """``(column, n, mean, stddev, low, q1, median, q3, high)`` in one pass."""
-    parts = []
-    for c in cols:
-        q = F.percentile_approx(F.col(c).cast("double"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), accuracy)
-        parts.append(
-            F.struct(
-                F.count(c).alias("n"),
-                F.avg(c).alias("mean"),
-                F.stddev_samp(c).alias("stddev"),
-                F.min(F.col(c).cast("double")).alias("low"),
-                q.alias("q"),
-                F.max(F.col(c).cast("double")).alias("high"),
-            )
-        )
-    row = df.agg(*[p.alias(f"_{i}") for i, p in enumerate(parts)])
-    return _long(row, list(cols), "s").select(
-        "column", "s.n", "s.mean", "s.stddev", "s.low",
-        F.get("s.q", F.lit(0)).alias("q1"), F.get("s.q", F.lit(1)).alias("median"), F.get("s.q", F.lit(2)).alias("q3"), "s.high",
+def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``(column, n, mean, stddev, low, q1, median, q3, high)``, quartiles
+    exact. Columns become rows, summed map-side."""
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])
+    long = df.select(F.inline(cells))
+    stats = long.groupBy("column").agg(
+        F.count("v").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("stddev"), F.min("v").alias("low"), F.max("v").alias("high")
     )
+    joined = stats.join(_quartile_columns(long, "column", "v"), F.col("column") == F.col("by"), "left")
+    return joined.select("column", "n", "mean", "stddev", "low", "q1", "median", "q3", "high")
 
 
 def row_count(df: DataFrame) -> DataFrame:

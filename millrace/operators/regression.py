@@ -180,6 +180,8 @@ def residuals(df: DataFrame, weights: dict[str, float], label: str, keep: Sequen
     return df.select(*keep, F.col(label), (F.col(label) - numeric.dot(weights)).alias("residual"))
 
 
-def residual_box(df: DataFrame, weights: dict[str, float], label: str) -> DataFrame:
-    """Residual quartiles per label value."""
-    return box_stats(residuals(df, weights, label), label, "residual")
+def residual_box(df: DataFrame, weights: dict[str, float], label: str, by: str | None = None) -> DataFrame:
+    """Residual quartiles per label value, or per value of a column ``by``,
+    such as a bucket of a continuous label."""
+    by = by or label
+    return box_stats(residuals(df, weights, label, [by] if by != label else []), by, "residual")

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from millrace.operators import classify, graph, regression, sampling
 from millrace.plans import derived, flights
-from millrace.plans.table_queries import flight_features
-from millrace.session import cut_lineage
+from millrace.plans.table_queries import FLIGHTS, clean_flights, flight_features
+from millrace.session import stored
 from millrace.sources.readers import table
 
 EDGES = """tr AS (SELECT 'c' || o_custkey AS c, 's' || l_suppkey AS s, l_linenumber = 1 AND l_suppkey % 2 = 0 AS back FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
@@ -67,8 +67,7 @@ PRICES = """pr AS (SELECT l_orderkey, l_quantity AS quantity, l_discount AS disc
    (l_orderkey % 5)::INT AS fold, l_orderkey % 10 < 8 AS is_train FROM lineitem),
  ms AS (SELECT avg(quantity) AS mq, stddev_pop(quantity) AS sq, avg(discount) AS md, stddev_pop(discount) AS sd, avg(tax) AS mt, stddev_pop(tax) AS st FROM pr WHERE is_train),
  z AS (SELECT l_orderkey, fold, is_train, price, (quantity - mq) / sq AS quantity, (discount - md) / sd AS discount, (tax - mt) / st AS tax FROM pr, ms),
- za AS (SELECT fold, price, (quantity - avg(quantity) OVER ()) / stddev_pop(quantity) OVER () AS quantity,
-   (discount - avg(discount) OVER ()) / stddev_pop(discount) OVER () AS discount, (tax - avg(tax) OVER ()) / stddev_pop(tax) OVER () AS tax FROM pr)"""
+ za AS (SELECT fold, price, quantity, discount, tax FROM z WHERE is_train)"""
 PRED = "(w.b + w.wq * quantity + w.wd * discount + w.wt * tax)"
 
 
@@ -141,9 +140,8 @@ def _descent_sql(kind: str | None = None, strength: float = 0.05) -> str:
 
 
 def _folds(spark, d):
-    rows = derived.price_rows(spark, d)
-    scaled = regression.standardise(rows, regression.feature_stats(rows, TERMS))
-    sums = regression.moments(scaled, TERMS, LABEL, "fold")
+    """Folds of the training rows; held-out rows take no part."""
+    sums = regression.moments(_prices(spark, d).where("is_train"), TERMS, LABEL, "fold")
     whole = sum(list(sums.values())[1:], list(sums.values())[0])
     history = regression.descend_folds(sums, regression.baseline(whole), STEPS, RATE, scale=1.0)
     return spark.createDataFrame(history, "step int, train_loss double, test_loss double")
@@ -185,21 +183,42 @@ def _heldout_sql() -> str:
     return " UNION ALL ".join(out)
 
 
-def _residual_rows(spark, d):
+def _residual_rows(spark, d, kinds=(None,)):
+    """Held-out rows and the weights of each kind of model."""
     rows = _prices(spark, d)
     train = regression.moments(rows.where("is_train"), TERMS, LABEL)[None]
-    weights = regression.weights_of(regression.descend(train, None, regression.baseline(train), STEPS, RATE)[-1][1], TERMS)
-    return rows.where("NOT is_train"), weights
+    paths = [regression.descend(train, None, regression.baseline(train), STEPS, RATE, kind, 0.05) for kind in kinds]
+    return rows.where("NOT is_train"), [regression.weights_of(path[-1][1], TERMS) for path in paths]
 
 
 def _residuals(spark, d):
-    rows, weights = _residual_rows(spark, d)
+    rows, (weights,) = _residual_rows(spark, d)
     return regression.residuals(rows, weights, LABEL, ["l_orderkey"]).select("l_orderkey", "price", F.round("residual", 4).alias("residual"))
 
 
+KINDS = (None, "ridge", "lasso")
+
+
 def _residual_box(spark, d):
-    rows, weights = _residual_rows(spark, d)
-    return _rounded(regression.residual_box(rows.withColumn(LABEL, F.floor(F.col(LABEL) / 10)), weights, LABEL), 4, "low", "q1", "median", "q3", "high")
+    """Residuals of the three models by price bucket of ten thousand."""
+    rows, weights = _residual_rows(spark, d, KINDS)
+    rows = rows.withColumn("bucket", F.floor(F.col(LABEL) / 10))
+    out = None
+    for kind, w in zip(KINDS, weights):
+        box = regression.residual_box(rows, w, LABEL, "bucket").select(F.lit(kind or "ols").alias("model"), "*")
+        out = box if out is None else out.union(box)
+    return _rounded(out, 4, "low", "q1", "median", "q3", "high")
+
+
+def _residual_box_sql() -> str:
+    """Price minus prediction, grouped by the bucket of the price."""
+    return " UNION ALL ".join(
+        f"""SELECT '{kind or 'ols'}' AS model, * FROM (WITH {PRICES}, {_steps_sql(kind, 0.05)},
+ rs AS (SELECT CAST(floor(price / 10) AS BIGINT) AS bucket, price - {PRED} AS r FROM z, w{STEPS} w WHERE NOT is_train)
+ SELECT bucket, round(min(r), 4) AS low, round(quantile_disc(r, 0.25), 4) AS q1, round(quantile_disc(r, 0.5), 4) AS median,
+ round(quantile_disc(r, 0.75), 4) AS q3, round(max(r), 4) AS high, count(*) AS n FROM rs GROUP BY bucket)"""
+        for kind in KINDS
+    )
 
 
 def _rows(spark, d, features):
@@ -212,7 +231,7 @@ def _metrics(kinds, features, **params):
 
 
 def _fitted(spark, d, features, kind, **params):
-    rows = cut_lineage(_rows(spark, d, features))
+    rows = stored(_rows(spark, d, features))
     return classify.fit(rows.where("is_train"), flights.LABEL, features, kind, **params), rows.where("NOT is_train").drop("is_train")
 
 
@@ -227,8 +246,30 @@ def _scored(spark, d):
 
 
 def _roc(spark, d):
-    model, _ = _fitted(spark, d, flights.SEASON_SET, "lr_plain")
-    return classify.roc_curve(model)
+    model, test = _fitted(spark, d, flights.SEASON_SET, "lr_plain")
+    return classify.roc_curve(classify.score(model, test), flights.LABEL)
+
+
+def _rule(spark, d):
+    """Flights scored by a fixed rule, the later in the day the riskier."""
+    rows = clean_flights(spark, d).withColumn("p1", F.col("DEP_TIME") / F.lit(2400.0))
+    return rows.withColumn("prediction", (F.col("p1") >= 0.7).cast("double"))
+
+
+def _rule_ranking(spark, d):
+    return _rounded(classify.ranking_metrics(_rule(spark, d), flights.LABEL), 9, "auroc", "auprc")
+
+
+def _rule_metrics(spark, d):
+    out = classify.confusion_metrics(_rule(spark, d), flights.LABEL)
+    return _rounded(out, 9, *[c for c in out.columns if c != "rows"])
+
+
+RULE = f"""{FLIGHTS}, sc AS (SELECT DEP_TIME / 2400.0::DOUBLE AS p1, DEP_DEL15 AS y FROM fl),
+ th AS (SELECT p1, count(*) FILTER (y = 1) AS pos, count(*) FILTER (y <> 1) AS neg FROM sc GROUP BY p1),
+ cu AS (SELECT *, sum(pos) OVER (ORDER BY p1 DESC)::DOUBLE AS tp, sum(neg) OVER (ORDER BY p1 DESC)::DOUBLE AS fp FROM th),
+ pt AS (SELECT *, tp / (tp + fp) AS here, coalesce(lag(tp / (tp + fp)) OVER (ORDER BY p1 DESC), tp / (tp + fp)) AS before, coalesce(lag(tp) OVER (ORDER BY p1 DESC), 0) AS tp0 FROM cu)"""
+CHOSEN = [flights.LABEL, "DEP_TIME", "DAY_OF_WEEK", "MONTH", "ARR_DELAY_NEW"]
 
 
 QUERIES = {
@@ -251,17 +292,18 @@ QUERIES = {
         f"WITH {EDGES} SELECT round(avg(out_weight), 6) AS mean_out_weight FROM ow",
     ),
     "adjacency_list": (
-        lambda s, d: graph.adjacency_list(cut_lineage(derived.trade_edges(s, d)), part=1_000_000).select(
-            "src", F.array_join(F.transform("neighbours", lambda e: F.concat(e.dst, F.lit(":"), e.weight)), " ").alias("neighbours")
+        lambda s, d: graph.adjacency_list(stored(derived.trade_edges(s, d)), part=20).select(
+            "src", "part", F.array_join(F.transform("neighbours", lambda e: F.concat(e.dst, F.lit(":"), e.weight)), " ").alias("neighbours")
         ),
-        f"WITH {EDGES} SELECT src, string_agg(dst || ':' || weight, ' ' ORDER BY dst) AS neighbours FROM ed GROUP BY src",
+        f"""WITH {EDGES}, sl AS (SELECT src, dst, weight, (('0x' || substr(md5('42|' || dst), 1, 8))::BIGINT % greatest(ceil(links / 20), 1)::BIGINT)::INT AS part FROM ed JOIN ow USING (src))
+ SELECT src, part, string_agg(dst || ':' || weight, ' ' ORDER BY dst) AS neighbours FROM sl GROUP BY src, part""",
     ),
     "adjacency_matrix": (
         lambda s, d: graph.adjacency_matrix(derived.trade_edges(s, d)),
         f"WITH {EDGES} SELECT src, dst, 1 AS value FROM ed",
     ),
     "transition_prob": (
-        lambda s, d: _rounded(graph.transitions(cut_lineage(derived.trade_edges(s, d))), 9, "p"),
+        lambda s, d: _rounded(graph.transitions(stored(derived.trade_edges(s, d))), 9, "p"),
         f"WITH {EDGES} SELECT src, dst, round(p, 9) AS p FROM tp",
     ),
     "initial_ranks": (
@@ -269,7 +311,7 @@ QUERIES = {
         f"WITH {EDGES} SELECT node, coalesce(links, 0) AS links, round(1.0::DOUBLE / (SELECT count(*) FROM nd), 9) AS rank FROM nd LEFT JOIN ow ON src = node",
     ),
     "power_iteration_3": (
-        lambda s, d: (lambda edges: _rounded(graph.power_iteration(edges, _start(edges), 3), 9, "mass"))(cut_lineage(derived.trade_edges(s, d))),
+        lambda s, d: (lambda edges: _rounded(graph.power_iteration(edges, _start(edges), 3), 9, "mass"))(derived.trade_edges(s, d)),
         f"WITH {EDGES}, {_power_steps(3)} SELECT node, round(rank, 9) AS mass FROM r3",
     ),
     "pagerank_3": (
@@ -316,11 +358,25 @@ QUERIES = {
         _residuals,
         f"WITH {PRICES}, {_steps_sql(None, 0)} SELECT l_orderkey, price, round(price - {PRED}, 4) AS residual FROM z, w{STEPS} w WHERE NOT is_train",
     ),
-    "residual_box": (
-        _residual_box,
-        f"""WITH {PRICES}, {_steps_sql(None, 0)}, rs AS (SELECT CAST(floor(price / 10) AS BIGINT) AS price, floor(price / 10) - {PRED} AS r FROM z, w{STEPS} w WHERE NOT is_train)
- SELECT price, round(min(r), 4) AS low, round(quantile_disc(r, 0.25), 4) AS q1, round(quantile_disc(r, 0.5), 4) AS median, round(quantile_disc(r, 0.75), 4) AS q3,
- round(max(r), 4) AS high, count(*) AS n FROM rs GROUP BY price""",
+    "residual_box": (_residual_box, _residual_box_sql()),
+    "chosen_features": (
+        lambda s, d: classify.keep_columns(clean_flights(s, d), CHOSEN[0], CHOSEN[1:]),
+        f"WITH {FLIGHTS} SELECT {', '.join(CHOSEN)} FROM fl",
+    ),
+    "rule_metrics": (
+        _rule_metrics,
+        f"""WITH {RULE}, cm AS (SELECT count(*) AS rows, avg(y) AS positive_rate, count(*) FILTER (y = 1 AND p1 >= 0.7) AS tp, count(*) FILTER (y <> 1 AND p1 < 0.7) AS tn,
+ count(*) FILTER (y <> 1 AND p1 >= 0.7) AS fp, count(*) FILTER (y = 1 AND p1 < 0.7) AS fn FROM sc)
+ SELECT rows, round(positive_rate, 9) AS positive_rate, round((tp + tn) / rows, 9) AS accuracy, round(2 * tp / (2 * tp + fp + fn), 9) AS f1, round(tp / (tp + fp), 9) AS precision,
+ round(tp / (tp + fn), 9) AS recall, round(fp / (fp + tn), 9) AS false_positive_rate, round(tp / (tp + fn), 9) AS true_positive_rate FROM cm""",
+    ),
+    "rule_ranking": (
+        _rule_ranking,
+        f"""WITH {RULE} SELECT round(sum(neg * (tp + tp0) / 2) / (max(tp) * max(fp)), 9) AS auroc, round(sum(pos * (here + before) / 2) / max(tp), 9) AS auprc FROM pt""",
+    ),
+    "rule_roc_curve": (
+        lambda s, d: _rounded(classify.roc_curve(_rule(s, d), flights.LABEL), 9, "FPR", "TPR"),
+        f"""WITH {RULE} SELECT round(fp / (SELECT max(fp) FROM cu), 9) AS FPR, round(tp / (SELECT max(tp) FROM cu), 9) AS TPR FROM cu UNION ALL SELECT 0.0, 0.0""",
     ),
     "lr_metrics": (_metrics(["lr", "lr_plain"], flights.WEATHER_SET), None),
     "rf_metrics": (_metrics(["rf"], flights.SEASON_SET), None),
