@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from millrace.functions.hashing import key_fraction
 from millrace.functions.text import is_stop_word, ngrams, space_tokens, words
 from millrace.operators.counting import bottom_n, top_n
 
@@ -46,36 +47,70 @@ def neighbour_pairs(grams: DataFrame) -> DataFrame:
     )
 
 
-def neighbour_counts(grams: DataFrame) -> DataFrame:
-    """``(word, neighbours)``: number of different words seen beside a word."""
-    ends = neighbour_pairs(grams).select(F.explode(F.array("a", "b")).alias("word"))
+def _tokens(docs: DataFrame, text: str | Column, n: int) -> DataFrame:
+    """Token arrays of the texts that hold an n-gram."""
+    return docs.select(words(text).alias("_t")).where(F.size("_t") >= n)
+
+
+def text_word_totals(docs: DataFrame, text: str | Column = "text", n: int = 5) -> DataFrame:
+    """``ngram_word_totals`` straight from texts: a token counts once for each
+    n-gram over it, which its place tells; no n-gram is formed."""
+    placed = _tokens(docs, text, n).select(F.size("_t").alias("_size"), F.posexplode("_t").alias("_i", "word"))
+    over = F.least(F.col("_i") + 1, F.col("_size") - F.col("_i"), F.lit(n), F.col("_size") - n + 1)
+    return placed.groupBy("word").agg(F.sum(over).alias("n"))
+
+
+def _pairs_in_texts(docs: DataFrame, text: str | Column, n: int) -> DataFrame:
+    """``(a, b)`` with ``a < b``: different words less than ``n`` apart in a
+    text that holds an n-gram, once per text. Those are the words that share
+    an n-gram."""
+    tokens = _tokens(docs, text, n)
+
+    def shifted(k: int) -> Column:
+        length = F.size("_t") - k
+        ends = F.arrays_zip(F.slice("_t", F.lit(1), length).alias("a"), F.slice("_t", F.lit(1 + k), length).alias("b"))
+        return F.transform(ends, lambda p: F.concat_ws(" ", F.least(p.a, p.b), F.greatest(p.a, p.b)))
+
+    pairs = tokens.select(F.explode(F.array_distinct(F.concat(*[shifted(k) for k in range(1, n)]))).alias("_p"))
+    ends = F.split("_p", " ")
+    return pairs.select(F.get(ends, F.lit(0)).alias("a"), F.get(ends, F.lit(1)).alias("b")).where("a <> b")
+
+
+def text_neighbour_pairs(docs: DataFrame, text: str | Column = "text", n: int = 5) -> DataFrame:
+    """``neighbour_pairs`` straight from texts: n-gram counts do not matter."""
+    return _pairs_in_texts(docs, text, n).distinct()
+
+
+def neighbour_counts(pairs: DataFrame) -> DataFrame:
+    """``(word, neighbours)`` from distinct neighbour pairs: number of
+    different words seen beside a word."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("word"))
     return ends.groupBy("word").agg(F.count("*").alias("neighbours"))
 
 
-def word_report(grams: DataFrame, n: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def word_report(totals: DataFrame, n: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Vocabulary size, most and least frequent words."""
-    totals = ngram_word_totals(grams)
     return totals.agg(F.count("*").alias("vocabulary")), top_n(totals, "n", n, "word"), bottom_n(totals, "n", n, "word")
 
 
-def neighbour_report(grams: DataFrame, n: int, fraction: float = 0.01, seed: int = 42) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Words with most and fewest neighbours, and a sample of the sizes."""
-    counts = neighbour_counts(grams)
+def neighbour_report(counts: DataFrame, n: int, fraction: float = 0.01, seed: int = 42) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Words with most and fewest neighbours, and a sample of the sizes, drawn
+    by the hash of the word."""
     return (
         top_n(counts, "neighbours", n, "word"),
         bottom_n(counts, "neighbours", n, "word"),
-        counts.sample(True, fraction, seed),
+        counts.where(key_fraction("word", seed=seed) < fraction),
     )
 
 
-def vocab_and_basis(grams: DataFrame, n_total: int, n_basis: int) -> DataFrame:
+def vocab_and_basis(totals: DataFrame, n_total: int, n_basis: int) -> DataFrame:
     """``(word, n, rank, in_basis)``: the ``n_total`` most frequent words
     without stop words; the basis is the ``n_basis`` rarest of them.
 
     The list has at most ``n_total`` rows, so ranking it in one window and
     broadcasting it later are both bounded by the parameter.
     """
-    top = top_n(ngram_word_totals(grams).where(~is_stop_word(F.col("word"))), "n", n_total, "word")
+    top = top_n(totals.where(~is_stop_word(F.col("word"))), "n", n_total, "word")
     up = Window.orderBy(F.desc("n"), F.asc("word"))
     down = Window.orderBy(F.asc("n"), F.asc("word"))
     return (
@@ -84,21 +119,22 @@ def vocab_and_basis(grams: DataFrame, n_total: int, n_basis: int) -> DataFrame:
     )
 
 
-def stripe_rows(grams: DataFrame, vocab: DataFrame) -> DataFrame:
+def stripe_rows(pairs: DataFrame, vocab: DataFrame) -> DataFrame:
     """Distinct ``(term, feature)``: a vocabulary word and a basis word that
-    share an n-gram. ``vocab`` is the bounded list of ``vocab_and_basis``."""
-    terms = F.broadcast(vocab.select(F.col("word").alias("term")))
-    basis = F.broadcast(vocab.where("in_basis").select(F.col("word").alias("feature")))
-    return (
-        grams.select(F.array_distinct(space_tokens("ngram")).alias("_t"))
-        .select(F.explode("_t").alias("feature"), "_t")
-        .join(basis, "feature", "left_semi")
-        .select("feature", F.explode("_t").alias("term"))
-        .where(F.col("term") != F.col("feature"))
-        .join(terms, "term", "left_semi")
-        .select("term", "feature")
-        .distinct()
+    are neighbours, from pairs ``(a, b)`` that may repeat. ``vocab`` is the
+    bounded list of ``vocab_and_basis``."""
+    known = lambda side: F.broadcast(vocab.select(F.col("word").alias(side), F.col("in_basis").alias(f"{side}_basis")))
+    both = F.array(
+        F.when(F.col("b_basis"), F.struct(F.col("a").alias("term"), F.col("b").alias("feature"))),
+        F.when(F.col("a_basis"), F.struct(F.col("b").alias("term"), F.col("a").alias("feature"))),
     )
+    met = pairs.join(known("a"), "a").join(known("b"), "b")
+    return met.select(F.inline(F.array_compact(both))).distinct()
+
+
+def text_stripe_rows(docs: DataFrame, vocab: DataFrame, text: str | Column = "text", n: int = 5) -> DataFrame:
+    """``stripe_rows`` straight from texts."""
+    return stripe_rows(_pairs_in_texts(docs, text, n), vocab)
 
 
 def stripes(rows: DataFrame) -> DataFrame:

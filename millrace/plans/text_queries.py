@@ -8,7 +8,7 @@ from millrace.functions import numeric
 from millrace.functions.text import STOP_WORDS, is_stop_word
 from millrace.operators import counting, naive_bayes, ngrams, sampling, similarity
 from millrace.plans.derived import labelled_documents
-from millrace.session import cut_lineage
+from millrace.session import stored
 from millrace.sources.readers import spread, table
 
 N_TOTAL, N_BASIS = 10_000, 1_000
@@ -52,13 +52,17 @@ def _grams(spark, d, books=False):
     return ngrams.ngram_table(_docs(spark, d).select("doc_id", "text"), books=books)
 
 
-def _vocab(spark, d, grams=None):
-    return ngrams.vocab_and_basis(grams if grams is not None else _grams(spark, d), N_TOTAL, N_BASIS)
+def _vocab(spark, d):
+    return ngrams.vocab_and_basis(ngrams.text_word_totals(_docs(spark, d)), N_TOTAL, N_BASIS)
 
 
 def _stripe_rows(spark, d):
-    grams = cut_lineage(_grams(spark, d))  # read twice
-    return ngrams.stripe_rows(grams, _vocab(spark, d, grams))
+    vocab = stored(_vocab(spark, d))  # at most N_TOTAL rows, met by both ends of a pair
+    return ngrams.text_stripe_rows(_docs(spark, d), vocab)
+
+
+def _neighbours(spark, d):
+    return ngrams.neighbour_counts(ngrams.text_neighbour_pairs(_docs(spark, d)))
 
 
 def _rounded(df, digits, *cols):
@@ -71,9 +75,8 @@ def _scored(df):
 
 def _two_rankings(spark, d):
     """The 1000 most frequent words and the 1000 with most neighbours."""
-    grams = cut_lineage(_grams(spark, d))
-    a = counting.top_n(ngrams.ngram_word_totals(grams), "n", 1000, "word")
-    return a, counting.top_n(ngrams.neighbour_counts(grams), "neighbours", 1000, "word")
+    a = counting.top_n(ngrams.text_word_totals(_docs(spark, d)), "n", 1000, "word")
+    return a, counting.top_n(_neighbours(spark, d), "neighbours", 1000, "word")
 
 
 def _overlap(spark, d):
@@ -185,23 +188,27 @@ QUERIES = {
     ),
     "ngram5_table": (lambda s, d: _grams(s, d, books=True), f"WITH {GRAMS} SELECT ngram, n, books FROM grams"),
     "ngram_word_weighted": (
-        lambda s, d: ngrams.ngram_word_totals(_grams(s, d)),
+        lambda s, d: ngrams.text_word_totals(_docs(s, d)),
         f"WITH {GRAMS}, {TOTALS} SELECT word, n FROM totals",
     ),
     "ngram_word_report": (
-        lambda s, d: (lambda size, top, bottom: top.unionByName(bottom).withColumn("vocabulary", size.scalar()))(*ngrams.word_report(_grams(s, d), 10)),
+        lambda s, d: (lambda size, top, bottom: top.unionByName(bottom).withColumn("vocabulary", size.scalar()))(*ngrams.word_report(stored(ngrams.text_word_totals(_docs(s, d))), 10)),
         f"""WITH {GRAMS}, {TOTALS} SELECT word, n, (SELECT count(*) FROM totals) AS vocabulary FROM
  ((SELECT * FROM totals ORDER BY n DESC, word LIMIT 10) UNION ALL (SELECT * FROM totals ORDER BY n, word LIMIT 10))""",
     ),
     "ngram_neighbour_count": (
-        lambda s, d: ngrams.neighbour_counts(_grams(s, d)),
+        _neighbours,
         f"WITH {GRAMS}, {NEIGHBOURS} SELECT word, neighbours FROM nb",
     ),
     "ngram_neighbour_report": (
-        lambda s, d: (lambda top, bottom, _: top.unionByName(bottom))(*ngrams.neighbour_report(_grams(s, d), 10)),
+        lambda s, d: (lambda top, bottom, _: top.unionByName(bottom))(*ngrams.neighbour_report(stored(_neighbours(s, d)), 10)),
         f"""WITH {GRAMS}, {NEIGHBOURS} (SELECT * FROM nb ORDER BY neighbours DESC, word LIMIT 10)
  UNION ALL (SELECT * FROM nb ORDER BY neighbours, word LIMIT 10)""",
     ),
+    "ngram_neighbour_sample": (
+        lambda s, d: ngrams.neighbour_report(_neighbours(s, d), 10)[2],
+        f"WITH {GRAMS}, {NEIGHBOURS} SELECT word, neighbours FROM nb WHERE ('0x' || substr(md5('42|' || word), 1, 8))::BIGINT / 4294967296.0 < 0.01",
+    ),
     "ranking_overlap": (
         _overlap,
         f"""WITH {GRAMS}, {TOTALS}, {NEIGHBOURS}, a AS (SELECT word FROM totals ORDER BY n DESC, word LIMIT 1000),
