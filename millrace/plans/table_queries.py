@@ -106,16 +106,15 @@ def _two_roles(spark, d):
     suppliers = table(spark, d, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("seller"))
     base = lines.join(orders, "l_orderkey").join(customers, "o_custkey").join(suppliers, "l_suppkey")
     nations = table(spark, d, "nation")
-    spread = ["l_orderkey", "l_linenumber", "l_partkey"]
-    out = joins.role_lookup(base, nations, "buyer", "n_nationkey", {"n_name": "buyer_nation"}, spread, skew.heavy_hashes(customers, ["buyer"])[0])
-    out = joins.role_lookup(out, nations, "seller", "n_nationkey", {"n_name": "seller_nation"}, spread, skew.heavy_hashes(suppliers, ["seller"])[0])
+    out = joins.role_lookup(base, nations, "buyer", "n_nationkey", {"n_name": "buyer_nation"})
+    out = joins.role_lookup(out, nations, "seller", "n_nationkey", {"n_name": "seller_nation"})
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "buyer_nation", "seller_nation")
 
 
 def _indexed_lines(spark, d):
     lines = _lines(spark, d).select("l_orderkey", "l_partkey", *MONEY_KEYS, "l_quantity")
     index = profile.group_means(lines, MONEY_KEYS, ["l_quantity"])
-    out = joins.attach_group_index(lines, index, MONEY_KEYS, ["l_orderkey", "l_partkey"])
+    out = joins.attach_group_index(lines, index, MONEY_KEYS)
     return out.select("l_orderkey", "l_partkey", F.round(F.col("l_quantity") - F.col("MEAN_l_quantity"), 6).alias("above_mean"))
 
 
@@ -177,6 +176,14 @@ def clean_weather(spark, d):
     return flights.clean_weather(derived.raw_weather(spark, d))
 
 
+_LEGS = ["TAIL_NUM", "FL_DATE", "ORIGIN_AIRPORT_ID", "DEP_TIME", "CRS_ARR_TIME", "INBOUND_CRS_ARR_TIME", "INBOUND_ARR_DELAY_NEW"]
+_LEG_COLUMNS = ", ".join([*(f"o.{c}" for c in _LEGS[:5]), "i.CRS_ARR_TIME AS INBOUND_CRS_ARR_TIME", "i.ARR_DELAY_NEW AS INBOUND_ARR_DELAY_NEW"])
+
+
+def _legs(spark, d, clock):
+    return flights.attach_inbound(clean_flights(spark, d), clock).select(*_LEGS)
+
+
 def flight_features(spark, d):
     """Version 3: inbound leg, delay index of one year, weather."""
     f = clean_flights(spark, d)
@@ -343,6 +350,24 @@ QUERIES = {
         _indexed_lines,
         """SELECT l_orderkey, l_partkey, round(l_quantity - m, 6) AS above_mean FROM lineitem JOIN
  (SELECT l_suppkey, l_returnflag, avg(l_quantity) AS m FROM lineitem GROUP BY 1, 2) USING (l_suppkey, l_returnflag)""",
+    ),
+    "flight_inbound_minutes": (
+        lambda s, d: _legs(s, d, "minutes"),
+        f"""WITH {FLIGHTS}, mi AS (SELECT *, DEP_TIME // 100 * 60 + DEP_TIME % 100 AS dm, CRS_ARR_TIME // 100 * 60 + CRS_ARR_TIME % 100 AS am FROM fl)
+ SELECT {_LEG_COLUMNS} FROM mi o LEFT JOIN mi i ON i.DEST_AIRPORT_ID = o.ORIGIN_AIRPORT_ID AND i.TAIL_NUM = o.TAIL_NUM AND i.FL_DATE = o.FL_DATE
+ AND o.dm - 240 < i.am AND i.am < o.dm - 120""",
+    ),
+    "flight_inbound_dated": (
+        lambda s, d: _legs(s, d, "dated"),
+        f"""WITH {FLIGHTS}, mi AS (SELECT *, DEP_TIME // 100 * 60 + DEP_TIME % 100 AS dm, CRS_ARR_TIME // 100 * 60 + CRS_ARR_TIME % 100 AS am FROM fl),
+ ab AS (SELECT *, FL_DATE::TIMESTAMP + dm * INTERVAL 1 MINUTE AS leaves, FL_DATE::TIMESTAMP + (am + CASE WHEN am < dm THEN 1440 ELSE 0 END) * INTERVAL 1 MINUTE AS lands FROM mi)
+ SELECT {_LEG_COLUMNS} FROM ab o LEFT JOIN ab i ON i.DEST_AIRPORT_ID = o.ORIGIN_AIRPORT_ID AND i.TAIL_NUM = o.TAIL_NUM
+ AND o.leaves - INTERVAL 240 MINUTE < i.lands AND i.lands < o.leaves - INTERVAL 120 MINUTE""",
+    ),
+    "flights_without_station": (
+        lambda s, d: joins.unmatched_keys(clean_flights(s, d), derived.airport_rows(s, d).where("AIRPORT_ID % 4 <> 0"), "ORIGIN_AIRPORT_ID", "AIRPORT_ID"),
+        f"""WITH {FLIGHTS} SELECT ORIGIN_AIRPORT_ID AS key, count(*) AS rows FROM fl
+ WHERE ORIGIN_AIRPORT_ID NOT IN (SELECT s_nationkey FROM supplier WHERE s_nationkey % 4 <> 0) GROUP BY 1""",
     ),
     "flight_inbound_legs": (
         lambda s, d: flights.attach_inbound(clean_flights(s, d)).select(

@@ -100,14 +100,19 @@ def literal(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFram
     return spark.createDataFrame(list(rows), schema)
 
 
+SMALL_SCAN = 32  # splits; at Spark's default split size, 4 GB
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan of fewer files than cores over all cores.
+    """Deal the rows of a small scan over all cores.
 
-    Meant for tables whose rows are expensive to work on, such as texts. A
-    table of many files is left alone: its splits already fill the cluster.
+    Meant for tables whose rows are expensive to work on, such as texts. Only
+    a table of fewer splits than cores, and of ``SMALL_SCAN`` at most, is
+    moved; any larger one is read where it lies.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
+    splits = df.rdd.getNumPartitions()
+    return df.repartition(cores) if splits < min(cores, SMALL_SCAN + 1) else df
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -19,12 +19,13 @@ def running_word_counts(lines: DataFrame) -> DataFrame:
     return word_counts(lines, "value")
 
 
-def write_counts(counts: DataFrame, name: str, checkpoint: str) -> StreamingQuery:
-    """Complete-mode table of the counts that processes what is there and ends."""
+def write_counts(counts: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
+    """Writes the counts after each batch to a Parquet folder of its own,
+    processes what is there and ends. A batch that is repeated replaces its
+    folder."""
     return (
         counts.writeStream.outputMode("complete")
-        .format("memory")
-        .queryName(name)
+        .foreachBatch(lambda df, batch: df.write.mode("overwrite").parquet(f"{folder}/batch={batch}"))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
