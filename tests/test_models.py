@@ -181,7 +181,7 @@ def test_save_score_and_importance(spark, labelled, tmp_path):
     assert scored.columns == ["u", "v", "y", "train", "prediction", "p1"] and scored.where("p1 < 0 or p1 > 1").count() == 0
     got = classify.importances(model, ["u", "v"], spark).collect()
     assert got[0].feature == "u" and sum(r.importance for r in got) == pytest.approx(1)
-    roc = classify.roc_curve(classify.fit(labelled, "y", ["u", "v"], "lr_plain"))
+    roc = classify.roc_curve(classify.score(classify.fit(labelled, "y", ["u", "v"], "lr_plain"), labelled), "y")
     assert roc.columns == ["FPR", "TPR"] and roc.count() > 2
     with pytest.raises(ValueError):
         classify.estimator("svm", "y")
@@ -192,3 +192,39 @@ def test_confusion_metrics(spark):
     r = classify.confusion_metrics(spark.createDataFrame(data, "y double, prediction double"), "y").first()
     assert (r.accuracy, r.precision, r.recall, r.false_positive_rate) == (0.7, 0.75, 0.6, 0.2)
     assert r.f1 == pytest.approx(2 * 0.75 * 0.6 / 1.35)
+
+
+def test_held_out_rows_leave_cross_validation_alone(spark):
+    from millrace.plans import model_queries as queries
+
+    def folds(change):
+        rows = spark.range(400).select(
+            F.col("id").alias("l_orderkey"), (F.col("id") % 7).alias("quantity"), (F.col("id") % 11).alias("discount"), (F.col("id") % 5).alias("tax"),
+            ((F.col("id") % 13) + F.when(F.col("id") % 10 >= 8, change).otherwise(0)).alias("price"), (F.col("id") % 5).cast("int").alias("fold"), (F.col("id") % 10 < 8).alias("is_train"),
+        )
+        stats = regression.feature_stats(rows.where("is_train"), queries.TERMS)
+        sums = regression.moments(regression.standardise(rows, stats).where("is_train"), queries.TERMS, "price", "fold")
+        return regression.descend_folds(sums, regression.baseline(sum(list(sums.values())[1:], sums[0])), 3, 0.1, scale=1.0)
+
+    assert folds(0) == folds(1000)
+
+
+def test_residual_box_subtracts_from_the_label(spark):
+    df = spark.createDataFrame([(10.0, 1.0, "a"), (14.0, 2.0, "a"), (30.0, 3.0, "b")], "price double, x double, bucket string")
+    got = {r.bucket: (r.low, r.median, r.high) for r in regression.residual_box(df, {"": 1.0, "x": 2.0}, "price", "bucket").collect()}
+    assert got == {"a": (7.0, 7.0, 9.0), "b": (23.0, 23.0, 23.0)}
+
+
+def test_ranking_metrics_by_hand(spark):
+    scored = spark.createDataFrame([(0.9, 1), (0.8, 0), (0.8, 1), (0.4, 1), (0.1, 0)], "p1 double, y int")
+    r = classify.ranking_metrics(scored, "y").first()
+    # of six (positive, negative) pairs: 0.9 beats both, 0.8 ties one and beats one, 0.4 beats one
+    assert r.auroc == pytest.approx((2 + 1.5 + 1) / 6)
+    assert r.auprc == pytest.approx(1 / 3 * 1 + 1 / 3 * (1 + 2 / 3) / 2 + 1 / 3 * (2 / 3 + 3 / 4) / 2)
+    curve = {(x.FPR, round(x.TPR, 6)) for x in classify.roc_curve(scored, "y").collect()}
+    assert curve == {(0.0, 0.0), (0.0, 0.333333), (0.5, 0.666667), (0.5, 1.0), (1.0, 1.0)}
+    assert classify.ranking_metrics(scored.limit(0), "y").first().auroc is None
+
+
+def test_empty_graph_has_no_ranks(spark):
+    assert graph.pagerank(spark.createDataFrame([], "src string, dst string, weight long")).count() == 0

@@ -1,3 +1,4 @@
+import math
 import random
 from datetime import date
 from types import SimpleNamespace
@@ -72,15 +73,26 @@ def test_box_and_summary(spark):
     assert (r.n, r["mean"], r.low, r.median, r.high) == (8, 4.5, 1, 4, 8)
 
 
-def test_heavy_keys_are_found(spark):
+def test_heavy_keys_are_found(spark, monkeypatch):
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 1000)
+    monkeypatch.setattr(skew, "SAMPLE", 1)
     df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), "id")
-    heavy = skew.heavy_hashes(df, ["k"], ["id"])
-    assert len(heavy[0]) == 1 and heavy[1] == []
-    assert heavy[0][0] == spark.range(1).select(F.xxhash64(F.lit(-1).cast("long"))).first()[0]
+    heavy = skew.heavy_keys(df, ["k"], ["id"])
+    assert heavy == [{spark.range(1).select(F.xxhash64(F.lit(-1).cast("long"))).first()[0]: 10}, {}]
+
+
+@pytest.fixture
+def small_tasks(monkeypatch):
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 300)
+    monkeypatch.setattr(skew, "SAMPLE", 1)
+
+
+def test_small_tables_have_no_heavy_keys(spark):
+    assert skew.heavy_keys(spark.range(100).select(F.lit(1).alias("k")), ["k"]) == [{}]
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_salted_join_equals_plain_join(spark, how):
+def test_salted_join_equals_plain_join(spark, how, small_tasks):
     """A third of the left rows on one key, another third without a key."""
     left = spark.range(3000).select(
         "id", F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id")).cast("int").alias("k")
@@ -91,23 +103,64 @@ def test_salted_join_equals_plain_join(spark, how):
     assert sorted(map(str, got.select("id", "k", "v").collect())) == sorted(map(str, want.select("id", "k", "v").collect()))
 
 
-def test_salted_join_spreads_the_heavy_key(spark):
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_both_sides_are_split(spark, how, small_tasks):
+    left = spark.range(900).select("id", F.when(F.col("id") % 2 == 0, 1).when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.col("id")).cast("int").alias("k"))
+    right = spark.range(900).select(F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id") % 400).alias("k"), F.col("id").alias("v"))
+    heavy, other = skew.heavy_keys(left, ["k"])[0], skew.heavy_keys(right.select(F.col("k").cast("int")), ["k"])[0]
+    assert len(heavy) == len(other) == 1
+    cells = left.where("k = 1").select(skew.own_salt(heavy, ["k"], ["id"]).alias("s")).groupBy("s").count().agg(F.max("count")).first()[0]
+    assert cells <= 300
+    got = skew.salted_join(left, right, ["k"], ["id"], how, heavy, None, other)
+    want = left.join(right, "k", how)
+    assert sorted(map(str, got.select("id", "k", "v").collect())) == sorted(map(str, want.select("id", "k", "v").collect()))
+
+
+def test_salted_join_spreads_the_heavy_key(spark, small_tasks):
     left = spark.range(20_000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
     right = spark.range(20_000).select(F.col("id").alias("k"), F.col("id").alias("v"))
-    heavy = skew.heavy_hashes(left, ["k"])[0]
+    heavy = skew.heavy_keys(left, ["k"])[0]
     salted = left.withColumn("s", skew.own_salt(heavy, ["k"], ["id"]))
     largest = salted.groupBy("k", "s").count().agg(F.max("count")).first()[0]
-    assert largest < 300  # of 6667 rows with the heavy key
+    assert largest < 400  # of 6667 rows with the heavy key
     assert skew.salted_join(left, right, ["k"], ["id"]).count() == 20_000
 
 
 def test_global_rank(spark):
     ids = random.Random(1).sample(range(10**6), 2000)
     df = spark.createDataFrame([(i,) for i in ids], "id long")
-    got = {r.id: r["rank"] for r in skew.global_rank(df, "id", buckets=16).collect()}
+    got = {r.id: r["rank"] for r in skew.global_rank(df, "id").collect()}
     assert got == {v: i + 1 for i, v in enumerate(sorted(ids))}
 
 
+def test_running_totals(spark):
+    rng = random.Random(2)
+    data = [(rng.randrange(50), rng.randrange(9), i) for i in range(1000)]
+    df = spark.createDataFrame(data, "k int, v int, id int")
+    got = {r.id: (r.s, r.c) for r in skew.running(df.withColumn("one", F.lit(1)), [F.desc("k"), "id"], {"s": "v", "c": "one"}).collect()}
+    total, want = 0, {}
+    for n, (k, v, i) in enumerate(sorted(data, key=lambda x: (-x[0], x[2])), 1):
+        total += v
+        want[i] = (total, n)
+    assert got == want
+
+
+@pytest.mark.parametrize("at_once", [10, 100_000])
+def test_exact_quantiles(spark, at_once):
+    rng = random.Random(8)
+    values = {"a": [rng.gauss(0, 1) for _ in range(3000)], "b": [float(rng.randrange(3)) for _ in range(2000)], "c": [5.0], None: [1.0, 2.0]}
+    df = spark.createDataFrame([(k, v) for k, vs in values.items() for v in vs] + [("d", None)], "k string, v double")
+    got = {(r.by, r.which): r.quantile for r in profile.exact_quantiles(df, "k", "v", at_once=at_once).collect()}
+    want = {(k, i): sorted(vs)[max(1, math.ceil(p * len(vs))) - 1] for k, vs in values.items() for i, p in enumerate((0.25, 0.5, 0.75))}
+    assert got == want
+
+
+def test_quartiles_of_many_rows_are_exact(spark):
+    n = 3_000_001
+    df = spark.range(n).select(F.lit("x").alias("k"), ((F.col("id") * 7919) % n).alias("v"))
+    assert tuple(profile.box_stats(df, "k", "v").first())[1:6] == (0, 750000, 1500000, 2250000, n - 1)
+
+
 def test_window_self_join_bounds(spark):
     left = spark.createDataFrame([(1, "t", 1300), (2, "t", 500), (3, None, 1300)], "id int, k string, at int")
     right = spark.createDataFrame([("t", 900, "a"), ("t", 901, "b"), ("t", 1099, "c"), ("t", 1100, "d"), (None, 1000, "e")], "k string, arr int, v string")

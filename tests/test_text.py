@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from millrace.functions.text import STOP_WORDS, ngrams as ngram_col, words
-from millrace.operators import counting, naive_bayes, ngrams, similarity
+from millrace.operators import counting, naive_bayes, ngrams, similarity, skew
 
 NOTE = ["This is a small test file. This file is for a test.", "This small test file has two small lines."]
 AGE = {
@@ -70,16 +70,16 @@ def test_group_order_spreads(spark):
 def test_ngram_goldens(grams):
     totals = {("was", 17), ("of", 17), ("the", 17), ("it", 16), ("times", 10), ("age", 8), ("worst", 5), ("wisdom", 5), ("best", 4), ("foolishness", 1)}
     assert rows(ngrams.ngram_word_totals(grams)) == totals
-    assert rows(ngrams.neighbour_counts(grams)) == {
+    assert rows(ngrams.neighbour_counts(ngrams.neighbour_pairs(grams))) == {
         ("was", 9), ("of", 9), ("the", 9), ("it", 8), ("age", 7), ("times", 7), ("best", 5), ("worst", 5), ("wisdom", 5), ("foolishness", 4)
     }
-    size, top, bottom = ngrams.word_report(grams, 2)
+    size, top, bottom = ngrams.word_report(ngrams.ngram_word_totals(grams), 2)
     assert size.first()[0] == 10 and [r.word for r in top.collect()] == ["of", "the"] and bottom.first().word == "foolishness"
 
 
 def test_stripes_and_similarity_goldens(grams):
-    vocab = ngrams.vocab_and_basis(grams, 10, 10)
-    stripe_rows = ngrams.stripe_rows(grams, vocab)
+    vocab = ngrams.vocab_and_basis(ngrams.ngram_word_totals(grams), 10, 10)
+    stripe_rows = ngrams.stripe_rows(ngrams.neighbour_pairs(grams), vocab)
     stripes = ngrams.stripes(stripe_rows).cache()
     assert {r.term: set(r.stripe) for r in stripes.collect()} == {
         "worst": {"times"}, "best": {"times"}, "foolishness": {"age"}, "times": {"age", "best", "worst"},
@@ -102,7 +102,7 @@ def test_stripes_and_similarity_goldens(grams):
 
 def test_vocab_rank_slice(spark):
     grams = spark.createDataFrame([(w, n) for w, n in [("alpha", 5), ("beta", 4), ("the", 99), ("gamma", 3), ("delta", 1)]], "ngram string, n long")
-    got = ngrams.vocab_and_basis(grams, 3, 1).orderBy("rank").collect()
+    got = ngrams.vocab_and_basis(ngrams.ngram_word_totals(grams), 3, 1).orderBy("rank").collect()
     assert [(r.word, r.in_basis) for r in got] == [("alpha", False), ("beta", False), ("gamma", True)]
 
 
@@ -139,8 +139,10 @@ def test_document_jaccard_goldens(spark):
 
 
 @pytest.mark.parametrize("threshold", [0.3, 0.6, 0.8, 1.0])
-def test_similar_sets_match_brute_force(spark, threshold):
+def test_similar_sets_match_brute_force(spark, threshold, monkeypatch):
     """Random sets with a feature in every set and a third of equal sets."""
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 20)
+    monkeypatch.setattr(skew, "SAMPLE", 1)
     rng = random.Random(7)
     sets = {i: frozenset(["all"] + ([f"x{j}" for j in range(5)] if i % 3 == 0 else [f"w{rng.randrange(25)}" for _ in range(rng.randrange(1, 9))])) for i in range(150)}
     feats = spark.createDataFrame([(i, w) for i, s in sets.items() for w in s], "item int, word string")
@@ -154,7 +156,7 @@ def test_similar_sets_match_brute_force(spark, threshold):
         score = len(s & t) / len(s | t)
         if score >= threshold - 1e-9:
             want.add((a, b, copies[s], copies[t], len(s & t), round(score, 9)))
-    got = {(*r[:5], round(r.jaccard, 9)) for r in similarity.similar_sets(similarity.distinct_sets(owned), threshold, blocks=4).collect()}
+    got = {(*r[:5], round(r.jaccard, 9)) for r in similarity.similar_sets(similarity.distinct_sets(owned), threshold).collect()}
     assert got == want
     assert rows(similarity.set_members(owned)) == {(i, first[s]) for i, s in sets.items()}
 
@@ -221,7 +223,7 @@ def test_plans_stay_in_the_jvm(spark, mail):
     """No Python stage and no Cartesian product in the counting jobs."""
     for df in (
         counting.word_counts(mail), counting.top_words_per_class(counting.class_word_counts(mail, "spam")),
-        ngrams.neighbour_counts(ngrams.ngram_table(mail, "id", n=2)), naive_bayes.train(mail, "spam", alpha=1.0), ngrams.window_cooccurrence(mail),
+        ngrams.neighbour_counts(ngrams.text_neighbour_pairs(mail, n=2)), naive_bayes.train(mail, "spam", alpha=1.0), ngrams.window_cooccurrence(mail),
     ):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
@@ -232,3 +234,16 @@ def test_plans_stay_in_the_jvm(spark, mail):
 def test_ngram_column(spark):
     df = spark.createDataFrame([(["a", "b"],), (["a"],), ([],)], "t array<string>")
     assert [r[0] for r in df.select(ngram_col(F.col("t"), 2)).collect()] == [["a b"], None, None]
+
+
+@pytest.mark.parametrize("n", [2, 5])
+def test_texts_give_what_their_ngrams_give(spark, n):
+    """Totals, neighbours and stripes with and without the n-gram table."""
+    rng = random.Random(n)
+    texts = [" ".join(rng.choice("abcdefghij") * rng.randint(1, 2) for _ in range(rng.randint(0, 14))) for _ in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(99, None)], "doc_id int, text string")
+    grams = ngrams.ngram_table(docs, n=n)
+    assert rows(ngrams.text_word_totals(docs, n=n)) == rows(ngrams.ngram_word_totals(grams))
+    assert rows(ngrams.text_neighbour_pairs(docs, n=n)) == rows(ngrams.neighbour_pairs(grams))
+    vocab = ngrams.vocab_and_basis(ngrams.text_word_totals(docs, n=n), 12, 5).cache()
+    assert rows(ngrams.text_stripe_rows(docs, vocab, n=n)) == rows(ngrams.stripe_rows(ngrams.neighbour_pairs(grams), vocab))
