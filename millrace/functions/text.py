@@ -5,18 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # The 136 stop words of the synonym-detection job, as shipped.
-STOP_WORDS = (
-    "i me my myself we our ours ourselves you your yours yourself yourselves "
-    "he him his himself she her hers herself it its itself they them their "
-    "theirs themselves what which who whom this that these those am is are was "
-    "were be been being have has had having do does did doing a an the and but "
-    "if or because as until while of at by for with about against between into "
-    "through during before after above below to from up down in out on off over "
-    "under again further then once here there when where why how all any both "
-    "each few more most other some such no nor not only own same so than too "
-    "very should can now will just would could may must one much it's can't "
-    "won't don't shouldn't hasn't"
-).split()
+STOP_WORDS = [
+    "i", "me", "my", "myself", "we", "our", "ours", "ourselves", "you", "your", "yours", "yourself", "yourselves", "he",
+    "him", "his", "himself", "she", "her", "hers", "herself", "it", "its", "itself", "they", "them", "their", "theirs",
+    "themselves", "what", "which", "who", "whom", "this", "that", "these", "those", "am", "is", "are", "was", "were",
+    "be", "been", "being", "have", "has", "had", "having", "do", "does", "did", "doing", "a", "an", "the", "and", "but",
+    "if", "or", "because", "as", "until", "while", "of", "at", "by", "for", "with", "about", "against", "between",
+    "into", "through", "during", "before", "after", "above", "below", "to", "from", "up", "down", "in", "out", "on",
+    "off", "over", "under", "again", "further", "then", "once", "here", "there", "when", "where", "why", "how", "all",
+    "any", "both", "each", "few", "more", "most", "other", "some", "such", "no", "nor", "not", "only", "own", "same",
+    "so", "than", "too", "very", "should", "can", "now", "will", "just", "would", "could", "may", "must", "one", "much",
+    "it's", "can't", "won't", "don't", "shouldn't", "hasn't",
+]
 
 # Fixed value: a word is a maximal run of ASCII letters.
 WORD_PATTERN = "[a-z]+"
