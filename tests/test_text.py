@@ -10,6 +10,7 @@ from conftest import rows
 from millrace.functions.text import STOP_WORDS, ngrams as ngram_col, words
 from millrace.operators import counting, naive_bayes, ngrams, similarity, skew
 
+# Toy inputs with known answers.
 NOTE = ["This is a small test file. This file is for a test.", "This small test file has two small lines."]
 AGE = {
     "it was the best of": 1, "age of wisdom it was": 1, "best of times it was": 1, "it was the age of": 2, "it was the worst of": 1,
