@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.llm.text import Words, batches, mix
 
 BITS = 20
-FIT_ROWS = 8_000
+FIT_ROWS = 6_000
 FIT_WORDS = 4_000
 EPOCHS = 8
 _PAIR, _SKIP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -114,11 +114,12 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", limit: int =
                 words = Words([text or b""])
                 if len(words.start) <= FIT_WORDS:
                     places = np.unique(features(words)[1]).astype(np.int32)
-                    yield pd.DataFrame({"doc_id": [doc_id], "label": [y], "places": [places]})
+                    yield pd.DataFrame({"doc_id": [doc_id], "label": [y], "places": [places.tobytes()]})
 
-    found = labelled(docs, labels, label, limit).mapInPandas(extract, "doc_id bigint, label int, places array<int>")
+    # at most ``limit`` rows of ``FIT_WORDS`` words
+    found = labelled(docs, labels, label, limit).mapInPandas(extract, "doc_id bigint, label int, places binary")
     rows = found.withColumn("order", F.xxhash64("doc_id")).toPandas().sort_values(["order", "doc_id"])
-    return fit([np.asarray(p, np.int64) for p in rows["places"]], rows["label"].tolist())
+    return fit([np.frombuffer(p, np.int32) for p in rows["places"]], rows["label"].tolist())
 
 
 def score(model: Model, text: Column) -> Column:
