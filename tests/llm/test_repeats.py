@@ -218,7 +218,7 @@ def brute_removed(texts, ids):
     return out
 
 
-@pytest.mark.parametrize("crowd, piece", [(1000, 1 << 20), (2, 300)])
+@pytest.mark.parametrize("crowd, piece", [(30_000, 1 << 19), (2, 300)])
 def test_suffix(spark, monkeypatch, crowd, piece):
     monkeypatch.setattr(suffix, "CROWD", crowd)
     rng = random.Random(11)
