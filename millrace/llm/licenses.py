@@ -1,13 +1,13 @@
 """Licence notices in documents, by a positional index of rare licence words.
 
 The index holds, for each notice in ``TEMPLATES``, its ``INDEXED`` words of
-highest inverse document frequency with their positions. Frequencies are
-counted over all documents. A document is looked up by its ``LOOKED_UP``
-licence words of highest frequency weight; every place of such a word votes
-for the (notice, start) that would put the notice's word there. Where two
-votes meet, the notice's key phrase must stand at its place, word by word,
-and the weight of all words in place is the notice's coverage. Notices
-covered to ``COVERED`` or more give their label.
+highest inverse document frequency with their positions, and as many more as
+it takes that no start with fewer than two of them in place can be covered to
+``COVERED``. Frequencies are counted over all documents. Every place of every
+indexed word votes for the (notice, start) that would put the notice's word
+there. Where two votes meet, the notice's key phrase must stand at its place
+in the same text, word by word, and the weight of all words in place is the
+notice's coverage. Notices covered to ``COVERED`` or more give their label.
 
 The base phrases are found wherever they stand: each is looked up by its
 rarest word, at every place of it, and verified.
@@ -51,7 +51,6 @@ TEMPLATES = [
     ("unlicense", "released into the public domain", "free and unencumbered software released into the public domain"),
 ]
 INDEXED = 8
-LOOKED_UP = 16
 COVERED = 0.6
 
 
@@ -115,8 +114,8 @@ class Index:
             words, key = [number[w] for w in text.split()], [number[w] for w in phrase.split()]
             at = next(i for i in range(len(words)) if words[i : i + len(key)] == key)
             self.notices.append(Notice(label, words, key, at))
-            rare = sorted(range(len(words)), key=lambda i: (-self.idf[words[i]], i))[:INDEXED]
-            postings += [(words[i], len(self.notices) - 1, i) for i in rare]
+            rare = sorted(range(len(words)), key=lambda i: (-self.idf[words[i]], i))
+            postings += [(words[i], len(self.notices) - 1, i) for i in rare[: self._enough(self.idf[[words[i] for i in rare]])]]
         postings.sort()
         self.post = np.array(postings, np.int64)
         self.post_begin = np.searchsorted(self.post[:, 0], np.arange(len(VOCABULARY) + 1))
@@ -127,6 +126,16 @@ class Index:
             anchor = max(range(len(key)), key=lambda i: self.idf[key[i]])
             self.base.append((label, key, anchor))
 
+    @staticmethod
+    def _enough(weights: np.ndarray) -> int:
+        """How many of a notice's words, heaviest first, are indexed: with one
+        of them and all others in place it is not covered. Or all: then the
+        key phrase alone, of two words or more, gives two votes."""
+        n = min(INDEXED, len(weights))
+        while n < len(weights) and weights[0] + weights[n:].sum() >= (COVERED - 1e-9) * weights.sum():
+            n += 1
+        return n
+
     def _stands(self, words: Words, number: np.ndarray, start: int, key: list[int]) -> bool:
         """Whether the words of ``key`` stand from ``start`` in one text."""
         stop = start + len(key)
@@ -173,26 +182,32 @@ class Index:
         ]
 
     def _meetings(self, words: Words, number: np.ndarray) -> list[tuple[int, int, int]]:
-        """``(text, notice, start)`` on which two or more looked-up words agree."""
+        """``(text, notice, start)`` on which two or more indexed words agree,
+        with the words of the key phrase in place."""
         at = np.flatnonzero((number >= 0) & self.indexed[number])
         if not len(at):
             return []
         text, word = words.text[at], number[at]
-        # each text's licence words of highest weight
-        kinds = np.unique(text.astype(np.int64) * len(self.idf) + word)
-        of, which = kinds // len(self.idf), kinds % len(self.idf)
-        rank = np.lexsort((which, -self.idf[which], of))
-        of_sorted = of[rank]
-        place = np.arange(len(rank)) - np.searchsorted(of_sorted, of_sorted)
-        chosen = kinds[rank][place < LOOKED_UP]
-        used = np.isin(text.astype(np.int64) * len(self.idf) + word, chosen)
-        at, text, word = at[used], text[used], word[used]
         size = self.post_begin[word + 1] - self.post_begin[word]
         each = np.repeat(np.arange(len(at)), size)
         post = self.post[np.repeat(self.post_begin[word] - np.cumsum(size) + size, size) + np.arange(size.sum())]
-        votes = np.stack([text[each], post[:, 1], at[each] - post[:, 2]], 1)
-        votes, n = np.unique(votes, axis=0, return_counts=True)
-        return [tuple(v) for v in votes[n >= 2].tolist()]
+        # one number for text, notice and start, which may lie before the text
+        room = max(len(entry.words) for entry in self.notices)
+        width = len(number) + room
+        votes = (text[each].astype(np.int64) * len(self.notices) + post[:, 1]) * width + at[each] - post[:, 2] + room
+        votes, n = np.unique(votes, return_counts=True)
+        of, start = np.divmod(votes[n >= 2], width)
+        text, notice = np.divmod(of, len(self.notices))
+        start -= room
+        # most meetings are of common words: their key phrases are looked at together
+        met = np.zeros(len(start), bool)
+        for i, entry in enumerate(self.notices):
+            mine = np.flatnonzero(notice == i)
+            low = start[mine] + entry.phrase_at
+            inside = (low >= words.first[text[mine]]) & (low + len(entry.phrase) <= words.first[text[mine] + 1])
+            mine, low = mine[inside], low[inside]
+            met[mine] = np.all([number[low + k] == w for k, w in enumerate(entry.phrase)], axis=0)
+        return list(zip(text[met].tolist(), notice[met].tolist(), start[met].tolist()))
 
 
 def scan(docs: DataFrame) -> DataFrame:

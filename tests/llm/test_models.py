@@ -183,3 +183,44 @@ def test_licences(spark):
         assert licenses.TEMPLATES[i % len(notices)][0] in got[len(texts) - 40 + i].labels.split(",")
     assert licenses.scan(frame(spark, [])).count() == 0
     assert got[2].labels == ""
+
+
+def brute_notices(index, text):
+    """Labels and best coverage over every start whose key phrase stands."""
+    w, labels, best = words(text), set(), 0.0
+    weight = dict(zip(licenses.VOCABULARY, index.idf.tolist()))
+    for label, phrase, notice in licenses.TEMPLATES:
+        notice, key = notice.split(), phrase.split()
+        at = next(i for i in range(len(notice)) if notice[i : i + len(key)] == key)
+        for i in range(len(w) - len(key) + 1):
+            if w[i : i + len(key)] == key:
+                there = sum(weight[x] for k, x in enumerate(notice) if 0 <= i - at + k < len(w) and w[i - at + k] == x)
+                covered = there / sum(weight[x] for x in notice)
+                if covered >= licenses.COVERED:
+                    labels.add(label)
+                    best = max(best, covered)
+    labels |= set(brute_base(text)[4].split(",")) - {""}
+    return ",".join(sorted(labels)), 1.0 if brute_base(text)[1] else best
+
+
+def test_licences_of_files_with_many_licence_words():
+    notices = [t for _, _, t in licenses.TEMPLATES]
+    rng = random.Random(10)
+    every = list(licenses.VOCABULARY)
+    texts = [" ".join(notices), "released under the mit license " + " ".join(every), " x ".join([notices[0], notices[1], notices[11]])]
+    # the end of a notice in a text of its own, after a text with its beginning
+    texts += ["licensed under the apache license", notices[0].removeprefix("licensed under the apache license ")]
+    for _ in range(40):
+        parts = [rng.sample(every, 30)]
+        for notice in rng.choices(notices, k=4):
+            parts += [[x if rng.random() < 0.85 else "z" for x in notice.split()], rng.sample(every, 5)]
+        texts.append(" ".join(x for p in parts for x in p))
+    for seed in range(4):  # equal, rising and mixed weights
+        n = len(licenses.VOCABULARY)
+        index = licenses.Index([np.zeros(n), np.arange(n), *np.random.default_rng(seed).integers(0, 900, (2, n))][seed], 1000)
+        for text, row in zip(texts, index.scan([t.encode() for t in texts])):
+            labels, score = brute_notices(index, text)
+            assert row[5] == labels and row[6] == pytest.approx(score)
+        # a notice with gaps around its phrase
+        part = "licensed z z apache license version 2 0 z z z use this file except in compliance z the license"
+        assert index.scan([part.encode()])[0][5] == brute_notices(index, part)[0]
