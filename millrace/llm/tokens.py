@@ -102,10 +102,12 @@ class Encoder:
 
     def _cut(self, texts: pa.Array) -> pa.Array:
         """Lists of the pieces of texts without NUL: cut before white space
-        and around single newlines, and between a letter and a mark."""
+        and around newlines between visible characters, and between a letter
+        and a mark."""
         marked = pc.replace_substring(pc.replace_substring(texts, "\n", "\0\n\0"), " ", "\0 ")
-        # where white space comes in runs, only its first character is cut off from what is before
-        runs = pc.match_substring_regex(texts, f"[{_BLANK}][ \n]")
+        # where white space comes in runs, only its first character is cut off from what is before;
+        # the tokenizer may keep any of it in one step, such as a newline and the blank after it
+        runs = pc.match_substring_regex(texts, f"[{_BLANK}][ \n]|\n[{_BLANK}]")
         if pc.any(runs).as_py():
             once = pc.replace_substring_regex(texts.filter(runs), f"([^{_BLANK}])([ \n])", "\\1\0\\2")
             marked = pc.replace_with_mask(marked, runs, once)

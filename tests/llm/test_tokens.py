@@ -41,6 +41,15 @@ def test_cut_texts_have_the_library_ids(texts):
     assert encoded(encode, texts) == encode._library(texts)
 
 
+def test_newline_before_other_blanks(library):
+    blanks = "\t\r\x0b\x0c\x1c\x1f\x85\xa0\u1680\u2003\u2028\u202f\u3000"
+    texts = ["a\n\xa0\xa0x", "\n\xa0\xa0x", "a\n\xa0", "\n\xa0", "a\n\xa0\tx", "a\n", "\na", "a\nb\n"]
+    texts += [f"{head}\n{b}{c}{tail}" for head in ("", "a", "a b.") for b in blanks for c in ("", *blanks) for tail in ("", "x", ".", "x\ny")]
+    for text in texts:  # one by one, so that no other text is looked at with it
+        assert encoded(tokens.encoder(PATH), [text]) == [library(text)], repr(text)
+    assert encoded(tokens.encoder(PATH), texts) == [library(t) for t in texts]
+
+
 def test_special_token_and_long_pieces(library):
     encode = tokens.Encoder(PATH)
     texts = ["a <|endoftext|> b<|endoftext|>\n c", "y" * 500 + " z", " ".join("w%d" % i for i in range(3000)), *odd_texts()]
