@@ -6,9 +6,10 @@ space with A-Z lower-cased; two 64-bit hashes stand for it.
 1. Every row's distinct keys are counted, summed map-side, so a key that a
    third of all rows share moves one number per task. Only keys found in at
    least ``min_docs`` rows go on.
-2. Their occurrences are range-partitioned by hash and sorted inside the
-   partition by document and position; the first of a key is the row that
-   starts its run. A key of many occurrences has a known count and is dealt
+2. Their occurrences are range-partitioned by hash. With ``keep_first`` they
+   are sorted inside the partition by document and position; the first of a
+   key is the row that starts its run. Without it nothing reads the order, and
+   Spark leaves the sort out. A key of many occurrences has a known count and is dealt
    over parts of about ``ROWS_PER_PART`` rows, whose first rows are compared.
 3. What is to be dropped becomes, per document, 64 lines to a number; numbers
    without a dropped line are left out. Texts meet the bitmaps once.
