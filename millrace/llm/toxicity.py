@@ -7,8 +7,9 @@ term leaves most weights at exactly zero, so what is sent to the tasks is the
 short list of the others.
 
 Fitting uses at most ``FIT_ROWS`` labelled rows, those of the smallest
-doc_id hash, each of at most ``FIT_WORDS`` words, and runs on the driver; its
-memory is bounded by the two limits. Scoring covers every row and whole
+doc_id hash, each whole and whatever its length; of these the first that hold
+at most ``FIT_PLACES`` distinct places together. It runs on the driver, and
+its memory is bounded by the two limits. Scoring covers every row and whole
 texts.
 
 Cases: null and empty texts have no features and score the bias. Labels that
@@ -28,10 +29,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm.text import Words, batches, mix
+from millrace.session import stored
 
 BITS = 20
 FIT_ROWS = 6_000
-FIT_WORDS = 4_000
+FIT_PLACES = 1 << 24
 EPOCHS = 8
 _PAIR, _SKIP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -107,18 +109,28 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, limit: int) -> Data
     return rows.join(F.broadcast(few), "doc_id").select("doc_id", "text", "label")
 
 
+def whole_rows(rows: DataFrame, numbers: str, size: str, most: int) -> pd.DataFrame:
+    """The first rows by doc_id hash whose ``size`` adds up to ``most`` at
+    most, one at least; equal hashes go by doc_id and ``numbers``."""
+    key = ["order", "doc_id", "tie"]
+    rows = stored(rows.withColumns({"order": F.xxhash64("doc_id"), "tie": F.xxhash64(numbers)}))
+    sizes = rows.select(*key, size).toPandas().sort_values(key)
+    if not len(sizes):
+        return rows.toPandas()
+    n = max(1, int(np.searchsorted(sizes[size].cumsum().to_numpy(), most, "right")))
+    last = F.struct(*[F.lit(int(sizes[c].iloc[n - 1])).cast("long").alias(c) for c in key])
+    return rows.where(F.struct(*key) <= last).toPandas().sort_values(key).head(n)
+
+
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", limit: int = FIT_ROWS) -> Model:
     def extract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for doc_id, text, y in zip(frame["doc_id"], frame["text"], frame["label"]):
-                words = Words([text or b""])
-                if len(words.start) <= FIT_WORDS:
-                    places = np.unique(features(words)[1]).astype(np.int32)
-                    yield pd.DataFrame({"doc_id": [doc_id], "label": [y], "places": [places.tobytes()]})
-
-    # at most ``limit`` rows of ``FIT_WORDS`` words
-    found = labelled(docs, labels, label, limit).mapInPandas(extract, "doc_id bigint, label int, places binary")
-    rows = found.withColumn("order", F.xxhash64("doc_id")).toPandas().sort_values(["order", "doc_id"])
+                places = np.unique(features(Words([text or b""]))[1]).astype(np.int32)
+                yield pd.DataFrame({"doc_id": [doc_id], "label": [y], "n": [len(places)], "places": [places.tobytes()]})
+
+    found = labelled(docs, labels, label, limit).mapInPandas(extract, "doc_id bigint, label int, n bigint, places binary")
+    rows = whole_rows(found, "places", "n", FIT_PLACES)
     return fit([np.frombuffer(p, np.int32) for p in rows["places"]], rows["label"].tolist())
 
 

@@ -153,6 +153,22 @@ def test_neighbours_in_small_blocks(spark, monkeypatch):
     assert got == {(q, i + 1): v for q, top in brute_neighbours(rows, 5).items() for i, (v, _) in enumerate(top)}
 
 
+def test_toxicity_learns_from_whole_long_texts(spark, monkeypatch):
+    rng = random.Random(12)
+    texts = [sentence(rng, rng.choice([20, 5_000])) + (" vilefoe" if i % 2 else "") for i in range(30)]
+    docs = frame(spark, texts)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id bigint, toxic int")
+    monkeypatch.setattr(toxicity, "fit", lambda rows, labels: [(tuple(r.tolist()), y) for r, y in zip(rows, labels)])
+    every = toxicity.learn(docs, labels)
+    whole = [tuple(np.unique(toxicity.features(Words([t.encode()]))[1]).tolist()) for t in texts]
+    assert sorted(every) == sorted((p, i % 2) for i, p in enumerate(whole))
+    most = sum(len(p) for p, _ in every[:7]) + 1
+    monkeypatch.setattr(toxicity, "FIT_PLACES", most)
+    assert toxicity.learn(docs, labels) == every[:7]
+    monkeypatch.setattr(toxicity, "FIT_PLACES", 1)
+    assert toxicity.learn(docs, labels) == every[:1]
+
+
 def brute_base(text):
     w, places, labels = words(text), [], set()
     for phrase, label in licenses.BASE.items():
