@@ -8,8 +8,8 @@ the vectors is scored. Only documents carry labels; which passages matter is
 learned with the rest.
 
 Fitting uses at most ``FIT_ROWS`` labelled rows, those of the smallest doc_id
-hash, with at most ``FIT_PASSAGES`` evenly spread passages each, on the
-driver. Scoring covers every row and all its passages.
+hash, each with all its passages; of these the first that hold at most
+``FIT_PASSAGES`` passages together. It runs on the driver. Scoring covers every row and all its passages.
 
 Cases: null and empty texts are one passage of zeros. Labels that are null
 are left out; a doc_id labelled more than once has the label of at least half
@@ -27,11 +27,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm.text import SPACED_BYTES, Words, batches
-from millrace.llm.toxicity import labelled
+from millrace.llm.toxicity import labelled, whole_rows
 
 PASSAGE = 512
 FIT_ROWS = 6_000
-FIT_PASSAGES = 32
+FIT_PASSAGES = 192_000
 EPOCHS = 30
 
 
@@ -196,15 +196,11 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", limit: int
     def extract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             x, first = passages(frame["text"].tolist())
-            out = []
-            for a, b in zip(first[:-1], first[1:]):
-                some = np.unique(np.linspace(a, b - 1, min(b - a, FIT_PASSAGES)).astype(int))
-                out.append((len(some), x[some].astype(np.float32).tobytes()))
-            yield frame.drop(columns="text").assign(n=[n for n, _ in out], numbers=[v for _, v in out])
+            numbers = [x[a:b].astype(np.float32).tobytes() for a, b in zip(first[:-1], first[1:])]
+            yield frame.drop(columns="text").assign(n=np.diff(first), numbers=numbers)
 
     found = labelled(docs, labels, label, limit).select("doc_id", "text", "label")
-    rows = found.mapInPandas(extract, "doc_id bigint, label int, n int, numbers binary").withColumn("order", F.xxhash64("doc_id"))
-    rows = rows.toPandas().sort_values(["order", "doc_id"])
+    rows = whole_rows(found.mapInPandas(extract, "doc_id bigint, label int, n bigint, numbers binary"), "numbers", "n", FIT_PASSAGES)
     x = np.frombuffer(b"".join(rows["numbers"]), np.float32).reshape(-1, SIZE)
     return fit(x, rows["n"].to_numpy(np.int64), rows["label"].to_numpy(float))
 

@@ -169,6 +169,21 @@ def test_toxicity_learns_from_whole_long_texts(spark, monkeypatch):
     assert toxicity.learn(docs, labels) == every[:1]
 
 
+def test_quality_is_fitted_on_all_passages(spark, monkeypatch):
+    rng = random.Random(13)
+    texts = [sentence(rng, rng.choice([20, 6_000])) for _ in range(12)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id bigint, quality int")
+    monkeypatch.setattr(quality, "fit", lambda x, sizes, y: (x, sizes.tolist(), y.tolist()))
+    x, sizes, y = quality.learn(frame(spark, texts), labels)
+    bags = [quality.passages([t.encode()])[0].astype(np.float32) for t in texts]
+    assert max(sizes) > 32 and sorted(sizes) == sorted(map(len, bags)) and len(x) == sum(sizes)
+    got = np.split(x, np.cumsum(sizes)[:-1])
+    assert all(any(g.shape == b.shape and np.allclose(g, b, atol=1e-5) for b in bags) for g in got)
+    monkeypatch.setattr(quality, "FIT_PASSAGES", sum(sizes[:5]))
+    few = quality.learn(frame(spark, texts), labels)
+    assert few[1] == sizes[:5] and few[2] == y[:5] and np.array_equal(few[0], x[: sum(sizes[:5])])
+
+
 def brute_base(text):
     w, places, labels = words(text), [], set()
     for phrase, label in licenses.BASE.items():
