@@ -5,8 +5,8 @@ hash) and sent to the tasks; every row is then put into its leaf. A query
 walks the tree best bin first: a priority queue of nodes by nearness of their
 centre, so leaves come out in the order they promise to help. How many leaves
 are visited is calibrated: up to ``CALIBRATION`` queries get their true
-neighbours by brute force over all rows, and the number of leaves grows until
-``RECALL`` of them are in reach. A walk goes on until its leaves also hold
+neighbours, without their own row, by brute force over all rows, and the
+number of leaves grows until ``RECALL`` of them are in reach. A walk goes on until its leaves also hold
 enough rows.
 
 A leaf's rows and its queries are dealt over blocks of bounded size and meet
@@ -40,7 +40,7 @@ FIT_ROWS = 20_000
 LEAF_ROWS = 512  # sampled rows below which a node is not cut again
 BRANCHES = 8
 CALIBRATION = 256
-RECALL = 0.96
+RECALL = 0.97
 BLOCK = 4_096
 AT_ONCE = 256  # queries a task works on at a time
 
@@ -232,26 +232,29 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
 
 def _calibrate(classes: DataFrame, placed: DataFrame, tree: Tree, sizes: np.ndarray, k: int) -> int:
     """Leaves to visit so that ``RECALL`` of the true neighbours of some
-    queries, found by brute force over all rows, are in reach."""
+    queries, found by brute force over all rows, are in reach. A query's own
+    row is none of them."""
     some = classes.orderBy(F.xxhash64("class"), "class").limit(CALIBRATION).select("class", "v").toPandas()
     if not len(some):
         return 1
-    queries = _matrix(some["v"])
+    queries, own = _matrix(some["v"]), some["class"].tolist()
 
     def brute(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             if len(frame):
                 found = best(queries, _matrix(frame["v"]), frame["vec_id"].to_numpy(), k + 1)
                 leaf = dict(zip(frame["vec_id"].tolist(), frame["leaf"].tolist()))
-                yield pd.DataFrame([(q, i, s, leaf[i]) for q, i, s in found], columns=["query", "vec_id", "score", "leaf"])
+                yield pd.DataFrame([(q, i, s, leaf[i]) for q, i, s in found if i != own[q]], columns=["query", "vec_id", "score", "leaf"])
 
     found = placed.mapInPandas(brute, "query int, vec_id bigint, score double, leaf int")
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    # at most CALIBRATION * (k + 1) rows
-    true = found.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1).select("query", "leaf").toPandas()
+    # at most CALIBRATION * k rows
+    true = found.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k).select("query", "leaf").toPandas()
     near = _unit(queries) @ tree.matrix.T
     depth = []
     for q, group in true.groupby("query"):
         at = {leaf: i for i, leaf in enumerate(tree.walk(near[q], sizes, tree.n_leaves, 0))}
         depth += [at[leaf] + 1 for leaf in group["leaf"]]
+    if not depth:
+        return 1
     return int(np.sort(depth)[int(np.ceil(RECALL * len(depth))) - 1])

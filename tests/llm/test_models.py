@@ -184,6 +184,27 @@ def test_quality_is_fitted_on_all_passages(spark, monkeypatch):
     assert few[1] == sizes[:5] and few[2] == y[:5] and np.array_equal(few[0], x[: sum(sizes[:5])])
 
 
+def test_calibration_leaves_out_the_own_row(spark, monkeypatch):
+    rng = np.random.default_rng(14)
+    x = neighbours._unit(rng.normal(size=(300, 12)))
+    tree = neighbours.Tree(x, leaf_rows=8)
+    leaf = tree.leaves(x)
+    sizes = np.bincount(leaf, minlength=tree.n_leaves)
+    rows = [(i, v.tolist(), int(n)) for i, (v, n) in enumerate(zip(x, leaf))]
+    placed = spark.createDataFrame(rows, "vec_id bigint, v array<double>, leaf int")
+    classes = placed.where("vec_id % 5 = 0").selectExpr("vec_id as class", "v")
+    depth = []
+    for q in range(0, 300, 5):
+        near = x @ x[q]
+        near[q] = -2
+        depth.append(tree.walk(tree.matrix @ x[q], sizes, tree.n_leaves, 0).index(leaf[near.argmax()]) + 1)
+    monkeypatch.setattr(neighbours, "RECALL", 0.5)
+    want = sorted(depth)[29]
+    assert want > 1 and neighbours._calibrate(classes, placed, tree, sizes, 1) == want
+    alone = placed.where("vec_id = 0")
+    assert neighbours._calibrate(classes.where("class = 0"), alone, tree, sizes, 1) == 1
+
+
 def brute_base(text):
     w, places, labels = words(text), [], set()
     for phrase, label in licenses.BASE.items():
