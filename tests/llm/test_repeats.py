@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
-from helpers import ascii_lower, frame, odd_texts, sentence, words
+from texts import ascii_lower, frame, odd_texts, sentence, words
 
 from millrace.llm import components, decontaminate, lines, runindex, simhash, suffix
 

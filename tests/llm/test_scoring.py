@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 import pytest
-from helpers import frame, odd_texts, sentence, words
+from texts import frame, odd_texts, sentence, words
 from pyspark.sql import functions as F
 
 from millrace.llm import licenses, neighbours, quality, toxicity

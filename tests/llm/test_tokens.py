@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
-from helpers import frame, odd_texts
+from texts import frame, odd_texts
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
