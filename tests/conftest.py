@@ -14,8 +14,3 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def rows(df):
-    """Result as a set of plain tuples."""
-    return {tuple(r) for r in df.collect()}

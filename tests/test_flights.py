@@ -3,7 +3,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from results import rows
 from millrace.operators import classify
 from millrace.plans import derived, flights
 from millrace.sources import readers, writers

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from results import rows
 from millrace.operators import classify, graph, regression
 
 ONE = "AB AD BC BE CD DE EA EB EC".split()

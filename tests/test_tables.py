@@ -6,7 +6,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from results import rows
 from millrace.functions import clean
 from millrace.functions.hashing import key_fraction
 from millrace.operators import joins, nearest, profile, sampling, skew

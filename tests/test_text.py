@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from results import rows
 from millrace.functions.text import STOP_WORDS, ngrams as ngram_col, words
 from millrace.operators import counting, naive_bayes, ngrams, similarity, skew
 
