@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.llm import decontaminate, licenses, lines, neighbours, packing, quality, simhash, suffix, token_file, toxicity
+from millrace.llm import decontaminate, licenses, lines, neighbours, packing, quality, simhash, suffix, token_file, toxicity, trie
 from millrace.sources.readers import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -81,6 +81,13 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
 
 
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    conv_id = F.col("conv_id")
+    shared = F.crc32(conv_id.cast("string").cast("binary")) % 6
+    lists = trie.share_openings(trie.turn_lists(table(spark, folder, "conversations")), conv_id - conv_id % 100, shared, 5)
+    return trie.nodes(lists)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_decontamination": op2_decontamination,
@@ -92,8 +99,10 @@ QUERIES = {
     "op8_token_file": op8_token_file,
     "op9_licenses": op9_licenses,
     "op10_simhash": op10_simhash,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 ORACLE_SQL = {
     "op2_decontamination": decontaminate.ORACLE_SQL,
     "op7_line_dedup": lines.ORACLE_SQL,
+    "op13_conversation_trie": trie.ORACLE_SQL,
 }

@@ -21,7 +21,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_names():
-    assert [int(n.split("_")[0][2:]) for n in queries.QUERIES] == list(range(1, 11))
+    assert [int(n.split("_")[0][2:]) for n in queries.QUERIES] == list(range(1, 14))
 
 
 def test_stages_keep_columns(spark):
