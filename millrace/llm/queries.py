@@ -6,10 +6,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.llm import decontaminate, licenses, lines, neighbours, packing, quality, simhash, suffix, token_file, toxicity, trie
+from millrace.llm import decontaminate, licenses, lines, neighbours, packing, quality, ranking, secrets, simhash, suffix, token_file, toxicity, trie
 from millrace.sources.readers import table
 
 TOKENIZER = "byte_bpe_50k.json"
+SECRETS_VOCABULARY = "byte_bpe_50k.tiktoken"
 END_ID = 2
 
 
@@ -81,6 +82,22 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
 
 
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    found = ranking.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score")
+
+
+def op12_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(table(spark, folder, "documents"), public_tokenizers.path(SECRETS_VOCABULARY))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"), F.sha2(secrets.joined("spans", base_only=True), 256).alias("base_sha256"), secrets.joined("spans", base_only=False).alias("spans")
+    )
+
+
 def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     conv_id = F.col("conv_id")
     shared = F.crc32(conv_id.cast("string").cast("binary")) % 6
@@ -99,10 +116,13 @@ QUERIES = {
     "op8_token_file": op8_token_file,
     "op9_licenses": op9_licenses,
     "op10_simhash": op10_simhash,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_secrets": op12_secrets,
     "op13_conversation_trie": op13_conversation_trie,
 }
 ORACLE_SQL = {
     "op2_decontamination": decontaminate.ORACLE_SQL,
     "op7_line_dedup": lines.ORACLE_SQL,
+    "op11_ranked_search": ranking.ORACLE_SQL,
     "op13_conversation_trie": trie.ORACLE_SQL,
 }

@@ -77,22 +77,26 @@ def _prefix(seq: str, depth: Column) -> Column:
     return F.substring(F.col(seq), F.lit(1), (depth * _ID).cast("int"))
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted ``seq, conv_id`` rows as runs of comma-joined ids."""
-    key, ids = None, []
+def _runs(size: int):
+    """Sorted ``seq, conv_id`` rows as runs of ``size`` comma-joined ids."""
 
-    def run() -> pa.RecordBatch:
-        return pa.record_batch({"seq": pa.array([key], pa.binary()), "first": pa.array([ids[0]], pa.int64()), "ids": pa.array([",".join(map(str, ids))])})
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, ids = None, []
 
-    for batch in batches:
-        for seq, conv_id in zip(batch.column("seq").to_pylist(), batch.column("conv_id").to_pylist()):
-            if ids and (seq != key or len(ids) == _RUN):
-                yield run()
-                ids = []
-            key = seq
-            ids.append(conv_id)
-    if ids:
-        yield run()
+        def run() -> pa.RecordBatch:
+            return pa.record_batch({"seq": pa.array([key], pa.binary()), "first": pa.array([ids[0]], pa.int64()), "ids": pa.array([",".join(map(str, ids))])})
+
+        for batch in batches:
+            for seq, conv_id in zip(batch.column("seq").to_pylist(), batch.column("conv_id").to_pylist()):
+                if ids and (seq != key or len(ids) == size):
+                    yield run()
+                    ids = []
+                key = seq
+                ids.append(conv_id)
+        if ids:
+            yield run()
+
+    return runs
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,7 +122,7 @@ def _sequences(lists: DataFrame) -> DataFrame:
     rows = stored(lists.select("conv_id", F.unhex(ids).alias("seq"), F.transform("turns", lambda t: t["chars"]).alias("chars")))
     found = rows.groupBy("seq", "chars").agg(F.count("*").alias("n"), F.min("conv_id").alias("conv"))
     sorted_ids = rows.select("seq", "conv_id").repartitionByRange("seq", "conv_id").sortWithinPartitions("seq", "conv_id")
-    runs = sorted_ids.mapInArrow(_runs, "seq binary, first bigint, ids string")
+    runs = sorted_ids.mapInArrow(_runs(_RUN), "seq binary, first bigint, ids string")
     ends = runs.repartition("seq").sortWithinPartitions("seq", "first").select("seq", "ids").mapInArrow(_digests, "seq binary, ends string")
     return stored(found.join(ends, "seq"))
 
