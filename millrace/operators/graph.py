@@ -13,7 +13,7 @@ from millrace.session import cut_lineage, shuffle_width, stored
 def edges_from_adjacency(lines: DataFrame, value: str = "value") -> DataFrame:
     """Edges from text lines ``node \\t {'neighbour': links, …}``."""
     parts = F.split(F.col(value), "\t")
-    links = F.from_json(F.get(parts, F.lit(1)), "map<string,int>", {"allowSingleQuotes": "true"})
+    links = F.from_json(F.get(parts, F.lit(1)), "map<string,int>", {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"})
     return lines.select(F.get(parts, F.lit(0)).alias("src"), F.explode(links).alias("dst", "weight"))
 
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators.counting import top_n_per_group, word_counts
-from millrace.plans import model_queries, table_queries, text_queries
+from millrace.plans import file_queries, model_queries, table_queries, text_queries
 from millrace.sources.readers import table
 
-PARTS = (text_queries, table_queries, model_queries)
+PARTS = (text_queries, table_queries, model_queries, file_queries)
 
 
 def entries() -> dict:

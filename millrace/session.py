@@ -3,7 +3,6 @@ the one place where lineage is cut."""
 
 from __future__ import annotations
 
-import atexit
 import tempfile
 import uuid
 
@@ -63,30 +62,46 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-_kept: set[str] = set()
+_folders: set[str] = set()
+
+
+def _on_files(spark: SparkSession, path: str):
+    """Hadoop's path object and the file system that holds it."""
+    context = spark.sparkContext
+    found = context._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(context._jsc.hadoopConfiguration())
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new path in the shared checkpoint folder, for files that a job writes
+    and reads again. They go when the program ends, also if the session was
+    stopped before."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/stored-{spark.sparkContext.applicationId}"
+    if folder not in _folders:
+        path, files = _on_files(spark, folder)
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _folders.add(folder)
+    return f"{folder}/{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written once as Parquet in the shared checkpoint folder and read
     from there: later plans start from the files, read only the columns they
-    use and see the table's true size. The files go when the program ends.
+    use and see the table's true size. The files go with ``discard`` or when
+    the program ends.
     """
-    spark = df.sparkSession
-    folder = f"{checkpoint_dir(spark).rstrip('/')}/stored-{spark.sparkContext.applicationId}"
-    path = f"{folder}/{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession)
     df.write.parquet(path)
-    if folder not in _kept:
-        _kept.add(folder)
-        atexit.register(_forget, spark, folder)
-    return spark.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
 
 
-def _forget(spark: SparkSession, folder: str) -> None:
-    context = spark.sparkContext
-    if context._jsc is None or context._jsc.sc().isStopped():
-        return
-    path = context._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+def discard(df: DataFrame) -> None:
+    """Delete the files of a ``stored`` table that no later plan reads."""
+    path, files = _on_files(df.sparkSession, df._stored_at)
+    files.delete(path, True)
 
 
 def shuffle_width(spark: SparkSession) -> int:

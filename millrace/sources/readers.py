@@ -23,13 +23,16 @@ def _paths(paths: str | Iterable[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def text_lines(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
-    """``(value)`` per line of one file, several files or whole folders."""
-    return spark.read.text(_paths(paths))
+def text_lines(spark: SparkSession, paths: str | Iterable[str], line_sep: str | None = None) -> DataFrame:
+    """``(value)`` per line of one file, several files or whole folders. Any of
+    the usual line ends counts unless ``line_sep`` names one."""
+    reader = spark.read if line_sep is None else spark.read.option("lineSep", line_sep)
+    return reader.text(_paths(paths))
 
 
 def tsv(spark: SparkSession, paths: str | Iterable[str], schema: str | T.StructType) -> DataFrame:
-    """Tab-separated records; quotes are ordinary characters."""
+    """Tab-separated records; quotes are ordinary characters and an empty field
+    is null."""
     return spark.read.schema(schema).option("sep", "\t").option("quote", "").csv(_paths(paths))
 
 
@@ -46,7 +49,16 @@ def titles(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
 
 
 def delimited(spark: SparkSession, paths: str | Iterable[str], schema: str, sep: str = ",", header: bool = True) -> DataFrame:
-    return spark.read.schema(schema).option("header", header).option("sep", sep).csv(_paths(paths))
+    """Delimited records. A field without anything is null, a quoted empty one
+    the empty string."""
+    options = {"header": header, "sep": sep, "escape": '"', "nullValue": "\0"}  # else both would be null
+    return spark.read.schema(schema).options(**options).csv(_paths(paths))
+
+
+def features_and_label(rows: DataFrame) -> DataFrame:
+    """``(features, label)`` of all-numeric rows whose last column is the label."""
+    *features, label = rows.columns
+    return rows.select(F.array(*[F.col(f"`{c}`").cast("double") for c in features]).alias("features"), F.col(f"`{label}`").cast("double").alias("label"))
 
 
 def tagged_union(spark: SparkSession, tagged: Sequence[tuple[str, int]], schema: str, tag: str, sep: str = ";") -> DataFrame:
@@ -63,12 +75,24 @@ def wine(spark: SparkSession, red: str, white: str) -> DataFrame:
     return tagged_union(spark, [(red, 1), (white, 0)], WINE, "color").select("color", *WINE_FEATURES, "quality")
 
 
-def airport_coordinates(spark: SparkSession, path: str) -> DataFrame:
+def by_header(spark: SparkSession, paths: str | Iterable[str], wanted: str, header: Sequence[str] | None = None) -> DataFrame:
+    """The columns ``wanted`` (a schema) of headed comma-separated files that
+    hold more, in any order; a value that does not parse is null.
+
+    ``header`` states the files' column names: then nothing is read before the
+    scan, and each file's own header is checked against it. Without it Spark
+    reads the first line of one file beforehand.
+    """
+    types = {f.name: f.dataType for f in T.StructType.fromDDL(wanted)}
+    reader = spark.read.options(header=True, escape='"', nullValue="\0")
+    if header is not None:
+        reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in header])).option("enforceSchema", False)
+    return reader.csv(_paths(paths)).select(*[F.col(f"`{c}`").try_cast(types[c]).alias(c) for c in types])
+
+
+def airport_coordinates(spark: SparkSession, path: str, header: Sequence[str] | None = None) -> DataFrame:
     """The four columns in use, found by name in a wider headed file."""
-    wanted = [f.name for f in T.StructType.fromDDL(AIRPORT_COORDINATES)]
-    head = spark.read.option("header", True).csv(path)
-    types = {f.name: f.dataType for f in T.StructType.fromDDL(AIRPORT_COORDINATES)}
-    return head.select(*[F.col(c).try_cast(types[c]).alias(c) for c in wanted])
+    return by_header(spark, path, AIRPORT_COORDINATES, header)
 
 
 def parquet(spark: SparkSession, paths: str | Iterable[str], schema: str | T.StructType | None = None) -> DataFrame:
