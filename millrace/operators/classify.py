@@ -137,6 +137,38 @@ def report(rows: DataFrame, is_train: str, label: str, features: Sequence[str],
     return out
 
 
+def optimality(model: PipelineModel, rows: DataFrame, label: str, features: Sequence[str], reg: float = 0.0, elastic_net: float = 0.0) -> DataFrame:
+    """``(feature, weight, violation)``: how far a fitted logistic regression
+    is from the best weights, from one aggregate over its training rows.
+
+    The penalty counts in units of each feature's spread. At the best weights
+    the gradient of the loss balances the penalty's; a weight of zero may
+    leave any gradient up to the lasso's share. The row ``intercept`` holds
+    the mean residual. All violations are zero at the optimum only.
+    """
+    scored = score(model, rows)
+    residual = F.col("p1") - F.col(label)
+    names = list(features)
+    sums = scored.agg(
+        F.avg(residual).alias("r"),
+        *[F.avg(residual * F.col(f"`{c}`")).alias(f"g{i}") for i, c in enumerate(names)],
+        *[F.avg(f"`{c}`").alias(f"m{i}") for i, c in enumerate(names)],
+        *[F.stddev_samp(f"`{c}`").alias(f"s{i}") for i, c in enumerate(names)],
+    )
+    stage = model.stages[-1]
+    l1, l2 = reg * elastic_net, reg * (1 - elastic_net)
+    cells = [F.struct(F.lit("intercept").alias("feature"), F.lit(float(stage.intercept)).alias("weight"), F.abs("r").alias("violation"))]
+    for i, (name, weight) in enumerate(zip(names, stage.coefficients.toArray().tolist())):
+        spread = F.col(f"s{i}")
+        slope = (F.col(f"g{i}") - F.col(f"m{i}") * F.col("r")) / spread
+        if weight:
+            away = F.abs(slope + l1 * (1 if weight > 0 else -1) + l2 * weight * spread)
+        else:
+            away = F.greatest(F.abs(slope) - l1, F.lit(0.0))
+        cells.append(F.struct(F.lit(name).alias("feature"), F.lit(weight).alias("weight"), F.when(spread > 0, away).otherwise(0.0).alias("violation")))
+    return sums.select(F.inline(F.array(*cells)))
+
+
 def importances(model: PipelineModel, features: Sequence[str], spark) -> DataFrame:
     """``(feature, importance)`` of a fitted tree model."""
     scores = model.stages[-1].featureImportances

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions.hashing import key_hash
 from millrace.operators.counting import top_n
+from millrace.operators.sampling import fixed_size
 from millrace.operators.skew import Heavy, every_salt, heavy_keys, own_salt, salted_join
 from millrace.session import cut_lineage, shuffle_width, stored
 
@@ -60,12 +61,13 @@ def dangling_count(edges: DataFrame) -> DataFrame:
 
 
 def degree_report(edges: DataFrame, n: int = 10, sample: int = 1000, seed: int = 42) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Largest out-weights, their mean over non-dangling nodes, and a sample."""
+    """Largest out-weights, their mean over non-dangling nodes, and a sample
+    drawn by the hash of the node."""
     degrees = out_weights(edges)
     return (
         top_n(degrees, "out_weight", n, "src"),
         degrees.agg(F.avg("out_weight").alias("mean_out_weight")),
-        degrees.orderBy(F.rand(seed)).limit(sample),
+        fixed_size(degrees, ["src"], sample, seed),
     )
 
 

@@ -6,6 +6,8 @@ the plain forms are Spark's own samplers.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.hashing import key_fraction, key_hash
@@ -20,6 +22,29 @@ def with_replacement(df: DataFrame, fraction: float, seed: int = 42) -> DataFram
     return df.sample(True, fraction, seed)
 
 
+def poisson_copies(df: DataFrame, keys: list[str], rate: float, seed: int = 42) -> DataFrame:
+    """Sample with replacement that a retry repeats: each row comes as often
+    as a Poisson number of mean ``rate`` says, drawn by the inverse of its
+    distribution function from the hash of the row's key."""
+    number = F.lit(0)
+    for bound in poisson_bounds(rate):
+        number = number + (key_fraction(*keys, seed=seed) >= bound).cast("int")
+    copies = df.withColumn("_copies", number).where(F.col("_copies") > 0)
+    return copies.withColumn("_copies", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copies")
+
+
+def poisson_bounds(rate: float) -> list[float]:
+    """Probabilities of at most 0, 1, 2, … events, up to where no 32-bit
+    fraction lies beyond."""
+    term = total = math.exp(-rate)
+    out = []
+    while total <= 1 - 2.0**-32:
+        out.append(total)
+        term *= rate / len(out)
+        total += term
+    return out
+
+
 def hash_sample(df: DataFrame, keys: list[str], fraction: float, seed: int = 42) -> DataFrame:
     return df.where(key_fraction(*keys, seed=seed) < fraction)
 

@@ -145,10 +145,12 @@ def running(df: DataFrame, order: Sequence[Column | str], sums: Mapping[str, str
     return joined.select(*df.columns, *[(F.col(f"_s{i}") + F.col(f"_b{i}")).alias(name) for i, name in enumerate(sums)])
 
 
-def global_rank(df: DataFrame, key: str, name: str = "rank") -> DataFrame:
-    """1-based position of every row in the order of a unique ``key``: range
-    partitions, row numbers inside them, and the sizes of the earlier ones."""
-    ranged = df.repartitionByRange(key).sortWithinPartitions(key)
+def global_rank(df: DataFrame, key: Column | str | Sequence[Column | str], name: str = "rank") -> DataFrame:
+    """1-based position of every row in the order of ``key``, one or several
+    columns that tell all rows apart: range partitions, row numbers inside
+    them, and the sizes of the earlier ones."""
+    keys = [key] if isinstance(key, (str, Column)) else list(key)
+    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     placed = stored(ranged.withColumn("_row", F.monotonically_increasing_id()))
     part, inside = F.shiftright("_row", _INSIDE), F.col("_row").bitwiseAND((1 << _INSIDE) - 1)
     # one row per part

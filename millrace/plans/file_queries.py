@@ -27,9 +27,8 @@ def _text_lines(spark, d):
 def _mail(spark, d):
     """Labelled documents as mail records: the first line is the subject."""
     path = scratch(spark)
-    docs = derived.labelled_documents(spark, d)
-    cut = F.split("text", "\n", 2)
-    records = docs.select(F.concat(F.lit("d"), "doc_id").alias("id"), F.col("quality").cast("int").alias("spam"), F.get(cut, F.lit(0)).alias("subject"), F.get(cut, F.lit(1)).alias("content"))
+    parts = text_queries._mail_parts(spark, d)
+    records = parts.select(F.concat(F.lit("d"), "doc_id").alias("id"), F.col("quality").cast("int").alias("spam"), "subject", "content")
     writers.write_tsv(records, path)
     return readers.mail(spark, path)
 

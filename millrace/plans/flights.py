@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions.clean import clean_composites, clock_hour, clock_minutes, date_part, hour_part, nulls_to_zero, unique_columns
@@ -258,13 +259,22 @@ def train_best(features: DataFrame, test_from: int, max_iter: int = 30):
 
 
 def score_flights(
-    spark: SparkSession, model_path: str, flight_paths, weather_paths, coordinates: DataFrame, index: DataFrame, known_stations: DataFrame | None = None
+    spark: SparkSession,
+    model: PipelineModel | str,
+    flight_paths,
+    weather_paths,
+    coordinates: DataFrame | None,
+    index: DataFrame,
+    known_stations: DataFrame | None = None,
+    features: Sequence[str] = BEST_SET,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Batch scoring of new files with a saved model and a saved delay index."""
+    """Batch scoring of new files with a saved model and a saved delay index;
+    the station index is made from ``coordinates`` unless one is known."""
     flights = load_flights(spark, flight_paths)
     weather = load_weather(spark, weather_paths)
     heavy = heavy_flight_keys(flights)
     rows = attach_delay_index(attach_inbound(flights, heavy=heavy), index)
     stations = station_index(weather, coordinates) if known_stations is None else known_stations
     ready = attach_weather(rows, weather, stations, heavy)
-    return score(load_model(model_path), labelled(ready, BEST_SET))
+    return score(load_model(model) if isinstance(model, str) else model, labelled(ready, features, keep))

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators import classify, graph, regression, sampling
-from millrace.plans import derived, flights
-from millrace.plans.table_queries import FLIGHTS, clean_flights, flight_features
-from millrace.session import stored
+from millrace.operators import classify, forest, graph, regression, sampling
+from millrace.plans import derived, flights, package
+from millrace.plans.table_queries import FLIGHTS, INBOUND, INDEX, STATIONS, WEATHER, clean_flights, flight_features, with_weather_sql
+from millrace.session import scratch, stored
 from millrace.sources.readers import table
+from millrace.sources.writers import write_parquet
 
 EDGES = """tr AS (SELECT 'c' || o_custkey AS c, 's' || l_suppkey AS s, l_linenumber = 1 AND l_suppkey % 2 = 0 AS back FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
  ed AS (SELECT src, dst, count(*) AS weight FROM (SELECT c AS src, s AS dst FROM tr UNION ALL SELECT s, c FROM tr WHERE back) GROUP BY 1, 2),
@@ -272,6 +273,102 @@ RULE = f"""{FLIGHTS}, sc AS (SELECT DEP_TIME / 2400.0::DOUBLE AS p1, DEP_DEL15 A
 CHOSEN = [flights.LABEL, "DEP_TIME", "DAY_OF_WEEK", "MONTH", "ARR_DELAY_NEW"]
 
 
+COMPLETE = f"""{FLIGHTS}, {WEATHER}, {STATIONS}, {INBOUND}, {INDEX}, fx AS MATERIALIZED (SELECT * FROM ib JOIN di USING (OP_CARRIER, ORIGIN_AIRPORT_ID)),
+ complete AS (SELECT * FROM ({with_weather_sql('fx')}) WHERE {' AND '.join(c + ' IS NOT NULL' for c in flights.BEST_SET)})"""
+TREE_SET = ["DEP_TIME", "DAY_OF_WEEK", "MONTH", "DAY_OF_MONTH", "ARR_DELAY_NEW"]
+
+
+def _plain_rows(spark, d):
+    """Numbered rows of flights without their weather."""
+    rows = flights.labelled(clean_flights(spark, d), TREE_SET)
+    return stored(stored(rows).withColumn("row", F.monotonically_increasing_id()))
+
+
+BALANCED = 1e-4  # greatest violation of a fitted logistic regression
+
+
+def _lr_optimality(spark, d):
+    """Both regressions, fitted to the end: are their weights the best ones?"""
+    rows, out = _plain_rows(spark, d), None
+    for kind, penalty in (("lr", {"reg": 0.02, "elastic_net": 0.8}), ("lr_plain", {})):
+        params = {"regParam": penalty["reg"], "elasticNetParam": penalty["elastic_net"]} if penalty else {}
+        model = classify.fit(rows, flights.LABEL, TREE_SET, kind, max_iter=500, tol=1e-10, **params)
+        found = classify.optimality(model, rows, flights.LABEL, TREE_SET, **penalty)
+        row = found.agg(F.lit(kind).alias("model"), F.count("*").alias("weights"), F.count_if(F.col("violation") > BALANCED).alias("off"))
+        out = row if out is None else out.union(row)
+    return out
+
+
+def _saved_trees(spark, rows, kind, **params):
+    model = classify.fit(rows, flights.LABEL, TREE_SET, kind, **params)
+    path = scratch(spark)
+    classify.save_model(model, path)
+    return model, stored(forest.tree_table(spark, path))
+
+
+def _tree_scores(spark, d):
+    """Scores from the trees' table against those of the fitted models."""
+    rows, out = _plain_rows(spark, d), None
+    for kind, by_joins, params in (("rf", forest.forest_scores, {}), ("gbt", forest.boosted_scores, {"max_iter": 5})):
+        model, trees = _saved_trees(spark, rows, kind, **params)
+        own = by_joins(rows, trees, "row", TREE_SET, forest.depth(model))
+        both = classify.score(model, rows).select("row", F.col("p1").alias("want")).join(own, "row")
+        row = both.agg(F.lit(kind).alias("model"), F.count("*").alias("rows"), F.count_if(F.abs(F.col("p1") - F.col("want")) > 1e-9).alias("differing"))
+        out = row if out is None else out.union(row)
+    return out
+
+
+def _tree_importance(spark, d):
+    """Importances from the gains in the trees' table against MLlib's."""
+    rows, out = _plain_rows(spark, d), None
+    for kind, params in (("rf", {}), ("gbt", {"max_iter": 5})):
+        model, trees = _saved_trees(spark, rows, kind, **params)
+        own = forest.gain_importances(trees, TREE_SET, per_tree=kind == "rf")
+        both = classify.importances(model, TREE_SET, spark).join(own.withColumnRenamed("importance", "own"), "feature", "left")
+        off = F.abs(F.col("importance") - F.coalesce("own", F.lit(0.0))) > 1e-9
+        row = both.agg(F.lit(kind).alias("model"), F.count("*").alias("features"), F.count_if(off).alias("differing"))
+        out = row if out is None else out.union(row)
+    return out
+
+
+def _tree_rows(spark, d):
+    """Training rows that meet in each tree's root: all of them, for boosting
+    draws none."""
+    rows = _plain_rows(spark, d)
+    _, trees = _saved_trees(spark, rows, "gbt", max_iter=3)
+    return trees.where("node = 0").select("tree", F.col("held").cast("bigint").alias("rows"))
+
+
+def _train_best(spark, d):
+    """The job's best model: 30 boosted trees on 23 features."""
+    model, test = flights.train_best(flight_features(spark, d), 2000)
+    scored = classify.score(model, test)
+    size = {"trees": model.stages[-1].getNumTrees, "features": model.stages[-1].numFeatures}
+    return scored.agg(*[F.lit(n).alias(k) for k, n in size.items()], F.count("*").alias("test_rows"), F.count_if(F.col("p1").between(0, 1)).alias("scored"))
+
+
+def _score_flights(spark, d):
+    """A package is published, one day's file scored, then all days': the
+    second batch takes up the two days that are left."""
+    folder, out = scratch(spark), scratch(spark)
+    raw, weather_files = derived.raw_flights(spark, d), scratch(spark)
+    days = [f"2024-01-0{i}" for i in (1, 2, 3)]
+    for day in days:
+        write_parquet(raw.where(F.col("FL_DATE") == day), f"{out}/in/{day}")
+    write_parquet(derived.raw_weather(spark, d), weather_files)
+    known = clean_flights(spark, d)
+    index = stored(flights.delay_index(known.where("YEAR = 1999")))
+    stations = stored(flights.station_index(flights.clean_weather(derived.raw_weather(spark, d)), derived.airport_rows(spark, d)))
+    rows = flights.attach_weather(flights.attach_delay_index(flights.attach_inbound(known), index), flights.clean_weather(derived.raw_weather(spark, d)), stations)
+    train = stored(flights.labelled(rows, flights.BEST_SET))
+    model = classify.fit(train, flights.LABEL, flights.BEST_SET, "gbt", max_iter=3)
+    package.publish(spark, folder, model, index, stations, flights.BEST_SET)
+    batches = [package.score_new(spark, folder, [f"{out}/in/{day}" for day in some], weather_files, f"{out}/scored", ["FL_DATE"]) for some in (days[:1], days, days)]
+    if batches[2] is not None:
+        raise RuntimeError("a file was scored twice")
+    return package.scores(spark, f"{out}/scored").groupBy("FL_DATE").agg(F.count("*").alias("scored"), F.round(F.avg(flights.LABEL), 6).alias("late"))
+
+
 QUERIES = {
     "graph_edges": (derived.trade_edges, f"WITH {EDGES} SELECT src, dst, weight FROM ed"),
     "graph_nodes": (lambda s, d: graph.node_count(derived.trade_edges(s, d)), f"WITH {EDGES} SELECT count(*) AS nodes FROM nd"),
@@ -385,4 +482,26 @@ QUERIES = {
     "rf_importance": (_importance, None),
     "batch_scores": (_scored, None),
     "lr_roc_curve": (_roc, None),
+    "lr_optimality": (
+        _lr_optimality,
+        f"SELECT unnest(['lr', 'lr_plain']) AS model, {len(TREE_SET) + 1} AS weights, 0 AS off",
+    ),
+    "tree_scores": (
+        _tree_scores,
+        f"WITH {FLIGHTS} SELECT model, count(*) AS rows, 0 AS differing FROM fl, (SELECT unnest(['rf', 'gbt']) AS model) GROUP BY model",
+    ),
+    "tree_importance": (_tree_importance, f"SELECT unnest(['rf', 'gbt']) AS model, {len(TREE_SET)} AS features, 0 AS differing"),
+    "tree_root_rows": (_tree_rows, f"WITH {FLIGHTS} SELECT tree, count(*) AS rows FROM fl, range(3) t(tree) GROUP BY tree"),
+    "train_best": (
+        _train_best,
+        f"""WITH {COMPLETE} SELECT 30 AS trees, {len(flights.BEST_SET)} AS features, count(*) AS test_rows, count(*) AS scored FROM complete WHERE YEAR >= 2000""",
+    ),
+    "score_flights": (
+        _score_flights,
+        f"WITH {COMPLETE} SELECT FL_DATE, count(*) AS scored, round(avg(DEP_DEL15), 6) AS late FROM complete GROUP BY FL_DATE",
+    ),
+    "out_degree_sample": (
+        lambda s, d: graph.degree_report(derived.trade_edges(s, d), sample=500)[2],
+        f"WITH {EDGES} SELECT * FROM ow ORDER BY ('0x' || substr(md5('42|' || src), 1, 8))::BIGINT, src LIMIT 500",
+    ),
 }

@@ -157,7 +157,7 @@ INDEX = """di AS (SELECT OP_CARRIER, ORIGIN_AIRPORT_ID, avg(LATE_AIRCRAFT_DELAY)
    avg(SECURITY_DELAY) AS MEAN_SECURITY_DELAY FROM fl WHERE YEAR = 1999 GROUP BY 1, 2)"""
 
 
-def _with_weather_sql(source: str) -> str:
+def with_weather_sql(source: str) -> str:
     """One join per step, each step stored, so that the order stays as written."""
     def reads(prefix: str) -> str:
         return ", ".join(f"w.{c} AS {prefix}_{c}" for c in flights.READINGS)
@@ -379,16 +379,16 @@ QUERIES = {
         lambda s, d: flights.flight_features(
             clean_flights(s, d), clean_weather(s, d), derived.airport_rows(s, d), inbound=False
         ).select(*V1_OUT),
-        f"WITH {FLIGHTS}, {WEATHER}, {STATIONS} SELECT {', '.join(V1_OUT)} FROM ({_with_weather_sql('fl')})",
+        f"WITH {FLIGHTS}, {WEATHER}, {STATIONS} SELECT {', '.join(V1_OUT)} FROM ({with_weather_sql('fl')})",
     ),
     "flight_features": (
         lambda s, d: _features_out(flight_features(s, d)),
         f"""WITH {FLIGHTS}, {WEATHER}, {STATIONS}, {INBOUND}, {INDEX}, fx AS MATERIALIZED (SELECT * FROM ib JOIN di USING (OP_CARRIER, ORIGIN_AIRPORT_ID))
- SELECT {_V3_COLS} FROM ({_with_weather_sql('fx')})""",
+ SELECT {_V3_COLS} FROM ({with_weather_sql('fx')})""",
     ),
     "flight_features_inbound": (
         lambda s, d: flights.flight_features(clean_flights(s, d), clean_weather(s, d), derived.airport_rows(s, d)).select(*V1_OUT, "INBOUND_ARR_DELAY_NEW"),
-        f"""WITH {FLIGHTS}, {WEATHER}, {STATIONS}, {INBOUND} SELECT {', '.join(V1_OUT)}, INBOUND_ARR_DELAY_NEW FROM ({_with_weather_sql('ib')})""",
+        f"""WITH {FLIGHTS}, {WEATHER}, {STATIONS}, {INBOUND} SELECT {', '.join(V1_OUT)}, INBOUND_ARR_DELAY_NEW FROM ({with_weather_sql('ib')})""",
     ),
     "flight_features_median": (
         lambda s, d: flights.attach_delay_index(clean_flights(s, d), flights.delay_index(clean_flights(s, d), "median")).select(
@@ -409,14 +409,14 @@ QUERIES = {
    any_value(o.FL_DATE) AS FL_DATE, any_value(o.ORIGIN_AIRPORT_ID) AS ORIGIN_AIRPORT_ID, any_value(o.DEST_AIRPORT_ID) AS DEST_AIRPORT_ID,
    count(i.rid) AS INBOUND_LEGS, round(avg(i.ARR_DELAY_NEW), 6) AS INBOUND_ARR_DELAY_NEW FROM lg o LEFT JOIN lg i ON i.DEST_AIRPORT_ID = o.ORIGIN_AIRPORT_ID
    AND i.TAIL_NUM = o.TAIL_NUM AND i.FL_DATE = o.FL_DATE AND o.DEP_TIME - 400 < i.CRS_ARR_TIME AND i.CRS_ARR_TIME < o.DEP_TIME - 200 GROUP BY o.rid)
- SELECT TAIL_NUM, DEP_TIME, CRS_ARR_TIME, INBOUND_LEGS, INBOUND_ARR_DELAY_NEW, {', '.join(f'round({c}, 6) AS {c}' for c in flights.WEATHER_SET)} FROM ({_with_weather_sql('ib')})""",
+ SELECT TAIL_NUM, DEP_TIME, CRS_ARR_TIME, INBOUND_LEGS, INBOUND_ARR_DELAY_NEW, {', '.join(f'round({c}, 6) AS {c}' for c in flights.WEATHER_SET)} FROM ({with_weather_sql('ib')})""",
     ),
     "labelled_rows": (
         lambda s, d: flights.labelled(flight_features(s, d), flights.BEST_SET).agg(
             F.count("*").alias("kept"), F.round(F.avg(flights.LABEL), 6).alias("positive_rate")
         ),
         f"""WITH {FLIGHTS}, {WEATHER}, {STATIONS}, {INBOUND}, {INDEX}, fx AS MATERIALIZED (SELECT * FROM ib JOIN di USING (OP_CARRIER, ORIGIN_AIRPORT_ID))
- SELECT count(*) AS kept, round(avg(DEP_DEL15), 6) AS positive_rate FROM ({_with_weather_sql('fx')}) WHERE {' AND '.join(c + ' IS NOT NULL' for c in flights.BEST_SET)}""",
+ SELECT count(*) AS kept, round(avg(DEP_DEL15), 6) AS positive_rate FROM ({with_weather_sql('fx')}) WHERE {' AND '.join(c + ' IS NOT NULL' for c in flights.BEST_SET)}""",
     ),
     "hash_sample": (
         lambda s, d: sampling.hash_sample(_lines(s, d).select("l_orderkey", "l_linenumber", "l_partkey"), ["l_orderkey", "l_linenumber", "l_partkey"], 0.1),
@@ -451,7 +451,11 @@ QUERIES = {
     ),
     "preview": (lambda s, d: counting.preview(_lines(s, d)), None),
     "sample_bernoulli": (lambda s, d: sampling.bernoulli(_lines(s, d).select("l_orderkey", "l_linenumber"), 0.1), None),
-    "sample_with_replacement": (lambda s, d: sampling.with_replacement(_lines(s, d).select("l_orderkey", "l_linenumber"), 0.1), None),
+    "sample_with_replacement": (
+        lambda s, d: sampling.poisson_copies(_lines(s, d).select("l_orderkey", "l_linenumber", "l_partkey"), ["l_orderkey", "l_linenumber", "l_partkey"], 0.6),
+        f"""SELECT l_orderkey, l_linenumber, l_partkey FROM (SELECT *, unnest(range({' + '.join(f'(u >= {b!r}::DOUBLE)::INT' for b in sampling.poisson_bounds(0.6))})) AS copy
+ FROM (SELECT *, ('0x' || substr(md5('42|' || l_orderkey || '|' || l_linenumber || '|' || l_partkey), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u FROM lineitem))""",
+    ),
     "random_split": (
         lambda s, d: (lambda a, b: a.withColumn("part", F.lit("train")).unionByName(b.withColumn("part", F.lit("test"))))(
             *sampling.random_split(table(s, d, "orders").select("o_orderkey"), [0.8, 0.2])

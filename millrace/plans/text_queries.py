@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions import numeric
-from millrace.functions.text import STOP_WORDS, is_stop_word
-from millrace.operators import counting, naive_bayes, ngrams, sampling, similarity
+from millrace.functions.text import STOP_WORDS, is_stop_word, join_text
+from millrace.operators import counting, naive_bayes, ngrams, sampling, similarity, skew
 from millrace.plans.derived import labelled_documents
 from millrace.session import stored
 from millrace.sources.readers import spread, table
@@ -48,6 +48,12 @@ def _docs(spark, d):
     return spread(table(spark, d, "documents"))
 
 
+def _mail_parts(spark, d):
+    """Labelled documents as mail: the first line is the subject."""
+    cut = F.split("text", "\n", 2)
+    return labelled_documents(spark, d).select("doc_id", "quality", F.get(cut, F.lit(0)).alias("subject"), F.get(cut, F.lit(1)).alias("content"))
+
+
 def _grams(spark, d, books=False):
     return ngrams.ngram_table(_docs(spark, d).select("doc_id", "text"), books=books)
 
@@ -153,6 +159,24 @@ QUERIES = {
         lambda s, d: counting.word_counts(_docs(s, d)).orderBy(F.desc("n"), "word"),
         f"WITH {WORDS} SELECT word, count(*) AS n FROM words GROUP BY word ORDER BY n DESC, word",
     ),
+    "word_positions": (
+        lambda s, d: skew.global_rank(counting.word_counts(_docs(s, d)), "word", "position"),
+        f"WITH {WORDS} SELECT word, count(*) AS n, row_number() OVER (ORDER BY word) AS position FROM words GROUP BY word",
+    ),
+    "word_count_positions": (
+        lambda s, d: skew.global_rank(counting.word_counts(_docs(s, d)), [F.desc("n"), "word"], "position"),
+        f"WITH {WORDS} SELECT word, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, word) AS position FROM words GROUP BY word",
+    ),
+    "class_word_positions": (
+        lambda s, d: skew.global_rank(counting.class_word_counts(labelled_documents(s, d), "quality"), ["class", F.desc("n"), "word"], "position"),
+        f"WITH {LABELLED} SELECT word, quality AS class, count(*) AS n, row_number() OVER (ORDER BY quality, count(*) DESC, word) AS position FROM lw GROUP BY 1, 2",
+    ),
+    "mail_words": (
+        lambda s, d: counting.word_counts(_mail_parts(s, d).select(join_text("subject", "content").alias("text"))),
+        """WITH m AS (SELECT string_split(text, chr(10)) AS p FROM documents JOIN labels USING (doc_id)),
+ j AS (SELECT concat_ws(' ', p[1], CASE WHEN len(p) > 1 THEN array_to_string(p[2:], chr(10)) END) AS text FROM m)
+ SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM j) GROUP BY word""",
+    ),
     "word_count_plural_folded": (
         lambda s, d: counting.fold_plurals(counting.word_counts(_docs(s, d))),
         f"""WITH {WORDS}, c AS (SELECT word, count(*) AS n, rtrim(word, 's') AS base, length(word) - length(rtrim(word, 's')) AS k FROM words GROUP BY word),
