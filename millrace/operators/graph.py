@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.functions.hashing import key_hash
 from millrace.operators.counting import top_n
 from millrace.operators.sampling import fixed_size
-from millrace.operators.skew import Heavy, every_salt, heavy_keys, own_salt, salted_join
+from millrace.operators.skew import Heavy, every_part, heavy_keys, own_part, salted_join
 from millrace.session import cut_lineage, shuffle_width, stored
 
 
@@ -110,7 +110,7 @@ class _Walk:
         self.keys = ["src", "salt"] if self.heavy else ["src"]
         placed = transitions(edges, self.heavy)
         if self.heavy:
-            placed = placed.withColumn("salt", own_salt(self.heavy, ["src"], ["dst"]))
+            placed = own_part(placed, self.heavy, ["src"], ["dst"], "salt")
         width = shuffle_width(edges.sparkSession)
         self.placed = placed.repartition(width, *self.keys).sortWithinPartitions(*self.keys).persist()
         self.placed.count()  # once stored, its partitioning and order are known to the planner
@@ -119,7 +119,7 @@ class _Walk:
     def spread(self, ranks: DataFrame) -> DataFrame:
         """Rank of each source, once per part its edges are cut into."""
         sources = ranks.where("links > 0").select(F.col("node").alias("src"), "rank")
-        return sources.withColumn("salt", F.explode(every_salt(self.heavy, ["src"]))) if self.heavy else sources
+        return every_part(sources, self.heavy, ["src"], "salt") if self.heavy else sources
 
     def received(self, ranks: DataFrame) -> DataFrame:
         return (

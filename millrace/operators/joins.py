@@ -61,6 +61,7 @@ def window_self_join(
     upper: int,
     spread: Sequence[str],
     heavy: Heavy | None = None,
+    heavy_right: Heavy | None = None,
 ) -> DataFrame:
     """Left join: ``right`` rows of the same keys with
     ``left.at - upper < right.earlier < left.at - lower`` (both strict).
@@ -70,6 +71,12 @@ def window_self_join(
     lie in. So each pair meets once, only rows near in time meet at all, and
     unmatched left rows stay. Both sides are of the size of the data: they are
     merged on their shuffled keys and never broadcast.
+
+    ``heavy`` and ``heavy_right`` are the heavy values of the keys with the
+    bucket, on the left and among the copies of the right. With heavy right
+    keys the pairs meet on a grid of parts; whether a left row has a partner
+    depends on its key and time only, so the rows without one are found from
+    the different times of both sides.
     """
     width = upper - lower
     if width <= 0:
@@ -79,7 +86,14 @@ def window_self_join(
     near = right.withColumn("_bucket", F.explode(F.sequence(first, last))).hint("merge")
     placed = left.withColumn("_bucket", window_bucket(F.col(at), lower, upper))
     inside = (F.col(f"r.{earlier}") > F.col(f"l.{at}") - upper) & (F.col(f"r.{earlier}") < F.col(f"l.{at}") - lower)
-    return salted_join(placed, near, [*keys, "_bucket"], spread, how="left", heavy=heavy, residual=inside).drop("_bucket")
+    on = [*keys, "_bucket"]
+    if not heavy_right:
+        return salted_join(placed, near, on, spread, how="left", heavy=heavy, residual=inside).drop("_bucket")
+    pairs = salted_join(placed, near, on, spread, "inner", heavy, inside, heavy_right).drop("_bucket")
+    times, ticks = left.select(*keys, at).distinct(), right.select(*keys, earlier).distinct()
+    met = window_self_join(times, ticks, keys, at, earlier, lower, upper, [at], heavy={}).where(F.col(earlier).isNotNull())
+    alone = left.join(met.select(*keys, at).distinct(), [*keys, at], "left_anti")
+    return pairs.unionByName(alone, allowMissingColumns=True).select(pairs.columns)
 
 
 def window_self_summary(

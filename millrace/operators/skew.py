@@ -42,22 +42,29 @@ def heavy_keys(df: DataFrame, *key_lists: Sequence[str]) -> list[dict[int, int]]
     return out
 
 
-def parts(heavy: Heavy, *keys: Column | str) -> Column:
-    """Number of parts of a row's key."""
+def with_parts(df: DataFrame, heavy: Heavy, keys: Sequence[Column | str], name: str) -> DataFrame:
+    """Adds the number of parts of each row's key. The heavy keys are a side
+    table of at most ``LISTED`` rows that every task holds as a hash table."""
     if not heavy:
-        return F.lit(1).cast("long")
-    listed = F.create_map(*[F.lit(x).cast("long") for pair in heavy.items() for x in pair])
-    return F.coalesce(F.try_element_at(listed, F.xxhash64(*keys)), F.lit(1).cast("long"))
+        return df.withColumn(name, F.lit(1))
+    side = df.sparkSession.createDataFrame([*heavy.items()], "_hash bigint, _cut int")
+    found = df.withColumn("_hash", F.xxhash64(*keys)).join(F.broadcast(side), "_hash", "left")
+    return found.withColumn(name, F.coalesce("_cut", F.lit(1))).drop("_hash", "_cut")
 
 
-def own_salt(heavy: Heavy, keys: Sequence[Column | str], spread: Sequence[Column | str]) -> Column:
-    """Part of a row of a heavy key, by the hash of ``spread``; else 0."""
-    return F.pmod(F.xxhash64(*spread), parts(heavy, *keys)).cast("int")
+def own_part(df: DataFrame, heavy: Heavy, keys: Sequence[Column | str], spread: Sequence[Column | str], name: str) -> DataFrame:
+    """Adds the part of each row: by the hash of ``spread`` for a heavy key,
+    else 0."""
+    if not heavy:
+        return df.withColumn(name, F.lit(0))
+    return with_parts(df, heavy, keys, "_parts").withColumn(name, F.pmod(F.xxhash64(*spread), F.col("_parts")).cast("int")).drop("_parts")
 
 
-def every_salt(heavy: Heavy, keys: Sequence[Column | str]) -> Column:
-    """All parts a key's rows were sent to."""
-    return F.sequence(F.lit(0), (parts(heavy, *keys) - 1).cast("int"))
+def every_part(df: DataFrame, heavy: Heavy, keys: Sequence[Column | str], name: str) -> DataFrame:
+    """Each row once for every part that its key was cut into."""
+    if not heavy:
+        return df.withColumn(name, F.lit(0))
+    return with_parts(df, heavy, keys, "_parts").withColumn(name, F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
 
 
 def salted_join(
@@ -102,12 +109,12 @@ def salted_join(
     on = keys
     left_cols, right_cols = left.columns, [c for c in right.columns if c not in keys]
     if heavy:
-        left = left.withColumn("_salt", own_salt(heavy, keys, spread))
-        right = right.withColumn("_salt", F.explode(every_salt(heavy, same)))
+        left = own_part(left, heavy, keys, spread, "_salt")
+        right = every_part(right, heavy, same, "_salt")
         on = [*on, "_salt"]
     if heavy_right:
-        left = left.withColumn("_salt_right", F.explode(every_salt(heavy_right, keys)))
-        right = right.withColumn("_salt_right", own_salt(heavy_right, same, right_cols))
+        left = every_part(left, heavy_right, keys, "_salt_right")
+        right = own_part(right, heavy_right, same, right_cols, "_salt_right")
         on = [*on, "_salt_right"]
     if residual is None:
         return left.join(right, on, how).drop("_salt", "_salt_right")

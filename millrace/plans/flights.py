@@ -60,6 +60,8 @@ INBOUND_WINDOW = {"hhmm": (200, 400), "minutes": (120, 240), "dated": (120, 240)
 INDEX_KEYS = ["OP_CARRIER", "ORIGIN_AIRPORT_ID"]
 FLIGHT_KEYS = {
     "INBOUND": ["ORIGIN_AIRPORT_ID", "TAIL_NUM", "FL_DATE", "_bucket"],
+    "LANDED": ["DEST_AIRPORT_ID", "TAIL_NUM", "FL_DATE", "_first"],
+    "LANDED_LATER": ["DEST_AIRPORT_ID", "TAIL_NUM", "FL_DATE", "_last"],
     "MOMENT": ["ORIGIN_AIRPORT_ID", "TAIL_NUM", "FL_DATE", "_at"],
     "ORIGIN_HOUR": ["ORIGIN_AIRPORT_ID", "FL_DATE", "DEP_HOUR"],
     "DEST_HOUR": ["DEST_AIRPORT_ID", "FL_DATE", "DEP_HOUR"],
@@ -117,9 +119,13 @@ def heavy_flight_keys(flights: DataFrame, clock: str = "hhmm") -> dict[str, Heav
     to the adaptive skew join."""
     lower, upper = INBOUND_WINDOW[clock]
     at = departure(clock)
-    timed = flights.withColumns({"_at": at, "_bucket": window_bucket(at, lower, upper)})
+    first, last = (window_bucket(arrival(clock) + edge, lower, upper) for edge in (lower, upper))
+    timed = flights.withColumns({"_at": at, "_bucket": window_bucket(at, lower, upper), "_first": first, "_last": last})
     keys = {n: [c for c in k if c != "FL_DATE" or clock != "dated" or n.endswith("HOUR")] for n, k in FLIGHT_KEYS.items()}
-    return dict(zip(keys, heavy_keys(timed, *keys.values())))
+    found = dict(zip(keys, heavy_keys(timed, *keys.values())))
+    # a bucket holds arrivals for which it is the first or the last
+    later = found.pop("LANDED_LATER")
+    return found | {"LANDED": {k: found["LANDED"].get(k, 0) + later.get(k, 0) for k in found["LANDED"] | later}}
 
 
 def attach_weather(
@@ -200,7 +206,7 @@ def attach_inbound(flights: DataFrame, clock: str = "hhmm", compact: bool = Fals
         inbound = inbound.drop("FL_DATE")
     spread = ["DEP_TIME", "CRS_ARR_TIME", "DEST_AIRPORT_ID", "OP_CARRIER"]
     if not compact:
-        return window_self_join(outbound, inbound, keys, "_at", "_arrival", lower, upper, spread, heavy["INBOUND"]).drop("_at", "_arrival")
+        return window_self_join(outbound, inbound, keys, "_at", "_arrival", lower, upper, spread, heavy["INBOUND"], heavy["LANDED"]).drop("_at", "_arrival")
     delay = "INBOUND_ARR_DELAY_NEW"
     found = window_self_summary(outbound, inbound, keys, "_at", "_arrival", lower, upper, delay, spread, heavy["MOMENT"])
     return found.withColumnsRenamed({"matches": "INBOUND_LEGS", f"mean_{delay}": delay}).drop("_at", f"max_{delay}")

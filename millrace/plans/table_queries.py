@@ -127,6 +127,18 @@ def _nearest_supplier(spark, d):
     return _rounded(nearest.nearest_site(_customer_points(spark, d), sites, "c_custkey", "s_suppkey", "x", "y"), 6, "distance")
 
 
+def _nearest_on_sphere(spark, d):
+    """Each airport's nearest station along the sphere."""
+    airports = derived.airport_rows(spark, d).groupBy("AIRPORT_ID").agg(F.avg("LATITUDE").alias("LATITUDE"), F.avg("LONGITUDE").alias("LONGITUDE"))
+    stations = clean_weather(spark, d).select("STATION", "LATITUDE", "LONGITUDE").distinct()
+    return _rounded(nearest.nearest_site(airports, stations, "AIRPORT_ID", "STATION", "LATITUDE", "LONGITUDE", sphere=True), 3, "distance")
+
+
+def _unit(prefix: str) -> str:
+    lat, lon = f"radians({prefix}LATITUDE)", f"radians({prefix}LONGITUDE)"
+    return f"cos({lat}) * cos({lon}) AS x, cos({lat}) * sin({lon}) AS y, sin({lat}) AS z"
+
+
 FLIGHTS = """raw AS (SELECT *, (l_orderkey * 37 + l_linenumber * 101 + l_partkey * 7) % 1440 AS dep,
    ((l_orderkey * 37 + l_linenumber * 101 + l_partkey * 7) % 1440 + 60 + l_suppkey % 120) % 1440 AS arr FROM lineitem WHERE l_tax <> 0),
  fl AS MATERIALIZED (SELECT year(l_shipdate) AS YEAR, month(l_shipdate) AS MONTH, dayofweek(l_shipdate) + 1 AS DAY_OF_WEEK,
@@ -325,6 +337,13 @@ QUERIES = {
         """SELECT c_custkey, s_suppkey, round(sqrt(d2), 6) AS distance FROM (SELECT c_custkey, s_suppkey, d2,
  row_number() OVER (PARTITION BY c_custkey ORDER BY d2, s_suppkey) AS r FROM (SELECT c_custkey, s_suppkey,
  pow(s_acctbal / 100 - c_acctbal / 100, 2) + pow(s_nationkey * 4.0 - c_nationkey * 4.0, 2)::DOUBLE AS d2 FROM customer CROSS JOIN supplier)) WHERE r = 1""",
+    ),
+    "nearest_station_sphere": (
+        _nearest_on_sphere,
+        f"""WITH {WEATHER}, {STATIONS}, au AS (SELECT AIRPORT_ID, {_unit('ap.')} FROM ap), su AS (SELECT STATION, {_unit('st.')} FROM st),
+ pd AS (SELECT AIRPORT_ID, STATION, pow(au.x - su.x, 2) + pow(au.y - su.y, 2) + pow(au.z - su.z, 2) AS d2 FROM au CROSS JOIN su)
+ SELECT AIRPORT_ID, STATION, round(2 * {nearest.EARTH_KM} * asin(least(sqrt(d2) / 2, 1)), 3) AS distance FROM
+ (SELECT *, row_number() OVER (PARTITION BY AIRPORT_ID ORDER BY d2, STATION) AS r FROM pd) WHERE r = 1""",
     ),
     "dim_lookup_two_roles": (
         _two_roles,

@@ -109,7 +109,7 @@ def test_both_sides_are_split(spark, how, small_tasks):
     right = spark.range(900).select(F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id") % 400).alias("k"), F.col("id").alias("v"))
     heavy, other = skew.heavy_keys(left, ["k"])[0], skew.heavy_keys(right.select(F.col("k").cast("int")), ["k"])[0]
     assert len(heavy) == len(other) == 1
-    cells = left.where("k = 1").select(skew.own_salt(heavy, ["k"], ["id"]).alias("s")).groupBy("s").count().agg(F.max("count")).first()[0]
+    cells = skew.own_part(left.where("k = 1"), heavy, ["k"], ["id"], "s").groupBy("s").count().agg(F.max("count")).first()[0]
     assert cells <= 300
     got = skew.salted_join(left, right, ["k"], ["id"], how, heavy, None, other)
     want = left.join(right, "k", how)
@@ -120,12 +120,47 @@ def test_salted_join_spreads_the_heavy_key(spark, small_tasks):
     left = spark.range(20_000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
     right = spark.range(20_000).select(F.col("id").alias("k"), F.col("id").alias("v"))
     heavy = skew.heavy_keys(left, ["k"])[0]
-    salted = left.withColumn("s", skew.own_salt(heavy, ["k"], ["id"]))
+    salted = skew.own_part(left, heavy, ["k"], ["id"], "s")
     largest = salted.groupBy("k", "s").count().agg(F.max("count")).first()[0]
     assert largest < 400  # of 6667 rows with the heavy key
     assert skew.salted_join(left, right, ["k"], ["id"]).count() == 20_000
 
 
+def test_ten_thousand_heavy_keys(spark, monkeypatch):
+    """All of them are split by a broadcast side table, none by a literal."""
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 5)
+    monkeypatch.setattr(skew, "SAMPLE", 1)
+    left = spark.range(150_000).select("id", (F.col("id") % 12_500).alias("k"))
+    right = spark.range(12_500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    heavy = skew.heavy_keys(left, ["k"])[0]
+    assert len(heavy) == skew.LISTED
+    joined = skew.salted_join(left, right, ["k"], ["id"], heavy=heavy)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "map(" not in plan and len(plan) < 20_000
+    got = joined.agg(F.count("*"), F.sum(F.col("v") - 2 * F.col("k")), F.countDistinct("id")).first()
+    assert tuple(got) == (150_000, 0, 150_000)
+
+
+@pytest.mark.parametrize("heavy_left", [True, False])
+def test_window_join_splits_a_heavy_right_key(spark, monkeypatch, heavy_left):
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 40)
+    monkeypatch.setattr(skew, "SAMPLE", 1)
+    rng = random.Random(15)
+    left = [(i, None if i % 50 == 0 else "hot" if heavy_left and i % 3 == 0 else f"k{i % 9}" if i % 4 else "hot", rng.randrange(1440)) for i in range(200)]
+    right = [(i, "hot" if i % 2 else f"k{i % 11}", rng.randrange(1440)) for i in range(800)]
+    a, b = spark.createDataFrame(left, "id int, k string, at int"), spark.createDataFrame(right, "rid int, k string, e int")
+    near = b.withColumn("_bucket", F.explode(F.sequence(F.floor((F.col("e") + 120) / 120), F.floor((F.col("e") + 240) / 120))))
+    heavy = skew.heavy_keys(a.withColumn("_bucket", joins.window_bucket(F.col("at"), 120, 240)), ["k", "_bucket"])[0]
+    heavy_right = skew.heavy_keys(near, ["k", "_bucket"])[0]
+    assert heavy_right
+    want = set()
+    for i, k, at in left:
+        hits = [(i, j) for j, q, e in right if q == k and at - 240 < e < at - 120]
+        want |= set(hits) or {(i, None)}
+    got = joins.window_self_join(a, b, ["k"], "at", "e", 120, 240, ["id"], heavy, heavy_right).select("id", "rid")
+    assert got.count() == len(want) and rows(got) == want
+
+
 def test_global_rank(spark):
     ids = random.Random(1).sample(range(10**6), 2000)
     df = spark.createDataFrame([(i,) for i in ids], "id long")
@@ -145,12 +180,13 @@ def test_running_totals(spark):
     assert got == want
 
 
-@pytest.mark.parametrize("at_once", [10, 100_000])
-def test_exact_quantiles(spark, at_once):
+@pytest.mark.parametrize("accuracy", [10, 1000])
+def test_exact_quantiles(spark, accuracy):
     rng = random.Random(8)
-    values = {"a": [rng.gauss(0, 1) for _ in range(3000)], "b": [float(rng.randrange(3)) for _ in range(2000)], "c": [5.0], None: [1.0, 2.0]}
+    # a heavy group of two values, with a wanted rank at their border, beside one of many values
+    values = {"two": [0.0] * 2500 + [1.0] * 7500, "many": [rng.random() for _ in range(10_000)], "a": [rng.gauss(0, 1) for _ in range(3000)], "b": [float(rng.randrange(3)) for _ in range(2000)], "c": [5.0], None: [1.0, 2.0]}
     df = spark.createDataFrame([(k, v) for k, vs in values.items() for v in vs] + [("d", None)], "k string, v double")
-    got = {(r.by, r.which): r.quantile for r in profile.exact_quantiles(df, "k", "v", at_once=at_once).collect()}
+    got = {(r.by, r.which): r.quantile for r in profile.exact_quantiles(df, "k", "v", accuracy=accuracy).collect()}
     want = {(k, i): sorted(vs)[max(1, math.ceil(p * len(vs))) - 1] for k, vs in values.items() for i, p in enumerate((0.25, 0.5, 0.75))}
     assert got == want
 
@@ -161,6 +197,16 @@ def test_quartiles_of_many_rows_are_exact(spark):
     assert tuple(profile.box_stats(df, "k", "v").first())[1:6] == (0, 750000, 1500000, 2250000, n - 1)
 
 
+def test_quantiles_of_any_share(spark):
+    rng = random.Random(9)
+    vs = [rng.expovariate(1) for _ in range(5000)]
+    df = spark.createDataFrame([("x", v) for v in vs], "k string, v double")
+    probs = [0.99, 0.0, 0.5, 1.0, 0.501]
+    got = {r.which: r.quantile for r in profile.exact_quantiles(df, "k", "v", probs, accuracy=20).collect()}
+    assert got == {i: sorted(vs)[max(1, math.ceil(p * 5000)) - 1] for i, p in enumerate(probs)}
+    assert profile.exact_quantiles(df.where("v < 0"), "k", "v").collect() == []
+
+
 def test_window_self_join_bounds(spark):
     left = spark.createDataFrame([(1, "t", 1300), (2, "t", 500), (3, None, 1300)], "id int, k string, at int")
     right = spark.createDataFrame([("t", 900, "a"), ("t", 901, "b"), ("t", 1099, "c"), ("t", 1100, "d"), (None, 1000, "e")], "k string, arr int, v string")
@@ -197,8 +243,11 @@ def test_window_summary_matches_brute_force(spark):
     assert {r.id: (r.matches, r.mean_v, r.max_v) for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("fan, roots", [(32, 64), (3, 2)])
 @pytest.mark.parametrize("kind", ["uniform", "clusters", "line", "few"])
-def test_nearest_matches_brute_force(spark, kind):
+def test_nearest_matches_brute_force(spark, monkeypatch, kind, fan, roots):
+    monkeypatch.setattr(nearest, "FAN", fan)
+    monkeypatch.setattr(nearest, "ROOTS", roots)
     rng = random.Random(11)
     if kind == "uniform":
         sites = [(f"s{i:04d}", rng.uniform(0, 1), rng.uniform(0, 1)) for i in range(400)]
@@ -224,6 +273,35 @@ def test_nearest_matches_brute_force(spark, kind):
             assert got[q][0] == best
 
 
+@pytest.mark.parametrize("fan, roots", [(32, 64), (2, 2)])
+def test_nearest_on_the_sphere(spark, monkeypatch, fan, roots):
+    monkeypatch.setattr(nearest, "FAN", fan)
+    monkeypatch.setattr(nearest, "ROOTS", roots)
+    rng = random.Random(12)
+    spot = lambda: (math.degrees(math.asin(rng.uniform(-1, 1))), rng.uniform(-180, 180))
+    sites = [(f"s{i:04d}", *spot()) for i in range(300)] + [("s9000", 0.0, 179.95), ("s9001", 89.9, 10.0), ("s9002", 89.9, 10.0)]
+    asked = [(i, *spot()) for i in range(100)] + [(500, 0.01, -179.99), (501, 89.95, -170.0), (502, -90.0, 0.0), (503, None, 1.0)]
+
+    def along(a, b, c, d):
+        a, b, c, d = map(math.radians, (a, b, c, d))
+        h = math.sin((c - a) / 2) ** 2 + math.cos(a) * math.cos(c) * math.sin((d - b) / 2) ** 2
+        return 2 * nearest.EARTH_KM * math.asin(math.sqrt(h))
+
+    got = {r.q: (r.s, r.distance) for r in nearest.nearest_site(
+        spark.createDataFrame(asked, "q int, x double, y double"), spark.createDataFrame(sites, "s string, x double, y double"), "q", "s", "x", "y", sphere=True
+    ).collect()}
+    assert len(got) == 103 and got[500][0] == "s9000" and got[501][0] == "s9001"
+    for q, x, y in asked[:-1]:
+        d, best = min((along(x, y, sx, sy), s) for s, sx, sy in sites)
+        assert got[q] == (best, pytest.approx(d, abs=1e-6))
+
+
+def test_nearest_of_no_sites(spark):
+    none = spark.createDataFrame([], "s string, x double, y double")
+    asked = spark.createDataFrame([(1, 1.0, 1.0)], "q int, x double, y double")
+    assert nearest.nearest_site(asked, none, "q", "s", "x", "y").collect() == []
+
+
 def test_samples_and_splits(spark):
     df = spark.range(10_000)
     part = sampling.hash_sample(df, ["id"], 0.1).cache()
