@@ -61,19 +61,16 @@ def text_word_totals(docs: DataFrame, text: str | Column = "text", n: int = 5) -
 
 
 def _pairs_in_texts(docs: DataFrame, text: str | Column, n: int) -> DataFrame:
-    """``(a, b)`` with ``a < b``: different words less than ``n`` apart in a
-    text that holds an n-gram, once per text. Those are the words that share
-    an n-gram."""
-    tokens = _tokens(docs, text, n)
+    """``(a, b)`` with ``a < b``, with repeats: different words less than ``n``
+    apart in a text that holds an n-gram. Those are the words that share an
+    n-gram. A token array is paired with itself shifted; nothing is joined."""
 
     def shifted(k: int) -> Column:
         length = F.size("_t") - k
-        ends = F.arrays_zip(F.slice("_t", F.lit(1), length).alias("a"), F.slice("_t", F.lit(1 + k), length).alias("b"))
-        return F.transform(ends, lambda p: F.concat_ws(" ", F.least(p.a, p.b), F.greatest(p.a, p.b)))
+        return F.arrays_zip(F.slice("_t", F.lit(1), length).alias("a"), F.slice("_t", F.lit(1 + k), length).alias("b"))
 
-    pairs = tokens.select(F.explode(F.array_distinct(F.concat(*[shifted(k) for k in range(1, n)]))).alias("_p"))
-    ends = F.split("_p", " ")
-    return pairs.select(F.get(ends, F.lit(0)).alias("a"), F.get(ends, F.lit(1)).alias("b")).where("a <> b")
+    pairs = _tokens(docs, text, n).select(F.inline(F.concat(*[shifted(k) for k in range(1, n)]))).where("a <> b")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def text_neighbour_pairs(docs: DataFrame, text: str | Column = "text", n: int = 5) -> DataFrame:
