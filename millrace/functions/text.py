@@ -36,6 +36,13 @@ def space_tokens(text: Column | str) -> Column:
     return F.split(F.lower(F.col(text) if isinstance(text, str) else text), " ")
 
 
+def once(value: Column) -> Column:
+    """The value, as a generator of one row. A filter on it stays above the
+    generator; else Spark would move it down to the scan and compute the value
+    there as well, in as few tasks as a small table has splits."""
+    return F.explode(F.array(value))
+
+
 def join_text(*parts: Column | str) -> Column:
     """Subject and body as one text; null parts are skipped."""
     return F.concat_ws(" ", *parts)

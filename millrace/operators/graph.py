@@ -79,7 +79,7 @@ def adjacency_list(edges: DataFrame, part: int = 10_000) -> DataFrame:
     sliced = salted_join(edges, degrees, ["src"], ["dst"]).withColumn(
         "part", F.pmod(key_hash("dst"), F.greatest(F.ceil(F.col("links") / part), F.lit(1))).cast("int")
     )
-    return sliced.groupBy("src", "part").agg(F.array_sort(F.collect_list(F.struct("dst", "weight"))).alias("neighbours"))
+    return sliced.groupBy("src", "part").agg(F.sort_array(F.collect_list(F.struct("dst", "weight"))).alias("neighbours"))
 
 
 def adjacency_matrix(edges: DataFrame, columns: list | None = None) -> DataFrame:

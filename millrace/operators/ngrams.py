@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions.hashing import key_fraction
-from millrace.functions.text import is_stop_word, ngrams, space_tokens, words
+from millrace.functions.text import is_stop_word, ngrams, once, space_tokens, words
 from millrace.operators.counting import bottom_n, top_n
 
 
@@ -49,7 +49,7 @@ def neighbour_pairs(grams: DataFrame) -> DataFrame:
 
 def _tokens(docs: DataFrame, text: str | Column, n: int) -> DataFrame:
     """Token arrays of the texts that hold an n-gram."""
-    return docs.select(words(text).alias("_t")).where(F.size("_t") >= n)
+    return docs.select(once(words(text)).alias("_t")).where(F.size("_t") >= n)
 
 
 def text_word_totals(docs: DataFrame, text: str | Column = "text", n: int = 5) -> DataFrame:
@@ -137,7 +137,7 @@ def text_stripe_rows(docs: DataFrame, vocab: DataFrame, text: str | Column = "te
 def stripes(rows: DataFrame) -> DataFrame:
     """``(term, stripe)`` with a sorted feature array, at most one entry per
     basis word."""
-    return rows.groupBy("term").agg(F.array_sort(F.collect_set("feature")).alias("stripe"))
+    return rows.groupBy("term").agg(F.sort_array(F.collect_set("feature")).alias("stripe"))
 
 
 def window_cooccurrence(

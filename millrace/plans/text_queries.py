@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions import numeric
-from millrace.functions.text import STOP_WORDS, is_stop_word, join_text
+from millrace.functions.text import STOP_WORDS, is_stop_word, join_text, once
 from millrace.operators import counting, naive_bayes, ngrams, sampling, similarity, skew
 from millrace.plans.derived import labelled_documents
 from millrace.session import stored
@@ -103,7 +103,7 @@ def _report(spark, d):
 def _document_words(spark, d):
     """Every document with its sorted set of words."""
     words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))
-    return _docs(spark, d).select(F.col("doc_id").alias("item"), F.array_sort(F.array_distinct(words)).alias("features"))
+    return _docs(spark, d).select(F.col("doc_id").alias("item"), once(F.sort_array(F.array_distinct(words))).alias("features"))
 
 
 def _split(spark, d):
