@@ -4,8 +4,10 @@ tokenizers library.
 Such tokenizers never join text across a step from a visible character to
 white space, so a text may be cut there and each piece encoded on its own.
 The cuts and the list of different pieces of a batch come from Arrow kernels;
-the library is asked once for each piece that a worker has not met yet. What
-a worker remembers is bounded; at the limit it starts anew.
+the library is asked once for each piece that a worker has not met yet. A
+piece of at most 24 bytes, and few are longer, is its own key in a table of
+numpy arrays, so that what a worker remembers is small and looked up without
+making a Python object. It is bounded; at the limit a worker starts anew.
 """
 
 from __future__ import annotations
@@ -18,10 +20,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-KEPT_PIECES = 500_000
-KEPT_IDS = 1 << 23
-_LONGEST_KEPT = 64
-_BATCH = 1 << 22  # bytes cut at once
+from millrace.llm.text import mix
+
+KEPT_PIECES = 1_200_000
+KEPT_IDS = 1 << 24
+_SLOTS = 21  # bits
+_KEY_BYTES = 24
+_BATCH = 1 << 23  # bytes cut at once
 # white space of any kind, by code point
 _BLANK = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
@@ -36,6 +41,65 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class _Known:
+    """Numbers of the pieces met so far, by open addressing."""
+
+    def __init__(self):
+        self.keys = np.zeros((_KEY_BYTES // 8, 1 << _SLOTS), np.uint64)
+        self.at = np.full(1 << _SLOTS, -1, np.int32)
+        self.used = 0
+
+    def __len__(self) -> int:
+        return self.used
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        out = np.zeros(keys.shape[1], np.uint64)
+        for word in keys:
+            out = mix(out ^ word)
+        return (out & np.uint64(len(self.at) - 1)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Number of each key, or -1."""
+        slot, out = self._slots(keys), np.full(keys.shape[1], -1, np.int32)
+        todo = np.arange(len(out))
+        while len(todo):
+            here = slot[todo]
+            at = self.at[here]
+            same = at >= 0
+            for mine, kept in zip(keys, self.keys):
+                same &= kept[here] == mine[todo]
+            out[todo[same]] = at[same]
+            todo = todo[(at >= 0) & ~same]
+            slot[todo] = (slot[todo] + 1) & (len(self.at) - 1)
+        return out
+
+    def add(self, keys: np.ndarray) -> None:
+        """Give different new keys the next numbers."""
+        slot, numbers = self._slots(keys), np.arange(self.used, self.used + keys.shape[1], dtype=np.int32)
+        todo = np.arange(len(numbers))
+        while len(todo):
+            free = todo[self.at[slot[todo]] < 0]
+            self.at[slot[free]] = numbers[free]  # of several that want a slot one gets it
+            got = free[self.at[slot[free]] == numbers[free]]
+            self.keys[:, slot[got]] = keys[:, got]
+            todo = np.setdiff1d(todo, got, assume_unique=True)
+            slot[todo] = (slot[todo] + 1) & (len(self.at) - 1)
+        self.used += len(numbers)
+
+
+def _keys(pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of each piece as numbers, zeros after its end, and its size;
+    pieces hold no NUL. Longer pieces have a part of their bytes only."""
+    _, offsets, data = pieces.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[pieces.offset : pieces.offset + len(pieces) + 1]
+    size = np.diff(offsets)
+    data = np.concatenate([np.frombuffer(data or b"", np.uint8), np.zeros(_KEY_BYTES, np.uint8)])
+    eight = np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))  # the eight bytes from every place on
+    cover = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+    words = [eight[np.minimum(offsets[:-1] + i, len(eight) - 1)] & cover[np.clip(size - i, 0, 8)] for i in range(0, _KEY_BYTES, 8)]
+    return np.stack(words), size
+
+
 class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -50,7 +114,7 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = _Known()
         self.ids, self.used = np.empty(1 << 16, np.uint32), 0
         self.begin = np.zeros(1 << 16, np.int64)
         self.size = np.zeros(1 << 16, np.int64)
@@ -63,41 +127,47 @@ class Encoder:
         word is one step of the tokenizer's own cutting and goes straight to
         its model."""
         tokenize, letters, plain = self.model.tokenize, self.letters, _WORD.fullmatch
+        blank = letters[0x20]
         ids: list[int] = []
         stops = []
         for piece in new:
-            if plain(piece):
-                ids += [t.id for t in tokenize(piece.encode().decode("latin-1").translate(letters))]
-            else:
+            if not plain(piece):
                 ids += self._library([piece])[0]
+            elif piece.isascii():  # letters stand for themselves
+                ids += [t.id for t in tokenize(blank + piece[1:] if piece[0] == " " else piece)]
+            else:
+                ids += [t.id for t in tokenize(piece.encode().decode("latin-1").translate(letters))]
             stops.append(len(ids))
         return np.array(ids, np.uint32), np.diff(np.array([0, *stops], np.int64))
 
-    def _places(self, different: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _places(self, different: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Begin and number of the ids of each piece in ``self.ids``."""
-        get = self.known.get
-        at = np.array([get(p, -1) for p in different], np.int64)
-        missing = np.flatnonzero(at < 0).tolist()
-        if missing and (len(self.known) + len(missing) > KEPT_PIECES or self.used > KEPT_IDS):
+        keys, length = _keys(different)
+        short = length <= _KEY_BYTES
+        at = np.where(short, self.known.find(keys), -1)
+        missing = np.flatnonzero(at < 0)
+        fresh = missing[short[missing]]
+        if len(self.known) + len(fresh) > KEPT_PIECES or self.used > KEPT_IDS:
             self._clear()
-            at[:] = -1
-            missing = list(range(len(different)))
+            missing = np.arange(len(different))
+            at = np.full(len(different), -1)
+            fresh = np.flatnonzero(short)[:KEPT_PIECES]
         begin, size = self.begin[at], self.size[at]
-        if missing:
-            flat, sizes = self._learn([different[i] for i in missing])
+        if len(missing):
+            flat, sizes = self._learn(different.take(pa.array(missing)).to_pylist())
             begins = self.used + np.cumsum(sizes) - sizes
             while self.used + len(flat) > len(self.ids):
                 self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
             self.ids[self.used : self.used + len(flat)] = flat
-            self.used += len(flat)
             begin[missing], size[missing] = begins, sizes
             # long pieces are used now and not remembered
-            short = [j for j, i in enumerate(missing) if len(different[i]) <= _LONGEST_KEPT][: max(0, KEPT_PIECES - len(self.known))]
             n = len(self.known)
-            while n + len(short) > len(self.begin):
+            while n + len(fresh) > len(self.begin):
                 self.begin, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.size))
-            self.begin[n : n + len(short)], self.size[n : n + len(short)] = begins[short], sizes[short]
-            self.known.update((different[missing[j]], n + k) for k, j in enumerate(short))
+            self.begin[n : n + len(fresh)], self.size[n : n + len(fresh)] = begin[fresh], size[fresh]
+            self.known.add(keys[:, fresh])
+            if len(self.known) > n:
+                self.used += len(flat)
         return begin, size
 
     def _cut(self, texts: pa.Array) -> pa.Array:
@@ -121,7 +191,7 @@ class Encoder:
         lists = self._cut(texts)
         offsets = lists.offsets.to_numpy().astype(np.int64)
         pieces = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
-        begin, size = self._places(pieces.dictionary.to_pylist())
+        begin, size = self._places(pieces.dictionary)
         at = pieces.indices.to_numpy()
         size = size[at]
         ends = np.concatenate([[0], np.cumsum(size)])

@@ -53,7 +53,8 @@ def test_newline_before_other_blanks(library):
 def test_special_token_and_long_pieces(library):
     encode = tokens.Encoder(PATH)
     texts = ["a <|endoftext|> b<|endoftext|>\n c", "y" * 500 + " z", " ".join("w%d" % i for i in range(3000)), *odd_texts()]
-    assert encoded(encode, texts) == [library(t) for t in texts]
+    texts += ["ab" * n + " " + "é" * n for n in range(1, 30)]  # around the longest piece that is kept
+    assert encoded(encode, texts) == [library(t) for t in texts] == encoded(encode, texts)
 
 
 def test_forgets_at_the_limit(library, monkeypatch):
@@ -65,6 +66,21 @@ def test_forgets_at_the_limit(library, monkeypatch):
         assert len(encode.known) <= 50
 
 
+def test_known_pieces(monkeypatch):
+    monkeypatch.setattr(tokens, "_SLOTS", 9)  # crowded: chains of taken slots
+    known, kept = tokens._Known(), {}
+    for start in range(0, 450, 90):
+        pieces = [("é" * (i % 9) + str(i) * (i % 4 + 1))[:24] for i in range(start, start + 90)]
+        keys, size = tokens._keys(pa.array(pieces, pa.large_string()).slice(0))
+        assert size.tolist() == [len(p.encode()) for p in pieces]
+        fits = size <= 24
+        assert (known.find(keys)[fits] == -1).all()
+        known.add(keys[:, fits])
+        kept |= {p: len(kept) + n for n, p in enumerate(p for p, f in zip(pieces, fits) if f)}
+    keys, _ = tokens._keys(pa.array(["x", *kept], pa.large_string()).slice(1))
+    assert known.find(keys).tolist() == [*kept.values()] and len(known) == len(kept)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.sampled_from([0, 1, 255, 256, 65535, 65536, 2**24, 2**32 - 1]), max_size=700), min_size=1, max_size=4))
 def test_segment_round_trip(documents):
