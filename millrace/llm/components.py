@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.session import stored
+from millrace.session import discard, stored
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -26,7 +26,8 @@ def connected(links: DataFrame) -> DataFrame:
         if state == before:
             break
         before = state
-        links = stored(_small_star(_large_star(links)))
+        older, links = links, stored(_small_star(_large_star(links)))
+        discard(older)
     nodes = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return nodes.union(links.select("b", "b").distinct())
 

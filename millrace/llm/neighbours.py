@@ -1,13 +1,20 @@
 """Approximate nearest neighbours by cosine, through a hierarchical k-means tree.
 
-The tree is fitted on at most ``FIT_ROWS`` rows (those of the smallest vec_id
-hash) and sent to the tasks; every row is then put into its leaf. A query
-walks the tree best bin first: a priority queue of nodes by nearness of their
-centre, so leaves come out in the order they promise to help. How many leaves
-are visited is calibrated: up to ``CALIBRATION`` queries get their true
-neighbours, without their own row, by brute force over all rows, and the
-number of leaves grows until ``RECALL`` of them are in reach. A walk goes on until its leaves also hold
-enough rows.
+The head of the tree is fitted on at most ``FIT_ROWS`` rows (those of the
+smallest vec_id hash) and sent to the tasks; every row is then put into its
+leaf. A leaf of more than ``LEAF_LIMIT`` rows is cut again where its rows are:
+k-means on at most ``LEAF_FIT`` of them, then its rows go to the children.
+This is repeated until no leaf is larger, so that leaves stay bounded however
+many rows there are; the centres below the head stay in a table and meet
+their leaf's rows and queries in bounded blocks.
+
+A query walks the head best bin first: a priority queue of nodes by nearness
+of their centre, so leaves come out in the order they promise to help. Below,
+the children of all its leaves are one queue, level by level. How many leaves
+are visited is calibrated for each level: up to ``CALIBRATION`` queries get
+their true neighbours, without their own row, by brute force over all rows,
+and the visits grow until those leaves hold the wanted share of them, in the
+end ``RECALL``. A walk goes on until its leaves also hold enough rows.
 
 A leaf's rows and its queries are dealt over blocks of bounded size and meet
 block by block. Of equal vectors only the ``k + 1`` of smallest vec_id can
@@ -34,13 +41,16 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.session import stored
+from millrace.session import discard, stored
 
 FIT_ROWS = 20_000
 LEAF_ROWS = 512  # sampled rows below which a node is not cut again
 BRANCHES = 8
 CALIBRATION = 256
 RECALL = 0.97
+LEAF_LIMIT = 16_384  # rows of a leaf beyond which it is cut again
+LEAF_FIT = 4_096
+FAN = 32  # children of such a leaf at most
 BLOCK = 4_096
 AT_ONCE = 256  # queries a task works on at a time
 
@@ -61,6 +71,8 @@ class Tree:
         random = np.random.default_rng(seed)
         self._grow(x, x.mean(0), branches, leaf_rows, random)
         self.matrix = np.stack(self.centres)
+        # node of each leaf
+        self.nodes = np.argsort([n if n >= 0 else len(self.leaf) for n in self.leaf], kind="stable")[: self.n_leaves]
 
     def _grow(self, x: np.ndarray, centre: np.ndarray, branches: int, leaf_rows: int, random: np.random.Generator) -> int:
         node = len(self.centres)
@@ -160,12 +172,88 @@ def _one_per_id(rows: DataFrame) -> DataFrame:
     return rows.select("vec_id", "v", *_same()).withColumn("n", F.row_number().over(first)).where(F.col("n") == 1).drop("n")
 
 
+def _place_all(rows: DataFrame, tree: Tree) -> tuple[DataFrame, list[DataFrame]]:
+    """Rows with their final leaf, and the centres ``leaf, child, centre`` of
+    each level below the head. Every level makes ``leaf`` out of ``leaf * FAN
+    + child``; a leaf that is not cut has the one child 0."""
+
+    def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if len(frame):
+                yield frame.assign(leaf=tree.leaves(_unit(_matrix(frame["v"]))).astype(np.int64))
+
+    def fit(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        x = _unit(_matrix(frame["v"]))
+        parts = Tree._split(x, FAN, np.random.default_rng(3))
+        centres = [(c := p.mean(0)) / max(np.linalg.norm(c), 1e-12) for p in parts] if len(parts) > 1 else []
+        return pd.DataFrame([(key[0], i, c.tolist()) for i, c in enumerate(centres)], columns=["leaf", "child", "centre"])
+
+    def into(block: pd.DataFrame, centres: pd.DataFrame) -> pd.DataFrame:
+        if not len(block):
+            return pd.DataFrame({"vec_id": [], "v": [], "leaf": []}, dtype=object)
+        child = 0
+        if len(centres):
+            centres = centres.sort_values("child")
+            child = (_unit(_matrix(block["v"])) @ _matrix(centres["centre"]).T).argmax(1)
+        return pd.DataFrame({"vec_id": block["vec_id"], "v": block["v"], "leaf": block["leaf"] * FAN + child})
+
+    placed, levels = stored(rows.mapInPandas(place, "vec_id bigint, v array<double>, leaf bigint")), []
+    order = Window.partitionBy("leaf").orderBy(F.xxhash64("vec_id"), "vec_id")
+    while True:
+        large = placed.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") > LEAF_LIMIT)
+        large = stored(large.select("leaf", F.ceil(F.col("n") / BLOCK).alias("blocks")))
+        if large.isEmpty():
+            return placed, levels
+        some = placed.join(large, "leaf").withColumn("n", F.row_number().over(order)).where(F.col("n") <= LEAF_FIT)
+        centres = stored(some.select("leaf", "v").groupBy("leaf").applyInPandas(fit, "leaf bigint, child int, centre array<double>"))
+        if centres.isEmpty():  # only rows of one direction
+            return placed, levels
+        # rows of a large leaf come in blocks, its centres once to each
+        dealt = placed.join(large, "leaf", "left").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.coalesce("blocks", F.lit(1))).cast("int"))
+        to_blocks = centres.join(large, "leaf").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)))
+        left = dealt.where("blocks IS NOT NULL").select("leaf", "block", "vec_id", "v").groupBy("leaf", "block")
+        moved = left.cogroup(to_blocks.select("leaf", "block", "child", "centre").groupBy("leaf", "block")).applyInPandas(into, "vec_id bigint, v array<double>, leaf bigint")
+        stay = dealt.where("blocks IS NULL").select("vec_id", "v", (F.col("leaf") * FAN).alias("leaf"))
+        older, placed = placed, stored(moved.unionByName(stay))
+        discard(older)
+        levels.append(centres)
+
+
+def _below(probes: DataFrame, centres: DataFrame, classes: DataFrame) -> DataFrame:
+    """``class, leaf, near`` of all children of the leaves in ``probes``
+    (``class, leaf, near``)."""
+
+    def look(block: pd.DataFrame, centres: pd.DataFrame) -> pd.DataFrame:
+        if not len(block):
+            return pd.DataFrame({"class": [], "leaf": [], "near": []})
+        if not len(centres):
+            return pd.DataFrame({"class": block["class"], "leaf": block["leaf"] * FAN, "near": block["near"]})
+        near = _unit(_matrix(block["v"])) @ _matrix(centres.sort_values("child")["centre"]).T
+        leaf = (block["leaf"].to_numpy() * FAN)[:, None] + np.arange(near.shape[1])
+        return pd.DataFrame({"class": np.repeat(block["class"].to_numpy(), near.shape[1]), "leaf": leaf.ravel(), "near": near.ravel()})
+
+    asked = probes.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    dealt = probes.join(classes.select("class", "v"), "class").join(asked, "leaf").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    sent = centres.join(asked, "leaf").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)))
+    left = dealt.select("leaf", "block", "class", "v", "near").groupBy("leaf", "block")
+    right = sent.select("leaf", "block", "child", "centre").groupBy("leaf", "block")
+    return left.cogroup(right).applyInPandas(look, "class bigint, leaf bigint, near double")
+
+
+def _first(children: DataFrame, sizes: DataFrame, visits: int, rows: int) -> DataFrame:
+    """The ``visits`` leaves nearest to each query, and more until they hold
+    ``rows`` rows; the place in that order is ``at``."""
+    order = Window.partitionBy("class").orderBy(F.desc("near"), "leaf")
+    held = children.join(sizes, "leaf")  # a child may have no rows
+    placed = held.withColumns({"at": F.row_number().over(order), "before": F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1))})
+    return placed.where((F.col("at") <= visits) | (F.coalesce("before", F.lit(0)) < rows)).select("class", "leaf", "near", "at")
+
+
 def search(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the rows for which ``is_query``."""
     spark = vectors.sparkSession
-    rows = _one_per_id(usable(vectors))
+    hashed = _one_per_id(usable(vectors))
     copies = Window.partitionBy("h1", "h2").orderBy("vec_id")
-    hashed = rows
     kept = hashed.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k + 1).select("vec_id", "v")
     order = F.xxhash64("vec_id")
     sample = kept.orderBy(order, "vec_id").limit(FIT_ROWS).toPandas()
@@ -173,42 +261,52 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     if not len(sample):
         return empty
     tree = Tree(_unit(_matrix(sample["v"])))
-
-    def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            if len(frame):
-                yield frame.assign(leaf=tree.leaves(_unit(_matrix(frame["v"]))))
-
-    placed = stored(kept.mapInPandas(place, "vec_id bigint, v array<double>, leaf int"))
-    sizes = np.zeros(tree.n_leaves, np.int64)  # as many rows as leaves, bounded by the sample
-    for r in placed.groupBy("leaf").agg(F.count("*").alias("n")).collect():
-        sizes[r["leaf"]] = r["n"]
+    placed, levels = _place_all(kept, tree)
+    below = FAN ** len(levels)
+    sizes = stored(placed.groupBy("leaf").agg(F.count("*").alias("n")))
+    top = np.zeros(tree.n_leaves, np.int64)  # as many rows as leaves of the head, bounded by the sample
+    for r in sizes.groupBy(F.floor(F.col("leaf") / below).alias("leaf")).agg(F.sum("n").alias("n")).collect():
+        top[r["leaf"]] = r["n"]
 
     asked = stored(hashed.where(is_query))
-    classes = asked.groupBy("h1", "h2").agg(F.min("vec_id").alias("class"), F.min("v").alias("v"))
-    visits = _calibrate(classes, placed, tree, sizes, k)
-
-    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for at in range(0, len(frame), AT_ONCE):
-                some = frame.iloc[at : at + AT_ONCE]
-                near = _unit(_matrix(some["v"])) @ tree.matrix.T
-                paths = [tree.walk(n, sizes, visits, k + 1) for n in near]
-                each = [len(p) for p in paths]
-                yield pd.DataFrame({"class": np.repeat(some["class"], each), "v": np.repeat(some["v"], each), "leaf": np.concatenate(paths)})
-
-    probes = stored(classes.select("class", "v").mapInPandas(walk, "class bigint, v array<double>, leaf int"))
-    asks = np.zeros(tree.n_leaves, np.int64)
-    for r in probes.groupBy("leaf").agg(F.count("*").alias("n")).collect():
-        asks[r["leaf"]] = r["n"]
-    shape = spark.createDataFrame(
-        pd.DataFrame({"leaf": np.arange(tree.n_leaves, dtype=np.int32), "row_blocks": -(-sizes // BLOCK), "query_blocks": -(-asks // BLOCK)})
-    )
+    classes = stored(asked.groupBy("h1", "h2").agg(F.min("vec_id").alias("class"), F.min("v").alias("v")))
+
+    def walked(some: DataFrame, visits: int) -> DataFrame:
+        """Leaves of the head for each query, ``class, leaf, near``."""
+
+        def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                for at in range(0, len(frame), AT_ONCE):
+                    part = frame.iloc[at : at + AT_ONCE]
+                    near = _unit(_matrix(part["v"])) @ tree.matrix.T
+                    paths = [tree.walk(n, top, visits, k + 1) for n in near]
+                    each = [len(p) for p in paths]
+                    nearness = [n[tree.nodes[leaf]] for n, path in zip(near, paths) for leaf in path]
+                    yield pd.DataFrame({"class": np.repeat(part["class"], each), "leaf": np.concatenate(paths).astype(np.int64), "near": nearness})
+
+        return stored(some.select("class", "v").mapInPandas(walk, "class bigint, leaf bigint, near double"))
+
+    def sizes_at(level: int) -> DataFrame:
+        return sizes.groupBy(F.floor(F.col("leaf") / FAN ** (len(levels) - level)).alias("leaf")).agg(F.sum("n").alias("n"))
+
+    some, true = _true_leaves(classes, placed, k)
+    wanted = [1 - (1 - RECALL) * (i + 1) / (len(levels) + 1) for i in range(len(levels) + 1)]
+    visits = _calibrate(some, true.assign(leaf=true["leaf"] // below), tree, top, wanted[0])
+    probes, trial = walked(classes, visits), walked(some, visits) if levels else None
+    for level, centres in enumerate(levels, 1):
+        held = stored(sizes_at(level))
+        # the trial queries tell how many leaves of this level are to be visited
+        seen = _first(_below(trial, centres, some), held, (1 << 31) - 1, 0).toPandas()
+        visits = _reach(seen, true.assign(leaf=true["leaf"] // FAN ** (len(levels) - level)), wanted[level])
+        trial = stored(_first(_below(trial, centres, some), held, visits, k + 1).drop("at"))
+        probes = stored(_first(_below(probes, centres, classes), held, visits, k + 1).drop("at"))
+    probes = stored(probes.join(classes.select("class", "v"), "class").select("class", "v", "leaf"))
+    asks = probes.groupBy("leaf").agg(F.count("*").alias("asks"))
+    shape = stored(sizes.join(asks, "leaf").select("leaf", F.ceil(F.col("n") / BLOCK).alias("row_blocks"), F.ceil(F.col("asks") / BLOCK).alias("query_blocks")))
 
     def dealt(df: DataFrame, key: str, own: str, other: str) -> DataFrame:
         """Rows in their block, once for each block of the other side."""
-        spread = df.join(F.broadcast(shape), "leaf").where((F.col(own) > 0) & (F.col(other) > 0))
-        spread = spread.withColumn(own, F.pmod(F.xxhash64(key), own).cast("int"))
+        spread = df.join(shape, "leaf").withColumn(own, F.pmod(F.xxhash64(key), own).cast("int"))
         return spread.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other).cast("int") - 1)))
 
     def meet(queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
@@ -223,38 +321,57 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     right = dealt(placed, "vec_id", "row_blocks", "query_blocks").groupBy(*keys)
     met = left.cogroup(right).applyInPandas(meet, "class bigint, vec_id bigint, score double")
     nearest = [F.desc("score"), F.asc("vec_id")]
-    top = met.withColumn("n", F.row_number().over(Window.partitionBy("class").orderBy(*nearest))).where(F.col("n") <= k + 1).drop("n")
+    best_rows = met.withColumn("n", F.row_number().over(Window.partitionBy("class").orderBy(*nearest))).where(F.col("n") <= k + 1).drop("n")
     names = asked.join(classes.drop("v"), ["h1", "h2"]).select(F.col("vec_id").alias("query_id"), "class")
-    pairs = names.join(top, "class").where("vec_id != query_id")
+    pairs = names.join(best_rows, "class").where("vec_id != query_id")
     ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*nearest)))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _calibrate(classes: DataFrame, placed: DataFrame, tree: Tree, sizes: np.ndarray, k: int) -> int:
-    """Leaves to visit so that ``RECALL`` of the true neighbours of some
-    queries, found by brute force over all rows, are in reach. A query's own
-    row is none of them."""
-    some = classes.orderBy(F.xxhash64("class"), "class").limit(CALIBRATION).select("class", "v").toPandas()
-    if not len(some):
-        return 1
-    queries, own = _matrix(some["v"]), some["class"].tolist()
+def _true_leaves(classes: DataFrame, placed: DataFrame, k: int) -> tuple[DataFrame, pd.DataFrame]:
+    """The trial queries ``class, v``, and ``class, leaf`` of their true
+    neighbours, by brute force over all rows. A query's own row is none of
+    them."""
+    some = stored(classes.orderBy(F.xxhash64("class"), "class").limit(CALIBRATION).select("class", "v"))
+    few = some.toPandas()
+    if not len(few):
+        return some, pd.DataFrame({"class": [], "leaf": []}, dtype=np.int64)
+    queries, own = _matrix(few["v"]), few["class"].tolist()
 
     def brute(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             if len(frame):
                 found = best(queries, _matrix(frame["v"]), frame["vec_id"].to_numpy(), k + 1)
                 leaf = dict(zip(frame["vec_id"].tolist(), frame["leaf"].tolist()))
-                yield pd.DataFrame([(q, i, s, leaf[i]) for q, i, s in found if i != own[q]], columns=["query", "vec_id", "score", "leaf"])
+                yield pd.DataFrame([(own[q], i, s, leaf[i]) for q, i, s in found if i != own[q]], columns=["class", "vec_id", "score", "leaf"])
 
-    found = placed.mapInPandas(brute, "query int, vec_id bigint, score double, leaf int")
-    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    found = placed.mapInPandas(brute, "class bigint, vec_id bigint, score double, leaf bigint")
+    order = Window.partitionBy("class").orderBy(F.desc("score"), "vec_id")
     # at most CALIBRATION * k rows
-    true = found.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k).select("query", "leaf").toPandas()
-    near = _unit(queries) @ tree.matrix.T
+    return some, found.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k).select("class", "leaf").toPandas()
+
+
+def _share(depth: list[int], share: float) -> int:
+    return int(np.sort(depth)[int(np.ceil(share * len(depth) - 1e-9)) - 1]) if depth else 1
+
+
+def _calibrate(some: DataFrame, true: pd.DataFrame, tree: Tree, sizes: np.ndarray, share: float) -> int:
+    """Leaves of the head to visit so that they hold ``share`` of the true
+    neighbours."""
+    few = some.toPandas()  # at most CALIBRATION rows
+    if not len(few):
+        return 1
+    near = dict(zip(few["class"].tolist(), _unit(_matrix(few["v"])) @ tree.matrix.T))
     depth = []
-    for q, group in true.groupby("query"):
+    for q, group in true.groupby("class"):
         at = {leaf: i for i, leaf in enumerate(tree.walk(near[q], sizes, tree.n_leaves, 0))}
         depth += [at[leaf] + 1 for leaf in group["leaf"]]
-    if not depth:
-        return 1
-    return int(np.sort(depth)[int(np.ceil(RECALL * len(depth))) - 1])
+    return _share(depth, share)
+
+
+def _reach(seen: pd.DataFrame, true: pd.DataFrame, share: float) -> int:
+    """The same for leaves below the head, in the order of ``seen``; leaves
+    missed further up count as last."""
+    at = {(q, leaf): n for q, leaf, n in zip(seen["class"].tolist(), seen["leaf"].tolist(), seen["at"].tolist())}
+    last = max(at.values(), default=1)
+    return _share([at.get(x, last) for x in zip(true["class"].tolist(), true["leaf"].tolist())], share)

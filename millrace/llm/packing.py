@@ -34,6 +34,7 @@ from millrace.llm import tokens
 from millrace.session import shuffle_width, stored
 
 CAPACITY = 1024
+ROWS_PER_BUCKET = 200_000
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -126,7 +127,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY)
     keys, lows, firsts, offsets = runs[:, 0], runs[:, 1], runs[:, 3], runs[:, 4]
     begin = np.searchsorted(keys, np.arange(capacity + 2))
 
-    buckets = shuffle_width(spark)
+    # a window numbers the pieces of one length and bucket
+    buckets = max(shuffle_width(spark), max(counts.values(), default=0) // ROWS_PER_BUCKET)
     spot = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).cast("int"))
     sizes = spot.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

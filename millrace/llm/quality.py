@@ -8,8 +8,9 @@ the vectors is scored. Only documents carry labels; which passages matter is
 learned with the rest.
 
 Fitting uses at most ``FIT_ROWS`` labelled rows, those of the smallest doc_id
-hash, each with all its passages; of these the first that hold at most
-``FIT_PASSAGES`` passages together. It runs on the driver. Scoring covers every row and all its passages.
+hash, each with all its passages; of these, in that order, all that fit into
+``FIT_PASSAGES`` passages together. It runs on the driver. Scoring covers
+every row and all its passages, a run of texts at a time.
 
 Cases: null and empty texts are one passage of zeros. Labels that are null
 are left out; a doc_id labelled more than once has the label of at least half
@@ -33,6 +34,7 @@ PASSAGE = 512
 FIT_ROWS = 6_000
 FIT_PASSAGES = 192_000
 EPOCHS = 30
+SCORED_BYTES = 1 << 22  # texts whose passages are held at once; a longer text is a run of its own
 
 
 def _classes() -> np.ndarray:
@@ -163,8 +165,11 @@ class Model:
         }
 
     def scores(self, texts: Sequence[bytes | None]) -> np.ndarray:
-        x, first = passages(texts)
-        return self.forward(x, first)["p"] if len(texts) else np.empty(0)
+        out = np.empty(len(texts))
+        for at, run in batches(texts, SCORED_BYTES):
+            x, first = passages(run)
+            out[at : at + len(run)] = self.forward(x, first)["p"]
+        return out
 
 
 def fit(x: np.ndarray, sizes: np.ndarray, y: np.ndarray, epochs: int = EPOCHS, batch: int = 128, rate: float = 0.005, decay: float = 1e-4) -> Model:
@@ -200,7 +205,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", limit: int
             yield frame.drop(columns="text").assign(n=np.diff(first), numbers=numbers)
 
     found = labelled(docs, labels, label, limit).select("doc_id", "text", "label")
-    rows = whole_rows(found.mapInPandas(extract, "doc_id bigint, label int, n bigint, numbers binary"), "numbers", "n", FIT_PASSAGES)
+    rows = whole_rows(found.mapInPandas(extract, "doc_id bigint, label int, n bigint, numbers binary"), "numbers", "n", FIT_PASSAGES, limit)
     x = np.frombuffer(b"".join(rows["numbers"]), np.float32).reshape(-1, SIZE)
     return fit(x, rows["n"].to_numpy(np.int64), rows["label"].to_numpy(float))
 

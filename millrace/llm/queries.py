@@ -66,7 +66,7 @@ def op6_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = lines.apply(docs, lines.drop_bitmaps(docs))
-    return found.select("doc.doc_id", "n_lines", "n_dropped", F.sha2("doc.text", 256).alias("kept_sha256"))
+    return found.select("doc.doc_id", "n_lines", "n_dropped", F.sha2("doc.text", 256).alias("kept_sha256"), "n_first")
 
 
 def op8_token_file(spark: SparkSession, folder: str) -> DataFrame:

@@ -22,11 +22,11 @@ import pyarrow.compute as pc
 
 from millrace.llm.text import mix
 
-KEPT_PIECES = 1_200_000
-KEPT_IDS = 1 << 24
+KEPT_PIECES = 1_000_000
+KEPT_IDS = 1 << 22
 _SLOTS = 21  # bits
 _KEY_BYTES = 24
-_BATCH = 1 << 23  # bytes cut at once
+_BATCH = 1 << 21  # bytes cut at once
 # white space of any kind, by code point
 _BLANK = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
@@ -116,8 +116,8 @@ class Encoder:
     def _clear(self) -> None:
         self.known = _Known()
         self.ids, self.used = np.empty(1 << 16, np.uint32), 0
-        self.begin = np.zeros(1 << 16, np.int64)
-        self.size = np.zeros(1 << 16, np.int64)
+        self.begin = np.zeros(1 << 16, np.int32)
+        self.size = np.zeros(1 << 16, np.int32)
 
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
@@ -152,7 +152,7 @@ class Encoder:
             missing = np.arange(len(different))
             at = np.full(len(different), -1)
             fresh = np.flatnonzero(short)[:KEPT_PIECES]
-        begin, size = self.begin[at], self.size[at]
+        begin, size = self.begin[at].astype(np.int64), self.size[at].astype(np.int64)
         if len(missing):
             flat, sizes = self._learn(different.take(pa.array(missing)).to_pylist())
             begins = self.used + np.cumsum(sizes) - sizes

@@ -7,9 +7,10 @@ term leaves most weights at exactly zero, so what is sent to the tasks is the
 short list of the others.
 
 Fitting uses at most ``FIT_ROWS`` labelled rows, those of the smallest
-doc_id hash, each whole and whatever its length; of these the first that hold
-at most ``FIT_PLACES`` distinct places together. It runs on the driver, and
-its memory is bounded by the two limits. Scoring covers every row and whole
+doc_id hash, each whole and whatever its length; of these, in that order, all
+that fit into ``FIT_PLACES`` distinct places together. One that does not fit
+is passed over and the rest goes on. It runs on the driver, and its memory is
+bounded by the two limits. Scoring covers every row and whole
 texts.
 
 Cases: null and empty texts have no features and score the bias. Labels that
@@ -109,17 +110,22 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, limit: int) -> Data
     return rows.join(F.broadcast(few), "doc_id").select("doc_id", "text", "label")
 
 
-def whole_rows(rows: DataFrame, numbers: str, size: str, most: int) -> pd.DataFrame:
-    """The first rows by doc_id hash whose ``size`` adds up to ``most`` at
-    most, one at least; equal hashes go by doc_id and ``numbers``."""
+def whole_rows(rows: DataFrame, numbers: str, size: str, most: int, limit: int) -> pd.DataFrame:
+    """Of the ``limit`` first rows by doc_id hash those whose ``size`` fits
+    into ``most`` together, in that order, one at least; a repeated row counts
+    once."""
     key = ["order", "doc_id", "tie"]
-    rows = stored(rows.withColumns({"order": F.xxhash64("doc_id"), "tie": F.xxhash64(numbers)}))
-    sizes = rows.select(*key, size).toPandas().sort_values(key)
-    if not len(sizes):
-        return rows.toPandas()
-    n = max(1, int(np.searchsorted(sizes[size].cumsum().to_numpy(), most, "right")))
-    last = F.struct(*[F.lit(int(sizes[c].iloc[n - 1])).cast("long").alias(c) for c in key])
-    return rows.where(F.struct(*key) <= last).toPandas().sort_values(key).head(n)
+    rows = stored(rows.withColumns({"order": F.xxhash64("doc_id"), "tie": F.xxhash64(numbers)})).dropDuplicates(key)
+    sizes = rows.select(*key, size).orderBy(*key).limit(limit).toPandas()
+    taken, held = [], 0
+    for i, n in enumerate(sizes[size].tolist()):
+        if held + n <= most:
+            taken.append(i)
+            held += n
+    taken = taken or [*range(len(sizes))][:1]
+    chosen = rows.sparkSession.createDataFrame(sizes.iloc[taken][key], "order bigint, doc_id bigint, tie bigint")
+    # at most ``limit`` rows of three numbers
+    return rows.join(F.broadcast(chosen), key).toPandas().sort_values(key)
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", limit: int = FIT_ROWS) -> Model:
@@ -130,7 +136,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", limit: int =
                 yield pd.DataFrame({"doc_id": [doc_id], "label": [y], "n": [len(places)], "places": [places.tobytes()]})
 
     found = labelled(docs, labels, label, limit).mapInPandas(extract, "doc_id bigint, label int, n bigint, places binary")
-    rows = whole_rows(found, "places", "n", FIT_PLACES)
+    rows = whole_rows(found, "places", "n", FIT_PLACES, limit)
     return fit([np.frombuffer(p, np.int32) for p in rows["places"]], rows["label"].tolist())
 
 

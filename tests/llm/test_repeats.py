@@ -17,9 +17,9 @@ def line_key(line):
     return ascii_lower(line.strip(BLANKS))
 
 
-@pytest.mark.parametrize("keep_first", [False, True])
-def test_lines(spark, monkeypatch, keep_first):
-    monkeypatch.setattr(lines, "ROWS_PER_PART", 3)  # heavy keys are dealt out
+@pytest.mark.parametrize("keep_first, per_part", [(False, 3), (True, 3), (True, 1_000_000)])
+def test_lines(spark, monkeypatch, keep_first, per_part):
+    monkeypatch.setattr(lines, "ROWS_PER_PART", per_part)  # 3: heavy keys are dealt out
     texts = odd_texts()
     ids = [None, *range(1, len(texts))]
     docs = frame(spark, texts, ids)
@@ -31,17 +31,20 @@ def test_lines(spark, monkeypatch, keep_first):
     common = {k for k, n in held.items() if n >= 4}
     assert common
     order = sorted(range(len(texts)), key=lambda i: (ids[i] is not None, ids[i] or 0))
-    kept, seen = {}, set()
+    kept, firsts, seen = {}, {}, set()
     for i in order:
-        out = []
+        out, firsts[ids[i]] = [], 0
         for p in split[i]:
             key = line_key(p)
-            if key not in common or (keep_first and key not in seen):
+            first = key in common and key not in seen
+            if key not in common or (keep_first and first):
                 out.append(p)
+            firsts[ids[i]] += first
             seen.add(key)
         kept[ids[i]] = (len(split[i]), len(split[i]) - len(out), "\n".join(out))
-    found = lines.apply(docs, lines.drop_bitmaps(docs, min_docs=4, keep_first=keep_first))
+    found = lines.apply(docs, lines.drop_bitmaps(docs, min_docs=4), keep_first)
     assert {r.doc.doc_id: (r.n_lines, r.n_dropped, r.doc.text) for r in found.collect()} == kept
+    assert {r.doc.doc_id: r.n_first for r in found.collect()} == firsts
     assert set(found.select("doc.*").columns) == set(docs.columns)
 
 

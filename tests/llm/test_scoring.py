@@ -167,6 +167,25 @@ def test_toxicity_learns_from_whole_long_texts(spark, monkeypatch):
     assert toxicity.learn(docs, labels) == every[:7]
     monkeypatch.setattr(toxicity, "FIT_PLACES", 1)
     assert toxicity.learn(docs, labels) == every[:1]
+    # a text that does not fit is passed over, the rest goes on
+    short = [e for e in every if len(e[0]) < 200]
+    monkeypatch.setattr(toxicity, "FIT_PLACES", sum(len(p) for p, _ in short))
+    assert 3 < len(short) < 27 and toxicity.learn(docs, labels) == short
+    monkeypatch.setattr(toxicity, "FIT_PLACES", 1 << 24)
+    doubled = toxicity.learn(docs.union(docs.where("doc_id % 3 = 0")), labels)
+    assert doubled == every  # a repeated row counts once
+
+
+def test_labels_with_clashing_columns(spark):
+    """Columns of the labels named like what the operators make inside."""
+    rng = random.Random(31)
+    texts = [sentence(rng, 30) + (" vilefoe vilefoe" if i % 2 else "") for i in range(120)]
+    docs = frame(spark, texts)
+    plain = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id bigint, y int")
+    clashing = spark.createDataFrame([(i, i % 2, "l", "n", "p", "t", "o") for i in range(120)], "doc_id bigint, y int, label string, n string, places string, text string, `order` string")
+    for module in (toxicity, quality):
+        a, b = module.learn(docs, plain, "y"), module.learn(docs, clashing, "y")
+        assert np.array_equal(a.scores([t.encode() for t in texts]), b.scores([t.encode() for t in texts]))
 
 
 def test_quality_is_fitted_on_all_passages(spark, monkeypatch):
@@ -191,18 +210,50 @@ def test_calibration_leaves_out_the_own_row(spark, monkeypatch):
     leaf = tree.leaves(x)
     sizes = np.bincount(leaf, minlength=tree.n_leaves)
     rows = [(i, v.tolist(), int(n)) for i, (v, n) in enumerate(zip(x, leaf))]
-    placed = spark.createDataFrame(rows, "vec_id bigint, v array<double>, leaf int")
+    placed = spark.createDataFrame(rows, "vec_id bigint, v array<double>, leaf bigint")
     classes = placed.where("vec_id % 5 = 0").selectExpr("vec_id as class", "v")
     depth = []
     for q in range(0, 300, 5):
         near = x @ x[q]
         near[q] = -2
         depth.append(tree.walk(tree.matrix @ x[q], sizes, tree.n_leaves, 0).index(leaf[near.argmax()]) + 1)
-    monkeypatch.setattr(neighbours, "RECALL", 0.5)
     want = sorted(depth)[29]
-    assert want > 1 and neighbours._calibrate(classes, placed, tree, sizes, 1) == want
-    alone = placed.where("vec_id = 0")
-    assert neighbours._calibrate(classes.where("class = 0"), alone, tree, sizes, 1) == 1
+
+    def visits(classes, placed):
+        some, true = neighbours._true_leaves(classes, placed, 1)
+        return neighbours._calibrate(some, true, tree, sizes, 0.5)
+
+    assert want > 1 and visits(classes, placed) == want
+    assert visits(classes.where("class = 0"), placed.where("vec_id = 0")) == 1
+
+
+@pytest.mark.parametrize("recall", [0.97, 1.0])
+def test_leaves_stay_bounded(spark, monkeypatch, recall):
+    """A head fitted on few rows; its leaves are cut where they are, twice."""
+    for name, value in {"FIT_ROWS": 60, "LEAF_LIMIT": 60, "LEAF_FIT": 40, "FAN": 4, "BLOCK": 50, "RECALL": recall}.items():
+        monkeypatch.setattr(neighbours, name, value)
+    rng = np.random.default_rng(21)
+    centres = rng.normal(size=(12, 10))
+    rows = [(i, (centres[rng.integers(12)] + rng.normal(size=10) * 0.5).astype(np.float32).tolist()) for i in range(1500)]
+    rows += [(2000 + i, [float(i + 1)] * 10) for i in range(150)]  # many of one direction, which nothing parts
+    levels, cut = [], neighbours._place_all
+
+    def placed(*args):
+        out = cut(*args)
+        levels.append(len(out[1]))
+        sizes = [r["count"] for r in out[0].groupBy("leaf").count().collect()]
+        assert sum(n > 60 for n in sizes) <= 1
+        return out
+
+    monkeypatch.setattr(neighbours, "_place_all", placed)
+    got = {}
+    for r in neighbours.search(vectors(spark, rows), F.col("vec_id") % 50 == 0).collect():
+        got.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
+    assert levels[0] >= 2
+    want = brute_neighbours(rows, 5)
+    assert got.keys() == want.keys() and all(sorted(g) == [1, 2, 3, 4, 5] for g in got.values())
+    hit = sum(len({i for i, _ in top} & {i for i, _ in got[q].values()}) for q, top in want.items() if q < 2000)
+    assert hit / sum(5 for q in want if q < 2000) >= (0.9 if recall < 1 else 0.999)
 
 
 def brute_base(text):
