@@ -66,21 +66,29 @@ def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
     )
 
 
-def confusion_metrics(predictions: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
-    """One row of metrics for class 1, from four conditional counts."""
-    y, p = F.col(label) == 1, F.col(prediction) == 1
-    counts = predictions.agg(
-        F.count("*").alias("rows"),
-        F.avg(y.cast("double")).alias("positive_rate"),
-        F.count_if(y & p).alias("tp"),
-        F.count_if(~y & ~p).alias("tn"),
-        F.count_if(~y & p).alias("fp"),
-        F.count_if(y & ~p).alias("fn"),
+def score_counts(scored: DataFrame, label: str, score: str = "p1", prediction: str = "prediction") -> DataFrame:
+    """``(score, predicted, pos, neg)``: rows of each class per different
+    score and prediction. All metrics below follow from it."""
+    y = (F.col(label) == 1).cast("long")
+    predicted = F.col(prediction) == 1 if prediction in scored.columns else F.lit(None).cast("boolean")
+    return scored.groupBy(F.col(score).alias("score"), predicted.alias("predicted")).agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
+
+
+def _confusion(counts: DataFrame) -> DataFrame:
+    """Metrics for class 1 from ``(predicted, pos, neg)``."""
+    p, total = F.col("predicted"), lambda c: F.coalesce(F.sum(c), F.lit(0))
+    sums = counts.agg(
+        total(F.col("pos") + F.col("neg")).alias("rows"),
+        total("pos").alias("positives"),
+        total(F.when(p, F.col("pos"))).alias("tp"),
+        total(F.when(~p, F.col("neg"))).alias("tn"),
+        total(F.when(p, F.col("neg"))).alias("fp"),
+        total(F.when(~p, F.col("pos"))).alias("fn"),
     )
     tp, tn, fp, fn = (F.col(c) for c in ("tp", "tn", "fp", "fn"))
-    return counts.select(
+    return sums.select(
         "rows",
-        "positive_rate",
+        numeric.ratio(F.col("positives"), F.col("rows")).alias("positive_rate"),
         numeric.ratio(tp + tn, F.col("rows")).alias("accuracy"),
         numeric.ratio(2 * tp, 2 * tp + fp + fn).alias("f1"),
         numeric.ratio(tp, tp + fp).alias("precision"),
@@ -90,29 +98,38 @@ def confusion_metrics(predictions: DataFrame, label: str, prediction: str = "pre
     )
 
 
-def threshold_counts(scored: DataFrame, label: str, score: str = "p1") -> DataFrame:
+def confusion_metrics(predictions: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
+    """One row of metrics for class 1, from four conditional counts."""
+    y = (F.col(label) == 1).cast("long")
+    return _confusion(predictions.groupBy((F.col(prediction) == 1).alias("predicted")).agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg")))
+
+
+def _thresholds(counts: DataFrame) -> DataFrame:
     """``(score, pos, neg, tp, fp)`` per different score: rows with that
     score, and rows with at least that score, by class."""
-    y = (F.col(label) == 1).cast("long")
-    counts = scored.groupBy(F.col(score).alias("score")).agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
-    return running(counts, [F.desc("score")], {"tp": "pos", "fp": "neg"})
+    per_score = counts.groupBy("score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    return running(per_score, [F.desc("score")], {"tp": "pos", "fp": "neg"})
 
 
-def ranking_metrics(scored: DataFrame, label: str, score: str = "p1") -> DataFrame:
-    """One row, ``auroc`` and ``auprc``: areas under the curves through the
-    points of all different scores, without binning; null where undefined."""
+def _ranking(counts: DataFrame) -> DataFrame:
     tp, fp, pos, neg = (F.col(c).cast("double") for c in ("tp", "fp", "pos", "neg"))
     here = tp / (tp + fp)
     before = F.when(tp + fp == pos + neg, here).otherwise(F.try_divide(tp - pos, tp - pos + fp - neg))
-    sums = threshold_counts(scored, label, score).agg(
+    sums = _thresholds(counts).agg(
         F.sum(neg * (2 * tp - pos) / 2).alias("_roc"), F.sum(pos * (here + before) / 2).alias("_pr"), F.max(tp).alias("_p"), F.max(fp).alias("_n")
     )
     return sums.select(numeric.ratio(F.col("_roc"), F.col("_p") * F.col("_n")).alias("auroc"), numeric.ratio(F.col("_pr"), F.col("_p")).alias("auprc"))
 
 
+def ranking_metrics(scored: DataFrame, label: str, score: str = "p1") -> DataFrame:
+    """One row, ``auroc`` and ``auprc``: areas under the curves through the
+    points of all different scores, without binning; null where undefined."""
+    return _ranking(score_counts(scored, label, score))
+
+
 def roc_curve(scored: DataFrame, label: str, score: str = "p1") -> DataFrame:
     """``(FPR, TPR)`` at every different score, and the origin."""
-    points = threshold_counts(scored, label, score)
+    points = _thresholds(score_counts(scored, label, score))
     total = points.agg(F.struct(F.max("tp").alias("p"), F.max("fp").alias("n")).alias("t"))
     curve = points.withColumn("_t", total.scalar()).select(
         numeric.ratio(F.col("fp"), F.col("_t.n")).alias("FPR"), numeric.ratio(F.col("tp"), F.col("_t.p")).alias("TPR")
@@ -125,14 +142,16 @@ def report(rows: DataFrame, is_train: str, label: str, features: Sequence[str],
 
     ``rows`` holds label, features and the train mark. It is written once
     before the first model: the joins behind it run once, not once per
-    iteration, and a lost executor costs a re-read.
+    iteration, and a lost executor costs a re-read. Of the scores only the
+    counts per different score are kept, and both kinds of metrics come from
+    them.
     """
     rows = stored(rows)
     train, test = rows.where(F.col(is_train)), rows.where(~F.col(is_train))
     out = None
     for kind in kinds:
-        predicted = stored(score(fit(train, label, features, kind, **params), test).select(label, "p1", "prediction"))
-        row = ranking_metrics(predicted, label).join(confusion_metrics(predicted, label)).select(F.lit(kind).alias("model"), "*")
+        counts = stored(score_counts(score(fit(train, label, features, kind, **params), test), label))
+        row = _ranking(counts).join(_confusion(counts)).select(F.lit(kind).alias("model"), "*")
         out = row if out is None else out.union(row)
     return out
 

@@ -339,6 +339,16 @@ def _tree_rows(spark, d):
     return trees.where("node = 0").select("tree", F.col("held").cast("bigint").alias("rows"))
 
 
+def _report_rows(spark, d):
+    """The part of a report that does not depend on how a model was fitted,
+    and whether its metrics agree with each other."""
+    rows = flights.labelled(sampling.time_split(clean_flights(spark, d), F.col("YEAR"), 2000), TREE_SET, ["is_train"])
+    found = classify.report(rows, "is_train", flights.LABEL, TREE_SET, ["lr", "lr_plain", "rf", "gbt"], max_iter=3)
+    hits = F.col("recall") * F.col("positive_rate") + (1 - F.col("false_positive_rate")) * (1 - F.col("positive_rate"))
+    agree = (F.abs(hits - F.col("accuracy")) < 1e-9) & F.col("auroc").between(0, 1) & F.col("auprc").between(0, 1) & (F.col("recall") == F.col("true_positive_rate"))
+    return found.select("model", "rows", F.round("positive_rate", 9).alias("positive_rate"), agree.cast("int").alias("agree"))
+
+
 def _train_best(spark, d):
     """The job's best model: 30 boosted trees on 23 features."""
     model, test = flights.train_best(flight_features(spark, d), 2000)
@@ -492,6 +502,11 @@ QUERIES = {
     ),
     "tree_importance": (_tree_importance, f"SELECT unnest(['rf', 'gbt']) AS model, {len(TREE_SET)} AS features, 0 AS differing"),
     "tree_root_rows": (_tree_rows, f"WITH {FLIGHTS} SELECT tree, count(*) AS rows FROM fl, range(3) t(tree) GROUP BY tree"),
+    "model_report_rows": (
+        _report_rows,
+        f"""WITH {FLIGHTS} SELECT model, count(*) AS rows, round(avg(DEP_DEL15), 9) AS positive_rate, 1 AS agree
+ FROM fl, (SELECT unnest(['lr', 'lr_plain', 'rf', 'gbt']) AS model) WHERE YEAR >= 2000 GROUP BY model""",
+    ),
     "train_best": (
         _train_best,
         f"""WITH {COMPLETE} SELECT 30 AS trees, {len(flights.BEST_SET)} AS features, count(*) AS test_rows, count(*) AS scored FROM complete WHERE YEAR >= 2000""",

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from millrace.functions import clean
 from millrace.operators import counting, joins, nearest, profile, sampling, skew
 from millrace.plans import derived, flights
-from millrace.sources.readers import query, table
+from millrace.sources.readers import literal, query, table
 
 
 def _rounded(df, digits, *cols):
@@ -217,6 +219,36 @@ WEATHER_RAW = WEATHER.replace(" we AS MATERIALIZED (", " wr AS MATERIALIZED (")
 V1_OUT = ["TAIL_NUM", "DEP_TIME", "CRS_ARR_TIME", "ORG_WS_ID", "DEST_WS_ID", *flights.WEATHER_SET]
 DELAY_OUT = ["TAIL_NUM", "DEP_TIME", "CRS_ARR_TIME", "DEP_HOUR", "DAY_OF_WEEK", "MONTH", "YEAR", flights.LABEL, *flights.DELAYS]
 
+def _named_priorities(spark, d):
+    """Orders per priority, named by a table typed into the program."""
+    names = literal(spark, [("1-URGENT", "now", 1), ("2-HIGH", "soon", 2), ("5-LOW", "some day", 5)], "o_orderpriority string, name string, level int")
+    return table(spark, d, "orders").join(names, "o_orderpriority").groupBy("name", "level").agg(F.count("*").alias("orders"))
+
+
+def _samples(spark, d):
+    """Spark's own samplers, which no SQL can replay: are their rows rows of
+    the table, none of them twice, and as many as the share says, within six
+    standard deviations?"""
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    lines = _lines(spark, d).select(*keys).distinct()
+    total = lines.count()
+    train, test = sampling.random_split(lines, [0.8, 0.2])
+    out = None
+    for name, part, share in (("bernoulli", sampling.bernoulli(lines, 0.1), 0.1), ("split_train", train, 0.8), ("split_test", test, 0.2)):
+        seen = part.groupBy(*keys).agg(F.count("*").alias("n")).join(lines.withColumn("known", F.lit(1)), keys, "left")
+        near = F.abs(F.sum("n") - share * total) <= 6 * math.sqrt(total * share * (1 - share)) + 1
+        row = seen.agg(F.lit(name).alias("sample"), F.count_if(F.col("known").isNull()).alias("unknown"), F.count_if(F.col("n") > 1).alias("twice"), near.cast("int").alias("near"))
+        out = row if out is None else out.union(row)
+    return out
+
+
+def _previewed(spark, d):
+    """A preview has its number of rows, all of them rows of the table."""
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    some = counting.preview(orders, 20)
+    return some.join(orders.distinct(), ["o_orderkey", "o_custkey"], "left_semi").agg(F.count("*").alias("rows"))
+
+
 QUERIES = {
     "distinct_per_column": (
         lambda s, d: profile.distinct_counts(table(s, d, "events")),
@@ -469,6 +501,13 @@ QUERIES = {
         "SELECT o_orderkey, (year(o_orderdate) < 2000)::INT AS is_train FROM orders",
     ),
     "preview": (lambda s, d: counting.preview(_lines(s, d)), None),
+    "preview_rows": (_previewed, "SELECT least(20, count(*)) AS rows FROM orders"),
+    "literal_lookup": (
+        _named_priorities,
+        """SELECT name, level, count(*) AS orders FROM orders JOIN (VALUES ('1-URGENT', 'now', 1), ('2-HIGH', 'soon', 2), ('5-LOW', 'some day', 5)) t(p, name, level)
+ ON p = o_orderpriority GROUP BY 1, 2""",
+    ),
+    "sample_checks": (_samples, "SELECT unnest(['bernoulli', 'split_train', 'split_test']) AS sample, 0 AS unknown, 0 AS twice, 1 AS near"),
     "sample_bernoulli": (lambda s, d: sampling.bernoulli(_lines(s, d).select("l_orderkey", "l_linenumber"), 0.1), None),
     "sample_with_replacement": (
         lambda s, d: sampling.poisson_copies(_lines(s, d).select("l_orderkey", "l_linenumber", "l_partkey"), ["l_orderkey", "l_linenumber", "l_partkey"], 0.6),

@@ -268,6 +268,10 @@ QUERIES = {
         lambda s, d: _scored(similarity.term_similarities(ngrams.stripes(_stripe_rows(s, d)), N_TOTAL)),
         f"{CHAIN}, {PAIRS} SELECT {ROUNDED_PAIRS} FROM scored",
     ),
+    "term_similarity_above": (
+        lambda s, d: _scored(similarity.term_similarities(ngrams.stripes(_stripe_rows(s, d)), N_TOTAL, at_least=0.8)),
+        f"{CHAIN}, {PAIRS} SELECT {ROUNDED_PAIRS} FROM scored WHERE scored.cosine >= 0.8 - 1e-9",
+    ),
     "term_similarity_top": (
         lambda s, d: _scored(similarity.term_similarity_extremes(ngrams.stripes(_stripe_rows(s, d)), 100, N_TOTAL, "top")),
         f"{CHAIN}, {PAIRS} SELECT {ROUNDED_PAIRS} FROM scored ORDER BY round(scored.cosine, 9) DESC, a, b LIMIT 100",

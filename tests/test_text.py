@@ -169,6 +169,9 @@ def test_block_products_match_brute_force(spark):
     want = {(a, b, len(sets[a]), len(sets[b]), len(sets[a] & sets[b])) for a, b in itertools.combinations(sorted(sets), 2) if sets[a] & sets[b]}
     assert rows(similarity.shared_feature_counts(stripes, 120, block=17)) == want
     scored = similarity.term_similarities(stripes, 120, block=50).collect()
+    for bound in (0.3, 0.5, 1.0):
+        above = similarity.term_similarities(stripes, 120, block=50, at_least=bound)
+        assert rows(above.select("a", "b")) == {(r.a, r.b) for r in scored if r.cosine >= bound - 1e-9}
     for r in scored:
         assert r.jaccard <= r.dice + 1e-12 and r.dice <= r.cosine + 1e-12 and r.cosine <= r.overlap + 1e-12
     for which, sign in (("top", -1), ("bottom", 1)):
