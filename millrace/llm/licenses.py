@@ -1,6 +1,7 @@
 """Licence notices in documents, by a positional index of rare licence words.
 
-The index holds, for each notice in ``TEMPLATES``, its ``INDEXED`` words of
+Notices are one-sentence forms (``TEMPLATES``) and whole licence texts and file
+headers (``notices/``: label, key phrase, text). The index holds, for each, its ``INDEXED`` words of
 highest inverse document frequency with their positions, and as many more as
 it takes that no start with fewer than two of them in place can be covered to
 ``COVERED``. Frequencies are counted over all documents. Every place of every
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from importlib import resources
 
 import numpy as np
 import pandas as pd
@@ -54,12 +56,27 @@ INDEXED = 8
 COVERED = 0.6
 
 
+def _whole_notices() -> list[tuple[str, str, str]]:
+    """Label, key phrase and words of the texts in ``notices/``."""
+    out = []
+    folder = resources.files(__package__) / "notices"
+    for file in sorted(folder.iterdir(), key=lambda f: f.name):
+        if file.name.endswith(".txt"):
+            label, phrase, text = file.read_text(encoding="ascii").split("\n", 2)
+            words = Words([text.encode()])
+            out.append((label, phrase, b" ".join(words.data.split()).decode()))
+    return out
+
+
+NOTICES = TEMPLATES + _whole_notices()
+
+
 def _hash_of(words: Sequence[str]) -> np.ndarray:
     found = Words([" ".join(words).encode()])
     return found.hashes()
 
 
-VOCABULARY = sorted({w for _, _, text in TEMPLATES for w in text.split()} | {w for p in BASE for w in p.split()})
+VOCABULARY = sorted({w for _, _, text in NOTICES for w in text.split()} | {w for p in BASE for w in p.split()})
 
 
 def _numbered(hashes: np.ndarray, vocabulary: np.ndarray, order: np.ndarray) -> np.ndarray:
@@ -110,7 +127,7 @@ class Index:
         self.spelled = [w.encode() for w in VOCABULARY]
         number = {w: i for i, w in enumerate(VOCABULARY)}
         self.notices, postings = [], []
-        for label, phrase, text in TEMPLATES:
+        for label, phrase, text in NOTICES:
             words, key = [number[w] for w in text.split()], [number[w] for w in phrase.split()]
             at = next(i for i in range(len(words)) if words[i : i + len(key)] == key)
             self.notices.append(Notice(label, words, key, at))

@@ -122,6 +122,7 @@ QUERIES = {
 }
 ORACLE_SQL = {
     "op2_decontamination": decontaminate.ORACLE_SQL,
+    "op4_suffix_dedup": suffix.ORACLE_SQL,
     "op7_line_dedup": lines.ORACLE_SQL,
     "op11_ranked_search": ranking.ORACLE_SQL,
     "op13_conversation_trie": trie.ORACLE_SQL,

@@ -1,6 +1,8 @@
 """Classifiers, neighbours and licence notices: held-out accuracy and brute force."""
 
+import math
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -8,7 +10,7 @@ from texts import frame, odd_texts, sentence, words
 from pyspark.sql import functions as F
 
 from millrace.llm import licenses, neighbours, quality, toxicity
-from millrace.llm.text import Words, batches
+from millrace.llm.text import Words, batches, mix
 
 
 def labelled_texts(n, seed):
@@ -72,6 +74,79 @@ def test_weights_are_sparse():
     assert 7 in model.places and len(model.places) < 3000
 
 
+def test_ftrl_equals_a_plain_learner():
+    """Row by row and place by place, with nothing but dictionaries."""
+    rng = np.random.default_rng(3)
+    rows = [np.unique(rng.integers(0, 400, 30)) for _ in range(120)]
+    labels = [int(5 in r or rng.random() < 0.1) for r in rows]
+    alpha, beta, l1, l2 = 0.7, 1.5, 0.6, 0.2
+    z, n, bias, bias_n = {}, {}, 0.0, 0.0
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    for _ in range(3):
+        for row, label in zip(rows, labels):
+            w = {int(i): weight(int(i)) for i in row}
+            error = 1 / (1 + math.exp(-(sum(w.values()) + bias))) - label
+            for i, old in w.items():
+                sigma = (math.sqrt(n.get(i, 0.0) + error**2) - math.sqrt(n.get(i, 0.0))) / alpha
+                z[i] = z.get(i, 0.0) + error - sigma * old
+                n[i] = n.get(i, 0.0) + error**2
+            bias_n += error**2
+            bias -= alpha / (beta + math.sqrt(bias_n)) * error
+    model = toxicity.fit(rows, labels, 3, alpha, beta, l1, l2)
+    want = {i: weight(i) for i in z if weight(i)}
+    assert model.bias == pytest.approx(bias) and model.places.tolist() == sorted(want) and 0 < len(want) < 400
+    assert model.weights.tolist() == pytest.approx([want[i] for i in sorted(want)], rel=1e-5)
+
+
+def test_toxic_score_equals_a_plain_sum():
+    rng = random.Random(17)
+    texts = [t.encode() if t is not None else None for t in odd_texts()]
+    every = np.unique(np.concatenate([toxicity.features(Words([t or b""]))[1] for t in texts])).astype(np.int64)
+    kept = np.array(sorted(rng.sample(every.tolist(), 500)))
+    model = toxicity.Model(kept, np.array([rng.gauss(0, 0.3) for _ in kept], np.float32), -0.2)
+    weight = dict(zip(kept.tolist(), model.weights.tolist()))
+    for text, score in zip(texts, model.scores(texts)):
+        w = words((text or b"").decode())
+        single = {x: int(h >> np.uint64(64 - toxicity.BITS)) for x, h in zip(w, Words([text or b""]).hashes())}
+        places = set(single.values())
+        for gap, factor in ((1, toxicity._PAIR), (2, toxicity._SKIP)):
+            for a, b in zip(w, w[gap:]):
+                h = [Words([x.encode()]).hashes() for x in (a, b)] if len(w) < 300 else None
+                if h:
+                    places.add(int(mix(h[0] * factor + h[1])[0] >> np.uint64(64 - toxicity.BITS)))
+        if len(w) < 300:  # every pair hashed on its own takes long
+            assert score == pytest.approx(1 / (1 + math.exp(-(model.bias + sum(weight.get(p, 0.0) for p in places)))), rel=1e-5)
+
+
+def test_attention_equals_a_plain_forward_pass():
+    """One passage after another, each weight by its formula."""
+    rng = np.random.default_rng(5)
+    model = quality.Model(rng.normal(size=quality.SIZE), rng.uniform(0.5, 2, quality.SIZE))
+    model.weights["classify"], model.weights["bias"] = rng.normal(size=24), np.array([0.3])
+    w = model.weights
+    texts = [t.encode() if t is not None else None for t in odd_texts()]
+    for text, score in zip(texts, model.scores(texts)):
+        x, _ = quality.passages([text])
+        vectors, powers = [], []
+        for row in x:
+            unit = [min(8, max(-8, (row[i] - model.mean[i]) / model.scale[i])) for i in range(quality.SIZE)]
+            v = [math.tanh(sum(unit[i] * w["encode"][i, j] for i in range(quality.SIZE)) + w["shift"][j]) for j in range(24)]
+            logit = 0.0
+            for g in range(len(w["attend"])):
+                t = math.tanh(sum(v[j] * w["tanh"][j, g] for j in range(24)))
+                gate = 1 / (1 + math.exp(-sum(v[j] * w["gate"][j, g] for j in range(24))))
+                logit += t * gate * w["attend"][g]
+            vectors.append(v)
+            powers.append(math.exp(logit))
+        bag = sum(p * np.array(v) for p, v in zip(powers, vectors)) / sum(powers)
+        assert score == pytest.approx(1 / (1 + math.exp(-(float(bag @ w["classify"]) + 0.3))), abs=1e-6)
+
+
 def test_quality_gradient():
     rng = np.random.default_rng(0)
     model = quality.Model(np.zeros(quality.SIZE), np.ones(quality.SIZE))
@@ -292,7 +367,7 @@ def brute_notices(index, text):
     """Labels and best coverage over every start whose key phrase stands."""
     w, labels, best = words(text), set(), 0.0
     weight = dict(zip(licenses.VOCABULARY, index.idf.tolist()))
-    for label, phrase, notice in licenses.TEMPLATES:
+    for label, phrase, notice in licenses.NOTICES:
         notice, key = notice.split(), phrase.split()
         at = next(i for i in range(len(notice)) if notice[i : i + len(key)] == key)
         for i in range(len(w) - len(key) + 1):
@@ -306,6 +381,24 @@ def brute_notices(index, text):
     return ",".join(sorted(labels)), 1.0 if brute_base(text)[1] else best
 
 
+def test_whole_licence_texts(spark):
+    """Whole texts as comments, wrapped anew, with a year and a name before."""
+    texts, want = [], []
+    folder = Path(licenses.__file__).parent / "notices"
+    for file in sorted(folder.glob("*.txt")):
+        label, _, text = file.read_text().split("\n", 2)
+        flat = text.split()
+        lines = [" ".join(flat[i : i + 9]) for i in range(0, len(flat), 9)]
+        texts += ["Copyright (c) 2020 A. Person\n" + "\n".join("# " + x for x in lines), " * ".join(lines[: len(lines) * 2 // 3]), " ".join(flat[: len(flat) // 4])]
+        want += [label, label, None]
+    assert len(want) >= 30
+    got = {r.doc_id: r for r in licenses.scan(frame(spark, texts)).collect()}
+    for i, label in enumerate(want):
+        labels = set(got[i].labels.split(",")) - {"", "gpl"} if label not in (None, "gpl") else set(got[i].labels.split(","))
+        if label is not None:
+            assert label in labels and labels <= {label, "mit" if label == "bsl-1.0" else label}, (label, got[i].labels)
+
+
 def test_licences_of_files_with_many_licence_words():
     notices = [t for _, _, t in licenses.TEMPLATES]
     rng = random.Random(10)
