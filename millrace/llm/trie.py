@@ -6,10 +6,11 @@ and a prefix of d turns is a prefix of 16 d bytes.
 
 1. Equal conversations become one sequence with its number of members.
 2. Burst trie: all sequences start in the container of the root. A container
-   of more than ``CONTAINER`` sequences bursts: its head stays as a trie node,
-   sequences that end there stay with it, the others move to containers one
-   turn further down, by their next turn id. This is repeated until no
-   container is too large; every round is written to shared storage.
+   of more than ``CONTAINER`` sequences bursts where they part: the turns they
+   all share become trie nodes, sequences that end there stay with the last of
+   them, the others move to containers by their next turn id. This is repeated
+   until no container is too large; each round parts every container that is,
+   however long its shared opening, and is written to shared storage.
 3. The containers that remain are dealt out by head, sorted by sequence and
    swept: a task keeps the open path only and gives each node when the sweep
    leaves it. Children wait for their parent's smallest member, so at most one
@@ -38,7 +39,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.session import stored
 
-CONTAINER = 1000  # sequences that a container holds before it bursts
+CONTAINER = 250  # sequences that a container holds before it bursts
 _ID = 16  # bytes of a turn id
 _RUN = 4096  # member ids in one run of text
 _NO_MEMBERS = hashlib.sha256(b"").hexdigest()
@@ -209,27 +210,31 @@ def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch_of(out)
 
 
+def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Where the sequences of a container part: the turns that its first and
+    its last sequence share."""
+    for batch in batches:
+        ends = zip(batch.column("low").to_pylist(), batch.column("high").to_pylist())
+        yield pa.record_batch([batch.column("head_depth"), batch.column("head"), pa.array([_shared_turns(a, b) for a, b in ends], pa.int32())], names=["head_depth", "head", "branch"])
+
+
 def _burst(sequences: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """Containers' sequences with their ``head_depth``, and the sequences that
     end at a burst head (None if nothing burst)."""
-    settled, ended, live, depth = None, None, sequences, 0
+    settled, ended, live = None, None, sequences.withColumn("head_depth", F.lit(0))
     while True:
-        rows = live.withColumn("head", _prefix("seq", F.lit(depth)))
-        large = rows.groupBy("head").agg(F.count("*").alias("_held")).where(F.col("_held") > CONTAINER).select("head", F.lit(True).alias("bursts"))
-        large = stored(large)
+        rows = live.withColumn("head", _prefix("seq", F.col("head_depth")))
+        held = rows.groupBy("head_depth", "head").agg(F.count("*").alias("held"), F.min("seq").alias("low"), F.max("seq").alias("high"))
+        large = held.where(F.col("held") > CONTAINER).select("head_depth", "head", "low", "high")
+        large = stored(large.mapInArrow(_branch, "head_depth int, head binary, branch int"))
         if large.isEmpty():
-            stay = live
-        else:
-            rows = stored(rows.join(large, "head", "left").drop("head"))
-            stay = rows.where("bursts IS NULL").drop("bursts")
-            ends = rows.where((F.col("bursts")) & (F.size("chars") == depth)).drop("bursts")
-            ended = ends if ended is None else ended.unionByName(ends)
-            live = rows.where(F.col("bursts") & (F.size("chars") > depth)).drop("bursts")
-        stay = stay.withColumn("head_depth", F.lit(depth))
+            return (live if settled is None else settled.unionByName(live)), ended
+        rows = stored(rows.join(large, ["head_depth", "head"], "left").drop("head"))
+        stay = rows.where("branch IS NULL").drop("branch")
         settled = stay if settled is None else settled.unionByName(stay)
-        if stay is live or large.isEmpty():
-            return settled, ended
-        depth += 1
+        ends = rows.where(F.size("chars") == F.col("branch")).drop("branch", "head_depth")
+        ended = ends if ended is None else ended.unionByName(ends)
+        live = rows.where(F.size("chars") > F.col("branch")).withColumn("head_depth", F.col("branch") + 1).drop("branch")
 
 
 def nodes(lists: DataFrame) -> DataFrame:
