@@ -4,7 +4,10 @@ Features are the distinct words, word pairs and pairs with one word between
 (skip-grams) of a whole text, hashed to ``1 << BITS`` places. The learner
 keeps two sums per place; each place has its own learning rate, and the L1
 term leaves most weights at exactly zero, so what is sent to the tasks is the
-short list of the others.
+short list of the others. It also draws all scores to the middle, and the rows
+a model was fitted on score higher than others; so the weights and the bias
+are stretched as it fits scores of rows that a model fitted on the other half
+has not seen.
 
 Fitting uses at most ``FIT_ROWS`` labelled rows, those of the smallest
 doc_id hash, each whole and whatever its length; of these, in that order, all
@@ -36,6 +39,7 @@ BITS = 20
 FIT_ROWS = 6_000
 FIT_PLACES = 1 << 24
 EPOCHS = 8
+LEAST_OF_CLASS = 20  # rows of either class from which scores are calibrated
 _PAIR, _SKIP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -69,7 +73,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(out, -35, 35)))
 
 
-def fit(rows: Sequence[np.ndarray], labels: Sequence[int], epochs: int = EPOCHS, alpha: float = 2.0, beta: float = 1.0, l1: float = 8.0, l2: float = 0.1) -> Model:
+def fit(rows: Sequence[np.ndarray], labels: Sequence[int], epochs: int = EPOCHS, alpha: float = 2.0, beta: float = 1.0, l1: float = 12.0, l2: float = 0.1) -> Model:
     """FTRL-proximal over the rows in the given order; ``rows`` hold the
     distinct places of a text."""
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
@@ -95,6 +99,32 @@ def fit(rows: Sequence[np.ndarray], labels: Sequence[int], epochs: int = EPOCHS,
     return Model(kept, every[kept].astype(np.float32), float(bias))
 
 
+def calibrate(model: Model, rows: Sequence[np.ndarray], labels: Sequence[int]) -> Model:
+    """The model with its log-odds as ``slope * x + shift``, by logistic
+    regression on the rows of each half as the other half's model scores them."""
+    y = np.array(labels, float)
+    if min(y.sum(), len(y) - y.sum()) < LEAST_OF_CLASS:
+        return model
+    x, half = np.zeros(len(y)), np.arange(len(y)) % 2
+    for side in (0, 1):
+        other = fit([r for r, h in zip(rows, half) if h != side], y[half != side].astype(int).tolist())
+        table = np.zeros(1 << BITS)
+        table[other.places] = other.weights
+        x[half == side] = [other.bias + table[r].sum() for r, h in zip(rows, half) if h == side]
+    slope, shift = 1.0, 0.0
+    for _ in range(50):  # Newton's steps; a little weight on the start keeps them bounded
+        p = 1 / (1 + np.exp(-np.clip(slope * x + shift, -35, 35)))
+        w = p * (1 - p)
+        slopes = np.array([(p - y) @ x + 0.1 * (slope - 1), (p - y).sum() + 0.1 * shift])
+        step = np.linalg.solve([[w @ (x * x) + 0.1, w @ x], [w @ x, w.sum() + 0.1]], slopes)
+        slope, shift = slope - step[0], shift - step[1]
+        if np.abs(step).max() < 1e-9:
+            break
+    if not (np.isfinite(slope) and np.isfinite(shift) and slope > 0):
+        return model
+    return Model(model.places, (model.weights * slope).astype(np.float32), float(model.bias * slope + shift))
+
+
 def labelled(docs: DataFrame, labels: DataFrame, label: str, limit: int) -> DataFrame:
     """``text, label`` of at most ``limit`` labelled documents, chosen by a
     hash of doc_id; ``labels`` are the rows that may be learned from."""
@@ -137,7 +167,8 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", limit: int =
 
     found = labelled(docs, labels, label, limit).mapInPandas(extract, "doc_id bigint, label int, n bigint, places binary")
     rows = whole_rows(found, "places", "n", FIT_PLACES, limit)
-    return fit([np.frombuffer(p, np.int32) for p in rows["places"]], rows["label"].tolist())
+    places, marks = [np.frombuffer(p, np.int32) for p in rows["places"]], rows["label"].tolist()
+    return calibrate(fit(places, marks), places, marks)
 
 
 def score(model: Model, text: Column) -> Column:

@@ -103,6 +103,26 @@ def test_ftrl_equals_a_plain_learner():
     assert model.weights.tolist() == pytest.approx([want[i] for i in sorted(want)], rel=1e-5)
 
 
+def test_calibration_of_scores():
+    """Unseen rows of a rare sign score on their side, and in their share."""
+    rng = np.random.default_rng(8)
+    rows = [np.unique(np.append(rng.integers(1000, 1 << toxicity.BITS, 40), rng.choice([1, 2, 3, 4], 2) if i % 8 == 0 else 500)) for i in range(1600)]
+    labels = [int(i % 8 == 0) for i in range(1600)]
+    plain = toxicity.fit(rows[:800], labels[:800])
+    model = toxicity.calibrate(plain, rows[:800], labels[:800])
+    table = np.zeros(1 << toxicity.BITS)
+
+    def caught(m):
+        table[:] = 0
+        table[m.places] = m.weights
+        p = 1 / (1 + np.exp(-np.clip([m.bias + table[r].sum() for r in rows[800:]], -35, 35)))
+        return (p[::8] >= 0.7).mean(), (np.delete(p, slice(None, None, 8)) >= 0.7).mean()
+
+    assert caught(model)[0] >= max(0.95, caught(plain)[0]) and caught(model)[1] < 0.01
+    few = toxicity.calibrate(plain, rows[:30], labels[:30])
+    assert few is plain
+
+
 def test_toxic_score_equals_a_plain_sum():
     rng = random.Random(17)
     texts = [t.encode() if t is not None else None for t in odd_texts()]
@@ -234,6 +254,7 @@ def test_toxicity_learns_from_whole_long_texts(spark, monkeypatch):
     docs = frame(spark, texts)
     labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id bigint, toxic int")
     monkeypatch.setattr(toxicity, "fit", lambda rows, labels: [(tuple(r.tolist()), y) for r, y in zip(rows, labels)])
+    monkeypatch.setattr(toxicity, "calibrate", lambda model, rows, labels: model)
     every = toxicity.learn(docs, labels)
     whole = [tuple(np.unique(toxicity.features(Words([t.encode()]))[1]).tolist()) for t in texts]
     assert sorted(every) == sorted((p, i % 2) for i, p in enumerate(whole))
