@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm import decontaminate, lines, packing, quality, queries, simhash
-from millrace.session import stored
+from millrace.session import discard, stored
 from millrace.sources.readers import table
 
 
@@ -54,7 +54,10 @@ ORACLE_SQL = None  # a trained model, tokenizer ids and XXH64 have no SQL form
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir))
+        if before is not None:
+            discard(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)

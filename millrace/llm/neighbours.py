@@ -35,6 +35,7 @@ read.
 from __future__ import annotations
 
 import heapq
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,6 +44,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.session import discard, stored
 
+_log = logging.getLogger(__name__)
+
 FIT_ROWS = 20_000
 LEAF_ROWS = 512  # sampled rows below which a node is not cut again
 BRANCHES = 8
@@ -292,12 +295,14 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     some, true = _true_leaves(classes, placed, k)
     wanted = [1 - (1 - RECALL) * (i + 1) / (len(levels) + 1) for i in range(len(levels) + 1)]
     visits = _calibrate(some, true.assign(leaf=true["leaf"] // below), tree, top, wanted[0])
+    _log.info("head: %d of %d leaves for %.3f of the true neighbours", visits, tree.n_leaves, wanted[0])
     probes, trial = walked(classes, visits), walked(some, visits) if levels else None
     for level, centres in enumerate(levels, 1):
         held = stored(sizes_at(level))
         # the trial queries tell how many leaves of this level are to be visited
         seen = _first(_below(trial, centres, some), held, (1 << 31) - 1, 0).toPandas()
         visits = _reach(seen, true.assign(leaf=true["leaf"] // FAN ** (len(levels) - level)), wanted[level])
+        _log.info("level %d: %d leaves for %.3f of the true neighbours", level, visits, wanted[level])
         trial = stored(_first(_below(trial, centres, some), held, visits, k + 1).drop("at"))
         probes = stored(_first(_below(probes, centres, classes), held, visits, k + 1).drop("at"))
     probes = stored(probes.join(classes.select("class", "v"), "class").select("class", "v", "leaf"))

@@ -100,21 +100,23 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[np.ndarray,
 
 
 def document_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY) -> DataFrame:
-    """``doc_id, piece, start, length, ids_crc32`` of all documents."""
+    """``doc_id, piece, start, length, ids_crc32`` of all documents, and
+    ``nth``, the document's number in its task, which tells equal rows apart."""
 
-    schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("nth", pa.int64())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        use = tokens.encoder(tokenizer)
+        use, nth = tokens.encoder(tokenizer), 0
         for batch in batches:
             out = []
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), tokens.documents(use, batch.column("text"), end_id)):
                 ids = ids.astype("<u4", copy=False)
-                out += [(doc_id, i, s, n, zlib.crc32(ids[s : s + n])) for i, (s, n) in enumerate(cut(len(ids), capacity))]
+                out += [(doc_id, i, s, n, zlib.crc32(ids[s : s + n]), nth) for i, (s, n) in enumerate(cut(len(ids), capacity))]
+                nth += 1
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), schema)] if out else [pa.array([], f.type) for f in schema], schema=schema)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(encode, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
+    return rows.mapInArrow(encode, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, nth bigint")
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY) -> DataFrame:
@@ -129,7 +131,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY)
 
     # a window numbers the pieces of one length and bucket
     buckets = max(shuffle_width(spark), max(counts.values(), default=0) // ROWS_PER_BUCKET)
-    spot = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).cast("int"))
+    spot = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "nth"), F.lit(buckets)).cast("int"))
     sizes = spot.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = sizes.select("length", "bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))

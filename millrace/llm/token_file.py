@@ -16,7 +16,9 @@ binary segments through Spark's commit protocol, so a retried task leaves no
 second copy, and the metadata beside the segment can be read alone.
 
 Cases: null or empty text is the end id alone. Rows with the same doc_id are
-all written, ordered by text. A null doc_id comes first. No rows: no segment.
+all written, ordered by the beginnings of their texts (null first), then by a
+hash; such rows, and copies of one row, may lie in several parts. A null
+doc_id comes first. No rows: no segment.
 Columns other than doc_id and text are not read.
 """
 
@@ -36,6 +38,7 @@ from millrace.session import stored
 
 _BLOCK = 512
 _MAGIC = b"DAC1"
+BEGINNING = 64  # characters of a text that take part in the order
 SEGMENT_IDS = 1 << 20  # a segment ends with the document that reaches this many ids
 
 
@@ -125,8 +128,8 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, segment_ids: int = SEGME
     """Encode every text and write the segments; returns the written table:
     ``part, seq`` (order of the segments), ``doc_ids``, ``n_ids``, ``segment``.
 
-    Rows are range-partitioned by doc_id, so segments follow each other in
-    that order and each task writes its own.
+    Rows are range-partitioned by doc_id and, for rows that share one, by text,
+    so segments follow each other in that order and each task writes its own.
     """
 
     schema = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("n_ids", pa.int64()), ("segment", pa.binary())])
@@ -150,7 +153,9 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, segment_ids: int = SEGME
         if ids:
             yield segment()
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    order = ["doc_id", F.substring("text", 1, BEGINNING), F.xxhash64("text")]
+    # equal rows give the same ids in any order
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(*order, F.monotonically_increasing_id()).sortWithinPartitions(*order)
     return stored(rows.mapInArrow(encode, "part int, seq int, doc_ids array<bigint>, n_ids bigint, segment binary"))
 
 

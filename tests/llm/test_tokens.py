@@ -111,6 +111,23 @@ def test_token_file(spark, library):
     assert sorted(map(tuple, got), key=lambda r: r[1]) == want
 
 
+def test_one_doc_id_in_many_parts(spark, library):
+    """A third of all rows under one doc_id, most of them the same text."""
+    texts = ["same text of many rows"] * 300 + [f"own text {i}" for i in range(100)] + ["other"] * 500
+    ids = [7] * 400 + [*range(1000, 1500)]
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    written = token_file.write(frame(spark, texts, ids), PATH, END, segment_ids=50)
+    spark.conf.set(coalesce, "true")
+    parts = {r.part for r in written.where("array_contains(doc_ids, 7)").select("part").distinct().collect()}
+    assert len(parts) > 1
+    got = sorted(token_file.read(written).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == sorted(ids) and got[0].start == 0
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:]))
+    want = sorted((i, len(library(t)) + 1, crc([*library(t), END])) for i, t in zip(ids, texts))
+    assert sorted((r.doc_id, r.n_tokens, r.ids_crc32) for r in got) == want
+
+
 def test_token_file_of_nothing(spark):
     assert token_file.read(token_file.write(frame(spark, []), PATH, END)).count() == 0
 
@@ -172,5 +189,16 @@ def test_pack(spark, library):
             assert r.ids_crc32 == crc(by_id[r.doc_id][r.start : r.start + r.length])
 
 
+def test_pack_of_equal_rows(spark):
+    rows = packing.pack(frame(spark, ["the same short text"] * 700, [3] * 700), PATH, END).collect()
+    spans = defaultdict(list)
+    for r in rows:
+        spans[r.sequence_id].append((r.offset, r.length))
+    assert len(rows) == 700
+    for s in spans.values():
+        ends = [0, *np.cumsum([n for _, n in sorted(s)])]
+        assert [o for o, _ in sorted(s)] == ends[:-1] and ends[-1] <= packing.CAPACITY
+
+
 def test_pack_nothing(spark):
     assert packing.pack(frame(spark, []), PATH, END).count() == 0
