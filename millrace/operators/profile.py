@@ -154,11 +154,9 @@ def exact_quantiles(df: DataFrame, by: str, value: str, probs: Sequence[float] =
         exact = F.when(before, False).when(inside, True) if exact is None else exact.when(before, False).when(inside, True)
     met = rows.alias("x").join(brackets.alias("b"), F.col("x.by").eqNullSafe(F.col("b.by")))
     counts = met.select("x.by", point.alias("point"), exact.alias("exact")).where("exact IS NOT NULL").groupBy("by", "point", "exact").agg(F.count("*").alias("n"))
-    upto = running(counts, ["by", "point", "exact"], {"upto": "n"})
-    start = upto.groupBy("by").agg(F.min(F.col("upto") - F.col("n")).alias("start"))
+    upto = running(counts, ["by", "point", "exact"], {"upto": "n"}, within=["by"])
     ranks = F.array(*[F.struct(F.lit(i).alias("which"), F.greatest(F.ceil(F.col("n") * p), F.lit(1)).alias("rank")) for i, p in enumerate(probs)])
     wanted = brackets.select("by", F.inline(ranks))
-    wanted = wanted.alias("w").join(start.alias("s"), F.col("w.by").eqNullSafe(F.col("s.by"))).select("w.by", "which", (F.col("rank") + F.col("start")).alias("rank"))
     reached = F.col("rank").between(F.col("upto") - F.col("n") + 1, F.col("upto"))
     hit = upto.where("exact").alias("u").join(wanted.alias("w"), F.col("u.by").eqNullSafe(F.col("w.by")) & reached)
     return hit.select("u.by", "which", F.col("point").alias("quantile"))

@@ -131,25 +131,32 @@ def salted_join(
 _INSIDE = 33  # bits of the row number that monotonically_increasing_id keeps per task
 
 
-def running(df: DataFrame, order: Sequence[Column | str], sums: Mapping[str, str]) -> DataFrame:
+def running(df: DataFrame, order: Sequence[Column | str], sums: Mapping[str, str], within: Sequence[str] = ()) -> DataFrame:
     """``df`` in global ``order`` with running totals of some columns, the
-    row's own value included: ``sums`` maps new names to columns.
+    row's own value included: ``sums`` maps new names to columns. Totals start
+    anew for each value of ``within``, columns that lead the order.
 
-    A window without partitions would put all rows into one task. Here rows
-    are range-partitioned and written once; totals run inside each part, and
-    the totals of the earlier parts, one row per part, are added.
+    A window without partitions, or over one large group, would put all rows
+    into one task. Here rows are range-partitioned and written once; totals run
+    inside each part, and the totals of the earlier parts, one row per part
+    (and group in it), are added.
     """
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
     placed = stored(ranged.withColumn("_row", F.monotonically_increasing_id()))
-    part = F.shiftright("_row", _INSIDE)
-    whole = placed.groupBy(part.alias("_part")).agg(*[F.sum(c).alias(f"_t{i}") for i, c in enumerate(sums.values())])
-    # one row per part
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    before = whole.select("_part", *[F.coalesce(F.sum(f"_t{i}").over(earlier), F.lit(0)).alias(f"_b{i}") for i in range(len(sums))])
-    inside = Window.partitionBy("_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
-    rows = placed.withColumn("_part", part).withColumns({f"_s{i}": F.sum(c).over(inside) for i, c in enumerate(sums.values())})
-    joined = rows.join(before, "_part")
-    return joined.select(*df.columns, *[(F.col(f"_s{i}") + F.col(f"_b{i}")).alias(name) for i, name in enumerate(sums)])
+    placed = placed.withColumn("_part", F.shiftright("_row", _INSIDE))
+    keys = [*within, "_part"]
+    whole = placed.groupBy(*keys).agg(*[F.sum(c).alias(f"_t{i}") for i, c in enumerate(sums.values())])
+    # one row per part and group in it
+    earlier = (Window.partitionBy(*within) if within else Window).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = whole.select(
+        *[F.col(c).alias(f"_of{i}") for i, c in enumerate(keys)], *[F.coalesce(F.sum(f"_t{i}").over(earlier), F.lit(0)).alias(f"_b{i}") for i in range(len(sums))]
+    )
+    inside = Window.partitionBy(*keys).orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
+    rows = placed.withColumns({f"_s{i}": F.sum(c).over(inside) for i, c in enumerate(sums.values())})
+    same = F.lit(True)
+    for i, c in enumerate(keys):
+        same = same & F.col(c).eqNullSafe(F.col(f"_of{i}"))
+    return rows.join(before, same).select(*df.columns, *[(F.col(f"_s{i}") + F.col(f"_b{i}")).alias(name) for i, name in enumerate(sums)])
 
 
 def global_rank(df: DataFrame, key: Column | str | Sequence[Column | str], name: str = "rank") -> DataFrame:

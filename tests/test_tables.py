@@ -180,6 +180,17 @@ def test_running_totals(spark):
     assert got == want
 
 
+def test_running_totals_within_groups(spark):
+    rng = random.Random(3)
+    data = [(rng.choice(["a", "b", None]), rng.randrange(9), i) for i in range(900)] + [("c", 1, 900)]
+    df = spark.createDataFrame(data, "k string, v int, id int")
+    got = {r.id: r.s for r in skew.running(df, ["k", "id"], {"s": "v"}, within=["k"]).collect()}
+    total, want = {}, {}
+    for k, v, i in sorted(data, key=lambda x: x[2]):
+        want[i] = total[k] = total.get(k, 0) + v
+    assert got == want
+
+
 @pytest.mark.parametrize("accuracy", [10, 1000])
 def test_exact_quantiles(spark, accuracy):
     rng = random.Random(8)
