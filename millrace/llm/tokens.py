@@ -201,12 +201,12 @@ class Encoder:
     def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """The ids the library gives for each whole text (null: empty), as
         ``(ids of some texts one after another, number of each)``."""
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        ends = np.cumsum(pc.binary_length(texts).to_numpy())
+        ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
         start = 0
         while start < len(texts):
             stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + _BATCH, "right")))
-            yield self._some(pa.concat_arrays([texts.slice(start, stop - start)]))
+            # one part at a time is copied
+            yield self._some(pc.fill_null(pa.concat_arrays([texts.slice(start, stop - start)]).cast(pa.large_string()), ""))
             start = stop
 
 
