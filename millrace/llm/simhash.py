@@ -175,18 +175,24 @@ def _flips(max_bits: int) -> Column:
     return F.array(*[F.xxhash64(F.lit(i), fp.bitwiseAND(_long(~(1 << i) & (1 << 64) - 1))) for i in range(64)])
 
 
+def _spread_join(exploded: DataFrame, side: DataFrame, key: str) -> DataFrame:
+    """Inner join of which neither side is broadcast: Spark takes a table with
+    an exploded column for as small as the one before."""
+    return exploded.join(side.hint("merge"), key)
+
+
 def _met(prints: DataFrame, width: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
     """Near pairs ``a, b`` from the cells of a grid, and the fingerprints of
     its crowded cells."""
     spots = prints.withColumn("cell", _cell(F.col("fp"), width))
     spots = spots.select("fp", F.explode(_steps(width)).alias("s")).select("fp", "s.spot", "s.step")
     busy = spots.groupBy("spot").agg(F.count("*").alias("n")).where("n > 1")
-    met = stored(spots.join(busy, "spot"))
+    met = stored(_spread_join(spots, busy, "spot"))
     few = met.where(F.col("n") <= CROWD).drop("n")
     near = F.bit_count(F.col("l.fp").bitwiseXOR(F.col("r.fp"))) <= max_bits
     pairs = (
         few.alias("l")
-        .join(few.alias("r"), (F.col("l.spot") == F.col("r.spot")) & (F.col("l.fp") < F.col("r.fp")) & _meet_once() & near)
+        .join(few.alias("r").hint("merge"), (F.col("l.spot") == F.col("r.spot")) & (F.col("l.fp") < F.col("r.fp")) & _meet_once() & near)
         .select(F.col("l.fp").alias("a"), F.col("r.fp").alias("b"))
     )
     return pairs, stored(met.where(F.col("n") > CROWD).select("fp").distinct())
@@ -206,7 +212,7 @@ def links(prints: DataFrame, max_bits: int = 2) -> DataFrame:
     # the finest grid: a cell is a fingerprint
     balls = left.select("fp", F.explode(_flips(max_bits)).alias("value"))
     least = balls.groupBy("value").agg(F.min("fp").alias("b"), F.count("*").alias("n")).where("n > 1")
-    stars = balls.join(least, "value").where("fp > b").select(F.col("fp").alias("a"), "b").distinct()
+    stars = _spread_join(balls, least, "value").where("fp > b").select(F.col("fp").alias("a"), "b").distinct()
     return out.union(stars)
 
 

@@ -122,6 +122,18 @@ def test_near_duplicates(spark):
     assert simhash.near_duplicates(frame(spark, [])).count() == 0
 
 
+def test_no_cells_or_links_pass_the_driver(spark, monkeypatch):
+    plans = []
+    for module in (simhash, components):
+        keep = module.stored
+        monkeypatch.setattr(module, "stored", lambda df, keep=keep: plans.append(df._jdf.queryExecution().executedPlan().toString()) or keep(df))
+    monkeypatch.setattr(simhash, "CROWD", 1)
+    prints = spark.createDataFrame([(v,) for v in (0, 1, 3, 7, 1 << 40)], "fp bigint")
+    assert components.connected(simhash.links(prints)).count() == 5
+    assert sum("SortMergeJoin" in p for p in plans) > 3
+    assert not any("BroadcastHashJoin" in p for p in plans)
+
+
 def test_keep_one_of_repeated_rows(spark):
     docs = frame(spark, ["one two three four", "one two three four", None, ""], [5, 5, None, 9])
     assert sorted((r.doc_id, r.text) for r in simhash.keep_one(docs).collect()) == [(5, "one two three four"), (9, "")]
