@@ -162,6 +162,17 @@ def test_similar_sets_match_brute_force(spark, threshold, monkeypatch):
     assert rows(similarity.set_members(owned)) == {(i, first[s]) for i, s in sets.items()}
 
 
+def test_signatures_keep_unlike_sets_apart(spark, monkeypatch):
+    rng, stored, seen = random.Random(5), similarity.stored, []
+    monkeypatch.setattr(similarity, "stored", lambda df: seen.append(stored(df)) or seen[-1])
+    sets = [rng.sample(range(200), 39) + [1000 + i // 2] for i in range(60)]
+    sets += [sets[0][:38] + [3000, 3001]]
+    rows = spark.createDataFrame([(i, f"f{f}") for i, s in enumerate(sets) for f in s], "item long, feature string")
+    found = similarity.similar_sets(similarity.distinct_sets(similarity.owned_features(rows, "item", "feature")), 0.8)
+    assert [(r.a, r.b, r.shared) for r in found.collect()] == [(0, 60, 38)]
+    assert seen[-1].columns == ["a", "b"] and seen[-1].count() == 1
+
+
 def test_block_products_match_brute_force(spark):
     rng = random.Random(3)
     sets = {f"t{i:03d}": {f"f{rng.randrange(30)}" for _ in range(rng.randrange(1, 10))} for i in range(120)}
