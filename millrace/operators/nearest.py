@@ -122,7 +122,8 @@ def nearest_site(
         .select(*point, "bound", F.col("_b.node").alias("up"))
     )
     for level in range(levels - 1, 0, -1):
-        met = frontier.join(boxes.where(F.col("level") == level), "up")
+        # what lies beyond the bound so far cannot lower it either, and is not moved
+        met = frontier.join(boxes.where(F.col("level") == level), "up").where(_near(axes, F.col) <= F.col("bound"))
         kept = met.groupBy(*point).agg(
             F.least(F.min("bound"), F.min(_cap(axes, F.col)) * slack).alias("bound"), F.collect_list(F.struct("node", _near(axes, F.col).alias("near"))).alias("_c")
         )

@@ -307,6 +307,17 @@ def test_nearest_on_the_sphere(spark, monkeypatch, fan, roots):
         assert got[q] == (best, pytest.approx(d, abs=1e-6))
 
 
+def test_far_boxes_are_not_gathered(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "FAN", 4)
+    monkeypatch.setattr(nearest, "ROOTS", 2)
+    rows = spark.range(200).selectExpr("id", "CAST(id % 17 AS DOUBLE) AS x", "CAST(id % 13 AS DOUBLE) AS y")
+    found = nearest.nearest_site(rows, rows, "id", "id", "x", "y")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join Inner" in line]
+    assert sum("<= bound" in line for line in joins) == 3  # one per level below the top
+    assert found.where("distance > 0").count() == 0
+
+
 def test_nearest_of_no_sites(spark):
     none = spark.createDataFrame([], "s string, x double, y double")
     asked = spark.createDataFrame([(1, 1.0, 1.0)], "q int, x double, y double")
