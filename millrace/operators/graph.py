@@ -153,7 +153,18 @@ def pagerank(
     variant whose ranks start at 1. ``metrics`` receives
     ``(iteration, total mass, dangling mass, L1 change)`` rows.
     """
-    walk = _Walk(merge_links(edges))
+    return _ranked(_Walk(merge_links(edges)), alpha, iterations, tol, redistribute_dangling, scale, metrics)
+
+
+def _ranked(
+    walk: _Walk,
+    alpha: float,
+    iterations: int,
+    tol: float | None = None,
+    redistribute_dangling: bool = True,
+    scale: float | None = None,
+    metrics: list | None = None,
+) -> DataFrame:
     n = walk.size
     if not n:
         return walk.nodes.select("node", F.lit(0.0).alias("rank"))
@@ -184,10 +195,11 @@ def pagerank(
 
 
 def pagerank_unnormalised(edges: DataFrame, alpha: float = 0.15, iterations: int = 10) -> DataFrame:
-    """Unweighted links, ranks starting at 1, no share for dangling mass."""
-    plain = edges.select("src", "dst").distinct().withColumn("weight", F.lit(1))
-    n = node_table(plain).count()
-    return pagerank(plain, alpha, iterations, redistribute_dangling=False, scale=float(n))
+    """Unweighted links, ranks starting at 1, no share for dangling mass. The
+    links are stored before repeats go, so that no task counts them twice, in
+    two tables of their size."""
+    walk = _Walk(stored(edges).select("src", "dst").distinct().withColumn("weight", F.lit(1)))
+    return _ranked(walk, alpha, iterations, redistribute_dangling=False, scale=float(walk.size))
 
 
 def pagerank_mass(edges: DataFrame, alpha: float = 0.15, iterations: int = 10) -> DataFrame:

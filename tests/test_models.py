@@ -228,3 +228,12 @@ def test_ranking_metrics_by_hand(spark):
 
 def test_empty_graph_has_no_ranks(spark):
     assert graph.pagerank(spark.createDataFrame([], "src string, dst string, weight long")).count() == 0
+
+
+def test_repeated_links_are_merged_once(spark, monkeypatch):
+    plans, keep = [], graph.stored
+    monkeypatch.setattr(graph, "stored", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or keep(df))
+    edges = spark.createDataFrame([("a", "b"), ("a", "b"), ("b", "a"), ("a", "c")], "src string, dst string").withColumn("weight", F.lit(1))
+    ranks = {r.node: r.rank for r in graph.pagerank_unnormalised(edges.groupBy("src", "dst").agg(F.sum("weight").alias("weight")), iterations=1).collect()}
+    assert ranks == pytest.approx({"a": 1.0, "b": 0.575, "c": 0.575})
+    assert max(p.count("Aggregate [src") for p in plans) == 1
