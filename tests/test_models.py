@@ -237,3 +237,16 @@ def test_repeated_links_are_merged_once(spark, monkeypatch):
     ranks = {r.node: r.rank for r in graph.pagerank_unnormalised(edges.groupBy("src", "dst").agg(F.sum("weight").alias("weight")), iterations=1).collect()}
     assert ranks == pytest.approx({"a": 1.0, "b": 0.575, "c": 0.575})
     assert max(p.count("Aggregate [src") for p in plans) == 1
+
+
+def test_training_rows_come_in_portions(spark, monkeypatch):
+    rows = spark.createDataFrame([(float(i % 2), float(i), float(i * i), i) for i in range(100)], "y double, a double, b double, other long").coalesce(1)
+    assert classify.portioned(rows, "y", ["a", "b"]).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(classify, "ROWS_PER_TASK", 10)
+    seen = []
+    keep = classify.Pipeline.fit
+    monkeypatch.setattr(classify.Pipeline, "fit", lambda self, train: seen.append(train) or keep(self, train))
+    model = classify.fit(rows, "y", ["a", "b"], "gbt", max_iter=2)
+    assert seen[0].rdd.getNumPartitions() == 10
+    assert sorted(seen[0].collect()) == sorted(rows.select("y", "a", "b").collect())
+    assert classify.score(model, rows).count() == 100
