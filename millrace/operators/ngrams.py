@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from millrace.functions.hashing import key_fraction
 from millrace.functions.text import is_stop_word, ngrams, once, space_tokens, words
 from millrace.operators.counting import bottom_n, top_n
+from millrace.operators.pairs import near_words
 
 
 def ngram_table(docs: DataFrame, doc: str = "doc_id", text: str | Column = "text", n: int = 5, books: bool = True) -> DataFrame:
@@ -85,6 +86,12 @@ def neighbour_counts(pairs: DataFrame) -> DataFrame:
     return ends.groupBy("word").agg(F.count("*").alias("neighbours"))
 
 
+def text_neighbour_counts(docs: DataFrame, text: str | Column = "text", n: int = 5) -> DataFrame:
+    """``neighbour_counts`` straight from texts; no pair of strings is formed
+    but for long words."""
+    return near_words(docs, text, n)
+
+
 def word_report(totals: DataFrame, n: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Vocabulary size, most and least frequent words."""
     return totals.agg(F.count("*").alias("vocabulary")), top_n(totals, "n", n, "word"), bottom_n(totals, "n", n, "word")

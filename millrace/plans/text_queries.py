@@ -68,7 +68,7 @@ def _stripe_rows(spark, d):
 
 
 def _neighbours(spark, d):
-    return ngrams.neighbour_counts(ngrams.text_neighbour_pairs(_docs(spark, d)))
+    return ngrams.text_neighbour_counts(_docs(spark, d))
 
 
 def _rounded(df, digits, *cols):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from results import rows
 from millrace.functions.text import STOP_WORDS, ngrams as ngram_col, words
-from millrace.operators import counting, naive_bayes, ngrams, similarity, skew
+from millrace.operators import counting, naive_bayes, ngrams, pairs, similarity, skew
 
 # Toy inputs with known answers.
 NOTE = ["This is a small test file. This file is for a test.", "This small test file has two small lines."]
@@ -269,3 +269,25 @@ def test_texts_give_what_their_ngrams_give(spark, n):
     assert rows(ngrams.text_neighbour_pairs(docs, n=n)) == rows(ngrams.neighbour_pairs(grams))
     vocab = ngrams.vocab_and_basis(ngrams.text_word_totals(docs, n=n), 12, 5).cache()
     assert rows(ngrams.text_stripe_rows(docs, vocab, n=n)) == rows(ngrams.stripe_rows(ngrams.neighbour_pairs(grams), vocab))
+
+
+NEAR = [
+    "a b c d e f a b", "the the the the the the", "a b", "", None, "B c x, y z. c x q r s t u v w" * 3, "a b c d e f a b", "K İx straße zz\n\taa",
+    "abcdefghijkl abcdefghijklm abcdefghijklmn of the abcdefghijklm abcdefghijkl a zzzzzzzzzzzz zzzzzzzzzzzzz", "zz", "Incomprehensibilities of a word",
+]
+
+
+@pytest.mark.parametrize("run", [3, 1 << 21])
+@pytest.mark.parametrize("n", [2, 5])
+def test_neighbours_are_counted_as_numbers(spark, monkeypatch, n, run):
+    """Counts from numbers of words equal those from the pairs of words, over
+    runs that end inside texts, texts that meet without a gap and long words;
+    pairs do not travel as strings."""
+    docs = spark.createDataFrame(list(enumerate(NEAR)), "doc_id long, text string")
+    want = rows(ngrams.neighbour_counts(ngrams.text_neighbour_pairs(docs, n=n)))
+    monkeypatch.setattr(pairs, "RUN", run)
+    monkeypatch.setattr(pairs, "SLICE", 8 * run)
+    for spread in (1, 4):
+        found = ngrams.text_neighbour_counts(docs.coalesce(1).repartition(spread), n=n)
+        assert rows(found) == want
+    assert "arrays_zip" not in found._jdf.queryExecution().optimizedPlan().toString()
