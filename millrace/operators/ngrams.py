@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions.hashing import key_fraction
-from millrace.functions.text import is_stop_word, ngrams, once, space_tokens, words
+from millrace.functions.text import STOP_WORDS, is_stop_word, ngrams, once, space_tokens, words
 from millrace.operators.counting import bottom_n, top_n
-from millrace.operators.pairs import near_words
+from millrace.operators.pairs import near_pairs, near_words
 
 
 def ngram_table(docs: DataFrame, doc: str = "doc_id", text: str | Column = "text", n: int = 5, books: bool = True) -> DataFrame:
@@ -155,9 +155,11 @@ def window_cooccurrence(
     Stop words are no terms and no features but keep their positions. The
     token array is paired with itself shifted by 1..``reach`` inside its row,
     so the work is linear in the text and needs no join. Pass ``doc`` to keep
-    documents apart in the result.
+    documents apart in the result; without it, pairs are formed as numbers.
     """
-    keep = [doc] if doc else []
+    if not doc:
+        return near_pairs(docs, text, reach, STOP_WORDS if stop_words is None else stop_words)
+    keep = [doc]
     dropped = (lambda c: c.isin(*stop_words)) if stop_words is not None else is_stop_word
 
     def shifted(k: int) -> Column:

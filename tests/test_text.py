@@ -291,3 +291,17 @@ def test_neighbours_are_counted_as_numbers(spark, monkeypatch, n, run):
         found = ngrams.text_neighbour_counts(docs.coalesce(1).repartition(spread), n=n)
         assert rows(found) == want
     assert "arrays_zip" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("run", [3, 1 << 21])
+def test_cooccurrences_are_counted_as_numbers(spark, monkeypatch, run):
+    """The same counts as by document, added up; stop words of any length."""
+    docs = spark.createDataFrame(list(enumerate(NEAR)), "doc_id long, text string")
+    monkeypatch.setattr(pairs, "RUN", run)
+    monkeypatch.setattr(pairs, "SLICE", 8 * run)
+    for stop_words in (None, [], ["the", "it's", "a", "abcdefghijklm", "É", ""]):
+        apart = ngrams.window_cooccurrence(docs, "doc_id", reach=3, stop_words=stop_words)
+        want = rows(apart.groupBy("term", "feature").agg(F.sum("n").alias("n")))
+        found = ngrams.window_cooccurrence(docs.coalesce(1), reach=3, stop_words=stop_words)
+        assert rows(found) == want and found.dtypes == [("term", "string"), ("feature", "string"), ("n", "bigint")]
+    assert "arrays_zip" not in found._jdf.queryExecution().optimizedPlan().toString()
