@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from millrace.functions.text import once
 from millrace.operators.skew import Heavy, heavy_keys, salted_join
 
 
@@ -83,7 +84,8 @@ def window_self_join(
         raise ValueError("upper must exceed lower")
     first = F.floor((F.col(earlier) + lower) / width)
     last = F.floor((F.col(earlier) + upper) / width)
-    near = right.withColumn("_bucket", F.explode(F.sequence(first, last))).hint("merge")
+    # the time is computed once, and not again for each bound and each bucket
+    near = right.withColumn(earlier, once(F.col(earlier))).withColumn("_bucket", F.explode(F.sequence(first, last))).hint("merge")
     placed = left.withColumn("_bucket", window_bucket(F.col(at), lower, upper))
     inside = (F.col(f"r.{earlier}") > F.col(f"l.{at}") - upper) & (F.col(f"r.{earlier}") < F.col(f"l.{at}") - lower)
     on = [*keys, "_bucket"]

@@ -371,3 +371,14 @@ def test_checkpoint_folder_is_taken_from_the_session(spark):
     with pytest.raises(RuntimeError):
         checkpoint_dir(_Session(None, "yarn"))
     assert cut_lineage(spark.range(5)).count() == 5
+
+
+def test_window_self_join_computes_a_time_once(spark):
+    """A time that takes work is not computed again for each bound of its
+    buckets, nor in filters that Spark adds for them."""
+    left = spark.createDataFrame([(i % 3, i, i) for i in range(40)], "k int, at int, id int")
+    right = left.select("k", (F.col("at") * 7919 - F.col("at") * 7918).alias("arr"), F.col("id").alias("rid"))
+    got = joins.window_self_join(left, right, ["k"], "at", "arr", 5, 12, ["id"], {}, {})
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("7919") == 1
+    want = {(a, b) for a in range(40) for b in range(40) if a % 3 == b % 3 and a - 12 < b < a - 5}
+    assert {(r.id, r.rid) for r in got.collect() if r.rid is not None} == want
