@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import classify, forest, sampling
-from millrace.plans import derived, flights, package
+from millrace.plans import derived, flights, model_queries, package
 from millrace.session import scratch, stored
 from millrace.sources import readers, writers
 
@@ -112,3 +112,11 @@ def test_taken_number(spark):
     assert package._put(spark, f"{folder}/_new-a", folder, "v") == "v000001"
     assert package._put(spark, f"{folder}/_new-b", folder, "v") == "v000002"
     assert package._numbered(spark, folder, "v") == ["v000001", "v000002"]
+
+
+def test_heavy_keys_are_measured_on_plain_flights(spark, monkeypatch):
+    """The joined rows would be joined once more to be measured."""
+    measured, heavy_flight_keys = [], flights.heavy_flight_keys
+    monkeypatch.setattr(flights, "heavy_flight_keys", lambda rows, *clock: measured.append(rows.columns) or heavy_flight_keys(rows, *clock))
+    model_queries.QUERIES["score_flights"][0](spark, FOLDER)
+    assert measured and not any("INBOUND_ARR_DELAY_NEW" in columns for columns in measured)
