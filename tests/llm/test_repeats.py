@@ -261,3 +261,21 @@ def test_long_texts_come_in_pieces(monkeypatch):
     monkeypatch.setattr(suffix, "_PIECE", 301)
     parts = {(int(p), int(h), int(c)) for m in suffix.marks([text]) for p, h, c in zip(m.place, m.hash, m.contexts())}
     assert parts == whole
+
+
+def test_suffixes_are_not_compared_beyond_their_texts():
+    """Copies that follow one another in the same order would be compared over
+    all of them; equal suffixes come in the order of their texts."""
+    rng = random.Random(3)
+    texts = [bytes(rng.choice(b"ab\x00\xff") for _ in range(rng.randint(1, 40))) for _ in range(30)] * 6
+    index = runindex.RunIndex(texts)
+    places = [(text, i) for text, data in enumerate(texts) for i in range(len(data) + 1)]
+    want = sorted(range(len(places)), key=lambda p: (texts[places[p][0]][places[p][1] :], places[p][0]))
+    assert index.order.tolist() == want
+    assert max(width for width, _ in index.levels) <= 2 * max(map(len, texts))
+    text, place, least = runindex.first_owner(texts, np.arange(len(texts)) // 7, 5)
+    first = {}
+    for t, data in enumerate(texts):
+        for i in range(len(data) - 4):
+            first.setdefault(data[i : i + 5], t // 7)
+    assert {(t, i): o for t, i, o in zip(text.tolist(), place.tolist(), least.tolist())} == {(t, i): first[texts[t][i : i + 5]] for t, data in enumerate(texts) for i in range(len(data) - 4)}
