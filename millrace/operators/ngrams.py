@@ -5,25 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions.hashing import key_fraction
-from millrace.functions.text import STOP_WORDS, is_stop_word, ngrams, once, space_tokens, words
+from millrace.functions.text import STOP_WORDS, is_stop_word, once, space_tokens, words
 from millrace.operators.counting import bottom_n, top_n
+from millrace.operators.grams import ngram_counts
 from millrace.operators.pairs import near_pairs, near_words
 
 
 def ngram_table(docs: DataFrame, doc: str = "doc_id", text: str | Column = "text", n: int = 5, books: bool = True) -> DataFrame:
     """``(ngram, n, books)``: occurrences and number of documents.
 
-    Counting per document first keeps the second aggregate free of distinct
-    sets, and merges repeats before anything is shuffled. ``books=False``
-    leaves that column out and needs one shuffle only.
+    No row per n-gram is shuffled; see ``grams``. ``books=False`` leaves that
+    column out.
     """
-    grams = docs.select(F.col(doc).alias("_doc"), words(text).alias("_tokens")).select(
-        "_doc", F.explode(ngrams(F.col("_tokens"), n)).alias("ngram")
-    )
-    if not books:
-        return grams.groupBy("ngram").agg(F.count("*").alias("n"))
-    per_doc = grams.groupBy("ngram", "_doc").agg(F.count("*").alias("_n"))
-    return per_doc.groupBy("ngram").agg(F.sum("_n").alias("n"), F.count("*").alias("books"))
+    table = ngram_counts(docs, doc, text, n)
+    return table if books else table.select("ngram", "n")
 
 
 def ngram_word_totals(grams: DataFrame) -> DataFrame:

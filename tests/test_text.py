@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from results import rows
 from millrace.functions.text import STOP_WORDS, ngrams as ngram_col, words
-from millrace.operators import counting, naive_bayes, ngrams, pairs, similarity, skew
+from millrace.operators import counting, grams as packed, naive_bayes, ngrams, pairs, similarity, skew
 
 # Toy inputs with known answers.
 NOTE = ["This is a small test file. This file is for a test.", "This small test file has two small lines."]
@@ -293,6 +293,29 @@ def test_neighbours_are_counted_as_numbers(spark, monkeypatch, n, run):
     assert "arrays_zip" not in found._jdf.queryExecution().optimizedPlan().toString()
 
 
+@pytest.mark.parametrize("size", [16, 1 << 23])
+@pytest.mark.parametrize("n", [1, 2, 5])
+def test_ngrams_are_moved_packed(spark, monkeypatch, n, size):
+    """Counts by text and document, where ids repeat, are missing or meet in
+    one slice or several; no n-gram travels as a row of its own."""
+    ids = [1, 2, None, 4, 5, 6, 1, None, 2, 7, 8]
+    texts = list(zip(ids, NEAR)) + [(100 + i, "so it was the age of it was the age of") for i in range(40)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    count, books = Counter(), defaultdict(set)
+    for r in docs.select("doc_id", words("text").alias("t")).where("t IS NOT NULL").collect():
+        for i in range(len(r.t) - n + 1):
+            gram = " ".join(r.t[i : i + n])
+            count[gram] += 1
+            books[gram].add(r.doc_id)
+    monkeypatch.setattr(packed, "SLICE", size)
+    monkeypatch.setattr(packed, "PART", 64)
+    for spread in (1, 4):
+        found = ngrams.ngram_table(docs.coalesce(1).repartition(spread), n=n)
+        assert sorted(tuple(r) for r in found.collect()) == sorted((g, c, len(books[g])) for g, c in count.items())
+    assert "array_join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert ngrams.ngram_table(docs.limit(0), n=n).count() == 0
+
+
 @pytest.mark.parametrize("run", [3, 1 << 21])
 def test_cooccurrences_are_counted_as_numbers(spark, monkeypatch, run):
     """The same counts as by document, added up; stop words of any length."""
