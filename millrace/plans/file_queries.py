@@ -38,9 +38,11 @@ def _flat(c: str) -> str:
 
 
 def _ngram_files(spark, d):
-    """5-grams with their counts in both places where the format has pages."""
+    """5-grams with their counts in both places where the format has pages.
+    The files are several times as long as the texts, so they are gzipped."""
     path = scratch(spark)
-    writers.write_tsv(text_queries._grams(spark, d, books=True).select("ngram", "n", F.col("n").alias("pages"), "books"), path)
+    table = text_queries._grams(spark, d, books=True).select("ngram", "n", F.col("n").alias("pages"), "books")
+    writers.write_tsv(table, path, compression="gzip")
     return readers.ngram_file(spark, path)
 
 

@@ -15,12 +15,13 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mo
 _BREAKS = "\t\n\r\0"
 
 
-def write_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_tsv(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "none") -> None:
     """Tab-separated records without quoting. The format cannot hold tabs and
-    line breaks inside a value, so they become blanks; null is empty."""
+    line breaks inside a value, so they become blanks; null is empty. Files of
+    a ``compression`` carry its suffix, by which the scans know it."""
     text = {f.name for f in df.schema if isinstance(f.dataType, T.StringType)}
     flat = df.select(*[(F.translate(F.col(f"`{c}`"), _BREAKS, " " * len(_BREAKS)) if c in text else F.col(f"`{c}`")).alias(c) for c in df.columns])
-    options = {"sep": "\t", "quote": "", "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    options = {"sep": "\t", "quote": "", "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "compression": compression}
     flat.write.mode(mode).options(**options).csv(path)
 
 

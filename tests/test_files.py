@@ -6,6 +6,7 @@ import sys
 from results import rows
 
 from millrace.operators import graph
+from millrace.plans import file_queries
 from millrace.session import discard, scratch, stored
 from millrace.sources import readers, writers
 
@@ -29,6 +30,18 @@ def test_tsv(spark):
     assert rows(readers.mail(spark, path)) == {(str(i), i % 2, flat(t), "body") for i, t in enumerate(ODD)}
 
 
+def test_ngram_files_are_gzipped(spark, tmp_path, monkeypatch):
+    """The n-gram files carry the suffix, and their scan gives the same rows."""
+    texts = ["It was the best of times, it was", "it was the best of times", None, ""]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(file_queries, "scratch", lambda spark: f"{tmp_path}/out")
+    found = file_queries.QUERIES["file_ngrams"][0](spark, str(tmp_path))
+    want = {("it was the best of", 2, 2, 2), ("was the best of times", 2, 2, 2), ("the best of times it", 1, 1, 1), ("best of times it was", 1, 1, 1)}
+    assert rows(found) == want and found.count() == len(want)
+    files = [p.name for p in (tmp_path / "out").glob("part-*")]
+    assert files and all(name.endswith(".csv.gz") for name in files)
+
+
 def test_delimited(spark):
     path = scratch(spark)
     odd = [t for t in ODD if t is None or "\n" not in t]
