@@ -250,3 +250,16 @@ def test_training_rows_come_in_portions(spark, monkeypatch):
     assert seen[0].rdd.getNumPartitions() == 10
     assert sorted(seen[0].collect()) == sorted(rows.select("y", "a", "b").collect())
     assert classify.score(model, rows).count() == 100
+
+
+def test_training_rows_are_dealt_once(spark, monkeypatch):
+    """For all models of a report, and let go when it is made."""
+    rows = spark.createDataFrame([(float(i % 3 == 0), float(i), float(i * i), i % 5 > 0) for i in range(200)], "y double, a double, b double, train boolean")
+    dealt, keep = [], classify.portioned
+    monkeypatch.setattr(classify, "portioned", lambda *a: dealt.append(keep(*a)) or dealt[-1])
+    held, fit = [], classify.Pipeline.fit
+    monkeypatch.setattr(classify.Pipeline, "fit", lambda self, train: held.append(train.storageLevel.useDisk) or fit(self, train))
+    found = classify.report(rows, "train", "y", ["a", "b"], ["lr_plain", "rf", "gbt"], max_iter=2)
+    assert [r.rows for r in found.collect()] == [40, 40, 40]
+    assert len(dealt) == 1 and held == [True] * 3
+    assert not dealt[0].storageLevel.useDisk

@@ -41,6 +41,22 @@ def test_tree_table(spark, labelled, kind, score, params):
             assert math.isclose(held[r.tree, r.left].held + held[r.tree, r.right].held, r.held)
 
 
+def test_scores_take_columns_along(spark, labelled):
+    """A model's own score goes with its row through the trees' table, so that
+    the two need no join; a row's leaf brings its share ready made."""
+    for kind, score, params in (("rf", forest.forest_scores, {"trees": 3}), ("gbt", forest.boosted_scores, {"max_iter": 2})):
+        model = classify.fit(labelled, "y", FEATURES, kind, **params)
+        path = scratch(spark)
+        classify.save_model(model, path)
+        trees = stored(forest.tree_table(spark, path))
+        scored = classify.score(model, labelled).withColumnRenamed("p1", "want")
+        got = score(scored, trees, ["id", "want"], FEATURES, forest.depth(model))
+        assert got.columns == ["id", "want", "p1"] and got.count() == 2000
+        assert got.where(F.abs(F.col("p1") - F.col("want")) > 1e-9).count() == 0
+        with_nulls = scored.withColumn("want", F.when(F.col("id") > 9, F.col("want")))
+        assert score(with_nulls, trees, ["id", "want"], FEATURES, forest.depth(model)).where("want IS NULL").count() == 10
+
+
 @pytest.mark.parametrize("penalty", [(0.0, 0.0), (0.1, 0.0), (0.05, 1.0), (0.05, 0.8)])
 def test_optimality(labelled, penalty):
     reg, net = penalty
