@@ -3,6 +3,7 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -180,6 +181,41 @@ def test_repeated_set_ids_keep_their_links(spark):
     assert {(r.a, r.b, r.shared) for r in found.collect()} == {(0, 1, 39)}
 
 
+def test_sets_travel_once_per_cell(spark, monkeypatch):
+    """Sixty sets that are all alike make 1,770 pairs; each set is sent once."""
+    alike = [[f"f{j}" for j in range(60)] + [f"own{i}"] for i in range(60)]
+    owned = spark.createDataFrame(list(enumerate(alike)), "item long, features array<string>")
+    keep = similarity._counter
+
+    def counter():
+        count = keep()
+        return lambda sets, pairs: (out := count(sets, pairs)).set_column(6, "shared", pa.array([sets.num_rows] * out.num_rows, pa.int64()))
+
+    monkeypatch.setattr(similarity, "_counter", counter)
+    found = similarity.similar_sets(similarity.distinct_sets(owned), 0.8).collect()
+    assert len(found) == 1770 and {r.shared for r in found} == {60}
+
+
+def test_cells_are_cut_by_sets_and_pairs(spark, monkeypatch):
+    """A crowd on a grid of cells and a set id that two rows have, against brute force."""
+    rng = random.Random(9)
+    sets = [frozenset(range(30)) - {rng.randrange(30), rng.randrange(30)} | {100 + rng.randrange(4)} for _ in range(40)]
+    sets += [frozenset(range(200 + 5 * i, 215 + 5 * i)) for i in range(8)]
+    rows = [(f"s{i:02d}", len(s), 1 + i, [f"f{x}" for x in sorted(s)]) for i, s in enumerate(dict.fromkeys(sets))]
+    rows.append(rows[3])
+    sizes = spark.createDataFrame(rows, "set_id string, size int, copies long, features array<string>")
+    want = Counter()
+    for x, y in itertools.combinations(rows, 2):
+        a, b = sorted((x, y))
+        n = len({*a[3]} & {*b[3]})
+        if a[0] != b[0] and n / (a[1] + b[1] - n) >= 0.5 - 1e-9:
+            want[a[0], b[0], a[2], b[2], n] += 1
+    for cell, work in ((1 << 23, 1 << 29), (200, 1 << 29), (1 << 23, 3000)):
+        monkeypatch.setattr(similarity, "CELL", cell)
+        monkeypatch.setattr(similarity, "WORK", work)
+        assert Counter(tuple(r[:5]) for r in similarity.similar_sets(sizes, 0.5).collect()) == want
+
+
 def test_block_products_match_brute_force(spark):
     rng = random.Random(3)
     sets = {f"t{i:03d}": {f"f{rng.randrange(30)}" for _ in range(rng.randrange(1, 10))} for i in range(120)}
